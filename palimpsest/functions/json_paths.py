@@ -1,0 +1,67 @@
+"""Every leaf of a JSON text column as (path, values), in one narrow pass.
+
+The document shape is found by one distributed aggregate; after that each path
+is a plain field access, so no document is exploded level by level.
+"""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
+
+
+def _stringly(shape: DataType) -> DataType:
+    if isinstance(shape, StructType):
+        return StructType([StructField(f.name, _stringly(f.dataType)) for f in shape.fields])
+    if isinstance(shape, ArrayType):
+        return ArrayType(_stringly(shape.elementType))
+    return StringType()
+
+
+def document_schema(df: DataFrame, column: str) -> DataType:
+    """Merged shape of all documents of a column, with every leaf read as text."""
+    shape = df.select(F.schema_of_variant_agg(F.try_parse_json(column)).alias("s")).first()["s"]
+    if not shape or not re.match(r"(OBJECT|ARRAY)<", shape):
+        return StringType()
+    return _stringly(DataType.fromDDL(re.sub(r"\bOBJECT<", "STRUCT<", shape)))
+
+
+def _step(name: str):
+    return lambda v: v.getField(name)
+
+
+def leaf_columns(doc: Column, shape: DataType) -> list[tuple[str, Column]]:
+    """``(path, array<string>)`` per leaf; array steps are written ``[]``."""
+
+    def walk(path: str, shape: DataType, values: Column) -> list[tuple[str, Column]]:
+        if isinstance(shape, StructType):
+            out = []
+            for field in shape.fields:
+                inner = F.transform(values, _step(field.name))
+                out += walk(f"{path}.{field.name}", field.dataType, inner)
+            return out
+        if isinstance(shape, ArrayType):
+            empty = F.array().cast(ArrayType(shape.elementType))
+            opened = F.flatten(F.transform(values, lambda v: F.coalesce(v, empty)))
+            return walk(f"{path}[]", shape.elementType, opened)
+        return [(path, F.filter(values, lambda v: v.isNotNull()))]
+
+    return walk("$", shape, F.array(doc))
+
+
+def with_leaves(df: DataFrame, column: str, keep: list[str] | None = None) -> DataFrame:
+    """One row per (row, leaf path) with the array of its values in that document."""
+    shape = document_schema(df, column)
+    if isinstance(shape, StringType):
+        return df.select(*(keep or []), F.lit("$").alias("path"), F.array(column).alias("values"))
+    doc = F.from_json(F.col(column), shape)
+    pairs = leaf_columns(F.col("_doc"), shape)
+    entries = F.array(*[F.struct(F.lit(p).alias("path"), v.alias("values")) for p, v in pairs])
+    return (
+        df.select(*(keep or []), doc.alias("_doc"))
+        .select(*(keep or []), F.explode(entries).alias("_leaf"))
+        .select(*(keep or []), "_leaf.path", "_leaf.values")
+    )
