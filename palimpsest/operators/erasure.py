@@ -22,9 +22,9 @@ from palimpsest.functions.masking import (
     mask_expr,
 )
 from palimpsest.operators import matching, validation
-from palimpsest.operators.matching import DELETE_CODE, EMAIL_FIRST, MODE, OBFUSCATE_CODE
+from palimpsest.operators.matching import DELETE_CODE, EMAIL_FIRST, MODE, OBFUSCATE_CODE, Subjects
 from palimpsest.operators.registry import TableRules, rules_by_table, skipped_tables
-from palimpsest.session import broadcast_if_small
+from palimpsest.session import broadcast_if_small, inline_table
 
 AUDIT_SCHEMA = (
     "target string, request_id string, email string, request_type string, "
@@ -54,7 +54,7 @@ def apply_erasure(
 
 
 def erase_table(
-    df: DataFrame, rules: TableRules, subjects: DataFrame, token: str = ERASED_TOKEN, rule: str = EMAIL_FIRST
+    df: DataFrame, rules: TableRules, subjects: Subjects, token: str = ERASED_TOKEN, rule: str = EMAIL_FIRST
 ) -> DataFrame:
     return apply_erasure(matching.flag_rows(df, rules, subjects, rule), rules, token)
 
@@ -67,13 +67,12 @@ def audit(
     target: str,
     tables: Mapping[str, DataFrame],
     rules: Mapping[str, TableRules],
-    requests: DataFrame,
+    subjects: Subjects,
     dry_run: bool = True,
     rule: str = EMAIL_FIRST,
 ) -> DataFrame:
     """Matched rows and action per (request, table in scope)."""
-    spark = requests.sparkSession
-    subjects = matching.subjects_of(requests)
+    spark = subjects.frame.sparkSession
     parts = [
         matching.match_counts(tables[name], rules[name], subjects, rule).withColumn("table", F.lit(name))
         for name in sorted(rules)
@@ -84,7 +83,7 @@ def audit(
     done = F.lit("dry_run") if dry_run else F.when(F.col("request_type") == "DELETE", "deleted").otherwise("obfuscated")
     return (
         _union(parts)
-        .join(subjects.select("request_id", "email", "request_type"), "request_id")
+        .join(subjects.frame.select("request_id", "email", "request_type"), "request_id")
         .select(
             F.lit(target).alias("target"),
             "request_id",
@@ -98,11 +97,11 @@ def audit(
 
 
 def compare_rules(
-    tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules], requests: DataFrame
+    tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules], subjects: Subjects
 ) -> DataFrame:
     """Rows each matching rule would touch, per (request, table)."""
     def counted(rule: str, name: str) -> DataFrame:
-        return audit("", tables, rules, requests, rule=rule).select(
+        return audit("", tables, rules, subjects, rule=rule).select(
             "request_id", "table", F.col("rows_matched").alias(name)
         )
 
@@ -153,6 +152,10 @@ def parse_targets(text: str | None, default: str) -> list[str]:
     return names or [default]
 
 
+def _open_subjects(requests: DataFrame) -> Subjects:
+    return matching.subjects_of(requests.where(F.col("status") == "PENDING"))
+
+
 def run_targets(
     spark: SparkSession,
     targets: Iterable[Target],
@@ -171,6 +174,7 @@ def run_targets(
     """
     audits, findings, states = [], [], []
     result = RunResult(None, None, None, None)
+    central = None if central_requests is None else _open_subjects(central_requests)
     for target in targets:
         if target.registry is None:
             states.append((target.name, 0, "skipped_no_registry"))
@@ -183,10 +187,8 @@ def run_targets(
         if not rules:
             states.append((target.name, 0, "no_tables_in_scope"))
             continue
-        requests = central_requests if central_requests is not None else target.requests
-        pending = requests.where(F.col("status") == "PENDING")
-        subjects = matching.subjects_of(pending)
-        audits.append(audit(target.name, target.tables, rules, pending, dry_run, rule))
+        subjects = central or _open_subjects(target.requests)
+        audits.append(audit(target.name, target.tables, rules, subjects, dry_run, rule))
         current = {name: target.tables[name] for name in rules}
         if not dry_run:
             erased = {n: erase_table(current[n], r, subjects, token, rule) for n, r in rules.items()}
@@ -201,7 +203,7 @@ def run_targets(
     result.findings = (
         _union(findings) if findings else spark.createDataFrame([], validation.FINDINGS_SCHEMA)
     )
-    state = spark.createDataFrame(states, "target string, tables_in_scope int, status string")
+    state = inline_table(spark, "target, tables_in_scope, status", states)
     result.summary = summarize(state, result.audit, result.findings, dry_run, verdict_fields)
     result.verdict = verdict(result.summary)
     return result

@@ -9,6 +9,7 @@ requests, so one address that holds a third of all rows costs one group.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.operators import needles
 from palimpsest.operators.registry import TableRules
-from palimpsest.session import broadcast_if_small, written
+from palimpsest.session import broadcast_if_small, fits_broadcast, written
 
 EMAIL_FIRST, ALL_IDENTIFIERS = "email_first", "all_identifiers"
 
@@ -36,7 +37,23 @@ def _code() -> Column:
     return F.when(F.col("request_type") == "DELETE", DELETE_CODE).otherwise(OBFUSCATE_CODE)
 
 
-def subjects_of(requests: DataFrame, case_insensitive: bool = False) -> DataFrame:
+@dataclass(frozen=True)
+class Subjects:
+    """Requests as match keys, with one measurement of their size.
+
+    ``frame`` is ``request_id, email, first, last, full, request_type``.  Key
+    sets drawn from it are no larger than it is, so one measurement decides for
+    all of them whether a join may broadcast.
+    """
+
+    frame: DataFrame
+    small: bool
+
+    def side(self, keys: DataFrame) -> DataFrame:
+        return F.broadcast(keys) if self.small else keys
+
+
+def subjects_of(requests: DataFrame, case_insensitive: bool = False) -> Subjects:
     """Requests as match keys; blanks are null, so they can never match anything.
 
     A request without an email and without both names has no usable key and is
@@ -47,7 +64,7 @@ def subjects_of(requests: DataFrame, case_insensitive: bool = False) -> DataFram
         return F.when(F.trim(F.col(name)) != "", F.col(name))
 
     email, first, last = filled("email"), filled("first_name"), filled("last_name")
-    return requests.select(
+    frame = requests.select(
         "request_id",
         (F.lower(email) if case_insensitive else email).alias("email"),
         first.alias("first"),
@@ -55,6 +72,7 @@ def subjects_of(requests: DataFrame, case_insensitive: bool = False) -> DataFram
         F.concat(first, F.lit(" "), last).alias("full"),
         mode_of(F.col("request_type")).alias("request_type"),
     ).where(F.col("email").isNotNull() | F.col("full").isNotNull())
+    return Subjects(frame, fits_broadcast(frame))
 
 
 # --- email first: the three classes of requests on one table -----------------
@@ -107,7 +125,7 @@ def _prefixed(df: DataFrame, fields: list[str]) -> DataFrame:
     return df.select(*[F.col(f).alias(f"_s_{f}") for f in fields], *keep)
 
 
-def _count_on(df, pairs, subjects, extra: Column | None = None, lower_email: bool = False) -> DataFrame:
+def _count_on(df, pairs, subjects, side, extra: Column | None = None, lower_email: bool = False) -> DataFrame:
     """Rows per distinct key of ``subjects`` on equal columns, spread back to the requests."""
     fields = sorted({f for _, f in pairs} | ({"email", "first", "last"} if extra is not None else set()))
     keys = _prefixed(subjects.select(*fields).distinct(), fields)
@@ -115,7 +133,7 @@ def _count_on(df, pairs, subjects, extra: Column | None = None, lower_email: boo
     if extra is not None:
         condition = condition & extra
     hits = (
-        df.join(broadcast_if_small(keys), condition)
+        df.join(side(keys), condition)
         .groupBy(*[f"_s_{f}" for f in fields])
         .agg(F.count(F.lit(1)).alias("rows_matched"))
     )
@@ -123,13 +141,13 @@ def _count_on(df, pairs, subjects, extra: Column | None = None, lower_email: boo
     return subjects.join(renamed, fields, "left").select("request_id", "rows_matched")
 
 
-def _count_emails(df, rules, subjects, case_insensitive) -> DataFrame:
+def _count_emails(df, rules, subjects, side, case_insensitive) -> DataFrame:
     columns = [F.lower(c) if case_insensitive else F.col(c) for c in rules.emails]
     if len(columns) == 1:
         values = df.select(columns[0].alias("email"))
     else:
         values = df.select(F.explode(F.array_distinct(F.array(*columns))).alias("email"))
-    keys = broadcast_if_small(subjects.select("email").distinct())
+    keys = side(subjects.select("email").distinct())
     hits = values.join(keys, "email").groupBy("email").agg(F.count(F.lit(1)).alias("rows_matched"))
     return subjects.join(hits, "email", "left").select("request_id", "rows_matched")
 
@@ -180,19 +198,20 @@ def _all_patterns(subjects: DataFrame) -> list[Column]:
 def match_counts(
     df: DataFrame,
     rules: TableRules,
-    subjects: DataFrame,
+    subjects: Subjects,
     rule: str = EMAIL_FIRST,
     case_insensitive: bool = False,
 ) -> DataFrame:
     """``request_id, rows_matched`` for each request with a usable predicate on this table (also zeros)."""
     counted = []
+    people, side = subjects.frame, subjects.side
     if rule == ALL_IDENTIFIERS:
         if rules.has_identifiers:
-            asked = _all_subjects(rules, subjects)
+            asked = _all_subjects(rules, people)
             pairs = _scalar_bindings(rules, with_email=True)
             if pairs:
                 extra = _payload_holds_all(rules) if rules.payloads else None
-                counted.append(_count_on(df, pairs, asked, extra, case_insensitive))
+                counted.append(_count_on(df, pairs, asked, side, extra, case_insensitive))
             else:
                 keys = asked.select("request_id", *_all_patterns(asked))
                 hits = (
@@ -204,17 +223,17 @@ def match_counts(
                     keys.join(hits, list(needles.PARTS), "left").select("request_id", "rows_matched")
                 )
     else:
-        by_email = _by_email(rules, subjects)
-        by_payload = _by_payload(rules, subjects)
-        by_name = _by_name(rules, subjects)
+        by_email = _by_email(rules, people)
+        by_payload = _by_payload(rules, people)
+        by_name = _by_name(rules, people)
         if by_email is not None:
-            counted.append(_count_emails(df, rules, by_email, case_insensitive))
+            counted.append(_count_emails(df, rules, by_email, side, case_insensitive))
         if by_payload is not None:
             counted.append(_count_payloads(df, rules, by_payload))
         if by_name is not None:
-            counted.append(_count_on(df, _scalar_bindings(rules, False), by_name))
+            counted.append(_count_on(df, _scalar_bindings(rules, False), by_name, side))
     if not counted:
-        return subjects.select("request_id", F.lit(0).cast("long").alias("rows_matched")).limit(0)
+        return people.select("request_id", F.lit(0).cast("long").alias("rows_matched")).limit(0)
     return reduce(DataFrame.unionByName, counted).select(
         "request_id", F.coalesce("rows_matched", F.lit(0)).cast("long").alias("rows_matched")
     )
@@ -227,10 +246,10 @@ def _codes(subjects: DataFrame, fields: list[str]) -> DataFrame:
     return subjects.groupBy(*fields).agg(F.max(_code()).alias("_code"))
 
 
-def _flag_on(df, pairs, subjects, name, lower_email=False) -> DataFrame:
+def _flag_on(df, pairs, subjects, side, name, lower_email=False) -> DataFrame:
     fields = sorted({f for _, f in pairs})
     keys = _prefixed(_codes(subjects, fields), fields).withColumnRenamed("_code", name)
-    joined = df.join(broadcast_if_small(keys), _equal(pairs, lower_email), "left")
+    joined = df.join(side(keys), _equal(pairs, lower_email), "left")
     return joined.drop(*[f"_s_{f}" for f in fields])
 
 
@@ -249,12 +268,13 @@ def _flag_from_hits(df: DataFrame, hits: DataFrame, columns: list[str], name: st
 def flag_rows(
     df: DataFrame,
     rules: TableRules,
-    subjects: DataFrame,
+    subjects: Subjects,
     rule: str = EMAIL_FIRST,
     case_insensitive: bool = False,
 ) -> DataFrame:
     """The table with its erase mode per row; a row several requests match is deleted if any says so."""
     flags: list[str] = []
+    people, side = subjects.frame, subjects.side
 
     def new_flag() -> str:
         flags.append(f"_m{len(flags)}")
@@ -262,34 +282,34 @@ def flag_rows(
 
     columns = df.columns
     if rule == ALL_IDENTIFIERS:
-        asked = _all_subjects(rules, subjects)
+        asked = _all_subjects(rules, people)
         pairs = _scalar_bindings(rules, with_email=True)
         if rules.payloads:
             ids = [*rules.payloads, *[c for c, _ in pairs]]
             if pairs:
                 keys = _prefixed(_codes(asked, ["email", "first", "last", "full"]), ["email", "first", "last", "full"])
                 condition = _equal(pairs, case_insensitive) & _payload_holds_all(rules)
-                hits = df.select(*ids).join(broadcast_if_small(keys), condition)
+                hits = df.select(*ids).join(side(keys), condition)
             else:
                 patterns = asked.groupBy(*_all_patterns(asked)).agg(F.max(_code()).alias("_code"))
                 hits = _search_all(df.select(*ids), rules, patterns)
             df = _flag_from_hits(df, hits, ids, new_flag())
         elif pairs:
-            df = _flag_on(df, pairs, asked, new_flag(), case_insensitive)
+            df = _flag_on(df, pairs, asked, side, new_flag(), case_insensitive)
     else:
-        by_email = _by_email(rules, subjects)
-        by_payload = _by_payload(rules, subjects)
-        by_name = _by_name(rules, subjects)
+        by_email = _by_email(rules, people)
+        by_payload = _by_payload(rules, people)
+        by_name = _by_name(rules, people)
         if by_email is not None:
             for column in rules.emails:
-                df = _flag_on(df, [(column, "email")], by_email, new_flag(), case_insensitive)
+                df = _flag_on(df, [(column, "email")], by_email, side, new_flag(), case_insensitive)
         if by_payload is not None:
             patterns = by_payload.groupBy("needle", "also1").agg(F.max(_code()).alias("_code"))
             texts = list(rules.payloads)
             hits = needles.search(df.select(*texts), texts, needles.prepare(patterns))
             df = _flag_from_hits(df, hits, texts, new_flag())
         if by_name is not None:
-            df = _flag_on(df, _scalar_bindings(rules, False), by_name, new_flag())
+            df = _flag_on(df, _scalar_bindings(rules, False), by_name, side, new_flag())
     found = [F.coalesce(f, F.lit(0)) for f in flags]
     mode = found[0] if len(found) == 1 else F.greatest(*found) if found else F.lit(0)
     return df.select(*columns, mode.alias(MODE))

@@ -2,11 +2,14 @@
 
 A ``contains`` join is a nested loop: every text against every string.  Here
 each searched string (a *needle*) is filed under one short substring of itself,
-its *anchor*, the one that is rarest among all needles.  A text can only
-contain the needle if it contains the anchor, so texts and needles meet by an
-equality join on the text's substrings of anchor length, and the few pairs that
-meet are checked with ``contains``.  The result is exactly that of the nested
-loop.
+its *anchor*.  A text can only contain the needle if it contains the anchor, so
+texts and needles meet by an equality join on the text's substrings of anchor
+length, and the few pairs that meet are checked with ``contains``.  The result
+is exactly that of the nested loop.
+
+Anchors are chosen to be cheap on the text side: shared by few needles, and
+starting with a character texts hold few of (a capital, a digit).  The texts are
+then cut only at characters some anchor starts with.
 
 With a needle set that fits a measured broadcast, the texts are never shuffled:
 scan, cut, probe and check run in one stage.  Otherwise the join shuffles the
@@ -15,29 +18,33 @@ substrings, and adaptive execution splits a hot one.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.session import broadcast_limit
+from palimpsest.session import broadcast_limit, written
 
 ANCHOR_SIZES = (8, 5, 3, 2, 1)
 _AT_SIZE = ANCHOR_SIZES[0]
+# An anchor shared by more needles than this is avoided if the needle has a rarer one.
+_SHARED_BY_FEW = 64
 
 PARTS = ("needle", "also1", "also2")
 
 
-def _windows(text: Column, size: int) -> Column:
-    """Every substring of ``size`` characters (overlapping)."""
-    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
+def _windows(text: Column, size: int, starts: str = "") -> Column:
+    """Every substring of ``size`` characters (overlapping), optionally only at some first characters."""
+    gate = f"(?=[{starts}])" if starts else ""
+    return F.regexp_extract_all(text, F.lit(f"(?s){gate}(?=(.{{{size}}}))"), F.lit(1))
 
 
 def _at_windows(text: Column) -> Column:
     """Only the substrings that hold an ``@``: at most eight per address."""
     reach = _AT_SIZE - 1
     return F.regexp_extract_all(
-        text, F.lit(f"(?s)(?=.{{0,{reach}}}@)(?=(.{{{_AT_SIZE}}}))"), F.lit(1)
+        text, F.lit(f"(?s)(?=[^@]{{0,{reach}}}@)(?=(.{{{_AT_SIZE}}}))"), F.lit(1)
     )
 
 
@@ -50,11 +57,7 @@ def _kind(needle: Column) -> Column:
     return kind
 
 
-def _cut(text: Column, kind: str) -> Column:
-    return _at_windows(text) if kind == "@" else _windows(text, int(kind))
-
-
-def _cut_by_kind(needle: Column, kind: Column) -> Column:
+def _cut_needle(needle: Column, kind: Column) -> Column:
     cut = F.when(kind == "@", _at_windows(needle))
     for width in ANCHOR_SIZES:
         cut = cut.when(kind == str(width), _windows(needle, width))
@@ -67,10 +70,12 @@ class NeedleSet:
 
     ``frame`` has ``needle, also1, also2, anchor`` plus whatever columns the
     caller kept per pattern; a text matches when it contains all non-null parts.
+    ``starts`` maps each kind of window in use to the first characters of its
+    anchors ("" = any).
     """
 
     frame: DataFrame
-    kinds: tuple[str, ...]
+    starts: dict[str, str]
     broadcastable: bool
 
     @property
@@ -81,38 +86,56 @@ class NeedleSet:
 def prepare(patterns: DataFrame) -> NeedleSet:
     """Choose anchors.  ``patterns`` has one row per distinct (needle, also1, also2).
 
-    One small aggregate reads the size of the set and the kinds of windows it
-    needs (at most six), which bounds both the broadcast and the text work.
+    The anchored patterns are written to the scratch folder (they are read at
+    least twice); one aggregate over them reads their size and, per kind of
+    window (at most six), the first characters of the anchors.
     """
     for name in PARTS:
         if name not in patterns.columns:
             patterns = patterns.withColumn(name, F.lit(None).cast("string"))
-    usable = patterns.where(F.length("needle") > 0)
-    usable = usable.withColumn("_kind", _kind(F.col("needle")))
-    width = sum(
-        (F.coalesce(F.octet_length(c), F.lit(0)) for c in PARTS), F.lit(96)
+    columns = patterns.columns
+    grams = (
+        patterns.where(F.length("needle") > 0)
+        .withColumn("_kind", _kind(F.col("needle")))
+        .withColumn("_gram", F.explode(F.array_distinct(_cut_needle(F.col("needle"), F.col("_kind")))))
     )
-    facts = usable.agg(
-        F.sum(width).alias("bytes"), F.sort_array(F.collect_set("_kind")).alias("kinds")
-    ).first()
-
-    grams = usable.select("needle", "_kind").distinct().withColumn(
-        "gram", F.explode(F.array_distinct(_cut_by_kind(F.col("needle"), F.col("_kind"))))
+    spread = grams.groupBy("_gram").agg(F.count(F.lit(1)).alias("_uses"))
+    choice = F.struct(
+        (F.col("_uses") > _SHARED_BY_FEW).alias("crowded"),
+        F.col("_gram").rlike(r"^[\p{Ll}\s]").alias("common_start"),
+        F.col("_uses"),
+        F.col("_gram"),
+    )
+    frame = written(
+        grams.join(spread, "_gram")
+        .groupBy(*columns, "_kind")
+        .agg(F.min(choice).getField("_gram").alias("anchor")),
+        "needles",
     )
-    spread = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("uses"))
-    chosen = (
-        grams.join(spread, "gram")
-        .groupBy("needle")
-        .agg(F.min(F.struct("uses", "gram")).getField("gram").alias("anchor"))
+    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in PARTS), F.lit(96))
+    facts = (
+        frame.groupBy("_kind")
+        .agg(
+            F.sum(width).alias("bytes"),
+            F.array_join(F.sort_array(F.collect_set(F.substring("anchor", 1, 1))), "").alias("starts"),
+        )
+        .collect()
     )
-    frame = usable.drop("_kind").join(chosen, "needle")
     return NeedleSet(
-        frame=frame,
-        kinds=tuple(facts["kinds"] or ()),
-        broadcastable=(facts["bytes"] or 0) <= broadcast_limit(patterns.sparkSession),
+        frame=frame.drop("_kind"),
+        starts={row["_kind"]: row["starts"] for row in facts},
+        broadcastable=sum(row["bytes"] for row in facts) <= broadcast_limit(patterns.sparkSession),
     )
 
 
+def _class_of(characters: str) -> str:
+    return "".join(re.escape(c) if c in r"\[]^-&" or not c.isalnum() else c for c in characters)
+
+
+def _cut_text(text: Column, kind: str, starts: str) -> Column:
+    return _at_windows(text) if kind == "@" else _windows(text, int(kind), _class_of(starts))
+
+
 def _contains_all(text: str) -> Column:
     test = F.contains(F.col(text), F.col("needle"))
     for part in PARTS[1:]:
@@ -122,10 +145,11 @@ def _contains_all(text: str) -> Column:
 
 def search(df: DataFrame, texts: list[str], needles: NeedleSet) -> DataFrame:
     """Rows of ``df`` joined to every pattern one of its ``texts`` contains, once per (row, pattern)."""
-    kinds = needles.kinds
-    if str(_AT_SIZE) in kinds:
-        kinds = tuple(k for k in kinds if k != "@")
-    pieces = [_cut(F.coalesce(F.col(t), F.lit("")), k) for t in texts for k in kinds]
+    pieces = [
+        _cut_text(F.coalesce(F.col(t), F.lit("")), kind, starts)
+        for t in texts
+        for kind, starts in sorted(needles.starts.items())
+    ]
     empty = F.array().cast("array<string>")
     grams = F.array_distinct(F.concat(*pieces)) if pieces else empty
     found = _contains_all(texts[0])

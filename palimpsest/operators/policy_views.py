@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.functions.masking import mask_expr
+from palimpsest.session import inline_table
 
 
 def tags_of_table(column_tags: DataFrame, table: str, tag_key: str = "pii") -> dict[str, str]:
@@ -68,7 +69,7 @@ def tag_inventory(column_tags: DataFrame, tag_key: str = "pii") -> DataFrame:
 def required_tag_values(column_tags: DataFrame, policy_names: Iterable[str], tag_key: str = "pii") -> DataFrame:
     """Values the tag must allow: every policy name and every value in use."""
     spark = column_tags.sparkSession
-    named = spark.createDataFrame([(p,) for p in sorted(policy_names)], "tag_value string")
+    named = inline_table(spark, "tag_value", [(p,) for p in sorted(policy_names)])
     used = column_tags.where(F.col("tag_name") == tag_key).select("tag_value")
     return named.unionByName(used).distinct()
 

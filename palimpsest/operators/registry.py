@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.session import inline_table
+
 # Classifier tags and the PII type each one stands for.
 CLASSIFIER_TYPES = {
     "class.email_address": "email",
@@ -195,7 +197,6 @@ def _rules(table: str, rows: list) -> TableRules:
 
 def role_map(spark, roles: Mapping[tuple[str, str], str]) -> DataFrame:
     """A role map given as a dictionary, as the DataFrame ``build_registry`` takes."""
-    return spark.createDataFrame(
-        [(t, c, r) for (t, c), r in sorted(roles.items())],
-        "table_name string, column_name string, role string",
+    return inline_table(
+        spark, "table_name, column_name, role", [(t, c, r) for (t, c), r in sorted(roles.items())]
     )

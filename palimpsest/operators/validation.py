@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from palimpsest.functions import json_paths
 from palimpsest.functions.masking import ERASED_TOKEN, MASK_TOKEN
 from palimpsest.operators import needles
+from palimpsest.operators.matching import Subjects
 from palimpsest.operators.registry import TableRules
 from palimpsest.session import broadcast_if_small, written
 
@@ -32,11 +33,11 @@ def _union(frames: Iterable[DataFrame]) -> DataFrame:
 # --- no trace --------------------------------------------------------------------
 
 
-def subject_needles(subjects: DataFrame, fields: Iterable[str] = NEEDLE_FIELDS) -> DataFrame:
+def subject_needles(subjects: Subjects, fields: Iterable[str] = NEEDLE_FIELDS) -> DataFrame:
     """``request_id, matched_field, needle`` for every identifier a request has."""
     parts = F.array(*[F.struct(F.lit(f).alias("matched_field"), F.col(f).alias("needle")) for f in fields])
     return (
-        subjects.select("request_id", F.explode(parts).alias("p"))
+        subjects.frame.select("request_id", F.explode(parts).alias("p"))
         .select("request_id", "p.matched_field", "p.needle")
         .where(F.trim("needle") != "")
     )
@@ -46,7 +47,7 @@ def no_trace_scan(
     target: str,
     tables: Mapping[str, DataFrame],
     rules: Mapping[str, TableRules],
-    subjects: DataFrame,
+    subjects: Subjects,
     fields: Iterable[str] = NEEDLE_FIELDS,
 ) -> DataFrame:
     """Rows of each registered column that still contain an identifier of a processed subject.
@@ -54,7 +55,7 @@ def no_trace_scan(
     All columns of all tables are searched for all distinct identifiers in one
     narrow pass; counts are spread back to the requests only afterwards.
     """
-    spark = subjects.sparkSession
+    spark = subjects.frame.sparkSession
     wanted = subject_needles(subjects, fields)
     stacks = []
     for name in sorted(rules):

@@ -323,12 +323,8 @@ def intake_candidates(spark, sf_dir):
 # --- matching and erasure ---------------------------------------------------------------------------
 
 
-def _pending(spark, sf_dir) -> DataFrame:
-    return testdata.request_queue(spark, sf_dir).where("status = 'PENDING'")
-
-
-def _subjects(spark, sf_dir) -> DataFrame:
-    return matching.subjects_of(_pending(spark, sf_dir))
+def _subjects(spark, sf_dir) -> matching.Subjects:
+    return matching.subjects_of(testdata.request_queue(spark, sf_dir).where("status = 'PENDING'"))
 
 
 def _rules(spark, scope="customer"):
@@ -337,7 +333,7 @@ def _rules(spark, scope="customer"):
 
 def _audit(spark, sf_dir, **options) -> DataFrame:
     return erasure.audit(
-        "crm.people", testdata.erasure_tables(spark, sf_dir), _rules(spark), _pending(spark, sf_dir), **options
+        "crm.people", testdata.erasure_tables(spark, sf_dir), _rules(spark), _subjects(spark, sf_dir), **options
     )
 
 
@@ -354,7 +350,7 @@ def match_all_identifiers(spark, sf_dir):
 @query
 def match_rule_diff(spark, sf_dir):
     return erasure.compare_rules(
-        testdata.erasure_tables(spark, sf_dir), _rules(spark), _pending(spark, sf_dir)
+        testdata.erasure_tables(spark, sf_dir), _rules(spark), _subjects(spark, sf_dir)
     )
 
 
@@ -455,7 +451,7 @@ def erase_verdict(spark, sf_dir):
 
 @query
 def queue_scrub_complete(spark, sf_dir):
-    return erasure.scrub_queue(testdata.request_queue(spark, sf_dir), _subjects(spark, sf_dir))
+    return erasure.scrub_queue(testdata.request_queue(spark, sf_dir), _subjects(spark, sf_dir).frame)
 
 
 @query

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from palimpsest.functions.masking import DEFAULT_POLICIES
 from palimpsest.operators.policy_views import apply_policies, materialize_masked
 from palimpsest.plans import testdata
-from palimpsest.session import scratch_dir, written
+from palimpsest.session import scratch_dir, spread, written
 from palimpsest.sources import landing, paths
 from palimpsest.streaming.medallion import Erasure, Lakehouse
 
@@ -37,7 +37,7 @@ def hits_variants(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     def build() -> dict[str, DataFrame]:
         path = scratch_dir(spark, "hits")
-        testdata.hits(spark, sf_dir).write.parquet(f"{path}/baseline")
+        spread(testdata.hits(spark, sf_dir)).write.parquet(f"{path}/baseline")
         baseline = spark.read.parquet(f"{path}/baseline")
         return {
             "baseline": baseline,

@@ -70,6 +70,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core when a small input came as fewer partitions than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _row_bytes(df: DataFrame):
     width = F.lit(16)
     for field in df.schema.fields:
@@ -93,3 +99,15 @@ def fits_broadcast(df: DataFrame) -> bool:
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """Broadcast hint when the measured size allows it; otherwise a plain (shuffled) join side."""
     return F.broadcast(df) if fits_broadcast(df) else df
+
+
+def inline_table(spark: SparkSession, names: str, rows: list[tuple]) -> DataFrame:
+    """A few constant rows as a relation the optimizer knows to be small."""
+    if not rows:
+        raise ValueError("an inline table needs at least one row")
+    columns = [name.strip() for name in names.split(",")]
+    cells = [
+        F.struct(*[F.lit(value).alias(column) for column, value in zip(columns, row, strict=True)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*cells)))
