@@ -147,10 +147,8 @@ def masked_field(col: Column | str, path: str, policy: Mapping, **options) -> Co
     if policy.get("regex") or leaf in (policy.get("keys") or ()) or leaf in ("", "$", "*"):
         return exact
     raw = F.get_json_object(source, path)
-    suspicious = F.contains(source, F.lit("\\"))
-    for mark in ("?", "&", '"', "{", "["):
-        suspicious = suspicious | F.contains(raw, F.lit(mark))
-    return F.when(~suspicious, raw).when(raw.isNull() & ~F.contains(source, F.lit("\\")), raw).otherwise(exact)
+    harmless = F.get(F.regexp_extract_all(raw, F.lit(r'(?s)^[^?&"{\[]+$'), F.lit(0)), F.lit(0))
+    return F.when(F.contains(source, F.lit("\\")), exact).otherwise(F.coalesce(harmless, exact))
 
 
 def _sql_quote(text: str) -> str:

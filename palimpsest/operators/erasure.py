@@ -83,7 +83,7 @@ def audit(
     done = F.lit("dry_run") if dry_run else F.when(F.col("request_type") == "DELETE", "deleted").otherwise("obfuscated")
     return (
         _union(parts)
-        .join(subjects.frame.select("request_id", "email", "request_type"), "request_id")
+        .join(subjects.side(subjects.frame.select("request_id", "email", "request_type")), "request_id")
         .select(
             F.lit(target).alias("target"),
             "request_id",

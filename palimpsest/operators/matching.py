@@ -138,7 +138,7 @@ def _count_on(df, pairs, subjects, side, extra: Column | None = None, lower_emai
         .agg(F.count(F.lit(1)).alias("rows_matched"))
     )
     renamed = hits.withColumnsRenamed({f"_s_{f}": f for f in fields})
-    return subjects.join(renamed, fields, "left").select("request_id", "rows_matched")
+    return subjects.join(side(renamed), fields, "left").select("request_id", "rows_matched")
 
 
 def _count_emails(df, rules, subjects, side, case_insensitive) -> DataFrame:
@@ -149,10 +149,10 @@ def _count_emails(df, rules, subjects, side, case_insensitive) -> DataFrame:
         values = df.select(F.explode(F.array_distinct(F.array(*columns))).alias("email"))
     keys = side(subjects.select("email").distinct())
     hits = values.join(keys, "email").groupBy("email").agg(F.count(F.lit(1)).alias("rows_matched"))
-    return subjects.join(hits, "email", "left").select("request_id", "rows_matched")
+    return subjects.join(side(hits), "email", "left").select("request_id", "rows_matched")
 
 
-def _count_payloads(df, rules, asked) -> DataFrame:
+def _count_payloads(df, rules, asked, side) -> DataFrame:
     patterns = needles.prepare(asked.select("needle", "also1").distinct())
     hits = (
         needles.search(df.select(*rules.payloads), list(rules.payloads), patterns)
@@ -161,7 +161,7 @@ def _count_payloads(df, rules, asked) -> DataFrame:
         .withColumnsRenamed({"needle": "_n", "also1": "_a"})
     )
     same = (F.col("needle") == F.col("_n")) & F.col("also1").eqNullSafe(F.col("_a"))
-    return asked.join(hits, same, "left").select("request_id", "rows_matched")
+    return asked.join(side(hits), same, "left").select("request_id", "rows_matched")
 
 
 def _all_subjects(rules: TableRules, subjects: DataFrame) -> DataFrame:
@@ -220,7 +220,7 @@ def match_counts(
                     .agg(F.count(F.lit(1)).alias("rows_matched"))
                 )
                 counted.append(
-                    keys.join(hits, list(needles.PARTS), "left").select("request_id", "rows_matched")
+                    keys.join(side(hits), list(needles.PARTS), "left").select("request_id", "rows_matched")
                 )
     else:
         by_email = _by_email(rules, people)
@@ -229,7 +229,7 @@ def match_counts(
         if by_email is not None:
             counted.append(_count_emails(df, rules, by_email, side, case_insensitive))
         if by_payload is not None:
-            counted.append(_count_payloads(df, rules, by_payload))
+            counted.append(_count_payloads(df, rules, by_payload, side))
         if by_name is not None:
             counted.append(_count_on(df, _scalar_bindings(rules, False), by_name, side))
     if not counted:

@@ -1,15 +1,17 @@
 """Find many short strings in many texts without comparing every pair.
 
 A ``contains`` join is a nested loop: every text against every string.  Here
-each searched string (a *needle*) is filed under one short substring of itself,
-its *anchor*.  A text can only contain the needle if it contains the anchor, so
-texts and needles meet by an equality join on the text's substrings of anchor
-length, and the few pairs that meet are checked with ``contains``.  The result
-is exactly that of the nested loop.
-
-Anchors are chosen to be cheap on the text side: shared by few needles, and
-starting with a character texts hold few of (a capital, a digit).  The texts are
-then cut only at characters some anchor starts with.
+each searched string (a *needle*) is filed under one substring of itself, its
+*anchor*.  A text can only contain the needle if it contains the anchor, so texts
+and needles meet by an equality join on substrings of the text, and the few
+pairs that meet are checked with ``contains``.  The result is exactly that of
+the nested loop.
+
+Anchors are chosen so that a text is cut in few places.  An address is filed
+under the characters around its ``@``, and texts are cut only around theirs.
+Any other needle is filed under a window that few needles share and that starts
+with a character texts hold few of (a capital, a digit); texts are cut only at
+characters some anchor starts with.
 
 With a needle set that fits a measured broadcast, the texts are never shuffled:
 scan, cut, probe and check run in one stage.  Otherwise the join shuffles the
@@ -18,7 +20,6 @@ substrings, and adaptive execution splits a hot one.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -26,42 +27,38 @@ from pyspark.sql import functions as F
 
 from palimpsest.session import broadcast_limit, written
 
-ANCHOR_SIZES = (8, 5, 3, 2, 1)
-_AT_SIZE = ANCHOR_SIZES[0]
-# An anchor shared by more needles than this is avoided if the needle has a rarer one.
+# Window sizes for needles without an address.
+WINDOW_SIZES = (8, 5, 3, 2, 1)
+# Characters up to and including the @, and characters after it.
+BEFORE_AT = (13, 9, 7, 5, 4, 3, 2, 1)
+AFTER_AT = (8, 4, 0)
+# A window shared by more needles than this is avoided if the needle has a rarer one.
 _SHARED_BY_FEW = 64
 
 PARTS = ("needle", "also1", "also2")
 
 
-def _windows(text: Column, size: int, starts: str = "") -> Column:
-    """Every substring of ``size`` characters (overlapping), optionally only at some first characters."""
-    gate = f"(?=[{starts}])" if starts else ""
-    return F.regexp_extract_all(text, F.lit(f"(?s){gate}(?=(.{{{size}}}))"), F.lit(1))
-
+def _windows(text: Column, trigger: str, reach: int, size: int) -> Column:
+    """The windows of ``size`` characters whose ``reach``-th character is a ``trigger`` (a regex for one character).
 
-def _at_windows(text: Column) -> Column:
-    """Only the substrings that hold an ``@``: at most eight per address."""
-    reach = _AT_SIZE - 1
+    Only the trigger is consumed, so the scan runs from trigger to trigger and
+    overlapping windows are all found; the window itself is captured by looking
+    ahead from ``reach`` characters back.
+    """
     return F.regexp_extract_all(
-        text, F.lit(f"(?s)(?=[^@]{{0,{reach}}}@)(?=(.{{{_AT_SIZE}}}))"), F.lit(1)
+        text, F.lit(f"(?s){trigger}(?<=(?=(.{{{size}}})).{{{reach}}})"), F.lit(1)
     )
 
 
-def _kind(needle: Column) -> Column:
-    """Which substrings of a text can hold the needle's anchor: ``@``, or a window size."""
-    size = F.char_length(needle)
-    kind = F.when((size >= _AT_SIZE) & F.contains(needle, F.lit("@")), "@")
-    for width in ANCHOR_SIZES:
-        kind = kind.when(size >= width, str(width))
-    return kind
+def _largest(sizes: tuple[int, ...], limit: Column) -> Column:
+    return F.coalesce(*[F.when(limit >= size, size) for size in sizes])
 
 
-def _cut_needle(needle: Column, kind: Column) -> Column:
-    cut = F.when(kind == "@", _at_windows(needle))
-    for width in ANCHOR_SIZES:
-        cut = cut.when(kind == str(width), _windows(needle, width))
-    return cut
+def _class_of(characters: str) -> str:
+    """A regex class of the given characters; all of them if none are given."""
+    if not characters:
+        return "."
+    return "[" + "".join(c if c.isalnum() else f"\\{c}" for c in characters) + "]"
 
 
 @dataclass(frozen=True)
@@ -70,12 +67,11 @@ class NeedleSet:
 
     ``frame`` has ``needle, also1, also2, anchor`` plus whatever columns the
     caller kept per pattern; a text matches when it contains all non-null parts.
-    ``starts`` maps each kind of window in use to the first characters of its
-    anchors ("" = any).
+    ``cuts`` lists the windows a text is cut into: trigger, reach and size.
     """
 
     frame: DataFrame
-    starts: dict[str, str]
+    cuts: tuple[tuple[str, int, int], ...]
     broadcastable: bool
 
     @property
@@ -87,55 +83,72 @@ def prepare(patterns: DataFrame) -> NeedleSet:
     """Choose anchors.  ``patterns`` has one row per distinct (needle, also1, also2).
 
     The anchored patterns are written to the scratch folder (they are read at
-    least twice); one aggregate over them reads their size and, per kind of
-    window (at most six), the first characters of the anchors.
+    least twice); one aggregate over them reads their size and the kinds of
+    windows in use, of which there are only so many.
     """
     for name in PARTS:
         if name not in patterns.columns:
             patterns = patterns.withColumn(name, F.lit(None).cast("string"))
     columns = patterns.columns
-    grams = (
-        patterns.where(F.length("needle") > 0)
-        .withColumn("_kind", _kind(F.col("needle")))
-        .withColumn("_gram", F.explode(F.array_distinct(_cut_needle(F.col("needle"), F.col("_kind")))))
+    size = F.char_length("needle")
+    at = F.instr("needle", "@")
+    sized = patterns.where(size > 0)
+
+    reach = _largest(BEFORE_AT, at)
+    addresses = sized.where(at > 0).select(
+        *columns,
+        reach.alias("_reach"),
+        (reach + _largest(AFTER_AT, size - at)).alias("_size"),
+        at.alias("_at"),
+    )
+    addresses = addresses.select(
+        *columns,
+        "_reach",
+        "_size",
+        F.expr("substring(needle, _at - _reach + 1, _size)").alias("anchor"),
+        F.lit("@").alias("_start"),
+    )
+
+    windows = F.coalesce(
+        *[F.when(F.col("_size") == w, _windows(F.col("needle"), ".", 1, w)) for w in WINDOW_SIZES]
     )
-    spread = grams.groupBy("_gram").agg(F.count(F.lit(1)).alias("_uses"))
+    cut = (
+        sized.where(at == 0)
+        .withColumn("_size", _largest(WINDOW_SIZES, size))
+        .withColumn("anchor", F.explode(F.array_distinct(windows)))
+    )
+    uses = cut.groupBy("anchor").agg(F.count(F.lit(1)).alias("_uses"))
     choice = F.struct(
         (F.col("_uses") > _SHARED_BY_FEW).alias("crowded"),
-        F.col("_gram").rlike(r"^[\p{Ll}\s]").alias("common_start"),
+        F.col("anchor").rlike(r"^[\p{Ll}\s]").alias("common_start"),
         F.col("_uses"),
-        F.col("_gram"),
+        F.col("anchor"),
     )
-    frame = written(
-        grams.join(spread, "_gram")
-        .groupBy(*columns, "_kind")
-        .agg(F.min(choice).getField("_gram").alias("anchor")),
-        "needles",
+    others = (
+        cut.join(uses, "anchor")
+        .groupBy(*columns, "_size")
+        .agg(F.min(choice).getField("anchor").alias("anchor"))
+        .select(*columns, F.lit(1).alias("_reach"), "_size", "anchor", F.substring("anchor", 1, 1).alias("_start"))
     )
+
+    frame = written(addresses.unionByName(others), "needles")
     width = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in PARTS), F.lit(96))
-    facts = (
-        frame.groupBy("_kind")
+    kinds = (
+        frame.groupBy((F.col("_start") == "@").alias("address"), "_reach", "_size")
         .agg(
             F.sum(width).alias("bytes"),
-            F.array_join(F.sort_array(F.collect_set(F.substring("anchor", 1, 1))), "").alias("starts"),
+            F.array_join(F.sort_array(F.collect_set("_start")), "").alias("starts"),
         )
+        .orderBy("address", "_reach", "_size")
         .collect()
     )
     return NeedleSet(
-        frame=frame.drop("_kind"),
-        starts={row["_kind"]: row["starts"] for row in facts},
-        broadcastable=sum(row["bytes"] for row in facts) <= broadcast_limit(patterns.sparkSession),
+        frame=frame.drop("_reach", "_size", "_start"),
+        cuts=tuple(("@" if k["address"] else _class_of(k["starts"]), k["_reach"], k["_size"]) for k in kinds),
+        broadcastable=sum(k["bytes"] for k in kinds) <= broadcast_limit(patterns.sparkSession),
     )
 
 
-def _class_of(characters: str) -> str:
-    return "".join(re.escape(c) if c in r"\[]^-&" or not c.isalnum() else c for c in characters)
-
-
-def _cut_text(text: Column, kind: str, starts: str) -> Column:
-    return _at_windows(text) if kind == "@" else _windows(text, int(kind), _class_of(starts))
-
-
 def _contains_all(text: str) -> Column:
     test = F.contains(F.col(text), F.col("needle"))
     for part in PARTS[1:]:
@@ -145,11 +158,7 @@ def _contains_all(text: str) -> Column:
 
 def search(df: DataFrame, texts: list[str], needles: NeedleSet) -> DataFrame:
     """Rows of ``df`` joined to every pattern one of its ``texts`` contains, once per (row, pattern)."""
-    pieces = [
-        _cut_text(F.coalesce(F.col(t), F.lit("")), kind, starts)
-        for t in texts
-        for kind, starts in sorted(needles.starts.items())
-    ]
+    pieces = [_windows(F.coalesce(F.col(t), F.lit("")), *cut) for t in texts for cut in needles.cuts]
     empty = F.array().cast("array<string>")
     grams = F.array_distinct(F.concat(*pieces)) if pieces else empty
     found = _contains_all(texts[0])
