@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,7 @@ from palimpsest.session import broadcast_if_small, scratch_dir
 from palimpsest.sources import paths
 
 FILES_PER_WAVE = 5000
+RENAME_THREADS = 16
 _FILE = "_file"
 _SLOT = "_slot"
 
@@ -57,6 +59,20 @@ def affected_files(records: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     )
 
 
+def _put_back(spark: SparkSession, staging: str, uri: str) -> str:
+    """Replace one source file by its staged version, or delete it if nothing was left of it."""
+    path = unquote(uri)
+    folder = paths.below(staging, f"{_SLOT}={_slot_of(uri)}")
+    parts = [p for p in paths.children(spark, folder) if paths.name_of(p).startswith("part-")]
+    if len(parts) > 1:
+        raise RuntimeError(f"{path} was staged as {len(parts)} files")
+    if not parts:
+        paths.delete(spark, path)
+        return "removed"
+    paths.replace(spark, parts[0], path)
+    return "rewritten"
+
+
 def rewrite_files(
     spark: SparkSession,
     files: DataFrame,
@@ -79,18 +95,9 @@ def rewrite_files(
         rows = read([unquote(uri) for uri in wave]).withColumn(_FILE, F.col("_metadata.file_path"))
         changed = change(rows).withColumn(_SLOT, F.sha1(_FILE)).drop(_FILE)
         changed.repartition(len(wave), _SLOT).write.partitionBy(_SLOT).format(fmt).save(staging)
-        for uri in wave:
-            path = unquote(uri)
-            folder = paths.below(staging, f"{_SLOT}={_slot_of(uri)}")
-            parts = [p for p in paths.children(spark, folder) if paths.name_of(p).startswith("part-")]
-            if len(parts) > 1:
-                raise RuntimeError(f"{path} was staged as {len(parts)} files")
-            if parts:
-                paths.replace(spark, parts[0], path)
-                done["rewritten"] += 1
-            else:
-                paths.delete(spark, path)
-                done["removed"] += 1
+        with ThreadPoolExecutor(RENAME_THREADS) as pool:
+            for outcome in pool.map(lambda uri: _put_back(spark, staging, uri), wave):
+                done[outcome] += 1
         paths.delete(spark, staging)
     return done
 
