@@ -30,6 +30,7 @@ from palimpsest.operators import (
     validation,
 )
 from palimpsest.plans import scenarios, testdata
+from palimpsest.session import written
 from palimpsest.sources import landing
 from palimpsest.streaming import medallion
 
@@ -58,7 +59,7 @@ DOCUMENT_PATTERNS = [
 
 
 def _masked_both(spark: SparkSession, sf_dir: str, strategy: str) -> DataFrame:
-    return testdata.hits(spark, sf_dir).select(
+    return scenarios.hits(spark, sf_dir).select(
         "hit_id",
         mask_expr("hit_payload", {**HIT_POLICY, "strategy": strategy}).alias("hit_payload"),
         mask_expr("user_payload", {**USER_POLICY, "strategy": strategy}).alias("user_payload"),
@@ -115,13 +116,13 @@ def mask_pages_html(spark, sf_dir):
 
 @query
 def mask_policy_dynamic(spark, sf_dir):
-    return policy_views.apply_policies(testdata.hits(spark, sf_dir), testdata.HIT_TAGS, DEFAULT_POLICIES)
+    return policy_views.apply_policies(scenarios.hits(spark, sf_dir), testdata.HIT_TAGS, DEFAULT_POLICIES)
 
 
 @query
 def mask_policy_exempt(spark, sf_dir):
     return policy_views.apply_policies(
-        testdata.hits(spark, sf_dir),
+        scenarios.hits(spark, sf_dir),
         testdata.HIT_TAGS,
         DEFAULT_POLICIES,
         principal_groups=["analysts", "privacy_office"],
@@ -132,7 +133,7 @@ def mask_policy_exempt(spark, sf_dir):
 @query
 def mask_sql_function(spark, sf_dir):
     register_mask_functions(spark, DEFAULT_POLICIES)
-    testdata.hits(spark, sf_dir).createOrReplaceTempView("hits_for_sql_masks")
+    scenarios.hits(spark, sf_dir).createOrReplaceTempView("hits_for_sql_masks")
     return spark.sql(
         "SELECT hit_id, mask_pii_name(hit_payload) AS hit_payload, "
         "mask_pii_email(user_payload) AS user_payload FROM hits_for_sql_masks"
@@ -148,13 +149,13 @@ def mask_materialized(spark, sf_dir):
 def mask_hash_batch(spark, sf_dir):
     schema = "contact struct<email: string, phone: string>, loyalty struct<tier: string, points: int>"
     hashed = hash_json_field("user_payload", schema, ["contact", "email"])
-    return testdata.hits(spark, sf_dir).select("hit_id", hashed.alias("user_payload"))
+    return scenarios.hits(spark, sf_dir).select("hit_id", hashed.alias("user_payload"))
 
 
 @query
 def mask_variant_fields(spark, sf_dir):
     masked = mask_variant(F.try_parse_json("user_payload"), USER_POLICY)
-    return testdata.hits(spark, sf_dir).select("hit_id", masked.alias("v")).select(
+    return scenarios.hits(spark, sf_dir).select("hit_id", masked.alias("v")).select(
         "hit_id",
         F.try_variant_get("v", "$.contact.email", "string").alias("email"),
         F.try_variant_get("v", "$.contact.phone", "string").alias("phone"),
@@ -173,7 +174,7 @@ def mask_before_after(spark, sf_dir):
         "email": both("user_payload", "$.contact.email", USER_POLICY),
         "phone": both("user_payload", "$.contact.phone", USER_POLICY),
     }
-    return policy_views.before_after(testdata.hits(spark, sf_dir), fields, "hit_id")
+    return policy_views.before_after(scenarios.hits(spark, sf_dir), fields, "hit_id")
 
 
 @query
@@ -182,7 +183,7 @@ def mask_full_document(spark, sf_dir):
         "hit": (F.col("hit_payload"), mask_expr("hit_payload", HIT_POLICY)),
         "user": (F.col("user_payload"), mask_expr("user_payload", USER_POLICY)),
     }
-    return policy_views.before_after(testdata.hits(spark, sf_dir), fields, "hit_id", rows=1)
+    return policy_views.before_after(scenarios.hits(spark, sf_dir), fields, "hit_id", rows=1)
 
 
 @query
@@ -192,14 +193,14 @@ def mask_validation_counts(spark, sf_dir):
 
 @query
 def mask_structure_diff(spark, sf_dir):
-    hits = testdata.hits(spark, sf_dir)
+    hits = scenarios.hits(spark, sf_dir)
     both = hits.select("hit_payload", mask_expr("hit_payload", HIT_POLICY).alias("masked"))
     return validation.structure_changes(both, "hit_payload", "masked")
 
 
 @query
 def json_path_profile(spark, sf_dir):
-    return discovery.path_profile(testdata.hits(spark, sf_dir), "hit_payload")
+    return discovery.path_profile(scenarios.hits(spark, sf_dir), "hit_payload")
 
 
 @query
@@ -209,7 +210,7 @@ def json_path_profile_events(spark, sf_dir):
 
 @query
 def json_path_proposals(spark, sf_dir):
-    return discovery.propose_paths(discovery.path_profile(testdata.hits(spark, sf_dir), "user_payload"))
+    return discovery.propose_paths(discovery.path_profile(scenarios.hits(spark, sf_dir), "user_payload"))
 
 
 # --- tags and registry ----------------------------------------------------------------------
@@ -283,23 +284,23 @@ def intake_dropped(spark, sf_dir):
 def intake_upsert(spark, sf_dir):
     today = F.lit("2026-07-30").cast("date")
     return intake.upsert_requests(
-        testdata.request_queue(spark, sf_dir), intake.actionable(_mapped(spark, sf_dir)), today=today
+        scenarios.request_queue(spark, sf_dir), intake.actionable(_mapped(spark, sf_dir)), today=today
     )
 
 
 @query
 def intake_status(spark, sf_dir):
-    return intake.queue_by_status(testdata.request_queue(spark, sf_dir))
+    return intake.queue_by_status(scenarios.request_queue(spark, sf_dir))
 
 
 @query
 def intake_status_type(spark, sf_dir):
-    return intake.queue_by_status(testdata.request_queue(spark, sf_dir), "request_type")
+    return intake.queue_by_status(scenarios.request_queue(spark, sf_dir), "request_type")
 
 
 @query
 def intake_pending(spark, sf_dir):
-    return intake.pending(testdata.request_queue(spark, sf_dir))
+    return intake.pending(scenarios.request_queue(spark, sf_dir))
 
 
 @query
@@ -310,13 +311,13 @@ def intake_number_requests(spark, sf_dir):
 
 @query
 def intake_next_number(spark, sf_dir):
-    return intake.next_request_number(testdata.request_queue(spark, sf_dir))
+    return intake.next_request_number(scenarios.request_queue(spark, sf_dir))
 
 
 @query
 def intake_candidates(spark, sf_dir):
     return intake.candidate_subjects(
-        testdata.raw_events(spark, sf_dir), testdata.request_queue(spark, sf_dir), 10, ERASED_TOKEN
+        scenarios.raw_events(spark, sf_dir), scenarios.request_queue(spark, sf_dir), 10, ERASED_TOKEN
     )
 
 
@@ -324,16 +325,16 @@ def intake_candidates(spark, sf_dir):
 
 
 def _subjects(spark, sf_dir) -> matching.Subjects:
-    return matching.subjects_of(testdata.request_queue(spark, sf_dir).where("status = 'PENDING'"))
+    return matching.subjects_of(scenarios.request_queue(spark, sf_dir).where("status = 'PENDING'"))
 
 
 def _rules(spark, scope="customer"):
-    return registry.rules_by_table(testdata.registry(spark), scope)
+    return scenarios.rules(spark, scope)
 
 
 def _audit(spark, sf_dir, **options) -> DataFrame:
     return erasure.audit(
-        "crm.people", testdata.erasure_tables(spark, sf_dir), _rules(spark), _subjects(spark, sf_dir), **options
+        "crm.people", scenarios.erasure_tables(spark, sf_dir), _rules(spark), _subjects(spark, sf_dir), **options
     )
 
 
@@ -350,7 +351,7 @@ def match_all_identifiers(spark, sf_dir):
 @query
 def match_rule_diff(spark, sf_dir):
     return erasure.compare_rules(
-        testdata.erasure_tables(spark, sf_dir), _rules(spark), _subjects(spark, sf_dir)
+        scenarios.erasure_tables(spark, sf_dir), _rules(spark), _subjects(spark, sf_dir)
     )
 
 
@@ -358,7 +359,7 @@ def match_rule_diff(spark, sf_dir):
 def match_payload_orders(spark, sf_dir):
     """Email-in-payload matching on the larger hit table."""
     rules = registry.TableRules("hits", payloads=("hit_payload", "user_payload"))
-    return matching.match_counts(testdata.hits(spark, sf_dir), rules, _subjects(spark, sf_dir))
+    return matching.match_counts(scenarios.hits(spark, sf_dir), rules, _subjects(spark, sf_dir))
 
 
 @query
@@ -374,7 +375,7 @@ def erase_dry_run(spark, sf_dir):
 def _erased(spark, sf_dir, table, rule=matching.EMAIL_FIRST) -> DataFrame:
     rules = _rules(spark, "all")[table]
     return erasure.erase_table(
-        testdata.erasure_tables(spark, sf_dir)[table], rules, _subjects(spark, sf_dir), rule=rule
+        scenarios.erasure_tables(spark, sf_dir)[table], rules, _subjects(spark, sf_dir), rule=rule
     )
 
 
@@ -414,8 +415,8 @@ def erase_hits_all_match(spark, sf_dir):
 
 
 def _run(spark, sf_dir, dry_run=False) -> erasure.RunResult:
-    tables, reg = testdata.erasure_tables(spark, sf_dir), testdata.registry(spark)
-    queue = testdata.request_queue(spark, sf_dir)
+    tables, reg = scenarios.erasure_tables(spark, sf_dir), testdata.registry(spark)
+    queue = scenarios.request_queue(spark, sf_dir)
     crm = reg.where(F.col("table_name").isin("customer_profile", "contact_email_only"))
     ops = reg.where(F.col("table_name").isin("booking", "loyalty_split", "app_hits_json", "employee_crew"))
     staff = reg.where(F.col("table_name") == "employee_crew")
@@ -426,7 +427,13 @@ def _run(spark, sf_dir, dry_run=False) -> erasure.RunResult:
         erasure.Target("lab.blank", tables, reg.limit(0)),
         erasure.Target("lab.absent", tables, None),
     ]
-    return erasure.run_targets(spark, targets, dry_run=dry_run, central_requests=queue)
+    return erasure.run_targets(
+        spark,
+        targets,
+        dry_run=dry_run,
+        central_requests=queue,
+        publish=lambda target, table, erased: written(erased, f"published-{table}"),
+    )
 
 
 @query
@@ -451,19 +458,19 @@ def erase_verdict(spark, sf_dir):
 
 @query
 def queue_scrub_complete(spark, sf_dir):
-    return erasure.scrub_queue(testdata.request_queue(spark, sf_dir), _subjects(spark, sf_dir).frame)
+    return erasure.scrub_queue(scenarios.request_queue(spark, sf_dir), _subjects(spark, sf_dir).frame)
 
 
 @query
 def queue_complete_by_id(spark, sf_dir):
-    queue = testdata.request_queue(spark, sf_dir)
+    queue = scenarios.request_queue(spark, sf_dir)
     return erasure.complete_requests(queue, queue.where("status = 'PENDING' and request_type = 'DELETE'"))
 
 
 @query
 def no_trace_scan_before(spark, sf_dir):
     return validation.no_trace_scan(
-        "crm.people", testdata.erasure_tables(spark, sf_dir), _rules(spark), _subjects(spark, sf_dir)
+        "crm.people", scenarios.erasure_tables(spark, sf_dir), _rules(spark), _subjects(spark, sf_dir)
     )
 
 
@@ -476,7 +483,7 @@ def no_trace_scan_after(spark, sf_dir):
 def neighbours_untouched(spark, sf_dir):
     """Changed or vanished rows that no request matched: there must be none."""
     rules = _rules(spark)["customer_profile"]
-    before = testdata.erasure_tables(spark, sf_dir)["customer_profile"]
+    before = scenarios.erasure_tables(spark, sf_dir)["customer_profile"]
     flagged = matching.flag_rows(before, rules, _subjects(spark, sf_dir))
     after = erasure.apply_erasure(flagged, rules)
     hit = flagged.where(F.col(matching.MODE) > 0).select("customer_id", F.lit(1).alias("_hit"))
@@ -500,14 +507,14 @@ def purge_no_bytes(spark, sf_dir):
 
 
 def _layers(spark, sf_dir) -> dict[str, DataFrame]:
-    raw = testdata.raw_events(spark, sf_dir).drop("event_type")
+    raw = scenarios.raw_events(spark, sf_dir).drop("event_type")
     bronze = medallion.bronze_of(raw)
     return {"raw": raw, "bronze": bronze, "silver": medallion.silver_of(bronze).drop("_silver_ts")}
 
 
 def _resolved(spark, sf_dir) -> DataFrame:
     return matching.resolve_subject_keys(
-        testdata.raw_events(spark, sf_dir), testdata.layer_requests(spark, sf_dir)
+        scenarios.raw_events(spark, sf_dir), scenarios.layer_requests(spark, sf_dir)
     )
 
 
@@ -548,19 +555,19 @@ def erase_layer_counts(spark, sf_dir):
 @query
 def no_trace_matrix(spark, sf_dir):
     layers = {**_layers(spark, sf_dir), "file": _erased_layers(spark, sf_dir)["raw"]}
-    return validation.cleartext_matrix(testdata.layer_requests(spark, sf_dir), layers)
+    return validation.cleartext_matrix(scenarios.layer_requests(spark, sf_dir), layers)
 
 
 @query
 def delete_proof(spark, sf_dir):
     layers = _erased_layers(spark, sf_dir)
-    return validation.erasure_proof(testdata.layer_requests(spark, sf_dir), layers, "DELETE")
+    return validation.erasure_proof(scenarios.layer_requests(spark, sf_dir), layers, "DELETE")
 
 
 @query
 def obfuscate_proof(spark, sf_dir):
     layers = {"raw": _erased_layers(spark, sf_dir)["raw"], "untouched": _layers(spark, sf_dir)["bronze"]}
-    return validation.erasure_proof(testdata.layer_requests(spark, sf_dir), layers, "OBFUSCATE", "cleartext")
+    return validation.erasure_proof(scenarios.layer_requests(spark, sf_dir), layers, "OBFUSCATE", "cleartext")
 
 
 @query
@@ -576,7 +583,7 @@ def masked_row_sample(spark, sf_dir):
 @query
 def requested_cleartext(spark, sf_dir):
     return validation.requested_cleartext(
-        testdata.layer_requests(spark, sf_dir), _layers(spark, sf_dir)["silver"]
+        scenarios.layer_requests(spark, sf_dir), _layers(spark, sf_dir)["silver"]
     )
 
 
@@ -600,7 +607,7 @@ def layer_counts(spark, sf_dir):
 def queue_snapshot(spark, sf_dir):
     layers = _layers(spark, sf_dir)
     return validation.queue_snapshot(
-        layers["raw"], medallion.gold_lifetime(layers["silver"]), testdata.request_queue(spark, sf_dir)
+        layers["raw"], medallion.gold_lifetime(layers["silver"]), scenarios.request_queue(spark, sf_dir)
     )
 
 

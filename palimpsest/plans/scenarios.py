@@ -1,7 +1,8 @@
 """Runs that have to write something before they can be queried.
 
 A scenario is built once per application and data folder, below the shared
-scratch folder, and then read by several queries.
+scratch folder, and then read by several queries: first of all the tables of
+the data model, derived from the given ones.
 """
 
 from __future__ import annotations
@@ -13,22 +14,59 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.functions.masking import DEFAULT_POLICIES
+from palimpsest.operators import erasure, matching, validation
 from palimpsest.operators.policy_views import apply_policies, materialize_masked
+from palimpsest.operators.registry import rules_by_table
 from palimpsest.plans import testdata
-from palimpsest.session import scratch_dir, spread, written
+from palimpsest.session import scratch_dir, scratch_epoch, spread, written
 from palimpsest.sources import landing, paths
+from palimpsest.sources.rewrite import replace_table
 from palimpsest.streaming.medallion import Erasure, Lakehouse
 
 _built: dict[tuple, object] = {}
 
 
 def once(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], object]):
-    key = (spark.sparkContext.applicationId, name, sf_dir)
+    key = (scratch_epoch(spark), name, sf_dir)
     if key not in _built:
         _built[key] = build()
     return _built[key]
 
 
+# --- the data model as stored tables ---------------------------------------------------
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, derive: Callable[[], DataFrame]) -> DataFrame:
+    """A derived table, written once and then scanned like any table."""
+    return once(spark, f"table-{name}", sf_dir, lambda: written(spread(derive()), name))
+
+
+def erasure_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    derived = testdata.erasure_tables(spark, sf_dir)
+    return {name: stored(spark, sf_dir, name, lambda n=name: derived[n]) for name in derived}
+
+
+def request_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "queue", lambda: testdata.request_queue(spark, sf_dir))
+
+
+def layer_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "layer_requests", lambda: testdata.layer_requests(spark, sf_dir))
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "raw_events", lambda: testdata.raw_events(spark, sf_dir))
+
+
+def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hits_variants(spark, sf_dir)["baseline"]
+
+
+def rules(spark: SparkSession, scope: str = "customer"):
+    """What the registry says about the six tables (catalog metadata)."""
+    return once(spark, f"rules-{scope}", "", lambda: rules_by_table(testdata.registry(spark), scope))
+
+
 # --- masked tables ------------------------------------------------------------------
 
 
@@ -36,14 +74,12 @@ def hits_variants(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The hit table three ways: plain, masked at read time, and a masked copy."""
 
     def build() -> dict[str, DataFrame]:
-        path = scratch_dir(spark, "hits")
-        spread(testdata.hits(spark, sf_dir)).write.parquet(f"{path}/baseline")
-        baseline = spark.read.parquet(f"{path}/baseline")
+        baseline = stored(spark, sf_dir, "hits", lambda: testdata.hits(spark, sf_dir))
         return {
             "baseline": baseline,
             "dynamic": apply_policies(baseline, testdata.HIT_TAGS, DEFAULT_POLICIES),
             "materialized": materialize_masked(
-                baseline, testdata.HIT_TAGS, DEFAULT_POLICIES, f"{path}/materialized"
+                baseline, testdata.HIT_TAGS, DEFAULT_POLICIES, scratch_dir(spark, "hits-masked")
             ),
         }
 
@@ -72,7 +108,7 @@ SECOND_WAVE = "event_type = 'error'"
 
 
 def _land(spark: SparkSession, sf_dir: str, folder: str, wave: str) -> None:
-    events = testdata.raw_events(spark, sf_dir).where(wave)
+    events = raw_events(spark, sf_dir).where(wave)
     landing.write_landing(events, folder, files=max(8, events.rdd.getNumPartitions()))
 
 
@@ -85,7 +121,7 @@ def story(spark: SparkSession, sf_dir: str, latest_only: bool = False) -> Story:
         house.run()
         landed = landing.landing_counts(spark, zone)
         landed = written(landed, "landed")
-        run = house.erase(testdata.layer_requests(spark, sf_dir))
+        run = house.erase(layer_requests(spark, sf_dir))
         after = {name: written(df, f"after-{name}") for name, df in house.base_layers().items()}
         _land(spark, sf_dir, paths.below(zone, "incremental"), SECOND_WAVE)
         house.run()
@@ -111,18 +147,14 @@ def purge_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``files``, ``rows`` of the published table, and ``rows_with_trace``.
     """
-    from palimpsest.operators import erasure, matching, registry, validation
-    from palimpsest.sources.rewrite import replace_table
-
     def build() -> DataFrame:
         path = scratch_dir(spark, "purge")
         testdata.erasure_tables(spark, sf_dir)["customer_profile"].write.parquet(path)
-        rules = registry.rules_by_table(testdata.registry(spark))["customer_profile"]
-        subjects = matching.subjects_of(testdata.request_queue(spark, sf_dir).where("status = 'PENDING'"))
-        after = replace_table(erasure.erase_table(spark.read.parquet(path), rules, subjects), path)
-        found = validation.no_trace_scan(
-            "t", {"customer_profile": after}, {"customer_profile": rules}, subjects, ("email",)
-        )
+        profile = {"customer_profile": rules(spark)["customer_profile"]}
+        subjects = matching.subjects_of(request_queue(spark, sf_dir).where("status = 'PENDING'"))
+        erased = erasure.erase_table(spark.read.parquet(path), profile["customer_profile"], subjects)
+        after = replace_table(erased, path)
+        found = validation.no_trace_scan("t", {"customer_profile": after}, profile, subjects, ("email",))
         rows = after.agg(F.count(F.lit(1)).alias("rows"), F.lit(0).cast("long").alias("rows_with_trace"))
         trace = found.agg(
             F.lit(0).cast("long").alias("rows"),

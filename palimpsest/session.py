@@ -14,6 +14,7 @@ DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
 
 _own_roots: dict[str, str] = {}
 _made: dict[str, list[str]] = {}
+_releases: dict[str, int] = {}
 
 
 def get_session(app: str = "palimpsest", master: str | None = None, **conf: object) -> SparkSession:
@@ -59,10 +60,18 @@ def release_scratch(spark: SparkSession) -> int:
     """
     from palimpsest.sources import paths
 
-    made = _made.pop(spark.sparkContext.applicationId, [])
+    app = spark.sparkContext.applicationId
+    _releases[app] = _releases.get(app, 0) + 1
+    made = _made.pop(app, [])
     return sum(paths.delete(spark, path) for path in made)
 
 
+def scratch_epoch(spark: SparkSession) -> tuple[str, int]:
+    """Changes whenever the scratch tables made so far are gone."""
+    app = spark.sparkContext.applicationId
+    return app, _releases.get(app, 0)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage through a parquet table in the scratch folder and read it back."""
     path = scratch_dir(df.sparkSession, label)
