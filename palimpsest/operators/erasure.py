@@ -23,7 +23,7 @@ from palimpsest.functions.masking import (
 )
 from palimpsest.operators import matching, validation
 from palimpsest.operators.matching import DELETE_CODE, EMAIL_FIRST, MODE, OBFUSCATE_CODE, Subjects
-from palimpsest.operators.registry import TableRules, rules_by_table, skipped_tables
+from palimpsest.operators.registry import TableRules, registry_rows, rules_in_scope, skipped_tables
 from palimpsest.session import broadcast_if_small, inline_table
 
 AUDIT_SCHEMA = (
@@ -179,10 +179,11 @@ def run_targets(
         if target.registry is None:
             states.append((target.name, 0, "skipped_no_registry"))
             continue
-        if target.registry.isEmpty():
+        rows = registry_rows(target.registry)
+        if not rows:
             states.append((target.name, 0, "skipped_empty_registry"))
             continue
-        rules = rules_by_table(target.registry, scope)
+        rules = rules_in_scope(rows, scope)
         result.skipped[target.name] = skipped_tables(target.registry, scope)
         if not rules:
             states.append((target.name, 0, "no_tables_in_scope"))

@@ -9,7 +9,8 @@ requests, so one address that holds a third of all rows costs one group.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -48,6 +49,13 @@ class Subjects:
 
     frame: DataFrame
     small: bool
+    _prepared: dict[object, needles.NeedleSet] = field(default_factory=dict, compare=False)
+
+    def needles(self, key: object, patterns: Callable[[], DataFrame]) -> needles.NeedleSet:
+        """The needle set under ``key``; prepared once for all tables and steps of a run."""
+        if key not in self._prepared:
+            self._prepared[key] = needles.prepare(patterns())
+        return self._prepared[key]
 
     def side(self, keys: DataFrame) -> DataFrame:
         return F.broadcast(keys) if self.small else keys
@@ -152,8 +160,14 @@ def _count_emails(df, rules, subjects, side, case_insensitive) -> DataFrame:
     return subjects.join(side(hits), "email", "left").select("request_id", "rows_matched")
 
 
-def _count_payloads(df, rules, asked, side) -> DataFrame:
-    patterns = needles.prepare(asked.select("needle", "also1").distinct())
+def _payload_needles(rules: TableRules, subjects: Subjects, asked: DataFrame) -> needles.NeedleSet:
+    return subjects.needles(
+        ("payload", bool(rules.emails)),
+        lambda: asked.groupBy("needle", "also1").agg(F.max(_code()).alias("_code")),
+    )
+
+
+def _count_payloads(df, rules, asked, patterns, side) -> DataFrame:
     hits = (
         needles.search(df.select(*rules.payloads), list(rules.payloads), patterns)
         .groupBy("needle", "also1")
@@ -181,10 +195,17 @@ def _payload_holds_all(rules: TableRules, prefix: str = "_s_") -> Column:
     return reduce(lambda a, b: a & b, tests)
 
 
-def _search_all(df: DataFrame, rules: TableRules, patterns: DataFrame) -> DataFrame:
+def _all_needles(rules: TableRules, subjects: Subjects) -> needles.NeedleSet:
+    asked = _all_subjects(rules, subjects.frame)
+    return subjects.needles(
+        "all identifiers", lambda: asked.groupBy(*_all_patterns(asked)).agg(F.max(_code()).alias("_code"))
+    )
+
+
+def _search_all(df: DataFrame, rules: TableRules, patterns: needles.NeedleSet) -> DataFrame:
     """Rows whose every payload holds email, first and last name of a pattern."""
     first, *others = rules.payloads
-    found = needles.search(df, [first], needles.prepare(patterns))
+    found = needles.search(df, [first], patterns)
     for payload in others:
         for part in needles.PARTS:
             found = found.where(F.contains(F.col(payload), F.col(part)))
@@ -215,7 +236,7 @@ def match_counts(
             else:
                 keys = asked.select("request_id", *_all_patterns(asked))
                 hits = (
-                    _search_all(df.select(*rules.payloads), rules, keys.drop("request_id").distinct())
+                    _search_all(df.select(*rules.payloads), rules, _all_needles(rules, subjects))
                     .groupBy(*needles.PARTS)
                     .agg(F.count(F.lit(1)).alias("rows_matched"))
                 )
@@ -229,7 +250,7 @@ def match_counts(
         if by_email is not None:
             counted.append(_count_emails(df, rules, by_email, side, case_insensitive))
         if by_payload is not None:
-            counted.append(_count_payloads(df, rules, by_payload, side))
+            counted.append(_count_payloads(df, rules, by_payload, _payload_needles(rules, subjects, by_payload), side))
         if by_name is not None:
             counted.append(_count_on(df, _scalar_bindings(rules, False), by_name, side))
     if not counted:
@@ -291,8 +312,7 @@ def flag_rows(
                 condition = _equal(pairs, case_insensitive) & _payload_holds_all(rules)
                 hits = df.select(*ids).join(side(keys), condition)
             else:
-                patterns = asked.groupBy(*_all_patterns(asked)).agg(F.max(_code()).alias("_code"))
-                hits = _search_all(df.select(*ids), rules, patterns)
+                hits = _search_all(df.select(*ids), rules, _all_needles(rules, subjects))
             df = _flag_from_hits(df, hits, ids, new_flag())
         elif pairs:
             df = _flag_on(df, pairs, asked, side, new_flag(), case_insensitive)
@@ -304,9 +324,8 @@ def flag_rows(
             for column in rules.emails:
                 df = _flag_on(df, [(column, "email")], by_email, side, new_flag(), case_insensitive)
         if by_payload is not None:
-            patterns = by_payload.groupBy("needle", "also1").agg(F.max(_code()).alias("_code"))
             texts = list(rules.payloads)
-            hits = needles.search(df.select(*texts), texts, needles.prepare(patterns))
+            hits = needles.search(df.select(*texts), texts, _payload_needles(rules, subjects, by_payload))
             df = _flag_from_hits(df, hits, texts, new_flag())
         if by_name is not None:
             df = _flag_on(df, _scalar_bindings(rules, False), by_name, side, new_flag())

@@ -139,12 +139,13 @@ def prepare(patterns: DataFrame) -> NeedleSet:
             F.sum(width).alias("bytes"),
             F.array_join(F.sort_array(F.collect_set("_start")), "").alias("starts"),
         )
-        .orderBy("address", "_reach", "_size")
         .collect()
     )
     return NeedleSet(
         frame=frame.drop("_reach", "_size", "_start"),
-        cuts=tuple(("@" if k["address"] else _class_of(k["starts"]), k["_reach"], k["_size"]) for k in kinds),
+        cuts=tuple(
+            sorted(("@" if k["address"] else _class_of(k["starts"]), k["_reach"], k["_size"]) for k in kinds)
+        ),
         broadcastable=sum(k["bytes"] for k in kinds) <= broadcast_limit(patterns.sparkSession),
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from palimpsest.session import inline_table
@@ -158,17 +158,24 @@ class TableRules:
         return bool(self.emails or self.payloads or self.names)
 
 
-def rules_by_table(registry: DataFrame, scope: str = "customer") -> dict[str, TableRules]:
-    """Registry rows in scope, grouped per table.
+def registry_rows(registry: DataFrame) -> list[Row]:
+    """The registry on the driver: catalog metadata, one row per PII column, needed to build
+    expressions exactly as a schema is."""
+    return registry.orderBy("table_name", "column_name").collect()
 
-    This is catalog metadata (one row per PII column), needed on the driver to
-    build expressions, exactly as a schema is.
-    """
-    rows = in_scope(registry, scope).orderBy("table_name", "column_name").collect()
-    grouped: dict[str, list] = {}
+
+def rules_in_scope(rows: list[Row], scope: str = "customer") -> dict[str, TableRules]:
+    _check_scope(scope)
+    grouped: dict[str, list[Row]] = {}
     for row in rows:
-        grouped.setdefault(row["table_name"], []).append(row)
-    return {table: _rules(table, cols) for table, cols in grouped.items()}
+        if scope in ("all", (row["subject_scope"] or "customer").strip().lower()):
+            grouped.setdefault(row["table_name"], []).append(row)
+    return {table: _rules(table, columns) for table, columns in grouped.items()}
+
+
+def rules_by_table(registry: DataFrame, scope: str = "customer") -> dict[str, TableRules]:
+    """What the registry says about each table in scope."""
+    return rules_in_scope(registry_rows(registry), scope)
 
 
 def _rules(table: str, rows: list) -> TableRules:

@@ -56,6 +56,7 @@ def no_trace_scan(
     narrow pass; counts are spread back to the requests only afterwards.
     """
     spark = subjects.frame.sparkSession
+    fields = tuple(fields)
     wanted = subject_needles(subjects, fields)
     stacks = []
     for name in sorted(rules):
@@ -73,7 +74,7 @@ def no_trace_scan(
         )
     if not stacks:
         return spark.createDataFrame([], FINDINGS_SCHEMA)
-    prepared = needles.prepare(wanted.select("needle").distinct())
+    prepared = subjects.needles(("trace", fields), lambda: wanted.select("needle").distinct())
     hits = (
         needles.search(_union(stacks), ["text"], prepared)
         .groupBy("table", "column", "needle")
