@@ -127,6 +127,14 @@ def upsert_requests(
     return met.select("request_id", chosen.alias("_row")).select("request_id", "_row.*")
 
 
+def request_id(number: Column, prefix: str = "REQ-", width: int = 4) -> Column:
+    """``REQ-0007``; longer numbers keep all their digits."""
+    digits = number.cast("string")
+    return F.concat(
+        F.lit(prefix), F.when(F.length(digits) >= width, digits).otherwise(F.lpad(digits, width, "0"))
+    )
+
+
 def number_requests(subjects: DataFrame, order_by: str = "email", prefix: str = "REQ-", width: int = 4) -> DataFrame:
     """Consecutive request ids in the order of a column.
 
@@ -147,9 +155,8 @@ def number_requests(subjects: DataFrame, order_by: str = "email", prefix: str =
     offsets = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
     local = F.row_number().over(Window.partitionBy("_part").orderBy(order_by))
     numbered = ranged.withColumn("_local", local).join(F.broadcast(offsets), "_part")
-    number = (F.col("_before") + F.col("_local")).cast("string")
-    padded = F.when(F.length(number) >= width, number).otherwise(F.lpad(number, width, "0"))
-    return numbered.select(F.concat(F.lit(prefix), padded).alias("request_id"), *subjects.columns)
+    number = F.col("_before") + F.col("_local")
+    return numbered.select(request_id(number, prefix, width).alias("request_id"), *subjects.columns)
 
 
 def next_request_number(queue: DataFrame) -> DataFrame:

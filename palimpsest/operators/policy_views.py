@@ -6,8 +6,9 @@ from collections.abc import Collection, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantType
 
-from palimpsest.functions.masking import mask_expr
+from palimpsest.functions.masking import mask_expr, mask_variant
 from palimpsest.session import inline_table
 
 
@@ -31,21 +32,21 @@ def apply_policies(
 
     Members of an exempt group get the raw select.  The masks are plain lazy
     columns: an unread one costs nothing, and filters on other columns still
-    reach the scan.
+    reach the scan.  VARIANT columns are masked through their text form.
     """
     if set(principal_groups) & set(exempt_groups):
         return df
     unknown = {t for c, t in column_policies.items() if c in df.columns} - set(policies)
     if unknown:
         raise ValueError(f"columns are tagged with types that have no policy: {sorted(unknown)}")
-    return df.select(
-        *[
-            mask_expr(c, policies[column_policies[c]], **options).alias(c)
-            if c in column_policies
-            else F.col(c)
-            for c in df.columns
-        ]
-    )
+
+    def shown(field) -> Column:
+        if field.name not in column_policies:
+            return F.col(field.name)
+        mask = mask_variant if isinstance(field.dataType, VariantType) else mask_expr
+        return mask(field.name, policies[column_policies[field.name]], **options).alias(field.name)
+
+    return df.select(*[shown(field) for field in df.schema.fields])
 
 
 def materialize_masked(

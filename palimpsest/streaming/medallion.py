@@ -206,6 +206,9 @@ class Lakehouse:
     def base_layers(self) -> dict[str, DataFrame]:
         return {"raw": self.raw(), "bronze": self.bronze(), "silver": self.silver()}
 
+    def all_layers(self) -> dict[str, DataFrame]:
+        return {**self.base_layers(), "gold": self.gold()}
+
     def files(self) -> DataFrame:
         return landing.read_landing(self.spark, self.landing)
 
@@ -228,24 +231,26 @@ class Lakehouse:
     # --- erasure --------------------------------------------------------------------------------
 
     def erase(self, requests: DataFrame, token: str = ERASED_TOKEN, scrub_files: bool = True) -> "Erasure":
-        """Erase all PENDING requests from silver, bronze, raw and the source files.
+        """Erase all PENDING requests from the source files and every layer.
 
-        The keys are resolved from raw once and written down, because raw loses
-        them in the process.  Gold is recomputed only if something was deleted.
+        The keys are resolved from raw, so raw comes last: a run that dies on
+        the way resolves the same subjects again and simply repeats the rest.
+        The resolved keys are written down, because raw loses them in the end.
+        Gold is recomputed only if something was deleted.
         """
         pending = requests.where(F.col("status") == "PENDING")
         asked = written(pending.select("request_id"), "asked")
         resolved = written(matching.resolve_subject_keys(self.raw(), pending), "resolved")
         modes = written(matching.user_modes(resolved), "modes")
-        before = validation.kept(erasure.layer_match_counts(self.base_layers(), modes))
+        before = validation.kept(erasure.layer_match_counts(self.all_layers(), modes))
         changed = {}
-        for name, schema in (("silver", self.silver_schema), ("bronze", RAW_SCHEMA), ("raw", RAW_SCHEMA)):
-            changed[name] = rewrite.erase_layer_files(self.spark, self._layer(name), schema, modes, token)
         if scrub_files:
             changed["landing"] = rewrite.scrub_landing(self.spark, self.landing, modes, token)
         refreshed = erasure.needs_gold_refresh(modes)
-        if refreshed:
-            self.refresh_gold()
+        for name, schema in (("silver", self.silver_schema), ("bronze", RAW_SCHEMA), ("raw", RAW_SCHEMA)):
+            changed[name] = rewrite.erase_layer_files(self.spark, self._layer(name), schema, modes, token)
+            if name == "silver" and refreshed:
+                self.refresh_gold()
         return Erasure(self, asked, resolved, modes, before, changed, refreshed)
 
 
@@ -262,7 +267,7 @@ class Erasure:
     gold_refreshed: bool
 
     def counts_after(self) -> DataFrame:
-        return erasure.layer_match_counts(self.house.base_layers(), self.modes)
+        return erasure.layer_match_counts(self.house.all_layers(), self.modes)
 
     def violations(self, token: str = ERASED_TOKEN) -> DataFrame:
         """Every invariant over the layers and the source files: ``check, layer, violations``."""

@@ -141,6 +141,9 @@ def test_variant_and_hash(spark):
     df = spark.createDataFrame([('{"contact":{"email":"e@x.org","phone":"1"}}',)], "t string")
     v = df.select(m.mask_variant(F.parse_json("t"), EMAIL).alias("v")).select(F.to_json("v").alias("r")).first()["r"]
     assert json.loads(v) == {"contact": {"email": m.MASK_TOKEN, "phone": "1"}}
+    seen = policy_views.apply_policies(df.select(F.parse_json("t").alias("v")), {"v": "email"}, m.DEFAULT_POLICIES)
+    assert seen.schema["v"].dataType.simpleString() == "variant"
+    assert json.loads(seen.select(F.to_json("v").alias("r")).first()["r"])["contact"]["email"] == m.MASK_TOKEN
     h = df.select(m.hash_json_field("t", "contact struct<email:string,phone:string>", ["contact", "email"]).alias("r"))
     out = json.loads(h.first()["r"])
     assert out["contact"]["phone"] == "1" and len(out["contact"]["email"]) == 64

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from palimpsest.functions.masking import ERASED_TOKEN
-from palimpsest.operators import erasure, matching, validation
+from palimpsest.operators import erasure, intake, matching, validation
+from palimpsest.plans import generators
 from palimpsest.sources import landing, rewrite
 from palimpsest.streaming import medallion
 from palimpsest.streaming.medallion import Lakehouse
@@ -69,8 +70,10 @@ def test_whole_story(spark, zone):
 
     assert run.gold_refreshed
     assert counts(house) == (190, 190, 190, 38)
-    assert {r["layer"]: r["rows"] for r in run.counts_before.collect()} == {"raw": 15, "bronze": 15, "silver": 15}
-    assert {r["layer"]: r["rows"] for r in run.counts_after().collect()} == {"raw": 5, "bronze": 5, "silver": 5}
+    assert {r["layer"]: r["rows"] for r in run.counts_before.collect()} == {
+        "raw": 15, "bronze": 15, "silver": 15, "gold": 3}
+    assert {r["layer"]: r["rows"] for r in run.counts_after().collect()} == {
+        "raw": 5, "bronze": 5, "silver": 5, "gold": 1}
     assert run.changed_files["landing"] == {"rewritten": 2, "removed": 1}
     after = {f.name: f.read_bytes() for f in (zone / "landing/initial").glob("*.json")}
     assert set(before) - set(after) == {"alone.json"}
@@ -112,6 +115,44 @@ def test_whole_story(spark, zone):
     assert not again.gold_refreshed
 
 
+def test_known_counts(spark, tmp_path):
+    """2,000 users with 5 events each, ten alternating requests, then 24 new records and a second wave."""
+    zone = str(tmp_path / "landing")
+    landing.write_landing(generators.user_events(spark, 2000, 5), f"{zone}/initial", files=8)
+    house = Lakehouse(spark, zone, str(tmp_path / "tables"))
+    house.run()
+    assert counts(house) == (10_000, 10_000, 10_000, 2_000)
+    wave = intake.candidate_subjects(house.raw(), queue(spark, ("x", "DELETE")).withColumnRenamed("subject_email", "email"),
+                                     10, ERASED_TOKEN)
+    asked = generators.request_wave(wave)
+    assert house.erase(asked).passed()
+    assert counts(house) == (9_975, 9_975, 9_975, 1_995)
+    landing.write_landing(generators.user_events(spark, 8, 3, first_id=900_001), f"{zone}/incremental", files=2)
+    house.run()
+    assert counts(house) == (9_999, 9_999, 9_999, 2_003)
+    house.full_refresh()
+    assert counts(house) == (9_999, 9_999, 9_999, 2_003)
+
+
+def test_a_run_that_died_half_way_can_be_repeated(spark, zone, monkeypatch):
+    house = Lakehouse(spark, str(zone / "landing"), str(zone / "tables"))
+    house.run()
+    asked = queue(spark, (email(0), "DELETE"), (email(1), "OBFUSCATE"))
+    real = rewrite.erase_layer_files
+
+    def dies_at_bronze(spark, layer, *rest):
+        if layer.endswith("bronze"):
+            raise OSError("lost")
+        return real(spark, layer, *rest)
+
+    monkeypatch.setattr(rewrite, "erase_layer_files", dies_at_bronze)
+    with pytest.raises(OSError):
+        house.erase(asked)
+    monkeypatch.undo()
+    assert house.erase(asked).passed()
+    assert counts(house) == (195, 195, 195, 39)
+
+
 def test_without_scrub_a_full_refresh_brings_people_back(spark, zone):
     house = Lakehouse(spark, str(zone / "landing"), str(zone / "tables"))
     house.run()
