@@ -49,12 +49,12 @@ class Subjects:
 
     frame: DataFrame
     small: bool
-    _prepared: dict[object, needles.NeedleSet] = field(default_factory=dict, compare=False)
+    _prepared: dict[object, object] = field(default_factory=dict, compare=False)
 
-    def needles(self, key: object, patterns: Callable[[], DataFrame]) -> needles.NeedleSet:
-        """The needle set under ``key``; prepared once for all tables and steps of a run."""
+    def once(self, key: object, prepare: Callable[[], object]):
+        """Needle sets under ``key``, prepared once for all tables and steps of a run."""
         if key not in self._prepared:
-            self._prepared[key] = needles.prepare(patterns())
+            self._prepared[key] = prepare()
         return self._prepared[key]
 
     def side(self, keys: DataFrame) -> DataFrame:
@@ -160,22 +160,56 @@ def _count_emails(df, rules, subjects, side, case_insensitive) -> DataFrame:
     return subjects.join(side(hits), "email", "left").select("request_id", "rows_matched")
 
 
-def _payload_needles(rules: TableRules, subjects: Subjects, asked: DataFrame) -> needles.NeedleSet:
-    return subjects.needles(
+def _payload_needles(rules: TableRules, subjects: Subjects, asked: DataFrame) -> dict[str, needles.NeedleSet]:
+    def role(name: str, condition: str, column: str) -> DataFrame:
+        return asked.where(condition).select(F.col(column).alias("needle"), F.lit(name).alias(needles.ROLE))
+
+    roles = ("email", "first", "last")
+    return subjects.once(
         ("payload", bool(rules.emails)),
-        lambda: asked.groupBy("needle", "also1").agg(F.max(_code()).alias("_code")),
+        lambda: needles.prepare_roles(
+            role("email", "also1 is null", "needle")
+            .unionByName(role("first", "also1 is not null", "needle"))
+            .unionByName(role("last", "also1 is not null", "also1"))
+            .distinct(),
+            roles,
+        ),
     )
 
 
-def _count_payloads(df, rules, asked, patterns, side) -> DataFrame:
+def _payload_hits(df: DataFrame, rules: TableRules, subjects: Subjects, asked: DataFrame) -> DataFrame:
+    """Rows of ``df`` with each (needle, also1) of ``asked`` they hold, and its mode code.
+
+    Addresses are looked up directly.  For name pairs the first names a text
+    really holds are found, then the last names it really holds, and only those
+    combinations meet the requests by equality, so a first name that many
+    requests share does not pair every text with all of them.
+    """
+    texts, own = list(rules.payloads), df.columns
+    sets = _payload_needles(rules, subjects, asked)
+    hits = needles.search(df, texts, sets["email"]).select(
+        *own, "needle", F.lit(None).cast("string").alias("also1")
+    )
+    if sets["first"].cuts:
+        with_first = needles.search(df, texts, sets["first"]).select(*own, F.col("needle").alias("_first"))
+        pairs = needles.search(with_first, texts, sets["last"]).select(
+            *own, F.col("_first").alias("needle"), F.col("needle").alias("also1")
+        )
+        together = [F.contains(F.col(t), F.col("needle")) & F.contains(F.col(t), F.col("also1")) for t in texts]
+        hits = hits.unionByName(pairs.where(reduce(lambda a, b: F.coalesce(a, F.lit(False)) | b, together)))
+    wanted = asked.groupBy(F.col("needle").alias("_n"), F.col("also1").alias("_a")).agg(F.max(_code()).alias("_code"))
+    same = (F.col("needle") == F.col("_n")) & F.col("also1").eqNullSafe(F.col("_a"))
+    return hits.join(subjects.side(wanted), same).drop("_n", "_a")
+
+
+def _count_payloads(df, rules, subjects, asked) -> DataFrame:
     hits = (
-        needles.search(df.select(*rules.payloads), list(rules.payloads), patterns)
-        .groupBy("needle", "also1")
+        _payload_hits(df.select(*rules.payloads), rules, subjects, asked)
+        .groupBy(F.col("needle").alias("_n"), F.col("also1").alias("_a"))
         .agg(F.count(F.lit(1)).alias("rows_matched"))
-        .withColumnsRenamed({"needle": "_n", "also1": "_a"})
     )
     same = (F.col("needle") == F.col("_n")) & F.col("also1").eqNullSafe(F.col("_a"))
-    return asked.join(side(hits), same, "left").select("request_id", "rows_matched")
+    return asked.join(subjects.side(hits), same, "left").select("request_id", "rows_matched")
 
 
 def _all_subjects(rules: TableRules, subjects: DataFrame) -> DataFrame:
@@ -197,8 +231,9 @@ def _payload_holds_all(rules: TableRules, prefix: str = "_s_") -> Column:
 
 def _all_needles(rules: TableRules, subjects: Subjects) -> needles.NeedleSet:
     asked = _all_subjects(rules, subjects.frame)
-    return subjects.needles(
-        "all identifiers", lambda: asked.groupBy(*_all_patterns(asked)).agg(F.max(_code()).alias("_code"))
+    return subjects.once(
+        "all identifiers",
+        lambda: needles.prepare(asked.groupBy(*_all_patterns(asked)).agg(F.max(_code()).alias("_code"))),
     )
 
 
@@ -250,7 +285,7 @@ def match_counts(
         if by_email is not None:
             counted.append(_count_emails(df, rules, by_email, side, case_insensitive))
         if by_payload is not None:
-            counted.append(_count_payloads(df, rules, by_payload, _payload_needles(rules, subjects, by_payload), side))
+            counted.append(_count_payloads(df, rules, subjects, by_payload))
         if by_name is not None:
             counted.append(_count_on(df, _scalar_bindings(rules, False), by_name, side))
     if not counted:
@@ -325,7 +360,7 @@ def flag_rows(
                 df = _flag_on(df, [(column, "email")], by_email, side, new_flag(), case_insensitive)
         if by_payload is not None:
             texts = list(rules.payloads)
-            hits = needles.search(df.select(*texts), texts, _payload_needles(rules, subjects, by_payload))
+            hits = _payload_hits(df.select(*texts), rules, subjects, by_payload)
             df = _flag_from_hits(df, hits, texts, new_flag())
         if by_name is not None:
             df = _flag_on(df, _scalar_bindings(rules, False), by_name, side, new_flag())

@@ -36,6 +36,7 @@ AFTER_AT = (8, 4, 0)
 _SHARED_BY_FEW = 64
 
 PARTS = ("needle", "also1", "also2")
+ROLE = "_role"
 
 
 def _windows(text: Column, trigger: str, reach: int, size: int) -> Column:
@@ -80,7 +81,12 @@ class NeedleSet:
 
 
 def prepare(patterns: DataFrame) -> NeedleSet:
-    """Choose anchors.  ``patterns`` has one row per distinct (needle, also1, also2).
+    """Choose anchors.  ``patterns`` has one row per distinct (needle, also1, also2)."""
+    return prepare_roles(patterns.withColumn(ROLE, F.lit("any")), ("any",))["any"]
+
+
+def prepare_roles(patterns: DataFrame, roles: tuple[str, ...]) -> dict[str, NeedleSet]:
+    """Several needle sets at once, told apart by the column ``_role``.
 
     The anchored patterns are written to the scratch folder (they are read at
     least twice); one aggregate over them reads their size and the kinds of
@@ -134,20 +140,25 @@ def prepare(patterns: DataFrame) -> NeedleSet:
     frame = written(addresses.unionByName(others), "needles")
     width = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in PARTS), F.lit(96))
     kinds = (
-        frame.groupBy((F.col("_start") == "@").alias("address"), "_reach", "_size")
+        frame.groupBy(ROLE, (F.col("_start") == "@").alias("address"), "_reach", "_size")
         .agg(
             F.sum(width).alias("bytes"),
             F.array_join(F.sort_array(F.collect_set("_start")), "").alias("starts"),
         )
         .collect()
     )
-    return NeedleSet(
-        frame=frame.drop("_reach", "_size", "_start"),
-        cuts=tuple(
-            sorted(("@" if k["address"] else _class_of(k["starts"]), k["_reach"], k["_size"]) for k in kinds)
-        ),
-        broadcastable=sum(k["bytes"] for k in kinds) <= broadcast_limit(patterns.sparkSession),
-    )
+    small = sum(k["bytes"] for k in kinds) <= broadcast_limit(patterns.sparkSession)
+    frame = frame.drop("_reach", "_size", "_start")
+
+    def one(role: str) -> NeedleSet:
+        cuts = sorted(
+            ("@" if k["address"] else _class_of(k["starts"]), k["_reach"], k["_size"])
+            for k in kinds
+            if k[ROLE] == role
+        )
+        return NeedleSet(frame.where(F.col(ROLE) == role).drop(ROLE), tuple(cuts), small)
+
+    return {role: one(role) for role in roles}
 
 
 def _contains_all(text: str) -> Column:

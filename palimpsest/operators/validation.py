@@ -74,7 +74,7 @@ def no_trace_scan(
         )
     if not stacks:
         return spark.createDataFrame([], FINDINGS_SCHEMA)
-    prepared = subjects.needles(("trace", fields), lambda: wanted.select("needle").distinct())
+    prepared = subjects.once(("trace", fields), lambda: needles.prepare(wanted.select("needle").distinct()))
     hits = (
         needles.search(_union(stacks), ["text"], prepared)
         .groupBy("table", "column", "needle")
