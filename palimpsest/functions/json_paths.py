@@ -21,11 +21,21 @@ def _stringly(shape: DataType) -> DataType:
     return StringType()
 
 
+MAX_SHAPE_CHARS = 4_000_000
+
+
 def document_schema(df: DataFrame, column: str) -> DataType:
-    """Merged shape of all documents of a column, with every leaf read as text."""
+    """Merged shape of all documents of a column, with every leaf read as text.
+
+    The shape comes to the driver, as any schema does.  Documents whose *keys*
+    are data (ids as field names) have no bounded shape, which is an error here
+    rather than a silent cut.
+    """
     shape = df.select(F.schema_of_variant_agg(F.try_parse_json(column)).alias("s")).first()["s"]
     if not shape or not re.match(r"(OBJECT|ARRAY)<", shape):
         return StringType()
+    if len(shape) > MAX_SHAPE_CHARS:
+        raise ValueError(f"the documents of {column!r} use data as field names; their paths cannot be listed")
     return _stringly(DataType.fromDDL(re.sub(r"\bOBJECT<", "STRUCT<", shape)))
 
 

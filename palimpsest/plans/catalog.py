@@ -30,7 +30,7 @@ from palimpsest.operators import (
     validation,
 )
 from palimpsest.plans import scenarios, testdata
-from palimpsest.session import written
+from palimpsest.session import spread, written
 from palimpsest.sources import landing
 from palimpsest.streaming import medallion
 
@@ -95,9 +95,8 @@ def mask_url_params_nullify(spark, sf_dir):
 
 @query
 def mask_regex_documents(spark, sf_dir):
-    return testdata.table(spark, sf_dir, "documents").select(
-        "doc_id", mask_expr("text", {"regex": DOCUMENT_PATTERNS}).alias("text")
-    )
+    documents = spread(testdata.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return documents.select("doc_id", mask_expr("text", {"regex": DOCUMENT_PATTERNS}).alias("text"))
 
 
 @query
