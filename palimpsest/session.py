@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,6 @@ from pyspark.sql.types import BinaryType, StringType
 BROADCAST_BYTES_CONF = "palimpsest.broadcast.maxBytes"
 DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
 
-_own_roots: dict[str, str] = {}
 _made: dict[str, list[str]] = {}
 _releases: dict[str, int] = {}
 
@@ -35,19 +33,24 @@ def get_session(app: str = "palimpsest", master: str | None = None, **conf: obje
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a folder of our own only where none is named."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where none is named, a folder in the warehouse, which executors share too.  A
+    cluster whose warehouse is a plain local path has no shared folder: an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own_roots:
-        _own_roots[app] = tempfile.mkdtemp(prefix="palimpsest-")
-    return _own_roots[app]
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    local = spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master
+    if not local and ("://" not in warehouse and not warehouse.startswith("hdfs:") or warehouse.startswith("file:")):
+        raise ValueError("on a cluster, name a shared folder in spark.checkpoint.dir")
+    return f"{warehouse.rstrip('/')}/_scratch"
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path (not created yet) below the scratch root."""
-    path = f"{scratch_root(spark)}/palimpsest/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{scratch_root(spark)}/palimpsest/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
     _made.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 
