@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.session import written
+from palimpsest.session import measured_bytes, written
 
 SLICE_BYTES = 4_000_000
 U64 = np.uint64
@@ -212,3 +212,13 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
         roots.select("node", F.col("node").alias("component"))
     )
+
+
+# ---------------------------------------------------------------- small sides
+
+SMALL_SIDE = 32 * 1024 * 1024
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """Broadcast hint if the measured rows fit SMALL_SIDE; otherwise the join shuffles."""
+    return F.broadcast(df) if measured_bytes(df) <= SMALL_SIDE else df

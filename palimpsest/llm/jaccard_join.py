@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import blobs, components, keyed, longs, mix, shingles, slices, span_hashes, table, word_spans
-from palimpsest.session import broadcast_if_small, written
+from palimpsest.llm.common import blobs, components, keyed, longs, mix, shingles, slices, small_side, span_hashes, table, word_spans
+from palimpsest.session import written
 
 WIDTH = 5
 #: Link when DEN * intersection >= NUM * union.
@@ -186,7 +186,7 @@ def links(rows: DataFrame, light: DataFrame) -> DataFrame:
 
 def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(cls, tokens): the sorted shingles of one text of each wanted class."""
-    texts = rows.join(broadcast_if_small(wanted), ["_k1", "_k2"]).select("_text")
+    texts = rows.join(small_side(wanted), ["_k1", "_k2"]).select("_text")
 
     def run(batches):
         for batch in batches:
@@ -242,8 +242,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     gone = grouped(docs).filter("NOT kept").select("_k1", "_k2")
     rows = docs.select(*names, F.xxhash64("doc_id").alias("_k1"), F.xxhash64("text").alias("_k2"))
     again = rows.groupBy("_k1", "_k2").count().filter("count > 1").select("_k1", "_k2")
-    again = broadcast_if_small(written(again, "jaccard-again"))
-    rows = rows.join(broadcast_if_small(written(gone.distinct(), "jaccard-gone")), ["_k1", "_k2"], "left_anti")
+    again = small_side(written(again, "jaccard-again"))
+    rows = rows.join(small_side(written(gone.distinct(), "jaccard-gone")), ["_k1", "_k2"], "left_anti")
     once = rows.join(again, ["_k1", "_k2"], "left_anti")
     twice = rows.join(again, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"])
     return once.unionAll(twice).select(*names)

@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import STEP, map_arrow, mix, slices, span_hashes, table, word_spans
-from palimpsest.session import broadcast_if_small
+from palimpsest.llm.common import STEP, map_arrow, mix, slices, small_side, span_hashes, table, word_spans
+
 
 BUCKETS = 1 << 18
 #: At most so many labelled rows of each grade, none longer than so many bytes, are learned from.
@@ -107,7 +107,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     named = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").filter(fold != 2)
     named = named.groupBy("doc_id").agg(F.max(grade_of(F.col("quality"), F.coalesce("toxic", F.lit(0)))).alias("y"))
     rows = docs.select("doc_id", F.col("text").alias("_text")).filter(F.octet_length("_text") <= SAMPLE_BYTES)
-    rows = rows.join(broadcast_if_small(named), "doc_id").select("y", "_text", F.xxhash64("doc_id", F.lit(23)).alias("_o"))
+    rows = rows.join(small_side(named), "doc_id").select("y", "_text", F.xxhash64("doc_id", F.lit(23)).alias("_o"))
     parts = [rows.filter(F.col("y") == k).orderBy("_o", "_text").limit(SAMPLE_PER_GRADE) for k in (0, 1, 2)]
     got = parts[0].unionAll(parts[1]).unionAll(parts[2]).select("_text", "y").toArrow()
     return train([t.encode() for t in got.column("_text").to_pylist()], got.column("y").to_pylist())

@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import LOWERED, NOT_ALNUM, mix, powers, slices, table, word_spans
-from palimpsest.session import broadcast_if_small
+from palimpsest.llm.common import LOWERED, NOT_ALNUM, mix, powers, slices, small_side, table, word_spans
+
 
 BUCKETS = 1 << 17
 DIM = 8
@@ -173,7 +173,7 @@ def learned_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Da
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
     named = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold != 2)).groupBy("doc_id").agg(F.max(label).alias("y"))
     rows = docs.select("doc_id", F.col("text").alias("_text")).filter(F.octet_length("_text") <= SAMPLE_BYTES)
-    rows = rows.join(broadcast_if_small(named), "doc_id").select("y", "_text", F.xxhash64("doc_id", F.lit(17)).alias("_o"))
+    rows = rows.join(small_side(named), "doc_id").select("y", "_text", F.xxhash64("doc_id", F.lit(17)).alias("_o"))
     classes = [rows.filter(F.col("y") == k).orderBy("_o", "_text").limit(n) for k, n in SAMPLE_ROWS.items()]
     return classes[0].unionAll(classes[1]).select("_text", "y")
 
