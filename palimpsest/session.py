@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 BROADCAST_BYTES_CONF = "palimpsest.broadcast.maxBytes"
 DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
@@ -88,14 +88,27 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def _cell_bytes(value, kind):
+    """Bytes a value takes in a row; collections by their elements."""
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + F.lit(16)
+    if isinstance(kind, StructType):
+        return sum((_cell_bytes(value[f.name], f.dataType) for f in kind.fields), F.lit(16))
+    if isinstance(kind, ArrayType):
+        each = F.aggregate(value, F.lit(0).cast("long"), lambda total, x: total + _cell_bytes(x, kind.elementType).cast("long"))
+        return F.coalesce(each, F.lit(0).cast("long")) + F.lit(24)
+    if isinstance(kind, MapType):
+        return _cell_bytes(F.map_keys(value), ArrayType(kind.keyType)) + _cell_bytes(F.map_values(value), ArrayType(kind.valueType))
+    return F.lit(16)
+
+
 def _row_bytes(df: DataFrame):
-    width = F.lit(16)
-    for field in df.schema.fields:
-        if isinstance(field.dataType, (StringType, BinaryType)):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0)) + F.lit(16)
-        else:
-            width = width + F.lit(16)
-    return width
+    return sum((_cell_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(16))
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all rows: one distributed aggregate."""
+    return int(df.agg(F.sum(_row_bytes(df)).alias("bytes")).first()["bytes"] or 0)
 
 
 def broadcast_limit(spark: SparkSession) -> int:
@@ -104,8 +117,7 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Measure the side (one distributed aggregate) against the broadcast limit."""
-    size = df.agg(F.sum(_row_bytes(df)).alias("bytes")).first()["bytes"]
-    return (size or 0) <= broadcast_limit(df.sparkSession)
+    return measured_bytes(df) <= broadcast_limit(df.sparkSession)
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:
