@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.llm import decontamination, packing, pii, toxicity
+from palimpsest.llm import decontamination, jaccard_join, packing, pii, toxicity
 from palimpsest.llm.common import table
 from palimpsest.session import written
 
@@ -17,6 +17,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, carry=tuple(COLUMNS)).filter(f"score < {toxicity.THRESHOLD}").select(COLUMNS)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by similarity stays: the one with the smallest id."""
+    return jaccard_join.deduplicated(docs)
+
+
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Runs of words that hold a benchmark window are cut from the texts."""
     return decontamination.cut(docs, table(spark, sf_dir, "benchmark"))
@@ -32,6 +37,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("ngram_jaccard_join", drop_near_duplicates),
     ("benchmark_decontamination", cut_benchmark),
     ("pii", redact_pii),
     ("best_fit_packing", pack),

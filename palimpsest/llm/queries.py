@@ -1,13 +1,28 @@
 """The operators' queries and their SQL twins, by name."""
 
-from palimpsest.llm import decontamination, packing, pii, quality, toxicity, url_filters
+from palimpsest.llm import (
+    decontamination,
+    embedding_dedup,
+    jaccard_join,
+    packing,
+    paragraph_dedup,
+    pii,
+    quality,
+    suffix_dedup,
+    toxicity,
+    url_filters,
+)
 
 QUERIES = {
+    "op1_ngram_jaccard_join": jaccard_join.op1_ngram_jaccard_join,
     "op2_url_filters": url_filters.op2_url_filters,
+    "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op5_pii": pii.op5_pii,
+    "op6_embedding_near_dedup": embedding_dedup.op6_embedding_near_dedup,
     "op7_quality_classifier": quality.op7_quality_classifier,
     "op8_decontamination": decontamination.op8_decontamination,
     "op9_toxicity": toxicity.op9_toxicity,
+    "op10_substring_dedup": paragraph_dedup.op10_substring_dedup,
 }
-SQL = {"op2_url_filters": url_filters.SQL}
+SQL = {"op1_ngram_jaccard_join": jaccard_join.SQL, "op2_url_filters": url_filters.SQL}
