@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.session import measured_bytes, written
 
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 U64 = np.uint64
 
 
