@@ -156,7 +156,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def links(rows: DataFrame, light: DataFrame) -> DataFrame:
     """(u, v): pairs of classes that reach the threshold, all of them up to skipped pairs of one component."""
     entries = prefixes(rows, counters(rows))
-    shared = entries.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("token")
+    shared = entries.groupBy("token").agg(F.count("*").alias("times")).filter("times > 1").select("token")
     kept = entries.join(shared, "token").groupBy("token", "cls").agg(F.min("np").alias("np"), F.min("pos").alias("pos"))
     kept = written(kept.selectExpr("token", "cls", "np div 16384 AS n", "np % 16384 AS plain", "pos"), "jaccard-lists")
     wanted = kept.select("cls").distinct().join(light, "cls").groupBy("cls").agg(F.min(F.struct("_k1", "_k2")).alias("k"))
