@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import BASE, BASE_INV, _BYTE, keyed, longs, mix, powers, slices, small_side, table
+from palimpsest.llm.common import BASE, BASE_INV, _BYTE, keyed, longs, mix, powers, slices, table
 from palimpsest.session import written
 
 LENGTH = 400
@@ -116,7 +116,7 @@ def next_cells(rows: DataFrame, asked: DataFrame, unit: int) -> DataFrame:
     """Cells asked for, split into cells of `unit` windows aligned to the anchor."""
     lists = asked.groupBy("_k1", "_k2").agg(F.collect_list(F.struct("lo", "hi", "p")).alias("cells"))
     lists = written(lists, "suffix-asked")
-    texts = rows.join(small_side(lists), ["_k1", "_k2"]).select(
+    texts = rows.join(lists, ["_k1", "_k2"]).select(
         "_k1", "_k2", "_text", F.col("cells.lo").alias("lo"), F.col("cells.hi").alias("hi"), F.col("cells.p").alias("p")
     )
 
@@ -181,7 +181,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     rows = keyed(docs, id_col, text_col)
     spans = written(repeats(rows), "suffix-spans")
-    joined = rows.join(small_side(spans), ["_k1", "_k2"], "left").select(
+    joined = rows.join(spans, ["_k1", "_k2"], "left").select(
         "_id", "_text", F.col("spans.lo").alias("lo"), F.col("spans.hi").alias("hi")
     )
     kind = rows.schema["_id"].dataType.simpleString()
