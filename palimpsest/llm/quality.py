@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import STEP, map_arrow, mix, slices, small_side, span_hashes, table, word_spans
+from palimpsest.llm.common import STEP, map_arrow, mix, slices, small_side, span_hashes, table, trained, word_spans
 
 
 BUCKETS = 1 << 18
@@ -74,9 +74,13 @@ def train(texts: list[bytes], grades: list[int], n_grades: int = 3) -> tuple[np.
     gaps = np.array([-1.0] + [0.5] * (n_grades - 2))
     if not texts:
         return weight, np.concatenate([gaps[:1], gaps[0] + np.cumsum(np.exp(gaps[1:]))])
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-    text, bucket, value = features(data, offsets)
+    parts = []
+    for at in range(0, len(texts), 100):
+        some = texts[at : at + 100]
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in some])]).astype(np.int64)
+        text, bucket, value = features(np.frombuffer(b"".join(some), np.uint8), offsets)
+        parts.append((text + at, bucket, value))
+    text, bucket, value = (np.concatenate(x) for x in zip(*parts, strict=True))
     y = np.asarray(grades)
     m = np.zeros(BUCKETS), np.zeros(len(gaps))
     v = np.zeros(BUCKETS), np.zeros(len(gaps))
@@ -109,8 +113,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     rows = docs.select("doc_id", F.col("text").alias("_text")).filter(F.octet_length("_text") <= SAMPLE_BYTES)
     rows = rows.join(small_side(named), "doc_id").select("y", "_text", F.xxhash64("doc_id", F.lit(23)).alias("_o"))
     parts = [rows.filter(F.col("y") == k).orderBy("_o", "_text").limit(SAMPLE_PER_GRADE) for k in (0, 1, 2)]
-    got = parts[0].unionAll(parts[1]).unionAll(parts[2]).select("_text", "y").toArrow()
-    return train([t.encode() for t in got.column("_text").to_pylist()], got.column("y").to_pylist())
+    weight, cuts = trained(parts[0].unionAll(parts[1]).unionAll(parts[2]), train)
+    return weight.astype(np.float32), cuts
 
 
 def rate(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:

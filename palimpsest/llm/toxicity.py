@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import LOWERED, NOT_ALNUM, mix, powers, slices, small_side, span_hashes, table, word_spans
+from palimpsest.llm.common import LOWERED, NOT_ALNUM, mix, powers, slices, small_side, span_hashes, table, trained, word_spans
 
 
 BUCKETS = 1 << 17
@@ -198,8 +198,8 @@ def learned_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Da
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
-    got = learned_rows(docs, labels).toArrow()
-    return train([t.encode() for t in got.column("_text").to_pylist()], got.column("y").to_pylist())
+    weight, bias = trained(learned_rows(docs, labels), train)
+    return weight.astype(np.float32), float(bias[0])
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
