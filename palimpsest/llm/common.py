@@ -20,7 +20,19 @@ SLICE_BYTES = 1_000_000
 U64 = np.uint64
 
 
+#: Rows of texts that Spark hands to a Python worker at once.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches than Spark's default, unless the session names its own size."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

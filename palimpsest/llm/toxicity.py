@@ -27,7 +27,7 @@ GRAMS = (3, 4, 5)
 WINDOW_WORDS = 1
 HOP = 1
 #: At most so many labelled rows of each label, none longer than so many bytes, are learned from.
-SAMPLE_ROWS = {0: 4500, 1: 1500}
+SAMPLE_ROWS = {0: 3500, 1: 1200}
 SAMPLE_BYTES = 12_000
 EPOCHS = 30
 RATE = 0.3
@@ -140,14 +140,18 @@ def train(texts: list[bytes], labels: list[int], seed: int = 7) -> tuple[np.ndar
     word, first, wide = vocabulary(texts)
     starts, ends, _ = word_spans(wide, np.array([0, len(wide)]), NOT_ALNUM)
     grams, own = subwords(wide, starts, ends)
-    # gram lists of the distinct words
-    lists, owner = [own], [np.arange(len(own))]
-    for bucket, a, b in grams:
+    # gram lists of the distinct words, one after the other
+    per_word = 1 + sum(b - a for _, a, b in grams)
+    at = np.concatenate([[0], np.cumsum(per_word)])
+    bucket = np.zeros(at[-1], np.int32)
+    bucket[at[:-1]] = own
+    put = at[:-1] + 1
+    for code, a, b in grams:
         n = b - a
-        owner.append(np.repeat(np.arange(len(own)), n))
-        lists.append(bucket[np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)])
-    bucket, owner = np.concatenate(lists), np.concatenate(owner)
-    per_word = np.bincount(owner, minlength=len(own)).astype(np.float64)
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        bucket[np.repeat(put, n) + within] = code[np.repeat(a, n) + within]
+        put = put + n
+    chunks = [(k, min(k + 20_000, len(own))) for k in range(0, len(own), 20_000)]
     start, end, where = windows(first)
     some = where[1:] > where[:-1]
     keep = np.flatnonzero(some)
@@ -159,7 +163,9 @@ def train(texts: list[bytes], labels: list[int], seed: int = 7) -> tuple[np.ndar
     balance = np.where(y[keep] > 0, 0.5 / y[keep].mean(), 0.5 / (1 - y[keep]).mean())
     for epoch in range(1, EPOCHS + 1):
         # two classes: the softmax needs the difference of the logits only
-        each = (np.bincount(owner, (table_ @ (head[1] - head[0]))[bucket], len(own)) / per_word)[word]
+        weight = table_ @ (head[1] - head[0])
+        each = np.concatenate([np.add.reduceat(weight[bucket[at[a] : at[b]]], at[a:b] - at[a]) for a, b in chunks])
+        each = (each / per_word)[word]
         total = np.concatenate([[0.0], np.cumsum(each)])
         lead = (total[end] - total[start]) / (end - start) + bias[1] - bias[0]
         # windows share a text's error by a softmax: alike at first, the most toxic ones in the end
@@ -174,9 +180,10 @@ def train(texts: list[bytes], labels: list[int], seed: int = 7) -> tuple[np.ndar
         scaled = error / (end - start)[pick]
         back = np.bincount(start[pick], scaled, len(each) + 1) - np.bincount(end[pick], scaled, len(each) + 1)
         coef = np.bincount(word, np.cumsum(back[:-1]), len(own)) / per_word
-        live = coef != 0
-        used = live[owner]
-        coef = np.bincount(bucket[used], coef[owner[used]], BUCKETS)
+        per_bucket = np.zeros(BUCKETS)
+        for a, b in chunks:
+            per_bucket += np.bincount(bucket[at[a] : at[b]], np.repeat(coef[a:b], per_word[a:b]), BUCKETS)
+        coef = per_bucket
         coef = np.stack([-coef, coef], axis=1)
         error = np.stack([-error, error], axis=1)
         slopes = coef @ head, coef.T @ table_, error.sum(axis=0)
