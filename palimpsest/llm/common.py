@@ -240,17 +240,8 @@ def small_side(df: DataFrame) -> DataFrame:
 
 
 def trained(sample: DataFrame, train: Callable[[list[bytes], list[int]], tuple[np.ndarray, ...]]) -> list[np.ndarray]:
-    """What train makes of a bounded sample (_text, y): run as one task, arrays of double come back."""
-
-    def run(batches):
-        texts: list[bytes] = []
-        labels: list[int] = []
-        for batch in batches:
-            texts += [t.encode() for t in batch.column(0).to_pylist()]
-            labels += batch.column(1).to_pylist()
-        made = [np.atleast_1d(np.asarray(x, np.float64)).tobytes() for x in train(texts, labels)]
-        yield pa.RecordBatch.from_arrays([longs(range(len(made))), blobs(made)], ["k", "x"])
-
-    rows = sample.select("_text", F.col("y").cast("long").alias("y")).repartition(1)
-    got = {r["k"]: np.frombuffer(r["x"], np.float64) for r in rows.mapInArrow(run, "k long, x binary").collect()}
-    return [got[k] for k in sorted(got)]
+    """What train makes of a bounded sample (_text, y), on the driver."""
+    rows = sample.select("_text", F.col("y").cast("long").alias("y")).toArrow()
+    texts, labels = [t.as_py().encode() for t in rows.column(0)], rows.column(1).to_pylist()
+    del rows
+    return [np.atleast_1d(np.asarray(x, np.float64)) for x in train(texts, labels)]

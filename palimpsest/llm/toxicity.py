@@ -125,7 +125,7 @@ def vocabulary(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 spelled[k] = text[a:b]
     distinct, word = np.unique(np.concatenate(names), return_inverse=True)
     wide = b" " + b" ".join(spelled[k] for k in distinct.tolist()) + b" "
-    return word, np.concatenate([[0], np.cumsum(counts)]), np.frombuffer(wide, np.uint8)
+    return word.astype(np.int32), np.concatenate([[0], np.cumsum(counts)]), np.frombuffer(wide, np.uint8)
 
 
 def train(texts: list[bytes], labels: list[int], seed: int = 7) -> tuple[np.ndarray, float]:
@@ -157,8 +157,7 @@ def train(texts: list[bytes], labels: list[int], seed: int = 7) -> tuple[np.ndar
     keep = np.flatnonzero(some)
     moments = [np.zeros_like(v) for v in (table_, head, bias)], [np.zeros_like(v) for v in (table_, head, bias)]
     target = y[keep]
-    doc = np.repeat(np.arange(len(some)), np.diff(where))
-    slot = (np.cumsum(some) - 1)[doc]
+    slot = np.repeat((np.cumsum(some) - 1).astype(np.int32), np.diff(where))
     first_window = where[:-1][some]
     balance = np.where(y[keep] > 0, 0.5 / y[keep].mean(), 0.5 / (1 - y[keep]).mean())
     for epoch in range(1, EPOCHS + 1):
