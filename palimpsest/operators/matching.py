@@ -177,7 +177,9 @@ def _payload_needles(rules: TableRules, subjects: Subjects, asked: DataFrame) ->
     )
 
 
-def _payload_hits(df: DataFrame, rules: TableRules, subjects: Subjects, asked: DataFrame) -> DataFrame:
+def _payload_hits(
+    df: DataFrame, rules: TableRules, subjects: Subjects, asked: DataFrame, lower_email: bool = False
+) -> DataFrame:
     """Rows of ``df`` with each (needle, also1) of ``asked`` they hold, and its mode code.
 
     Addresses are looked up directly.  For name pairs the first names a text
@@ -187,7 +189,9 @@ def _payload_hits(df: DataFrame, rules: TableRules, subjects: Subjects, asked: D
     """
     texts, own = list(rules.payloads), df.columns
     sets = _payload_needles(rules, subjects, asked)
-    hits = needles.search(df, texts, sets["email"]).select(
+    # the subjects' addresses are lower-cased under the flag: so must be the texts they are looked up in
+    lowered = {f"_low_{t}": F.lower(t) for t in texts} if lower_email else {}
+    hits = needles.search(df.withColumns(lowered) if lowered else df, list(lowered) or texts, sets["email"]).select(
         *own, "needle", F.lit(None).cast("string").alias("also1")
     )
     if sets["first"].cuts:
@@ -202,9 +206,9 @@ def _payload_hits(df: DataFrame, rules: TableRules, subjects: Subjects, asked: D
     return hits.join(subjects.side(wanted), same).drop("_n", "_a")
 
 
-def _count_payloads(df, rules, subjects, asked) -> DataFrame:
+def _count_payloads(df, rules, subjects, asked, lower_email=False) -> DataFrame:
     hits = (
-        _payload_hits(df.select(*rules.payloads), rules, subjects, asked)
+        _payload_hits(df.select(*rules.payloads), rules, subjects, asked, lower_email)
         .groupBy(F.col("needle").alias("_n"), F.col("also1").alias("_a"))
         .agg(F.count(F.lit(1)).alias("rows_matched"))
     )
@@ -220,9 +224,9 @@ def _all_subjects(rules: TableRules, subjects: DataFrame) -> DataFrame:
     return subjects
 
 
-def _payload_holds_all(rules: TableRules, prefix: str = "_s_") -> Column:
+def _payload_holds_all(rules: TableRules, prefix: str = "_s_", lower_email: bool = False) -> Column:
     tests = [
-        F.contains(F.col(p), F.col(f"{prefix}{f}"))
+        F.contains(F.lower(p) if lower_email and f == "email" else F.col(p), F.col(f"{prefix}{f}"))
         for p in rules.payloads
         for f in ("email", "first", "last")
     ]
@@ -266,7 +270,7 @@ def match_counts(
             asked = _all_subjects(rules, people)
             pairs = _scalar_bindings(rules, with_email=True)
             if pairs:
-                extra = _payload_holds_all(rules) if rules.payloads else None
+                extra = _payload_holds_all(rules, lower_email=case_insensitive) if rules.payloads else None
                 counted.append(_count_on(df, pairs, asked, side, extra, case_insensitive))
             else:
                 keys = asked.select("request_id", *_all_patterns(asked))
@@ -285,7 +289,7 @@ def match_counts(
         if by_email is not None:
             counted.append(_count_emails(df, rules, by_email, side, case_insensitive))
         if by_payload is not None:
-            counted.append(_count_payloads(df, rules, subjects, by_payload))
+            counted.append(_count_payloads(df, rules, subjects, by_payload, case_insensitive))
         if by_name is not None:
             counted.append(_count_on(df, _scalar_bindings(rules, False), by_name, side))
     if not counted:
@@ -344,7 +348,7 @@ def flag_rows(
             ids = [*rules.payloads, *[c for c, _ in pairs]]
             if pairs:
                 keys = _prefixed(_codes(asked, ["email", "first", "last", "full"]), ["email", "first", "last", "full"])
-                condition = _equal(pairs, case_insensitive) & _payload_holds_all(rules)
+                condition = _equal(pairs, case_insensitive) & _payload_holds_all(rules, lower_email=case_insensitive)
                 hits = df.select(*ids).join(side(keys), condition)
             else:
                 hits = _search_all(df.select(*ids), rules, _all_needles(rules, subjects))
@@ -360,7 +364,7 @@ def flag_rows(
                 df = _flag_on(df, [(column, "email")], by_email, side, new_flag(), case_insensitive)
         if by_payload is not None:
             texts = list(rules.payloads)
-            hits = _payload_hits(df.select(*texts), rules, subjects, by_payload)
+            hits = _payload_hits(df.select(*texts), rules, subjects, by_payload, case_insensitive)
             df = _flag_from_hits(df, hits, texts, new_flag())
         if by_name is not None:
             df = _flag_on(df, _scalar_bindings(rules, False), by_name, side, new_flag())

@@ -36,15 +36,22 @@ def apply_policies(
     """
     if set(principal_groups) & set(exempt_groups):
         return df
-    unknown = {t for c, t in column_policies.items() if c in df.columns} - set(policies)
+    # names as Spark resolves them: a tag that missed its column would leave it in clear
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    named = {c if exact else c.lower(): t for c, t in column_policies.items()}
+    own = {c if exact else c.lower() for c in df.columns}
+    if set(named) - own:
+        raise ValueError(f"tags name columns that the table does not have: {sorted(set(named) - own)}")
+    unknown = set(named.values()) - set(policies)
     if unknown:
         raise ValueError(f"columns are tagged with types that have no policy: {sorted(unknown)}")
 
     def shown(field) -> Column:
-        if field.name not in column_policies:
+        tag = named.get(field.name if exact else field.name.lower())
+        if tag is None:
             return F.col(field.name)
         mask = mask_variant if isinstance(field.dataType, VariantType) else mask_expr
-        return mask(field.name, policies[column_policies[field.name]], **options).alias(field.name)
+        return mask(field.name, policies[tag], **options).alias(field.name)
 
     return df.select(*[shown(field) for field in df.schema.fields])
 

@@ -44,11 +44,10 @@ def classifier_tags(column_tags: DataFrame) -> DataFrame:
     result has one row per column whatever the order of the input.
     """
     known = column_tags.where(F.col("tag_name").isin(*CLASSIFIER_TYPES))
-    kind = (
-        F.when(F.col("tag_name") == "class.email_address", F.lit("1email"))
-        .when(F.col("tag_name") == "class.name", F.lit("2name"))
-        .otherwise(F.lit("3other"))
-    )
+    ranked = {"email": "1email", "name": "2name"}
+    kind = F.lit(None).cast("string")
+    for tag, pii_type in CLASSIFIER_TYPES.items():
+        kind = F.when(F.col("tag_name") == tag, ranked.get(pii_type, f"3{pii_type}")).otherwise(kind)
     return known.groupBy("table_name", "column_name").agg(
         F.substring(F.min(kind), 2, 16).alias("pii_type")
     )

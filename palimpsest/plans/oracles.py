@@ -603,7 +603,7 @@ def all_oracles() -> dict[str, str]:
         "intake_pending": with_ctes("SELECT * FROM queue WHERE status = 'PENDING'", "queue"),
         "intake_number_requests": with_ctes(
             "SELECT 'REQ-' || CASE WHEN n > 9999 THEN n::VARCHAR ELSE lpad(n::VARCHAR, 4, '0') END AS request_id, email "
-            "FROM (SELECT email, row_number() OVER (ORDER BY email) AS n FROM person WHERE c_acctbal < 0)", "person"),
+            "FROM (SELECT email, row_number() OVER (ORDER BY email) AS n FROM person)", "person"),
         "intake_next_number": with_ctes(
             "SELECT max(split_part(request_id, '-', 2)::INTEGER) + 1 AS next_number FROM queue", "queue"),
         "intake_candidates": with_ctes(

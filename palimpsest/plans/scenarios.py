@@ -18,7 +18,7 @@ from palimpsest.operators import erasure, matching, validation
 from palimpsest.operators.policy_views import apply_policies, materialize_masked
 from palimpsest.operators.registry import rules_by_table
 from palimpsest.plans import testdata
-from palimpsest.session import scratch_dir, scratch_epoch, spread, written
+from palimpsest.session import scratch_dir, scratch_epoch, written
 from palimpsest.sources import landing, paths
 from palimpsest.sources.rewrite import replace_table
 from palimpsest.streaming.medallion import Erasure, Lakehouse
@@ -38,7 +38,7 @@ def once(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], object
 
 def stored(spark: SparkSession, sf_dir: str, name: str, derive: Callable[[], DataFrame]) -> DataFrame:
     """A derived table, written once and then scanned like any table."""
-    return once(spark, f"table-{name}", sf_dir, lambda: written(spread(derive()), name))
+    return once(spark, f"table-{name}", sf_dir, lambda: written(derive(), name))
 
 
 def erasure_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -109,7 +109,7 @@ SECOND_WAVE = "event_type = 'error'"
 
 def _land(spark: SparkSession, sf_dir: str, folder: str, wave: str) -> None:
     events = raw_events(spark, sf_dir).where(wave)
-    landing.write_landing(events, folder, files=max(8, events.rdd.getNumPartitions()))
+    landing.write_landing(events, folder, files=8)
 
 
 def story(spark: SparkSession, sf_dir: str, latest_only: bool = False) -> Story:

@@ -82,12 +82,6 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core when a small input came as fewer partitions than there are cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _cell_bytes(value, kind):
     """Bytes a value takes in a row; collections by their elements."""
     if isinstance(kind, (StringType, BinaryType)):

@@ -137,6 +137,12 @@ def scrub_landing(
         reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
         return reader.text(where)
 
+    # a line whose owner cannot be read could hold anybody: nothing is rewritten until it is mended
+    broken = lines(landing).where(F.trim("value") != "").where(F.try_parse_json("value").isNull())
+    where = [r[0] for r in broken.select("_metadata.file_path").distinct().limit(5).collect()]
+    if where:
+        raise ValueError(f"landing lines that are not JSON, so that their owner is unknown, in {where} and perhaps more files")
+
     user = F.get_json_object("value", "$.user_id").alias("user_id")
     found = lines(landing).select("_metadata", user)
     files = affected_files(found, modes, "user_id")
