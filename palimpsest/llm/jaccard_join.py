@@ -162,7 +162,7 @@ def links(rows: DataFrame, light: DataFrame) -> DataFrame:
     wanted = kept.select("cls").distinct().join(light, "cls").groupBy("cls").agg(F.min(F.struct("_k1", "_k2")).alias("k"))
     sets = written(_sets(rows, wanted.select("cls", "k._k1", "k._k2")), "jaccard-sets")
 
-    pivots = kept.groupBy("token").agg(F.max(F.struct("plain", "cls", "n", "pos")).alias("p"))
+    pivots = kept.groupBy("token").agg(F.max(F.struct("plain", "cls", "n", "pos")).alias("p"), F.count("*").alias("sets")).filter("sets > 1")
     pivots = pivots.select("token", F.col("p.cls").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.pos").alias("pp"))
     listed = kept.join(pivots, "token")
     first = listed.filter("cls <> pivot").filter(_enough("n", "pos", "pn", "pp"))
@@ -175,7 +175,7 @@ def links(rows: DataFrame, light: DataFrame) -> DataFrame:
         f"cast(floor(ln(n) / ln({DEN} / {NUM})) AS long) AS block",
     )
     marked = written(marked, "jaccard-marked")
-    left = marked.filter("NOT near").selectExpr("token", "cls AS a", "n AS n1", "pos AS p1", "d AS d1", "explode(sequence(block - 2, block + 2)) AS block")
+    left = marked.filter("NOT near").selectExpr("token", "cls AS a", "n AS n1", "pos AS p1", "d AS d1", "explode(sequence(block - 1, block + 1)) AS block")
     right = marked.selectExpr("token", "cls AS b", "n AS n2", "pos AS p2", "d AS d2", "near AS near2", "block")
     rest = left.join(right, ["token", "block"]).filter("a <> b AND (near2 OR a < b)").filter(_enough("n1", "p1", "n2", "p2"))
     rest = rest.filter(f"d1 IS NULL OR d2 IS NULL OR abs(d1 - d2) <= 1 - {NUM} / {DEN} + 1e-9").select("a", "b").distinct()
