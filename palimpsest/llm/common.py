@@ -244,4 +244,7 @@ def trained(sample: DataFrame, train: Callable[[list[bytes], list[int]], tuple[n
     rows = sample.select("_text", F.col("y").cast("long").alias("y")).toArrow()
     texts, labels = [t.as_py().encode() for t in rows.column(0)], rows.column(1).to_pylist()
     del rows
-    return [np.atleast_1d(np.asarray(x, np.float64)) for x in train(texts, labels)]
+    made = [np.atleast_1d(np.asarray(x, np.float64)) for x in train(texts, labels)]
+    del texts
+    pa.default_memory_pool().release_unused()
+    return made

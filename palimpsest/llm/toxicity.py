@@ -27,8 +27,8 @@ GRAMS = (3, 4, 5)
 WINDOW_WORDS = 1
 HOP = 1
 #: At most so many labelled rows of each label, none longer than so many bytes, are learned from.
-SAMPLE_ROWS = {0: 3500, 1: 1200}
-SAMPLE_BYTES = 12_000
+SAMPLE_ROWS = {0: 2500, 1: 1000}
+SAMPLE_BYTES = 8_000
 EPOCHS = 30
 RATE = 0.3
 THRESHOLD = 0.3
