@@ -10,6 +10,8 @@ from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, Struct
 
 BROADCAST_BYTES_CONF = "palimpsest.broadcast.maxBytes"
 DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
+#: Shuffle files go when the query that made them ends: what was written stands for them.
+DROP_SHUFFLES_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _made: dict[str, list[str]] = {}
 _releases: dict[str, int] = {}
@@ -77,9 +79,15 @@ def scratch_epoch(spark: SparkSession) -> tuple[str, int]:
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage through a parquet table in the scratch folder and read it back."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    before = spark.conf.get(DROP_SHUFFLES_CONF)
+    spark.conf.set(DROP_SHUFFLES_CONF, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES_CONF, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _cell_bytes(value, kind):
