@@ -1,8 +1,4 @@
-"""Every leaf of a JSON text column as (path, values), in one narrow pass.
-
-The document shape is found by one distributed aggregate; after that each path
-is a plain field access, so no document is exploded level by level.
-"""
+"""Leaves of a JSON text column: as (path, value) rows, or as columns of a merged shape."""
 
 from __future__ import annotations
 
@@ -21,21 +17,15 @@ def _stringly(shape: DataType) -> DataType:
     return StringType()
 
 
-MAX_SHAPE_CHARS = 4_000_000
-
-
 def document_schema(df: DataFrame, column: str) -> DataType:
     """Merged shape of all documents of a column, with every leaf read as text.
 
-    The shape comes to the driver, as any schema does.  Documents whose *keys*
-    are data (ids as field names) have no bounded shape, which is an error here
-    rather than a silent cut.
+    The shape comes to the driver, as any schema does: for documents whose keys
+    are names, not data.  ``with_leaves`` needs no shape.
     """
     shape = df.select(F.schema_of_variant_agg(F.try_parse_json(column)).alias("s")).first()["s"]
     if not shape or not re.match(r"(OBJECT|ARRAY)<", shape):
         return StringType()
-    if len(shape) > MAX_SHAPE_CHARS:
-        raise ValueError(f"the documents of {column!r} use data as field names; their paths cannot be listed")
     return _stringly(DataType.fromDDL(re.sub(r"\bOBJECT<", "STRUCT<", shape)))
 
 
@@ -62,16 +52,38 @@ def leaf_columns(doc: Column, shape: DataType) -> list[tuple[str, Column]]:
     return walk("$", shape, F.array(doc))
 
 
-def with_leaves(df: DataFrame, column: str, keep: list[str] | None = None) -> DataFrame:
-    """One row per (row, leaf path) with the array of its values in that document."""
-    shape = document_schema(df, column)
-    if isinstance(shape, StringType):
-        return df.select(*(keep or []), F.lit("$").alias("path"), F.array(column).alias("values"))
-    doc = F.from_json(F.col(column), shape)
-    pairs = leaf_columns(F.col("_doc"), shape)
-    entries = F.array(*[F.struct(F.lit(p).alias("path"), v.alias("values")) for p, v in pairs])
-    return (
-        df.select(*(keep or []), doc.alias("_doc"))
-        .select(*(keep or []), F.explode(entries).alias("_leaf"))
-        .select(*(keep or []), "_leaf.path", "_leaf.values")
+_QUOTED = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+
+
+def depth(df: DataFrame, column: str) -> int:
+    """How deep the deepest document of the column nests: one narrow pass, one number back."""
+    brackets = F.regexp_extract_all(F.regexp_replace(column, _QUOTED, ""), F.lit(r"([\[\]{}])"), F.lit(1))
+    level = F.aggregate(
+        brackets,
+        F.struct(F.lit(0).alias("at"), F.lit(0).alias("top")),
+        lambda s, b: F.struct(
+            (s["at"] + F.when(b.isin("{", "["), 1).otherwise(-1)).alias("at"),
+            F.greatest(s["top"], s["at"] + F.when(b.isin("{", "["), 1).otherwise(-1)).alias("top"),
+        ),
     )
+    documents = df.where(F.try_parse_json(column).isNotNull())
+    return documents.agg(F.max(level["top"]).alias("d")).first()["d"] or 0
+
+
+def with_leaves(df: DataFrame, column: str) -> DataFrame:
+    """``path, value``: one row per leaf of every document, whatever shapes the documents have.
+
+    Objects and arrays are opened level by level in one narrow pass, so paths are rows:
+    a field that is text here and an object there gives both paths, keys keep their case,
+    a scalar document is the path ``$``, and so is a text that is no JSON.  Nulls and
+    empty containers have no leaf.  Numbers are compared by value, not by spelling.
+    """
+    spark = df.sparkSession
+    levels = depth(df, column)
+    rows = df.select(F.lit("$").alias("path"), F.coalesce(F.try_parse_json(column), F.col(column).cast("variant")).alias("v"))
+    for _ in range(levels):
+        opened = spark.sql("SELECT path, v, pos, key, value FROM {rows}, LATERAL variant_explode_outer(v)", rows=rows)
+        step = F.when(F.col("pos").isNull(), "").when(F.col("key").isNull(), "[]").otherwise(F.concat(F.lit("."), "key"))
+        rows = opened.select(F.concat("path", step).alias("path"), F.when(F.col("pos").isNull(), F.col("v")).otherwise(F.col("value")).alias("v"))
+    leaf = ~F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)<")
+    return rows.where(leaf).select("path", F.col("v").cast("string").alias("value")).where("value IS NOT NULL")

@@ -26,7 +26,6 @@ def path_profile(df: DataFrame, column: str, detectors: Mapping[str, str] = DETE
     """
     counted = (
         json_paths.with_leaves(df, column)
-        .select("path", F.explode("values").alias("value"))
         .groupBy("path", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )

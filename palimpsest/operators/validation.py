@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from palimpsest.functions import json_paths
 from palimpsest.functions.masking import ERASED_TOKEN, MASK_TOKEN
@@ -296,7 +297,8 @@ def structure_changes(df: DataFrame, original: str, masked: str) -> DataFrame:
     Both documents sit in the same row, so they are compared in place: no join.
     """
     shape = json_paths.document_schema(df, original)
-    both = df.select(F.from_json(original, shape).alias("_a"), F.from_json(masked, shape).alias("_b"))
+    read = F.col if isinstance(shape, StringType) else lambda c: F.from_json(c, shape)
+    both = df.select(read(original).alias("_a"), read(masked).alias("_b"))
     before = json_paths.leaf_columns(F.col("_a"), shape)
     after = dict(json_paths.leaf_columns(F.col("_b"), shape))
     entries = F.array(

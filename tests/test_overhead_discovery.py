@@ -68,3 +68,15 @@ def test_discovery(spark):
     assert (rows["$.t"]["values"], rows["$.t"]["distinct_values"]) == (2, 1)
     found = {r["path"]: (r["pii_type"], r["score"]) for r in discovery.propose_paths(profile).collect()}
     assert found == {"$.c.email": ("email", 0.6667), "$.c.phone": ("phone", 1.0), "$.l[].who": ("person_name", 1.0)}
+
+
+def test_discovery_of_mixed_shapes(spark):
+    docs = ['{"a":"x","Email":"1"}', '{"a":{"b":"me@x.com"},"email":"2"}', '"alone@x.org"', "7", None, "{broken", '{"e":{},"l":[],"n":null}',
+            '{"q":"a \\" { [ b","l":[[1],[{"k":true}]]}', "[]", '{"id9":1}']
+    df = spark.createDataFrame([(d, "p") for d in docs], "doc string, path string")
+    rows = {r["path"]: (r["values"], r["email_hits"]) for r in discovery.path_profile(df, "doc").collect()}
+    assert rows == {
+        "$.a": (1, 0), "$.Email": (1, 0), "$.a.b": (1, 1), "$.email": (1, 0), "$": (3, 1), "$.q": (1, 0),
+        "$.l[][]": (1, 0), "$.l[][].k": (1, 0), "$.id9": (1, 0),
+    }
+    assert discovery.path_profile(df.limit(0), "doc").count() == 0
