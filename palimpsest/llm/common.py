@@ -203,15 +203,16 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
     Large-star and small-star rounds on (u, v) with u > v; each round is a written
     table, so a lost executor repeats one round.  Minima are aggregated before the
-    shuffle and the joins split a hub's rows, so a component of any size is spread.
+    shuffle and written, so the join with a hub's rows broadcasts them or is one that
+    adaptive execution splits.
     """
     links = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v")
     links = written(links.mapInPandas(_forest, "u long, v long").filter("u <> v").distinct(), label)
     seen = None
     while True:
         both = links.unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        low = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), label)
+        large = both.filter("v > u").join(small_side(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(low.select("u", F.col("m").alias("v")))

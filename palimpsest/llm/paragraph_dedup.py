@@ -6,8 +6,9 @@ Bands are tuned to a recall; paragraphs that collide in a band are compared with
 band's pivot by the exact Jaccard similarity of their word shingles, linked ones are
 clustered, and one occurrence of each cluster stays.
 
-Counting and pivots are aggregated before each shuffle; a paragraph that stands in a
-third of all texts is one class whose occurrences are never in one place.
+Equal paragraphs are counted into one class before bands are built, so a paragraph that
+stands in a third of all texts is one row there; its occurrences meet its fate in a join
+that broadcasts, or that adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -93,8 +94,11 @@ class Paragraphs:
         return np.unique(self.rolled[self.first[k] : self.last[k]]).tobytes()
 
 
-def colliding(rows: DataFrame) -> DataFrame:
-    """(key, cls, _k1, _k2, start, end) of every paragraph in a band where others are."""
+KEYS = [f"b{k}" for k in range(BANDS)]
+
+
+def paragraphs(rows: DataFrame) -> DataFrame:
+    """(cls, one key per band, _k1, _k2, place) of every paragraph; place holds its byte span."""
 
     def run(batches):
         for batch in batches:
@@ -102,15 +106,17 @@ def colliding(rows: DataFrame) -> DataFrame:
             for row, _, data, offsets in slices(batch, "_text"):
                 p = Paragraphs(data, offsets)
                 d = row + p.doc
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(d) + 1) * BANDS, pa.int32()), pa.array(p.keys.ravel()))
-                yield pa.RecordBatch.from_arrays(
-                    [lists, longs(p.cls), longs(k1[d]), longs(k2[d]), pa.array((p.start << 32) | p.end)], ["keys", "cls", "_k1", "_k2", "place"]
-                )
+                columns = [p.cls, *p.keys.T, k1[d], k2[d], (p.start << 32) | p.end]
+                yield pa.RecordBatch.from_arrays([longs(c) for c in columns], ["cls", *KEYS, "_k1", "_k2", "place"])
+
+    schema = ", ".join(f"{name} long" for name in ("cls", *KEYS, "_k1", "_k2", "place"))
+    return rows.select("_k1", "_k2", "_text").mapInArrow(run, schema)
 
-    got = rows.select("_k1", "_k2", "_text").mapInArrow(run, "keys array<long>, cls long, _k1 long, _k2 long, place long")
-    entries = got.select(F.explode("keys").alias("key"), "cls", "_k1", "_k2", "place")
-    crowded = entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    return entries.join(crowded, "key")
+
+def classes_of(found: DataFrame) -> DataFrame:
+    """(cls, n, at, band keys): each distinct paragraph once, counted, with its smallest place."""
+    at = F.min(F.struct("_k1", "_k2", "place")).alias("at")
+    return found.groupBy("cls").agg(F.count("*").alias("n"), at, *[F.min(key).alias(key) for key in KEYS])
 
 
 def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -129,13 +135,19 @@ def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "cls long, tokens binary").dropDuplicates(["cls"])
 
 
-def linked(rows: DataFrame, live: DataFrame) -> DataFrame:
-    """(u, v): classes whose similarity to their band's pivot reaches the threshold."""
-    pivots = live.groupBy("key").agg(F.min("cls").alias("pivot"), F.max("cls").alias("other")).filter("pivot < other").select("key", "pivot")
-    pairs = live.select("key", "cls").distinct().join(pivots, "key").filter("cls <> pivot").select("cls", "pivot").distinct()
+def linked(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """(u, v): classes whose similarity to their band's pivot reaches the threshold.
+
+    Pivots are a written table, so that the join with a band of many classes is one
+    between plain scans, which adaptive execution splits.
+    """
+    entries = classes.select(F.explode(F.array(*KEYS)).alias("key"), "cls")
+    pivots = entries.groupBy("key").agg(F.min("cls").alias("pivot"), F.max("cls").alias("other")).filter("pivot < other")
+    pivots = written(pivots.select("key", "pivot"), "paragraph-pivots")
+    pairs = entries.join(small_side(pivots), "key").filter("cls <> pivot").select("cls", "pivot").distinct()
     pairs = written(pairs, "paragraph-pairs")
-    named = pairs.select("cls").union(pairs.select("pivot")).distinct()
-    wanted = live.join(named, "cls").groupBy("cls").agg(F.min(F.struct("_k1", "_k2")).alias("k")).select("cls", "k._k1", "k._k2")
+    named = written(pairs.select("cls").union(pairs.select("pivot")).distinct(), "paragraph-named")
+    wanted = classes.join(small_side(named), "cls").select("cls", "at._k1", "at._k2")
     sets = written(_sets(rows, wanted), "paragraph-sets")
     sides = pairs.join(sets.select(F.col("cls").alias("pivot"), F.col("tokens").alias("tb")), "pivot").join(sets, "cls")
 
@@ -155,14 +167,16 @@ def linked(rows: DataFrame, live: DataFrame) -> DataFrame:
 
 def spans_to_remove(rows: DataFrame) -> DataFrame:
     """(_k1, _k2, spans): byte spans of the paragraphs that repeat one that stays."""
-    live = written(colliding(rows), "paragraph-live")
-    grouped = components(linked(rows, live), "paragraph-components")
-    places = live.select("cls", "_k1", "_k2", "place").distinct().join(grouped, F.col("cls") == F.col("node"), "left")
-    places = places.select(F.coalesce("component", "cls").alias("component"), F.struct("_k1", "_k2", "place").alias("at"))
-    kept = places.groupBy("component").agg(F.min("at").alias("one"), F.count("*").alias("n")).filter("n > 1")
-    gone = places.join(kept, "component").filter("at <> one")
-    span = F.struct(F.shiftright(F.col("at.place"), 32).alias("start"), F.expr("at.place & 4294967295").alias("end"))
-    return gone.select("at._k1", "at._k2", span.alias("span")).groupBy("_k1", "_k2").agg(F.sort_array(F.collect_list("span")).alias("spans"))
+    found = written(paragraphs(rows), "paragraph-places")
+    classes = written(classes_of(found), "paragraph-classes")
+    grouped = components(linked(rows, classes), "paragraph-components").withColumnRenamed("node", "cls")
+    members = classes.select("cls", "n", "at").join(grouped, "cls", "left").filter("n > 1 or component is not null")
+    members = written(members.select("cls", F.coalesce("component", "cls").alias("component"), "at"), "paragraph-members")
+    kept = written(members.groupBy("component").agg(F.min("at").alias("one")), "paragraph-kept")
+    fates = written(members.join(small_side(kept), "component").select("cls", "one"), "paragraph-fates")
+    gone = found.select("cls", "_k1", "_k2", "place").join(small_side(fates), "cls").filter(F.struct("_k1", "_k2", "place") != F.col("one"))
+    span = F.struct(F.shiftright("place", 32).alias("start"), F.expr("place & 4294967295").alias("end"))
+    return gone.groupBy("_k1", "_k2").agg(F.sort_array(F.collect_set(span)).alias("spans"))
 
 
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
