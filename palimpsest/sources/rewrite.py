@@ -126,26 +126,31 @@ def redact_json_line(line, token: str = ERASED_TOKEN):
     return F.to_json(F.transform_values(record, field), {"ignoreNullFields": "false"})
 
 
-def scrub_landing(
-    spark: SparkSession, landing: str, modes: DataFrame, token: str = ERASED_TOKEN
-) -> dict[str, int]:
-    """Erase users from the source files themselves, so that a full rebuild cannot bring them back.
+def _lines(spark: SparkSession, where: str | list[str]) -> DataFrame:
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
+    return reader.text(where)
 
-    Lines of other users pass through as they are, byte for byte.
-    """
-    def lines(where: str | list[str]) -> DataFrame:
-        reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
-        return reader.text(where)
 
+def landing_files(spark: SparkSession, landing: str, modes: DataFrame) -> DataFrame:
+    """The source files that hold a line of the users in ``modes``; lines that are not JSON are an error."""
     # a line whose owner cannot be read could hold anybody: nothing is rewritten until it is mended
-    broken = lines(landing).where(F.trim("value") != "").where(F.try_parse_json("value").isNull())
+    lines = _lines(spark, landing)
+    broken = lines.where(F.trim("value") != "").where(F.try_parse_json("value").isNull())
     where = [r[0] for r in broken.select("_metadata.file_path").distinct().limit(5).collect()]
     if where:
         raise ValueError(f"landing lines that are not JSON, so that their owner is unknown, in {where} and perhaps more files")
-
     user = F.get_json_object("value", "$.user_id").alias("user_id")
-    found = lines(landing).select("_metadata", user)
-    files = affected_files(found, modes, "user_id")
+    return affected_files(lines.select("_metadata", user), modes, "user_id")
+
+
+def scrub_landing(
+    spark: SparkSession, landing: str, modes: DataFrame, token: str = ERASED_TOKEN
+) -> dict[str, int]:
+    """Erase users from the source files themselves, so that a full rebuild cannot bring them back.
+
+    Lines of other users pass through as they are, byte for byte.
+    """
+    files = landing_files(spark, landing, modes)
 
     def change(rows: DataFrame) -> DataFrame:
         side = broadcast_if_small(modes.select("user_id", MODE))
@@ -156,24 +161,30 @@ def scrub_landing(
         text = F.when(F.col(MODE) == OBFUSCATE_CODE, redact_json_line(F.col("value"), token))
         return kept.select(F.coalesce(text, F.col("value")).alias("value"), _FILE)
 
-    return rewrite_files(spark, files, lines, change, "text")
+    return rewrite_files(spark, files, lambda where: _lines(spark, where), change, "text")
 
 
 # --- parquet layers ------------------------------------------------------------------
 
 
+def _layer_rows(spark: SparkSession, schema, where: str | list[str]) -> DataFrame:
+    reader = spark.read.schema(schema).option("pathGlobFilter", "*.parquet")
+    return reader.option("recursiveFileLookup", "true").parquet(*([where] if isinstance(where, str) else where))
+
+
+def layer_files(spark: SparkSession, layer: str, schema, modes: DataFrame) -> DataFrame:
+    """The files of a parquet layer that hold a row of the users in ``modes``."""
+    return affected_files(_layer_rows(spark, schema, layer), modes, "user_id")
+
+
 def erase_layer_files(
     spark: SparkSession, layer: str, schema, modes: DataFrame, token: str = ERASED_TOKEN
 ) -> dict[str, int]:
     """Erase users from a parquet layer in place, file by file."""
-    def rows(where: str | list[str]) -> DataFrame:
-        reader = spark.read.schema(schema).option("pathGlobFilter", "*.parquet")
-        return reader.option("recursiveFileLookup", "true").parquet(*([where] if isinstance(where, str) else where))
-
     return rewrite_files(
         spark,
-        affected_files(rows(layer), modes, "user_id"),
-        rows,
+        layer_files(spark, layer, schema, modes),
+        lambda where: _layer_rows(spark, schema, where),
         lambda df: erase_layer(df, modes, token),
         "parquet",
     )

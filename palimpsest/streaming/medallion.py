@@ -10,6 +10,7 @@ own path, which is why a downstream stream never sees an erasure as new data.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -230,6 +231,28 @@ class Lakehouse:
 
     # --- erasure --------------------------------------------------------------------------------
 
+    def _resolve(self, requests: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Requests asked for, the users they name, and the mode of each user, all written down."""
+        pending = requests.where(F.col("status") == "PENDING")
+        asked = written(pending.select("request_id"), "asked")
+        resolved = written(matching.resolve_subject_keys(self.raw(), pending), "resolved")
+        return asked, resolved, written(matching.user_modes(resolved), "modes")
+
+    def plan(self, requests: DataFrame) -> DataFrame:
+        """Dry run of ``erase``: ``layer, rows, files`` it would touch; no layer, file or request changes.
+
+        ``files`` is null for gold, which is recomputed and not rewritten.
+        """
+        _, _, modes = self._resolve(requests)
+        stored = (("raw", RAW_SCHEMA), ("bronze", RAW_SCHEMA), ("silver", self.silver_schema))
+        found = {name: rewrite.layer_files(self.spark, self._layer(name), schema, modes) for name, schema in stored}
+        found["landing"] = rewrite.landing_files(self.spark, self.landing, modes)
+        named = [df.select(F.lit(name).alias("layer")) for name, df in found.items()]
+        files = reduce(DataFrame.unionAll, named).groupBy("layer").agg(F.count(F.lit(1)).alias("files"))
+        rows = erasure.layer_match_counts({**self.all_layers(), "landing": self.files()}, modes)
+        none = F.when(F.col("layer") != "gold", F.lit(0).cast("long"))
+        return rows.join(files, "layer", "left").select("layer", "rows", F.coalesce("files", none).alias("files"))
+
     def erase(self, requests: DataFrame, token: str = ERASED_TOKEN, scrub_files: bool = True) -> "Erasure":
         """Erase all PENDING requests from the source files and every layer.
 
@@ -238,10 +261,7 @@ class Lakehouse:
         The resolved keys are written down, because raw loses them in the end.
         Gold is recomputed only if something was deleted.
         """
-        pending = requests.where(F.col("status") == "PENDING")
-        asked = written(pending.select("request_id"), "asked")
-        resolved = written(matching.resolve_subject_keys(self.raw(), pending), "resolved")
-        modes = written(matching.user_modes(resolved), "modes")
+        asked, resolved, modes = self._resolve(requests)
         before = validation.kept(erasure.layer_match_counts(self.all_layers(), modes))
         changed = {}
         if scrub_files:
@@ -279,9 +299,11 @@ class Erasure:
     def passed(self) -> bool:
         return self.violations().where("violations > 0").isEmpty()
 
-    def complete(self, requests: DataFrame) -> DataFrame:
+    def complete(self, requests: DataFrame, scrub: bool = False, token: str = ERASED_TOKEN) -> DataFrame:
         """The queue with this run's requests COMPLETE (also those that matched nothing);
-        requests that arrived since stay open."""
+        requests that arrived since stay open.  ``scrub`` puts the token for their addresses."""
         if not self.passed():
             raise RuntimeError("the erasure left a trace; the requests stay PENDING")
+        if scrub:
+            return erasure.scrub_queue(requests, self.asked, token, ("subject_email",))
         return erasure.complete_requests(requests, self.asked)

@@ -66,6 +66,11 @@ def test_whole_story(spark, zone):
                   ("ghost@example.com", "DELETE"))
     files = sorted((zone / "landing/initial").glob("*.json"))
     before = {f.name: f.read_bytes() for f in files}
+    planned = {r["layer"]: (r["rows"], r["files"]) for r in house.plan(asked).collect()}
+    assert planned["landing"] == (15, 3) and planned["gold"] == (3, None)
+    assert all(planned[name][0] == 15 and 1 <= planned[name][1] for name in ("raw", "bronze", "silver"))
+    assert counts(house) == (200, 200, 200, 40)
+    assert {f.name: f.read_bytes() for f in files} == before
     run = house.erase(asked)
 
     assert run.gold_refreshed
@@ -83,6 +88,8 @@ def test_whole_story(spark, zone):
     assert {r["request_id"]: r["status"] for r in done.collect()} == {
         "REQ-001": "COMPLETE", "REQ-002": "COMPLETE", "REQ-003": "COMPLETE", "REQ-004": "COMPLETE", "REQ-99": "PENDING",
     }
+    scrubbed = run.complete(asked, scrub=True)
+    assert {r["subject_email"] for r in scrubbed.collect()} == {ERASED_TOKEN}
     for df in (*house.base_layers().values(), house.files()):
         kept = df.where("user_id = 'U000009'").collect()
         assert len(kept) == 5
