@@ -150,15 +150,17 @@ def refined(cells: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
     """(repeated, open): cells all of whose windows repeat, and cells to split further.
 
     open holds cells whose core repeats but whose whole does not, and one cell of each
-    repeated whole with such a core.
+    repeated whole with such a core.  Counted keys are written before they are joined, so
+    that adaptive execution can split the cells of a very common core.
     """
-    cores = cells.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
+    cores = written(cells.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core"), f"{label}-cores")
     live = written(cells.join(cores, "core"), f"{label}-live")
     place = F.struct("_k1", "_k2", "p", "lo")
     wholes = live.filter("u1 IS NOT NULL").groupBy("u1", "u2").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1")
+    wholes = written(wholes, f"{label}-wholes")
     marked = live.join(wholes, ["u1", "u2"], "left")
     marked = written(marked.select(*live.columns, F.col("n").isNotNull().alias("again"), (place == F.col("first")).alias("one")), f"{label}-marked")
-    unsure = marked.filter("NOT again").select("core").distinct()
+    unsure = written(marked.filter("NOT again").select("core").distinct(), f"{label}-unsure")
     asked = marked.filter("NOT again OR one").join(unsure, "core", "left_semi").select("_k1", "_k2", "lo", "hi", "p")
     return marked.filter("again").select("_k1", "_k2", "lo", "hi"), asked
 
