@@ -36,6 +36,8 @@ NUM, DEN = 75, 100
 COUNTERS = 1 << 20
 SEGMENT = 1 << 16
 FAN_IN = 64
+#: Above every 1000 * log2(counter + 1), whose counters end at 2^32.
+PLAIN = 1 << 16
 
 
 def sets_of(data: np.ndarray, offsets: np.ndarray):
@@ -124,7 +126,7 @@ def prefixes(rows: DataFrame, common: np.ndarray) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([longs(cls), longs(sizes), longs(plain), lists], ["cls", "n", "plain", "tokens"])
 
     got = rows.select("_text").mapInArrow(run, "cls long, n long, plain long, tokens array<long>")
-    return got.select("cls", F.expr("n * 16384 + plain").alias("np"), F.posexplode("tokens").alias("pos", "token"))
+    return got.select("cls", F.expr(f"n * {PLAIN} + plain").alias("np"), F.posexplode("tokens").alias("pos", "token"))
 
 
 def _enough(n1: str, p1: str, n2: str, p2: str):
@@ -158,7 +160,7 @@ def links(rows: DataFrame, light: DataFrame) -> DataFrame:
     entries = prefixes(rows, counters(rows))
     shared = entries.groupBy("token").agg(F.count("*").alias("times")).filter("times > 1").select("token")
     kept = entries.join(shared, "token").groupBy("token", "cls").agg(F.min("np").alias("np"), F.min("pos").alias("pos"))
-    kept = written(kept.selectExpr("token", "cls", "np div 16384 AS n", "np % 16384 AS plain", "pos"), "jaccard-lists")
+    kept = written(kept.selectExpr("token", "cls", f"np div {PLAIN} AS n", f"np % {PLAIN} AS plain", "pos"), "jaccard-lists")
     wanted = kept.select("cls").distinct().join(light, "cls").groupBy("cls").agg(F.min(F.struct("_k1", "_k2")).alias("k"))
     sets = written(_sets(rows, wanted.select("cls", "k._k1", "k._k2")), "jaccard-sets")
 

@@ -78,6 +78,18 @@ def test_jaccard_join(docs, none):
     assert sorted(kept) == [1, 4, 5, 6, 7, 8, 10, 11, 12, 13]
 
 
+def test_jaccard_join_sizes_of_very_common_shingles(spark, monkeypatch):
+    words = [f"w{k}" for k in range(137)]
+    texts = [" ".join(words[:104]), " ".join(words)]  # 100 shared shingles of 133
+    common = np.ones(jaccard_join.COUNTERS, np.int64)
+    data = texts[0].encode()
+    hot = next(iter(jaccard_join.sets_of(np.frombuffer(data, np.uint8), np.array([0, len(data)]))))
+    common[(hot & np.uint64(jaccard_join.COUNTERS - 1)).astype(np.int64)] = 200_000
+    monkeypatch.setattr(jaccard_join, "counters", lambda rows: common)
+    found = jaccard_join.grouped(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert rows_of(found.select("_id", "n", "component_id")) == Counter([(0, 100, 0), (1, 133, 0)])
+
+
 def test_suffix_dedup(docs, none):
     texts = [(t or "").encode() for _, t in TEXTS]
     seen = Counter(t[k : k + 400] for t in texts if len(t) < 10_000 for k in range(len(t) - 399))
