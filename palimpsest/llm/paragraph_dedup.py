@@ -2,9 +2,12 @@
 
 A paragraph is a line, or a piece of a long line between cuts that depend on the words
 around them only, so a passage copied into the middle of other text is cut alike.
-Bands are tuned to a recall; paragraphs that collide in a band are compared with the
-band's pivot by the exact Jaccard similarity of their word shingles, linked ones are
-clustered, and one occurrence of each cluster stays.
+Bands are tuned to a recall, the chance of a pair at the threshold to collide in one.
+All that collide are compared by the exact Jaccard similarity of their word shingles:
+first each with the band's pivot; then those that did not link with it among themselves
+and with the others, unless a component holds both already or their sketches (parities
+of their shingles' bits, which differ in no more bits than the sets in shingles) rule a
+link out.  Linked ones are clustered, and one occurrence of each cluster stays.
 
 Equal paragraphs are counted into one class before bands are built, so a paragraph that
 stands in a third of all texts is one row there; its occurrences meet its fate in a join
@@ -24,27 +27,26 @@ from palimpsest.session import written
 WIDTH = 5
 SIMILAR = 0.75
 RECALL = 0.98
+#: Of one row, a key would be a single shingle, which in a common phrase holds many unrelated paragraphs.
+ROWS = 3
+#: Words of 64 bits in a sketch.
+SKETCH = 2
 #: Shorter paragraphs stay.
 MIN_WORDS = 12
 #: A word cuts a line if its hash is the smallest of so many words on either side.
 REACH = 9
 
 
-def bands(similar: float = SIMILAR, recall: float = RECALL, most_rows: int = 4) -> tuple[int, int]:
-    """(bands, rows) with the fewest bands that reach the recall at the threshold; more rows only if they need no more bands."""
-    choices = []
-    for rows in range(1, most_rows + 1):
-        p = similar**rows
-        choices.append((int(np.ceil(np.log(1 - recall) / np.log(1 - p))), -rows))
-    n, rows = min(choices)
-    return n, -rows
+def bands(similar: float = SIMILAR, recall: float = RECALL, rows: int = ROWS) -> int:
+    """The fewest bands of so many rows that reach the recall at the threshold."""
+    return int(np.ceil(np.log(1 - recall) / np.log(1 - similar**rows)))
 
 
-BANDS, ROWS = bands()
+BANDS = bands()
 
 
 class Paragraphs:
-    """Paragraphs of a slice: text, byte span, shingle range, class and band keys."""
+    """Paragraphs of a slice: text, byte span, shingle range, class, band keys, distinct shingles and sketch."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         starts, ends, first = word_spans(data, offsets)
@@ -75,6 +77,7 @@ class Paragraphs:
         if not len(begin):
             self.cls = np.zeros(0, np.int64)
             self.keys = np.zeros((0, BANDS), np.int64)
+            self.size, self.sketch = np.zeros(0, np.int64), np.zeros((0, SKETCH), np.int64)
             return
         edges = np.stack([self.first, self.last], axis=1).ravel()
         edges[-1] = min(edges[-1], len(self.rolled))
@@ -87,18 +90,32 @@ class Paragraphs:
                 salted = mix(wide ^ STEP[10 + band * ROWS + row])
                 salted[-1] = np.iinfo(np.uint64).max
                 got = mix(got * STEP[5] + np.minimum.reduceat(salted, edges)[::2])
-            keys.append(got.view(np.int64))
+            keys.append((np.int64(band) << 32) | (got >> np.uint64(32)).astype(np.int64))
         self.keys = np.stack(keys, axis=1)
+        count = self.last - self.first
+        at = np.cumsum(count) - count
+        owner = np.repeat(np.arange(len(count)), count)
+        values = self.rolled[np.repeat(self.first - at, count) + np.arange(len(owner))]
+        values = values[np.lexsort((values, owner))]
+        once = np.ones(len(values), bool)
+        once[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+        self.size = np.add.reduceat(once.astype(np.int64), at)
+        values = mix(values ^ STEP[4])
+        bit = once.astype(np.uint64) << (values & np.uint64(63))
+        word = (values >> np.uint64(6)) % np.uint64(SKETCH)
+        self.sketch = np.stack([np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), at).view(np.int64) for w in range(SKETCH)], axis=1)
 
     def tokens(self, k: int) -> bytes:
         return np.unique(self.rolled[self.first[k] : self.last[k]]).tobytes()
 
 
 KEYS = [f"b{k}" for k in range(BANDS)]
+BITS = [f"s{k}" for k in range(SKETCH)]
+OF_CLASS = [*KEYS, "size", *BITS]
 
 
 def paragraphs(rows: DataFrame) -> DataFrame:
-    """(cls, one key per band, _k1, _k2, place) of every paragraph; place holds its byte span."""
+    """(cls, one key per band, size, sketch, _k1, _k2, place) of every paragraph; place holds its byte span."""
 
     def run(batches):
         for batch in batches:
@@ -106,17 +123,17 @@ def paragraphs(rows: DataFrame) -> DataFrame:
             for row, _, data, offsets in slices(batch, "_text"):
                 p = Paragraphs(data, offsets)
                 d = row + p.doc
-                columns = [p.cls, *p.keys.T, k1[d], k2[d], (p.start << 32) | p.end]
-                yield pa.RecordBatch.from_arrays([longs(c) for c in columns], ["cls", *KEYS, "_k1", "_k2", "place"])
+                columns = [p.cls, *p.keys.T, p.size, *p.sketch.T, k1[d], k2[d], (p.start << 32) | p.end]
+                yield pa.RecordBatch.from_arrays([longs(c) for c in columns], ["cls", *OF_CLASS, "_k1", "_k2", "place"])
 
-    schema = ", ".join(f"{name} long" for name in ("cls", *KEYS, "_k1", "_k2", "place"))
+    schema = ", ".join(f"{name} long" for name in ("cls", *OF_CLASS, "_k1", "_k2", "place"))
     return rows.select("_k1", "_k2", "_text").mapInArrow(run, schema)
 
 
 def classes_of(found: DataFrame) -> DataFrame:
-    """(cls, n, at, band keys): each distinct paragraph once, counted, with its smallest place."""
+    """(cls, n, at, band keys, size, sketch): each distinct paragraph once, counted, with its smallest place."""
     at = F.min(F.struct("_k1", "_k2", "place")).alias("at")
-    return found.groupBy("cls").agg(F.count("*").alias("n"), at, *[F.min(key).alias(key) for key in KEYS])
+    return found.groupBy("cls").agg(F.count("*").alias("n"), at, *[F.min(name).alias(name) for name in OF_CLASS])
 
 
 def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -135,21 +152,12 @@ def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "cls long, tokens binary").dropDuplicates(["cls"])
 
 
-def linked(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """(u, v): classes whose similarity to their band's pivot reaches the threshold.
-
-    Pivots are a written table, so that the join with a band of many classes is one
-    between plain scans, which adaptive execution splits.
-    """
-    entries = classes.select(F.explode(F.array(*KEYS)).alias("key"), "cls")
-    pivots = entries.groupBy("key").agg(F.min("cls").alias("pivot"), F.max("cls").alias("other")).filter("pivot < other")
-    pivots = written(pivots.select("key", "pivot"), "paragraph-pivots")
-    pairs = entries.join(small_side(pivots), "key").filter("cls <> pivot").select("cls", "pivot").distinct()
-    pairs = written(pairs, "paragraph-pairs")
-    named = written(pairs.select("cls").union(pairs.select("pivot")).distinct(), "paragraph-named")
+def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """(u, v, near) of the pairs (cls, other): whether their exact similarity reaches the threshold."""
+    named = written(pairs.select("cls").union(pairs.select("other")).distinct(), "paragraph-named")
     wanted = classes.join(small_side(named), "cls").select("cls", "at._k1", "at._k2")
     sets = written(_sets(rows, wanted), "paragraph-sets")
-    sides = pairs.join(sets.select(F.col("cls").alias("pivot"), F.col("tokens").alias("tb")), "pivot").join(sets, "cls")
+    sides = pairs.join(sets.select(F.col("cls").alias("other"), F.col("tokens").alias("tb")), "other").join(sets, "cls")
 
     def run(batches):
         for batch in batches:
@@ -159,10 +167,37 @@ def linked(rows: DataFrame, classes: DataFrame) -> DataFrame:
                 at = np.minimum(np.searchsorted(x, y), len(x) - 1)
                 same = int((x[at] == y).sum())
                 fits.append(same >= SIMILAR * (len(x) + len(y) - same))
-            mask = pa.array(fits, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["u", "v"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fits, pa.bool_())], ["u", "v", "near"])
+
+    return sides.select("cls", "other", "tokens", "tb").mapInArrow(run, "u long, v long, near boolean")
 
-    return sides.select("cls", "pivot", "tokens", "tb").mapInArrow(run, "u long, v long")
+
+def linked(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """(u, v): links between classes that collide in a band, all of them up to pairs of one component.
+
+    Pivots are a written table, so that the join with a band of many classes is one
+    between plain scans, which adaptive execution splits.
+    """
+    entries = classes.select(F.explode(F.array(*KEYS)).alias("key"), "cls", "size", *BITS)
+    pivots = entries.groupBy("key").agg(F.min("cls").alias("pivot"), F.max("cls").alias("other"), F.count("*").alias("times"))
+    pivots = written(pivots.filter("pivot < other").select("key", "pivot", "times"), "paragraph-pivots")
+    members = written(entries.join(small_side(pivots), "key").filter("cls <> pivot"), "paragraph-members")
+    pairs = written(members.select("cls", F.col("pivot").alias("other")).distinct(), "paragraph-pairs")
+    known = written(_verified(pairs, rows, classes), "paragraph-known")
+    near = known.filter("near").select("u", "v")
+    joined = written(components(near, "paragraph-first"), "paragraph-joined")
+
+    rest = members.filter("times > 2").join(known.selectExpr("u AS cls", "v AS pivot", "near"), ["cls", "pivot"])
+    rest = rest.join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    rest = written(rest.select("key", "cls", "near", "component", "size", *BITS), "paragraph-rest")
+    far = rest.filter("NOT near").select("key", *[F.col(name).alias(f"x_{name}") for name in ("cls", "component", "size", *BITS)])
+    differ = " + ".join(f"bit_count({name} ^ x_{name})" for name in BITS)
+    again = far.join(rest, "key").filter(
+        f"component <> x_component AND (near OR cls < x_cls) AND least(size, x_size) >= {SIMILAR} * greatest(size, x_size)"
+        f" AND ({differ}) <= {(1 - SIMILAR) / (1 + SIMILAR) + 1e-9} * (size + x_size)"
+    )
+    again = written(again.select(F.greatest("cls", "x_cls").alias("cls"), F.least("cls", "x_cls").alias("other")).distinct(), "paragraph-again")
+    return near.unionAll(_verified(again, rows, classes).filter("near").select("u", "v"))
 
 
 def spans_to_remove(rows: DataFrame) -> DataFrame:

@@ -224,6 +224,29 @@ def test_paragraph_dedup(spark, none):
     assert 1 - (1 - 0.75**paragraph_dedup.ROWS) ** paragraph_dedup.BANDS >= paragraph_dedup.RECALL
 
 
+def test_paragraph_links_among_common_phrases(spark):
+    rng = np.random.default_rng(7)
+    phrase = prose(30, 16).split()
+    lines = []
+    for k in range(400):  # unrelated pairs of near copies, all of which hold the common phrase
+        own = [f"w{k}x{a}" for a in range(18)]
+        near = own.copy()
+        near[rng.integers(14, 18)] = f"v{k}"
+        lines += [phrase + own, phrase + near]
+    frame = spark.createDataFrame([(k, " ".join(line)) for k, line in enumerate(lines)], "doc_id long, text string")
+    rows = paragraph_dedup.keyed(frame, "doc_id", "text")
+    found = paragraph_dedup.written(paragraph_dedup.paragraphs(rows), "test-places")
+    classes = paragraph_dedup.written(paragraph_dedup.classes_of(found), "test-classes")
+    tokens = dict(tuple(r) for r in paragraph_dedup._sets(rows, classes.select("cls", "at._k1", "at._k2")).collect())
+    own = {c: set(np.frombuffer(t, np.uint64).tolist()) for c, t in tokens.items()}
+    names = sorted(own)
+    brute = [(a, b) for k, a in enumerate(names) for b in names[:k] if len(own[a] & own[b]) >= 0.75 * len(own[a] | own[b])]
+    got = dict(tuple(r) for r in paragraph_dedup.components(paragraph_dedup.linked(rows, classes)).collect())
+    assert len(brute) >= 50
+    recall = np.mean([a in got and got[a] == got.get(b) for a, b in brute])
+    assert recall >= paragraph_dedup.RECALL, recall
+
+
 def test_classifiers_on_held_out_rows(spark, sf_dir, docs, none):
     big = sf_dir.replace("sf0.001", "sf0.01")
     labels = spark.read.parquet(f"{big}/labels.parquet")
