@@ -1,7 +1,8 @@
 """Substring dedup: near-equal paragraphs by MinHash bands, exact checks and components.
 
-A paragraph is a line, or a piece of a long line between cuts that depend on the words
-around them only, so a passage copied into the middle of other text is cut alike.
+A paragraph is a line, and each piece of a long line between cuts that depend on the
+words around them only, so a passage copied into the middle of other text is cut alike.
+Where a piece repeats, the equal words around it and the one that stays go as well.
 Bands are tuned to a recall, the chance of a pair at the threshold to collide in one.
 All that collide are compared by the exact Jaccard similarity of their word shingles:
 first each with the band's pivot; then those that did not link with it among themselves
@@ -31,10 +32,10 @@ RECALL = 0.98
 ROWS = 3
 #: Words of 64 bits in a sketch.
 SKETCH = 2
-#: Shorter paragraphs stay.
-MIN_WORDS = 12
 #: A word cuts a line if its hash is the smallest of so many words on either side.
 REACH = 9
+#: Shorter pieces are no paragraphs of their own (two cuts are as far apart at least); whole lines are from WIDTH words on.
+MIN_WORDS = REACH + 1
 
 
 def bands(similar: float = SIMILAR, recall: float = RECALL, rows: int = ROWS) -> int:
@@ -61,10 +62,17 @@ class Paragraphs:
             near = part[k:] == part[:-k]
             cut[k:] &= ~near | (words[k:] < words[:-k])
             cut[:-k] &= ~near | (words[:-k] <= words[k:])
-        begin = np.flatnonzero(new | cut)
-        end = np.append(begin[1:], len(words))
+        self.words, self.starts, self.ends = words, starts, ends
+        self.cuts = np.append(np.flatnonzero(new | cut), len(words))
+        self.lines = np.append(np.flatnonzero(new), len(words))
+        begin, end = self.cuts[:-1], self.cuts[1:]
         keep = end - begin >= MIN_WORDS
-        begin, end = begin[keep], end[keep]
+        wide = np.diff(self.lines) >= WIDTH
+        begin = np.concatenate([self.lines[:-1][wide], begin[keep]])
+        end = np.concatenate([self.lines[1:][wide], end[keep]])
+        self.begin, self.stop = begin, end
+        # Lines link with lines and pieces with pieces: no paragraph links with one that overlaps it.
+        piece = (np.arange(len(begin)) >= wide.sum()).astype(np.uint64)
         self.doc = doc[begin]
         self.start = starts[begin] - offsets[self.doc]
         self.end = ends[end - 1] - offsets[self.doc]
@@ -82,10 +90,10 @@ class Paragraphs:
         edges = np.stack([self.first, self.last], axis=1).ravel()
         edges[-1] = min(edges[-1], len(self.rolled))
         wide = np.append(self.rolled, np.uint64(0))
-        self.cls = mix(np.add.reduceat(mix(wide + np.uint64(11)), edges)[::2]).view(np.int64)
+        self.cls = mix(np.add.reduceat(mix(wide + np.uint64(11)), edges)[::2] ^ (piece * STEP[6])).view(np.int64)
         keys = []
         for band in range(BANDS):
-            got = np.full(len(begin), np.uint64(band + 1))
+            got = np.uint64(band + 1) + piece * STEP[6]
             for row in range(ROWS):
                 salted = mix(wide ^ STEP[10 + band * ROWS + row])
                 salted[-1] = np.iinfo(np.uint64).max
@@ -105,6 +113,17 @@ class Paragraphs:
         word = (values >> np.uint64(6)) % np.uint64(SKETCH)
         self.sketch = np.stack([np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), at).view(np.int64) for w in range(SKETCH)], axis=1)
 
+    def around(self, k: int) -> tuple[int, int]:
+        """The words of the pieces next to the paragraph, and REACH more on either side, in its line.
+
+        A passage that went on farther would have the cut, and so the neighbour, in common.
+        """
+        a, b = self.begin[k], self.stop[k]
+        line = np.searchsorted(self.lines, a, side="right")
+        low = self.cuts[max(0, np.searchsorted(self.cuts, a) - 1)] - REACH
+        high = self.cuts[min(len(self.cuts) - 1, np.searchsorted(self.cuts, b) + 1)] + REACH
+        return max(low, self.lines[line - 1]), min(high, self.lines[line])
+
     def tokens(self, k: int) -> bytes:
         return np.unique(self.rolled[self.first[k] : self.last[k]]).tobytes()
 
@@ -210,8 +229,81 @@ def spans_to_remove(rows: DataFrame) -> DataFrame:
     kept = written(members.groupBy("component").agg(F.min("at").alias("one")), "paragraph-kept")
     fates = written(members.join(small_side(kept), "component").select("cls", "one"), "paragraph-fates")
     gone = found.select("cls", "_k1", "_k2", "place").join(small_side(fates), "cls").filter(F.struct("_k1", "_k2", "place") != F.col("one"))
-    span = F.struct(F.shiftright("place", 32).alias("start"), F.expr("place & 4294967295").alias("end"))
-    return gone.groupBy("_k1", "_k2").agg(F.sort_array(F.collect_set(span)).alias("spans"))
+    gone = written(gone.select("_k1", "_k2", "place", "one").distinct(), "paragraph-gone")
+    spans = gone.select("_k1", "_k2", F.shiftright("place", 32).alias("start"), F.expr("place & 4294967295").alias("end"))
+    spans = spans.unionAll(_wider(rows, gone))
+    return spans.groupBy("_k1", "_k2").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
+
+
+AROUND = "before binary, after binary, starts binary, ends binary"
+
+
+def _around(rows: DataFrame, asked: DataFrame, all_of: bool) -> DataFrame:
+    """(_k1, _k2, place, before, after, starts, ends): hashes and bytes of the words around the asked places.
+
+    before and starts run to the left, away from the paragraph.  Unless all are wanted,
+    a side on which another asked place goes on is left out.
+    """
+    asked = written(asked.groupBy("_k1", "_k2").agg(F.collect_set("place").alias("places")), "paragraph-asked")
+    texts = rows.join(small_side(asked), ["_k1", "_k2"]).select("_k1", "_k2", "_text", "places")
+
+    def run(batches):
+        for batch in batches:
+            k1, k2 = (batch.column(k).to_pylist() for k in (0, 1))
+            for row, n, data, offsets in slices(batch, "_text"):
+                p = Paragraphs(data, offsets)
+                places = [set(x) for x in batch.column(3).slice(row, n).to_pylist()]
+                named = ((p.start << 32) | p.end).tolist()
+                take = [k for k, (d, place) in enumerate(zip(p.doc.tolist(), named, strict=True)) if place in places[d]]
+                firsts = np.sort(p.begin[take])
+                far = np.append(0, np.maximum.accumulate(p.stop[take][np.argsort(p.begin[take], kind="stable")]))
+                out = []
+                for k in take:
+                    a, b = int(p.begin[k]), int(p.stop[k])
+                    low, high = p.around(k)
+                    if not all_of:
+                        low = a if far[np.searchsorted(firsts, a)] >= a else low
+                        high = b if far[np.searchsorted(firsts, b, side="right")] > b else high
+                    if low < a or high > b:
+                        d, at = row + int(p.doc[k]), offsets[p.doc[k]]
+                        left, right = slice(low, a), slice(b, high)
+                        starts, ends = (p.starts[left][::-1] - at).tobytes(), (p.ends[right] - at).tobytes()
+                        out.append((k1[d], k2[d], named[k], p.words[left][::-1].tobytes(), p.words[right].tobytes(), starts, ends))
+                columns = list(zip(*out, strict=True)) or [[]] * 7
+                names = ["_k1", "_k2", "place", "before", "after", "starts", "ends"]
+                yield pa.RecordBatch.from_arrays([*(longs(c) for c in columns[:3]), *(blobs(c) for c in columns[3:])], names)
+
+    return texts.mapInArrow(run, f"_k1 long, _k2 long, place long, {AROUND}")
+
+
+def _wider(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """(_k1, _k2, start, end): places that go, with the equal words around them and the place that stays.
+
+    A place that stays is the smallest of its cluster, so what is equal stays at the
+    smallest of its own places.
+    """
+    ours = written(_around(rows, gone.select("_k1", "_k2", "place"), False), "paragraph-ours")
+    ours = ours.join(gone, ["_k1", "_k2", "place"]).distinct()
+    ones = ours.select("one.*").distinct()
+    theirs = _around(rows, ones, True).dropDuplicates(["_k1", "_k2", "place"])
+    theirs = written(theirs.select(F.struct("_k1", "_k2", "place").alias("one"), F.col("before").alias("b"), F.col("after").alias("a")), "paragraph-theirs")
+    sides = ours.join(small_side(theirs), "one").select("_k1", "_k2", "place", "before", "after", "starts", "ends", "b", "a")
+
+    def equal(x, y):
+        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        n = min(len(x), len(y))
+        return int(np.append(x[:n] == y[:n], False).argmin())
+
+    def run(batches):
+        for batch in batches:
+            begin, stop = [], []
+            for place, before, after, starts, ends, b, a in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True):
+                left, right = equal(before, b), equal(after, a)
+                begin.append(int(np.frombuffer(starts, np.int64)[left - 1]) if left else place >> 32)
+                stop.append(int(np.frombuffer(ends, np.int64)[right - 1]) if right else place & 4294967295)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], longs(begin), longs(stop)], ["_k1", "_k2", "start", "end"])
+
+    return sides.mapInArrow(run, "_k1 long, _k2 long, start long, end long")
 
 
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,10 +326,16 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             for text, starts, ends in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
                 data = text.encode()
                 sizes.append(len(data))
-                edges = [0, *[x for pair in zip(starts or (), ends or (), strict=True) for x in pair], len(data)]
+                spans = []
+                for a, b in zip(starts or (), ends or (), strict=True):
+                    if spans and a < spans[-1][1]:
+                        spans[-1][1] = max(b, spans[-1][1])
+                    else:
+                        spans.append([a, b])
+                edges = [0, *[x for pair in spans for x in pair], len(data)]
                 left = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
                 gone.append(len(data) - len(left))
-                count.append(len(starts or ()))
+                count.append(len(spans))
                 kept.append(left.decode())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), longs(sizes), longs(gone), longs(count), pa.array(kept, pa.string())],
