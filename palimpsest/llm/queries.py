@@ -7,10 +7,12 @@ from palimpsest.llm import (
     packing,
     paragraph_dedup,
     pii,
+    ptolemaic_clustering,
     quality,
     suffix_dedup,
     toxicity,
     url_filters,
+    vector_codes,
 )
 
 QUERIES = {
@@ -24,5 +26,12 @@ QUERIES = {
     "op8_decontamination": decontamination.op8_decontamination,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_substring_dedup": paragraph_dedup.op10_substring_dedup,
+    "op11_centroid_clustering": ptolemaic_clustering.op11_centroid_clustering,
+    "op12_vector_codes": vector_codes.op12_vector_codes,
+}
+SQL = {
+    "op1_ngram_jaccard_join": jaccard_join.SQL,
+    "op2_url_filters": url_filters.SQL,
+    "op11_centroid_clustering": ptolemaic_clustering.SQL,
+    "op12_vector_codes": vector_codes.SQL,
 }
-SQL = {"op1_ngram_jaccard_join": jaccard_join.SQL, "op2_url_filters": url_filters.SQL}
