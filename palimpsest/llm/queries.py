@@ -10,6 +10,7 @@ from palimpsest.llm import (
     ptolemaic_clustering,
     quality,
     suffix_dedup,
+    token_store,
     toxicity,
     url_filters,
     vector_codes,
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_substring_dedup": paragraph_dedup.op10_substring_dedup,
     "op11_centroid_clustering": ptolemaic_clustering.op11_centroid_clustering,
     "op12_vector_codes": vector_codes.op12_vector_codes,
+    "op13_token_store": token_store.op13_token_store,
 }
 SQL = {
     "op1_ngram_jaccard_join": jaccard_join.SQL,
