@@ -30,15 +30,17 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import longs, mix, small_side, table
+from palimpsest.llm.common import _BYTE, SPACES, longs, mix, slices, small_side, span_hashes, table, word_spans
 from palimpsest.session import DROP_SHUFFLES_CONF, scratch_dir, written
 
 END_ID = 1
 #: Bytes of text per shard, on average.
 SHARD_BYTES = 32 * 1024 * 1024
 PART_KEYS = 20_000
+#: Bytes of text whose equal words are put together at once.
+ENCODED_BYTES = 2_000_000
 MAGIC = b"ids+foot"
-#: Pieces kept with their ids in a task, and the longest piece that is kept.
+#: Words, and parts of words, kept with their ids in a task, and the longest one kept.
 KNOWN_PIECES = 1 << 18
 LONGEST_KNOWN = 64
 #: Displacements tried at once.
@@ -68,29 +70,145 @@ def words_apart(spec: dict) -> bool:
     )
 
 
-class Encoder(dict):
-    """Ids of texts as bytes; a dictionary of the pieces met so far, of bounded size."""
+#: What a byte is in a word that needs no encode: a letter, a digit, another sign, or a
+#: reason to encode the whole word (the apostrophe, controls, all other scripts).
+LETTER, DIGIT, SIGN, ODD = 1, 2, 3, 4
+_KIND = np.full(256, ODD, np.uint8)
+_KIND[0x21:0x7F] = SIGN
+_KIND[0x27] = ODD
+_KIND[0x30:0x3A] = DIGIT
+_KIND[0x41:0x5B] = _KIND[0x61:0x7B] = LETTER
+#: U+00C0 to U+00FF but for the two signs among them are letters: 0xC3 and one of these bytes.
+_AFTER_C3 = np.zeros(256, bool)
+_AFTER_C3[0x80:0xC0] = True
+_AFTER_C3[[0x97, 0xB7]] = False
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it prints, else one from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + k for k, b in enumerate(hidden)}
+
+
+class Known:
+    """Made once per key; of bounded size: as many as `most` new ones, and those of the round before."""
+
+    def __init__(self, make, most: int = KNOWN_PIECES):
+        self.make, self.most, self.new, self.old = make, most, {}, {}
+
+    def __getitem__(self, key: bytes) -> bytes:
+        found = self.new.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is None:
+                found = self.make(key)
+            if len(key) <= LONGEST_KNOWN:
+                if len(self.new) >= self.most:
+                    self.old, self.new = self.new, {}
+                self.new[key] = found
+        return found
+
+    def all(self, keys: list[bytes]) -> list[bytes]:
+        found = list(map(self.new.get, keys))
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            found[k] = self[keys[k]]
+        return found
+
+
+class Encoder:
+    """Ids of texts as bytes.
+
+    Where words_apart allows it, the words of a slice are split by their bytes, equal parts
+    are put together, and the vocabulary's model gets each part once, which is what encode
+    does with it at a third of the cost.  Words with other signs than ASCII and Latin
+    letters go through encode, and so do texts that hold a special token's text.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.width = id_width(self.tokenizer.get_vocab_size())
         with open(path, encoding="utf-8") as file:
-            self.by_word = words_apart(json.load(file))
-
-    def __missing__(self, piece: bytes) -> bytes:
-        got = self.tokenizer.encode(piece.decode("utf-8", "replace"), add_special_tokens=False).ids
-        ids = np.asarray(got, f"<u{self.width}").tobytes()
-        if len(piece) <= LONGEST_KNOWN:
-            if len(self) >= KNOWN_PIECES:
-                self.clear()
-            self[piece] = ids
-        return ids
-
-    def ids(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split())) if self.by_word else self.__missing__(text)
+            spec = json.load(file)
+        self.by_word = words_apart(spec)
+        self.special = [t["content"].encode() for t in spec.get("added_tokens", [])]
+        self.letters = _byte_letters()
+        self.parts, self.words = Known(self._part), Known(self._encoded)
+
+    def _encoded(self, text: bytes) -> bytes:
+        return np.asarray(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, f"<u{self.width}").tobytes()
+
+    def _part(self, part: bytes) -> bytes:
+        shown = part.decode() if part.isascii() else part.decode("latin-1").translate(self.letters)
+        return b"".join([t.id.to_bytes(self.width, "little") for t in self.model.tokenize(shown)])
+
+    def ids(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """The ids of each text of a slice."""
+        whole = data.tobytes()
+        if not self.by_word:
+            return [self._encoded(whole[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        if any(text in whole for text in self.special):
+            own = [data[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            special = [any(text in x.tobytes() for text in self.special) for x in own]
+            return [self._encoded(x.tobytes()) if s else self._by_parts(x, np.array([0, len(x)]))[0] for x, s in zip(own, special, strict=True)]
+        return self._by_parts(data, offsets)
+
+    def _by_parts(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        shown, begin, end, odd = split(data, offsets)
+        if not len(begin):
+            return [b""] * (len(offsets) - 1)
+        name = span_hashes(shown, begin, end, _BYTE) ^ odd.astype(np.uint64)
+        other = span_hashes(shown, begin, end, _BYTE[::-1])
+        _, first, which = np.unique(name, return_index=True, return_inverse=True)
+        if (other != other[first][which]).any():  # two parts of one name: no part is put together with another
+            first = which = np.arange(len(begin))
+        text, apart = shown.tobytes(), odd[first]
+        pieces = [text[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist(), strict=True)]
+        if apart.any():
+            ids = [(self.words if o else self.parts)[piece] for piece, o in zip(pieces, apart.tolist(), strict=True)]
+        else:
+            ids = self.parts.all(pieces)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width
+        flat = np.frombuffer(b"".join(ids), f"<u{self.width}")
+        per = size[which]
+        stop = np.cumsum(per)
+        at = np.repeat((np.cumsum(size) - size)[which] - (stop - per), per) + np.arange(stop[-1])
+        taken = flat[at]
+        edges = np.append(0, stop)[np.searchsorted(begin, offsets)].tolist()
+        return [taken[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+def split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes in small letters, start and end of each part, whether it is a word for encode, whose bytes stay as they are)."""
+    starts, ends, _ = word_spans(data, offsets)
+    kind = _KIND[data]
+    second = np.zeros(len(data), bool)
+    second[1:] = (data[:-1] == 0xC3) & _AFTER_C3[data[1:]]
+    kind[second] = LETTER
+    kind[:-1][second[1:]] = LETTER
+    space = SPACES[data]
+    reasons = np.append(0, np.cumsum((kind == ODD) & ~space))
+    odd = reasons[ends] > reasons[starts]
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[starts[odd]] += 1
+    edge[ends[odd]] -= 1
+    kept = np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
+    shown = _LOWER[data]
+    shown[second & (data < 0x9F)] += 32
+    shown = np.where(kept, data, shown)
+    new = kind == DIGIT
+    new[1:] |= kind[1:] != kind[:-1]
+    new &= ~kept & ~space
+    new[starts] = True
+    begin = np.flatnonzero(new)
+    word = np.searchsorted(starts, begin, side="right") - 1
+    end = np.minimum(np.append(begin[1:], len(data)), ends[word]) if len(begin) else begin
+    return shown, begin, end, odd[word] if len(begin) else np.zeros(0, bool)
 
 
 def id_width(vocabulary: int) -> int:
@@ -126,7 +244,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str, text_c
     def encoded(batches):
         code, ids, lengths = encoder(tokenizer), [], []
         for batch in batches:
-            values = [code.ids(text) for text in batch.column(1).cast(pa.binary()).to_pylist()]
+            values = [ids for _, _, data, offsets in slices(batch, "_text", ENCODED_BYTES) for ids in code.ids(data, offsets)]
             ids.append(batch.column(0).cast(kind.type))
             lengths += [len(v) // width + 1 for v in values]
             yield pa.RecordBatch.from_arrays([pa.array(values, pa.binary())], ["value"])
