@@ -22,7 +22,7 @@ from palimpsest.functions.masking import (
     mask_expr,
 )
 from palimpsest.operators import matching, validation
-from palimpsest.operators.matching import DELETE_CODE, EMAIL_FIRST, MODE, OBFUSCATE_CODE, Subjects
+from palimpsest.operators.matching import DELETE_CODE, EMAIL_FIRST, MODE, OBFUSCATE_CODE, Matches, Subjects
 from palimpsest.operators.registry import TableRules, registry_rows, rules_in_scope, skipped_tables
 from palimpsest.session import broadcast_if_small, inline_table
 
@@ -54,15 +54,23 @@ def apply_erasure(
 
 
 def erase_table(
-    df: DataFrame, rules: TableRules, subjects: Subjects, token: str = ERASED_TOKEN, rule: str = EMAIL_FIRST
+    df: DataFrame, rules: TableRules, subjects: Subjects, token: str = ERASED_TOKEN, rule: str = EMAIL_FIRST, **options
 ) -> DataFrame:
-    return apply_erasure(matching.flag_rows(df, rules, subjects, rule), rules, token)
+    """The erased table.  ``options`` of ``matching.find``: ``case_insensitive``, ``whole_address``."""
+    return apply_erasure(matching.flag_rows(df, rules, subjects, rule, **options), rules, token)
 
 
 def _union(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def find_all(
+    tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules], subjects: Subjects, which: tuple[str, ...] = (EMAIL_FIRST,), **options
+) -> dict[str, Matches]:
+    """One scan of each table in scope: all that audits, erasures and comparisons of rules need."""
+    return {name: matching.find(tables[name], rules[name], subjects, which, **options) for name in sorted(rules)}
+
+
 def audit(
     target: str,
     tables: Mapping[str, DataFrame],
@@ -70,14 +78,14 @@ def audit(
     subjects: Subjects,
     dry_run: bool = True,
     rule: str = EMAIL_FIRST,
+    matches: Mapping[str, Matches] | None = None,
+    **options,
 ) -> DataFrame:
     """Matched rows and action per (request, table in scope)."""
     spark = subjects.frame.sparkSession
-    parts = [
-        matching.match_counts(tables[name], rules[name], subjects, rule).withColumn("table", F.lit(name))
-        for name in sorted(rules)
-        if rules[name].has_identifiers
-    ]
+    named = {name: r for name, r in rules.items() if r.has_identifiers}
+    matches = matches or find_all(tables, named, subjects, (rule,), **options)
+    parts = [matches[name].counts(rule).withColumn("table", F.lit(name)) for name in sorted(named)]
     if not parts:
         return spark.createDataFrame([], AUDIT_SCHEMA)
     done = F.lit("dry_run") if dry_run else F.when(F.col("request_type") == "DELETE", "deleted").otherwise("obfuscated")
@@ -97,21 +105,25 @@ def audit(
 
 
 def compare_rules(
-    tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules], subjects: Subjects
+    tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules], subjects: Subjects, **options
 ) -> DataFrame:
-    """Rows each matching rule would touch, per (request, table)."""
-    def counted(rule: str, name: str) -> DataFrame:
-        return audit("", tables, rules, subjects, rule=rule).select(
-            "request_id", "table", F.col("rows_matched").alias(name)
+    """Rows each matching rule would touch, per (request, table): both rules from one scan of each table."""
+    both = (EMAIL_FIRST, matching.ALL_IDENTIFIERS)
+    names = ("email_first_rows", "all_match_rows")
+    named = {name: r for name, r in rules.items() if r.has_identifiers}
+    matches = find_all(tables, named, subjects, both, **options)
+    none = F.lit(0).cast("long")
+    parts = [
+        found.counts(rule).select(
+            "request_id", F.lit(table).alias("table"), *[(F.col("rows_matched") if rule == r else none).alias(n) for r, n in zip(both, names, strict=True)]
         )
-
-    first = counted(EMAIL_FIRST, "email_first_rows")
-    strict = counted(matching.ALL_IDENTIFIERS, "all_match_rows")
-    both = first.join(strict, ["request_id", "table"], "full_outer")
-    a, b = F.coalesce("email_first_rows", F.lit(0)), F.coalesce("all_match_rows", F.lit(0))
-    return both.select(
-        "request_id", "table", a.alias("email_first_rows"), b.alias("all_match_rows"), (a - b).alias("row_diff")
-    )
+        for table, found in matches.items()
+        for rule in both
+    ]
+    if not parts:
+        return subjects.frame.select("request_id", F.lit("").alias("table"), none.alias(names[0]), none.alias(names[1]), none.alias("row_diff")).limit(0)
+    summed = _union(parts).groupBy("request_id", "table").agg(*[F.sum(n).alias(n) for n in names])
+    return summed.withColumn("row_diff", F.col(names[0]) - F.col(names[1]))
 
 
 # --- several targets -------------------------------------------------------------
@@ -152,8 +164,8 @@ def parse_targets(text: str | None, default: str) -> list[str]:
     return names or [default]
 
 
-def _open_subjects(requests: DataFrame) -> Subjects:
-    return matching.subjects_of(requests.where(F.col("status") == "PENDING"))
+def _open_subjects(requests: DataFrame, case_insensitive: bool = False) -> Subjects:
+    return matching.subjects_of(requests.where(F.col("status") == "PENDING"), case_insensitive)
 
 
 def run_targets(
@@ -166,15 +178,19 @@ def run_targets(
     central_requests: DataFrame | None = None,
     verdict_fields: Iterable[str] = validation.NEEDLE_FIELDS,
     publish: Callable[[str, str, DataFrame], DataFrame] | None = None,
+    **options,
 ) -> RunResult:
     """Match, erase and validate every target; evidence comes back as DataFrames.
 
+    Each table is matched in one scan, from which its audit counts and the modes of its
+    rows both come.  ``options`` of ``matching.find`` hold for all tables.
+
     ``publish(target, table, erased)`` writes an erased table and returns what a
     reader now sees; without it the erased frames are validated as they are.
     """
     audits, findings, states = [], [], []
     result = RunResult(None, None, None, None)
-    central = None if central_requests is None else _open_subjects(central_requests)
+    central = None if central_requests is None else _open_subjects(central_requests, options.get("case_insensitive", False))
     for target in targets:
         if target.registry is None:
             states.append((target.name, 0, "skipped_no_registry"))
@@ -188,11 +204,12 @@ def run_targets(
         if not rules:
             states.append((target.name, 0, "no_tables_in_scope"))
             continue
-        subjects = central or _open_subjects(target.requests)
-        audits.append(audit(target.name, target.tables, rules, subjects, dry_run, rule))
+        subjects = central or _open_subjects(target.requests, options.get("case_insensitive", False))
+        matches = find_all(target.tables, rules, subjects, (rule,), **options)
+        audits.append(audit(target.name, target.tables, rules, subjects, dry_run, rule, matches))
         current = {name: target.tables[name] for name in rules}
         if not dry_run:
-            erased = {n: erase_table(current[n], r, subjects, token, rule) for n, r in rules.items()}
+            erased = {n: apply_erasure(matches[n].flagged(rule), r, token) for n, r in rules.items()}
             if publish is not None:
                 audits[-1] = validation.kept(audits[-1])
                 erased = {n: publish(target.name, n, df) for n, df in erased.items()}

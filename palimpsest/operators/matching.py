@@ -1,10 +1,15 @@
 """Which rows belong to which request.
 
 Two rules: *email first* (an email match settles it, names are only a fallback)
-and *all identifiers* (every registered identifier must agree).  Both are equi
-joins; text payloads go through the needle search.  Counting never multiplies
-rows: a table is reduced to counts per identifier value before it meets the
-requests, so one address that holds a third of all rows costs one group.
+and *all identifiers* (every registered identifier must agree).
+
+``find`` reads a table once, whatever the rules asked for: the identifiers in its
+columns and around the cuts of its payloads leave the scan as narrow rows with the
+row's address, meet the requests' keys by equality, and are gathered per address.
+From what it writes down, audits count rows per key and erasures take the mode of
+every row, so neither reads a payload again.  Counting never multiplies rows: counts
+are per key before they meet the requests, so one address that holds a third of all
+rows costs one group.
 """
 
 from __future__ import annotations
@@ -16,8 +21,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.operators import needles
+from palimpsest.operators import needles, row_address
 from palimpsest.operators.registry import TableRules
+from palimpsest.operators.row_address import FILE, ROW
 from palimpsest.session import broadcast_if_small, fits_broadcast, written
 
 EMAIL_FIRST, ALL_IDENTIFIERS = "email_first", "all_identifiers"
@@ -120,139 +126,230 @@ def _scalar_bindings(rules: TableRules, with_email: bool) -> list[tuple[str, str
     return ([(c, "email") for c in rules.emails] if with_email else []) + pairs
 
 
-def _equal(pairs: list[tuple[str, str]], lower_email: bool = False) -> Column:
-    def one(column: str, fld: str) -> Column:
-        value = F.lower(column) if lower_email and fld == "email" else F.col(column)
-        return value == F.col(f"_s_{fld}")
-
-    return reduce(lambda a, b: a & b, [one(c, f) for c, f in pairs])
+def _all_subjects(rules: TableRules, subjects: DataFrame) -> DataFrame:
+    if rules.emails or rules.payloads:
+        subjects = subjects.where("email is not null")
+    if rules.names or rules.payloads:
+        subjects = subjects.where("full is not null")
+    return subjects
 
 
-def _prefixed(df: DataFrame, fields: list[str]) -> DataFrame:
-    keep = [c for c in df.columns if c not in fields]
-    return df.select(*[F.col(f).alias(f"_s_{f}") for f in fields], *keep)
+# --- one pass: rows by address, with the keys they match -----------------------
 
+_KEY = ["rule", "kind", "a", "b", "c", "d"]
+_SEPARATOR = "\u0001"
 
-def _count_on(df, pairs, subjects, side, extra: Column | None = None, lower_email: bool = False) -> DataFrame:
-    """Rows per distinct key of ``subjects`` on equal columns, spread back to the requests."""
-    fields = sorted({f for _, f in pairs} | ({"email", "first", "last"} if extra is not None else set()))
-    keys = _prefixed(subjects.select(*fields).distinct(), fields)
-    condition = _equal(pairs, lower_email)
-    if extra is not None:
-        condition = condition & extra
-    hits = (
-        df.join(side(keys), condition)
-        .groupBy(*[f"_s_{f}" for f in fields])
-        .agg(F.count(F.lit(1)).alias("rows_matched"))
-    )
-    renamed = hits.withColumnsRenamed({f"_s_{f}": f for f in fields})
-    return subjects.join(side(renamed), fields, "left").select("request_id", "rows_matched")
 
+def _joined(values: list[Column]) -> Column:
+    """Several values as one; null if any is."""
+    parts = [values[0]]
+    for value in values[1:]:
+        parts += [F.lit(_SEPARATOR), value]
+    return F.concat(*parts)
 
-def _count_emails(df, rules, subjects, side, case_insensitive) -> DataFrame:
-    columns = [F.lower(c) if case_insensitive else F.col(c) for c in rules.emails]
-    if len(columns) == 1:
-        values = df.select(columns[0].alias("email"))
-    else:
-        values = df.select(F.explode(F.array_distinct(F.array(*columns))).alias("email"))
-    keys = side(subjects.select("email").distinct())
-    hits = values.join(keys, "email").groupBy("email").agg(F.count(F.lit(1)).alias("rows_matched"))
-    return subjects.join(side(hits), "email", "left").select("request_id", "rows_matched")
 
+def _asked(rules: TableRules, subjects: DataFrame, which: tuple[str, ...]) -> list[DataFrame]:
+    """``rule, kind, a, b, c, d, request_id, request_type``: what each request looks for in this table."""
 
-def _payload_needles(rules: TableRules, subjects: Subjects, asked: DataFrame) -> dict[str, needles.NeedleSet]:
-    def role(name: str, condition: str, column: str) -> DataFrame:
-        return asked.where(condition).select(F.col(column).alias("needle"), F.lit(name).alias(needles.ROLE))
+    def keys(frame: DataFrame, rule: str, kind: str, a: Column, b=None, c=None, d=None) -> DataFrame:
+        others = [F.lit("") if x is None else F.coalesce(x, F.lit("")) for x in (b, c, d)]
+        named = [x.alias(n) for x, n in zip((F.lit(rule), F.lit(kind), a, *others), _KEY, strict=True)]
+        return frame.select(*named, "request_id", "request_type").where("a is not null")
 
-    roles = ("email", "first", "last")
+    asked = []
+    if EMAIL_FIRST in which:
+        by_email, by_payload, by_name = (f(rules, subjects) for f in (_by_email, _by_payload, _by_name))
+        if by_email is not None:
+            asked.append(keys(by_email, EMAIL_FIRST, "email", F.col("email")))
+        if by_payload is not None:
+            asked.append(keys(by_payload, EMAIL_FIRST, "needle", F.col("needle"), F.col("also1")))
+        if by_name is not None:
+            values = [F.col(f) for _, f in _scalar_bindings(rules, False)]
+            asked.append(keys(by_name, EMAIL_FIRST, "names", _joined(values)))
+    if ALL_IDENTIFIERS in which and rules.has_identifiers:
+        people = _all_subjects(rules, subjects)
+        values = [F.col(f) for _, f in _scalar_bindings(rules, True)]
+        if rules.payloads:
+            scalars = _joined(values) if values else None
+            asked.append(keys(people, ALL_IDENTIFIERS, "payload", F.col("email"), F.col("first"), F.col("last"), scalars))
+        else:
+            asked.append(keys(people, ALL_IDENTIFIERS, "all", _joined(values)))
+    return asked
+
+
+def _text_needles(rules: TableRules, subjects: Subjects, asked: DataFrame, which: tuple[str, ...]) -> dict[str, needles.NeedleSet]:
+    """What is searched for in payloads: addresses, first names, last names."""
+    pair = (F.col("kind") == "needle") & (F.col("b") != "")
+    alone = (F.col("kind") == "needle") & (F.col("b") == "")
+    every = F.col("kind") == "payload"
+    roles = {
+        "address": F.when(alone | every, F.col("a")),
+        "first": F.when(pair, F.col("a")).when(every, F.col("b")),
+        "last": F.when(pair, F.col("b")).when(every, F.col("c")),
+    }
+    parts = F.array(*[F.struct(F.lit(r).alias(needles.ROLE), v.alias("needle")) for r, v in roles.items()])
     return subjects.once(
-        ("payload", bool(rules.emails)),
+        ("payload", which, bool(rules.emails)),
         lambda: needles.prepare_roles(
-            role("email", "also1 is null", "needle")
-            .unionByName(role("first", "also1 is not null", "needle"))
-            .unionByName(role("last", "also1 is not null", "also1"))
-            .distinct(),
-            roles,
+            asked.select(F.explode(parts).alias("p")).select("p.*").where("needle is not null").distinct(), tuple(roles)
         ),
     )
 
 
-def _payload_hits(
-    df: DataFrame, rules: TableRules, subjects: Subjects, asked: DataFrame, lower_email: bool = False
-) -> DataFrame:
-    """Rows of ``df`` with each (needle, also1) of ``asked`` they hold, and its mode code.
+@dataclass(frozen=True)
+class Matches:
+    """What one scan of a table found.
 
-    Addresses are looked up directly.  For name pairs the first names a text
-    really holds are found, then the last names it really holds, and only those
-    combinations meet the requests by equality, so a first name that many
-    requests share does not pair every text with all of them.
+    ``found`` (written) has one row per address and key: ``_file, _row, rule, kind, a, b,
+    c, d, _code``; ``rows`` is the table with its addresses, and ``asked`` the requests'
+    keys.
     """
-    texts, own = list(rules.payloads), df.columns
-    sets = _payload_needles(rules, subjects, asked)
-    # the subjects' addresses are lower-cased under the flag: so must be the texts they are looked up in
-    lowered = {f"_low_{t}": F.lower(t) for t in texts} if lower_email else {}
-    hits = needles.search(df.withColumns(lowered) if lowered else df, list(lowered) or texts, sets["email"]).select(
-        *own, "needle", F.lit(None).cast("string").alias("also1")
-    )
-    if sets["first"].cuts:
-        with_first = needles.search(df, texts, sets["first"]).select(*own, F.col("needle").alias("_first"))
-        pairs = needles.search(with_first, texts, sets["last"]).select(
-            *own, F.col("_first").alias("needle"), F.col("needle").alias("also1")
-        )
-        together = [F.contains(F.col(t), F.col("needle")) & F.contains(F.col(t), F.col("also1")) for t in texts]
-        hits = hits.unionByName(pairs.where(reduce(lambda a, b: F.coalesce(a, F.lit(False)) | b, together)))
-    wanted = asked.groupBy(F.col("needle").alias("_n"), F.col("also1").alias("_a")).agg(F.max(_code()).alias("_code"))
-    same = (F.col("needle") == F.col("_n")) & F.col("also1").eqNullSafe(F.col("_a"))
-    return hits.join(subjects.side(wanted), same).drop("_n", "_a")
-
-
-def _count_payloads(df, rules, subjects, asked, lower_email=False) -> DataFrame:
-    hits = (
-        _payload_hits(df.select(*rules.payloads), rules, subjects, asked, lower_email)
-        .groupBy(F.col("needle").alias("_n"), F.col("also1").alias("_a"))
-        .agg(F.count(F.lit(1)).alias("rows_matched"))
-    )
-    same = (F.col("needle") == F.col("_n")) & F.col("also1").eqNullSafe(F.col("_a"))
-    return asked.join(subjects.side(hits), same, "left").select("request_id", "rows_matched")
-
-
-def _all_subjects(rules: TableRules, subjects: DataFrame) -> DataFrame:
-    if rules.emails or rules.payloads:
-        subjects = subjects.where("email is not null")
-    if rules.names or rules.payloads:
-        subjects = subjects.where("full is not null")
-    return subjects
 
+    rows: DataFrame
+    columns: tuple[str, ...]
+    found: DataFrame | None
+    asked: DataFrame | None
+    subjects: Subjects
+
+    def counts(self, rule: str = EMAIL_FIRST) -> DataFrame:
+        """``request_id, rows_matched`` for each request with a usable predicate on this table (also zeros)."""
+        if self.asked is None:
+            none = F.lit(0).cast("long").alias("rows_matched")
+            return self.subjects.frame.select("request_id", none).limit(0)
+        hits = self.found.where(F.col("rule") == rule).groupBy(*_KEY).agg(F.count(F.lit(1)).alias("rows_matched"))
+        mine = self.asked.where(F.col("rule") == rule)
+        return mine.join(self.subjects.side(hits), _KEY, "left").select(
+            "request_id", F.coalesce("rows_matched", F.lit(0)).cast("long").alias("rows_matched")
+        )
 
-def _payload_holds_all(rules: TableRules, prefix: str = "_s_", lower_email: bool = False) -> Column:
-    tests = [
-        F.contains(F.lower(p) if lower_email and f == "email" else F.col(p), F.col(f"{prefix}{f}"))
-        for p in rules.payloads
-        for f in ("email", "first", "last")
-    ]
-    return reduce(lambda a, b: a & b, tests)
-
+    def modes(self, rule: str = EMAIL_FIRST) -> DataFrame:
+        """``_file, _row`` and the erase mode of the rows that any request matches."""
+        return self.found.where(F.col("rule") == rule).groupBy(FILE, ROW).agg(F.max("_code").alias(MODE))
 
-def _all_needles(rules: TableRules, subjects: Subjects) -> needles.NeedleSet:
-    asked = _all_subjects(rules, subjects.frame)
-    return subjects.once(
-        "all identifiers",
-        lambda: needles.prepare(asked.groupBy(*_all_patterns(asked)).agg(F.max(_code()).alias("_code"))),
-    )
+    def files(self, rule: str = EMAIL_FIRST) -> DataFrame:
+        """The files that hold a matched row."""
+        return self.found.where(F.col("rule") == rule).select(FILE).distinct()
 
+    def flagged(self, rule: str = EMAIL_FIRST) -> DataFrame:
+        """The table with its erase mode per row; a row several requests match is deleted if any says so."""
+        if self.found is None:
+            return self.rows.select(*self.columns, F.lit(0).alias(MODE))
+        return row_address.marked(self.rows, self.modes(rule)).select(*self.columns, F.coalesce(MODE, F.lit(0)).alias(MODE))
 
-def _search_all(df: DataFrame, rules: TableRules, patterns: needles.NeedleSet) -> DataFrame:
-    """Rows whose every payload holds email, first and last name of a pattern."""
-    first, *others = rules.payloads
-    found = needles.search(df, [first], patterns)
-    for payload in others:
-        for part in needles.PARTS:
-            found = found.where(F.contains(F.col(payload), F.col(part)))
-    return found
 
+def find(
+    df: DataFrame,
+    rules: TableRules,
+    subjects: Subjects,
+    which: tuple[str, ...] = (EMAIL_FIRST,),
+    case_insensitive: bool = False,
+    whole_address: bool = False,
+) -> Matches:
+    """Match a table against all requests under the given rules, in one scan.
 
-def _all_patterns(subjects: DataFrame) -> list[Column]:
-    return [F.col("email").alias("needle"), F.col("first").alias("also1"), F.col("last").alias("also2")]
+    ``whole_address``: an address in a payload counts only where it is not part of a
+    longer one (``andra.m@x.org`` in ``sandra.m@x.org``).
+    """
+    rows, columns = row_address.addressed(df), tuple(df.columns)
+    asked = _asked(rules, subjects.frame, which)
+    if not asked:
+        return Matches(rows, columns, None, None, subjects)
+    asked = reduce(DataFrame.unionByName, asked)
+    kinds = {kind for kind, use in (
+        ("email", EMAIL_FIRST in which and rules.emails), ("names", EMAIL_FIRST in which and rules.names and not rules.payloads),
+        ("all", ALL_IDENTIFIERS in which and _scalar_bindings(rules, True)),
+    ) if use}
+
+    def value(column: str, fld: str) -> Column:
+        return F.lower(column) if case_insensitive and fld == "email" else F.col(column)
+
+    def scalar(kind: str, gram: Column) -> Column:
+        return F.array(F.struct(
+            F.lit("").alias("text"), F.lit(f"={kind}").alias("space"), gram.alias("gram"), F.lit(None).cast("string").alias("context")
+        ))
+
+    entries, anchors, holds = [], [], F.col("context").isNull()
+    if "email" in kinds:
+        entries += [scalar("email", value(c, "email")) for c in rules.emails]
+    for kind, with_email in (("names", False), ("all", True)):
+        if kind in kinds:
+            entries.append(scalar(kind, _joined([value(c, f) for c, f in _scalar_bindings(rules, with_email)])))
+    at_once = asked.where(F.col("kind").isin("email", "names", "all")).select(F.col("kind").alias("_role"), F.col("a").alias("_value"))
+    if rules.payloads and "all" in kinds:
+        at_once = at_once.unionByName(asked.where("kind = 'payload'").select(F.lit("all").alias("_role"), F.col("d").alias("_value")))
+    anchors.append(at_once.distinct().select(
+        F.concat(F.lit("="), "_role").alias("_space"), F.col("_value").alias("_gram"), "_role", "_value", F.lit(0).alias("_lead")
+    ))
+    small = subjects.small
+    if rules.payloads:
+        sets = _text_needles(rules, subjects, asked, which)
+        small = small and all(s.broadcastable for s in sets.values())
+        spaces = {"low": ("address",), "text": ("first", "last")} if case_insensitive else {"text": tuple(sets)}
+        for space, roles in spaces.items():
+            cuts = needles.Cuts.of([sets[r] for r in roles])
+            if not cuts.marks:
+                continue
+            for text in rules.payloads:
+                shown = F.lower(text) if space == "low" else F.col(text)
+                entries.append(cuts.entries(shown, text=F.lit(text), space=F.lit(space)))
+            holds = holds | ((F.col("space") == space) & cuts.holds("context", "_value", "_lead", whole_address))
+            for role in roles:
+                anchors.append(sets[role].frame.select(
+                    F.lit(space).alias("_space"), F.col("anchor").alias("_gram"), F.lit(role).alias("_role"),
+                    F.col("needle").alias("_value"), "_lead",
+                ))
+    codes = asked.groupBy(*_KEY).agg(F.max(_code()).alias("_code"))
+    if not entries:
+        none = rows.select(FILE, ROW).limit(0).crossJoin(codes.limit(0))
+        return Matches(rows, columns, written(none, "matches"), asked, subjects)
+    anchor = reduce(DataFrame.unionByName, anchors)
+    anchor = F.broadcast(anchor) if small else anchor
+    pieces = rows.select(FILE, ROW, F.explode(F.concat(*entries)).alias("_e")).select(FILE, ROW, "_e.*")
+    hits = pieces.join(anchor, (F.col("space") == F.col("_space")) & (F.col("gram") == F.col("_gram"))).where(holds)
+    atom = F.struct("text", F.col("_role").alias("role"), F.col("_value").alias("value"))
+    gathered = hits.groupBy(FILE, ROW).agg(F.collect_set(atom).alias("atoms"))
+    found = _keys_of(gathered, rules, which, subjects.side(codes))
+    return Matches(rows, columns, written(found, "matches"), asked, subjects)
+
+
+def _keys_of(gathered: DataFrame, rules: TableRules, which: tuple[str, ...], codes: DataFrame) -> DataFrame:
+    """``_file, _row, <key>, _code``: from the identifiers found in a row to the requests' keys it matches."""
+
+    def held(role: str, text: str | None = None) -> Column:
+        wanted = lambda x: (x["role"] == role) & (F.lit(True) if text is None else x["text"] == text)
+        return F.array_distinct(F.transform(F.filter("atoms", wanted), lambda x: x["value"]))
+
+    def key(rule: str, kind: str, a: Column, b: Column | None = None) -> Column:
+        blank = F.lit("")
+        return F.struct(F.lit(rule).alias("rule"), F.lit(kind).alias("kind"), a.alias("a"), (blank if b is None else b).alias("b"), blank.alias("c"), blank.alias("d"))
+
+    def pairs(text: str) -> Column:
+        """Both names in one payload."""
+        last = held("last", text)
+        return F.flatten(F.transform(held("first", text), lambda f: F.transform(last, lambda v: key(EMAIL_FIRST, "needle", f, v))))
+
+    direct = []
+    if EMAIL_FIRST in which:
+        direct.append(F.transform(held("email"), lambda v: key(EMAIL_FIRST, "email", v)))
+        direct.append(F.transform(held("names"), lambda v: key(EMAIL_FIRST, "names", v)))
+        direct.append(F.transform(held("address"), lambda v: key(EMAIL_FIRST, "needle", v)))
+        direct += [pairs(text) for text in rules.payloads]
+    if ALL_IDENTIFIERS in which and not rules.payloads:
+        direct.append(F.transform(held("all"), lambda v: key(ALL_IDENTIFIERS, "all", v)))
+    parts = []
+    if direct:
+        keys = gathered.select(FILE, ROW, F.explode(F.array_distinct(F.concat(*direct))).alias("k")).select(FILE, ROW, "k.*")
+        parts.append(keys.join(codes, _KEY).select(FILE, ROW, *_KEY, "_code"))
+    if ALL_IDENTIFIERS in which and rules.payloads:
+        # addresses are the selective part: the names need only be looked up
+        everywhere = reduce(F.array_intersect, [held("address", t) for t in rules.payloads])
+        agree = [F.array_contains(held(r, t), F.col(c)) for t in rules.payloads for r, c in (("first", "b"), ("last", "c"))]
+        if _scalar_bindings(rules, True):
+            agree.append(F.array_contains(held("all"), F.col("d")))
+        rows = gathered.select(FILE, ROW, "atoms", F.explode(everywhere).alias("a"))
+        asked = codes.where((F.col("rule") == ALL_IDENTIFIERS) & (F.col("kind") == "payload"))
+        parts.append(rows.join(asked, "a").where(reduce(lambda x, y: x & y, agree)).select(FILE, ROW, *_KEY, "_code"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def match_counts(
@@ -261,68 +358,27 @@ def match_counts(
     subjects: Subjects,
     rule: str = EMAIL_FIRST,
     case_insensitive: bool = False,
+    whole_address: bool = False,
 ) -> DataFrame:
     """``request_id, rows_matched`` for each request with a usable predicate on this table (also zeros)."""
-    counted = []
-    people, side = subjects.frame, subjects.side
-    if rule == ALL_IDENTIFIERS:
-        if rules.has_identifiers:
-            asked = _all_subjects(rules, people)
-            pairs = _scalar_bindings(rules, with_email=True)
-            if pairs:
-                extra = _payload_holds_all(rules, lower_email=case_insensitive) if rules.payloads else None
-                counted.append(_count_on(df, pairs, asked, side, extra, case_insensitive))
-            else:
-                keys = asked.select("request_id", *_all_patterns(asked))
-                hits = (
-                    _search_all(df.select(*rules.payloads), rules, _all_needles(rules, subjects))
-                    .groupBy(*needles.PARTS)
-                    .agg(F.count(F.lit(1)).alias("rows_matched"))
-                )
-                counted.append(
-                    keys.join(side(hits), list(needles.PARTS), "left").select("request_id", "rows_matched")
-                )
-    else:
-        by_email = _by_email(rules, people)
-        by_payload = _by_payload(rules, people)
-        by_name = _by_name(rules, people)
-        if by_email is not None:
-            counted.append(_count_emails(df, rules, by_email, side, case_insensitive))
-        if by_payload is not None:
-            counted.append(_count_payloads(df, rules, subjects, by_payload, case_insensitive))
-        if by_name is not None:
-            counted.append(_count_on(df, _scalar_bindings(rules, False), by_name, side))
-    if not counted:
-        return people.select("request_id", F.lit(0).cast("long").alias("rows_matched")).limit(0)
-    return reduce(DataFrame.unionByName, counted).select(
-        "request_id", F.coalesce("rows_matched", F.lit(0)).cast("long").alias("rows_matched")
-    )
+    return find(df, rules, subjects, (rule,), case_insensitive, whole_address).counts(rule)
 
 
 # --- flags: the erase mode of every row ---------------------------------------
 
 
-def _codes(subjects: DataFrame, fields: list[str]) -> DataFrame:
-    return subjects.groupBy(*fields).agg(F.max(_code()).alias("_code"))
-
-
 def _flag_on(df, pairs, subjects, side, name, lower_email=False) -> DataFrame:
+    """The mode of rows whose columns equal a request's fields."""
     fields = sorted({f for _, f in pairs})
-    keys = _prefixed(_codes(subjects, fields), fields).withColumnRenamed("_code", name)
-    joined = df.join(side(keys), _equal(pairs, lower_email), "left")
-    return joined.drop(*[f"_s_{f}" for f in fields])
-
+    keys = subjects.groupBy(*fields).agg(F.max(_code()).alias(name))
+    keys = keys.select(*[F.col(f).alias(f"_s_{f}") for f in fields], name)
 
-def _flag_from_hits(df: DataFrame, hits: DataFrame, columns: list[str], name: str) -> DataFrame:
-    """Join the mode of the matched identifier values back to all rows that carry them.
+    def equal(column: str, fld: str) -> Column:
+        value = F.lower(column) if lower_email and fld == "email" else F.col(column)
+        return value == F.col(f"_s_{fld}")
 
-    The matched values are written once to the scratch folder: that measures
-    them, and the table is then joined without searching its texts again.
-    """
-    keys = written(hits.groupBy(*columns).agg(F.max("_code").alias(name)), "matched")
-    renamed = keys.withColumnsRenamed({c: f"_k_{c}" for c in columns})
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in columns])
-    return df.join(broadcast_if_small(renamed), same, "left").drop(*[f"_k_{c}" for c in columns])
+    same = reduce(lambda a, b: a & b, [equal(c, f) for c, f in pairs])
+    return df.join(side(keys), same, "left").drop(*[f"_s_{f}" for f in fields])
 
 
 def flag_rows(
@@ -331,8 +387,16 @@ def flag_rows(
     subjects: Subjects,
     rule: str = EMAIL_FIRST,
     case_insensitive: bool = False,
+    whole_address: bool = False,
 ) -> DataFrame:
-    """The table with its erase mode per row; a row several requests match is deleted if any says so."""
+    """The table with its erase mode per row; a row several requests match is deleted if any says so.
+
+    Requests that fit a broadcast meet plain columns within the scan.  Payloads, and any
+    number of requests, go through ``find`` and the rows' addresses: no column of the table
+    is shuffled.
+    """
+    if rules.payloads or not subjects.small:
+        return find(df, rules, subjects, (rule,), case_insensitive, whole_address).flagged(rule)
     flags: list[str] = []
     people, side = subjects.frame, subjects.side
 
@@ -342,30 +406,14 @@ def flag_rows(
 
     columns = df.columns
     if rule == ALL_IDENTIFIERS:
-        asked = _all_subjects(rules, people)
-        pairs = _scalar_bindings(rules, with_email=True)
-        if rules.payloads:
-            ids = [*rules.payloads, *[c for c, _ in pairs]]
-            if pairs:
-                keys = _prefixed(_codes(asked, ["email", "first", "last", "full"]), ["email", "first", "last", "full"])
-                condition = _equal(pairs, case_insensitive) & _payload_holds_all(rules, lower_email=case_insensitive)
-                hits = df.select(*ids).join(side(keys), condition)
-            else:
-                hits = _search_all(df.select(*ids), rules, _all_needles(rules, subjects))
-            df = _flag_from_hits(df, hits, ids, new_flag())
-        elif pairs:
-            df = _flag_on(df, pairs, asked, side, new_flag(), case_insensitive)
+        if pairs := _scalar_bindings(rules, with_email=True):
+            df = _flag_on(df, pairs, _all_subjects(rules, people), side, new_flag(), case_insensitive)
     else:
         by_email = _by_email(rules, people)
-        by_payload = _by_payload(rules, people)
         by_name = _by_name(rules, people)
         if by_email is not None:
             for column in rules.emails:
                 df = _flag_on(df, [(column, "email")], by_email, side, new_flag(), case_insensitive)
-        if by_payload is not None:
-            texts = list(rules.payloads)
-            hits = _payload_hits(df.select(*texts), rules, subjects, by_payload, case_insensitive)
-            df = _flag_from_hits(df, hits, texts, new_flag())
         if by_name is not None:
             df = _flag_on(df, _scalar_bindings(rules, False), by_name, side, new_flag())
     found = [F.coalesce(f, F.lit(0)) for f in flags]

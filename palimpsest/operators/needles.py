@@ -16,10 +16,15 @@ characters some anchor starts with.
 With a needle set that fits a measured broadcast, the texts are never shuffled:
 scan, cut, probe and check run in one stage.  Otherwise the join shuffles the
 substrings, and adaptive execution splits a hot one.
+
+``occurrences`` never carries a text: each cut takes as many characters around it
+along as the longest needle needs, and that context alone settles what stands there.
+``search`` carries whole rows, and any number of parts per pattern.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -37,6 +42,14 @@ _SHARED_BY_FEW = 64
 
 PARTS = ("needle", "also1", "also2")
 ROLE = "_role"
+# Matches nothing.  A pattern that holds a character beyond 16 bits looks back by characters;
+# any other one looks back by 16-bit units and would miss what follows an emoji.
+_BY_CHARACTERS = "(?:|\U0001F600)"
+# Stands for what is before a text and after it; no character, so no identifier holds it.
+_EDGE = "\uffff"
+# An address goes on to the left, or to the right, with these.
+_ADDRESS_BEFORE = "[A-Za-z0-9._%+-]"
+_ADDRESS_AFTER = r"^([A-Za-z0-9-]|\.[A-Za-z0-9])"
 
 
 def _windows(text: Column, trigger: str, reach: int, size: int) -> Column:
@@ -47,7 +60,7 @@ def _windows(text: Column, trigger: str, reach: int, size: int) -> Column:
     ahead from ``reach`` characters back.
     """
     return F.regexp_extract_all(
-        text, F.lit(f"(?s){trigger}(?<=(?=(.{{{size}}})).{{{reach}}})"), F.lit(1)
+        text, F.lit(f"(?s){trigger}(?<=(?=(.{{{size}}})).{{{reach}}}){_BY_CHARACTERS}"), F.lit(1)
     )
 
 
@@ -67,14 +80,22 @@ class NeedleSet:
     """Distinct patterns with their anchor, ready to be searched for.
 
     ``frame`` has ``needle, also1, also2, anchor`` plus whatever columns the
-    caller kept per pattern; a text matches when it contains all non-null parts.
-    ``cuts`` lists the windows a text is cut into: trigger, reach and size.
+    caller kept per pattern, and ``_lead``, the place of the cut's character in the
+    needle; a text matches when it contains all non-null parts.  ``marks`` lists the
+    windows a text is cut into: the characters they start at (or @), reach and size.
+    ``before`` and ``after`` are the most characters a needle has up to and after a cut.
     """
 
     frame: DataFrame
-    cuts: tuple[tuple[str, int, int], ...]
+    marks: tuple[tuple[str, int, int], ...]
+    before: int
+    after: int
     broadcastable: bool
 
+    @property
+    def cuts(self) -> tuple[tuple[str, int, int], ...]:
+        return tuple((start if start == "@" else _class_of(start), reach, size) for start, reach, size in self.marks)
+
     @property
     def join_side(self) -> DataFrame:
         return F.broadcast(self.frame) if self.broadcastable else self.frame
@@ -113,6 +134,7 @@ def prepare_roles(patterns: DataFrame, roles: tuple[str, ...]) -> dict[str, Need
         "_size",
         F.expr("substring(needle, _at - _reach + 1, _size)").alias("anchor"),
         F.lit("@").alias("_start"),
+        F.col("_at").alias("_lead"),
     )
 
     windows = F.coalesce(
@@ -134,7 +156,10 @@ def prepare_roles(patterns: DataFrame, roles: tuple[str, ...]) -> dict[str, Need
         cut.join(uses, "anchor")
         .groupBy(*columns, "_size")
         .agg(F.min(choice).getField("anchor").alias("anchor"))
-        .select(*columns, F.lit(1).alias("_reach"), "_size", "anchor", F.substring("anchor", 1, 1).alias("_start"))
+        .select(
+            *columns, F.lit(1).alias("_reach"), "_size", "anchor", F.substring("anchor", 1, 1).alias("_start"),
+            F.expr("instr(needle, anchor)").alias("_lead"),
+        )
     )
 
     frame = written(addresses.unionByName(others), "needles")
@@ -144,6 +169,8 @@ def prepare_roles(patterns: DataFrame, roles: tuple[str, ...]) -> dict[str, Need
         .agg(
             F.sum(width).alias("bytes"),
             F.array_join(F.sort_array(F.collect_set("_start")), "").alias("starts"),
+            F.max("_lead").alias("before"),
+            F.max(size - F.col("_lead")).alias("after"),
         )
         .collect()
     )
@@ -151,12 +178,10 @@ def prepare_roles(patterns: DataFrame, roles: tuple[str, ...]) -> dict[str, Need
     frame = frame.drop("_reach", "_size", "_start")
 
     def one(role: str) -> NeedleSet:
-        cuts = sorted(
-            ("@" if k["address"] else _class_of(k["starts"]), k["_reach"], k["_size"])
-            for k in kinds
-            if k[ROLE] == role
-        )
-        return NeedleSet(frame.where(F.col(ROLE) == role).drop(ROLE), tuple(cuts), small)
+        own = [k for k in kinds if k[ROLE] == role]
+        marks = sorted(("@" if k["address"] else k["starts"], k["_reach"], k["_size"]) for k in own)
+        before, after = (max((k[side] for k in own), default=0) for side in ("before", "after"))
+        return NeedleSet(frame.where(F.col(ROLE) == role).drop(ROLE), tuple(marks), before, after, small)
 
     return {role: one(role) for role in roles}
 
@@ -180,5 +205,72 @@ def search(df: DataFrame, texts: list[str], needles: NeedleSet) -> DataFrame:
         df.withColumn("_gram", F.explode(grams))
         .join(needles.join_side, F.col("_gram") == F.col("anchor"))
         .where(found)
-        .drop("_gram", "anchor")
+        .drop("_gram", "anchor", "_lead")
     )
+
+
+# --- occurrences, without the texts ------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Cuts:
+    """Where texts are cut for several needle sets together, and how much is taken along."""
+
+    marks: tuple[tuple[str, tuple[tuple[int, int], ...]], ...]  # (class of characters, (reach, size) ...)
+    before: int
+    after: int
+
+    @classmethod
+    def of(cls, sets: Iterable[NeedleSet]) -> "Cuts":
+        marks = [m for s in sets for m in s.marks]
+        grouped = []
+        for address in (True, False):
+            own = [m for m in marks if (m[0] == "@") == address]
+            if own:
+                starts = "@" if address else _class_of("".join(sorted({c for m in own for c in m[0]})))
+                grouped.append((starts, tuple(sorted({(reach, size) for _, reach, size in own}))))
+        # one character more than any needle on the left and two on the right tell whether it goes on
+        return cls(tuple(grouped), max((s.before for s in sets), default=0) + 1, max((s.after for s in sets), default=0) + 2)
+
+    def entries(self, document: Column, **tags: Column) -> Column:
+        """Array of ``tags, gram, context`` for one text."""
+        # everything a needle's first characters can reach back to is in the context, or is the edge
+        padded = F.concat(F.lit(_EDGE * (self.before - 1)), F.coalesce(document, F.lit("")), F.lit(_EDGE * self.after))
+
+        def cut(shapes: tuple[tuple[int, int], ...]):
+            def entry(context: Column, reach: int, size: int) -> Column:
+                named = [value.alias(name) for name, value in tags.items()]
+                gram = F.substring(context, self.before - reach + 1, size).alias("gram")
+                return F.struct(*named, gram, context.alias("context"))
+
+            return lambda context: F.array(*[entry(context, *shape) for shape in shapes])
+
+        found = []
+        for starts, shapes in self.marks:
+            contexts = F.array_distinct(_windows(padded, starts, self.before, self.before + self.after))
+            found.append(F.flatten(F.transform(contexts, cut(shapes))))
+        return F.concat(*found)
+
+    def holds(self, context: str, needle: str, lead: str, whole: bool = False) -> Column:
+        """Whether the needle stands at the cut; ``whole``: and is no part of a longer address."""
+        start = f"{self.before} - {lead} + 1"
+        same = F.expr(f"substring({context}, {start}, char_length({needle})) = {needle}")
+        if not whole:
+            return same
+        left = F.expr(f"substring({context}, {start} - 1, 1)").rlike(_ADDRESS_BEFORE)
+        right = F.expr(f"substring({context}, {start} + char_length({needle}), 2)").rlike(_ADDRESS_AFTER)
+        return same & (~F.expr(f"contains({needle}, '@')") | (~left & ~right))
+
+
+def occurrences(df: DataFrame, keep: list[str], texts: list[str], needles: NeedleSet, whole: bool = False) -> DataFrame:
+    """``keep, text, needle``: which needle stands in which text column of a row, each once per row of ``keep``.
+
+    Only the kept columns and the contexts leave the scan.  Patterns of one part.
+    """
+    cuts = Cuts.of([needles])
+    if not cuts.marks:
+        return df.select(*keep, F.lit("").alias("text"), F.lit("").alias("needle")).limit(0)
+    entries = F.concat(*[cuts.entries(F.col(t), text=F.lit(t)) for t in texts])
+    pieces = df.select(*keep, F.explode(entries).alias("_e")).select(*keep, "_e.*")
+    hits = pieces.join(needles.join_side, F.col("gram") == F.col("anchor")).where(cuts.holds("context", "needle", "_lead", whole))
+    return hits.select(*keep, "text", "needle").distinct()

@@ -70,14 +70,13 @@ def no_trace_scan(
                 for c in columns
             ]
         )
-        stacks.append(
-            tables[name].select(F.lit(name).alias("table"), F.explode(cells).alias("cell")).select("table", "cell.*")
-        )
+        numbered = tables[name].select(F.monotonically_increasing_id().alias("_id"), cells.alias("cells"))
+        stacks.append(numbered.select(F.lit(name).alias("table"), "_id", F.explode("cells").alias("cell")).select("table", "_id", "cell.*"))
     if not stacks:
         return spark.createDataFrame([], FINDINGS_SCHEMA)
     prepared = subjects.once(("trace", fields), lambda: needles.prepare(wanted.select("needle").distinct()))
     hits = (
-        needles.search(_union(stacks), ["text"], prepared)
+        needles.occurrences(_union(stacks), ["table", "column", "_id"], ["text"], prepared)
         .groupBy("table", "column", "needle")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
