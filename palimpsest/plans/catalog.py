@@ -413,6 +413,39 @@ def erase_hits_all_match(spark, sf_dir):
     return _erased(spark, sf_dir, "app_hits_json", matching.ALL_IDENTIFIERS)
 
 
+@query
+def erase_hits_in_place(spark, sf_dir):
+    """The payload table after its files were erased in place."""
+    return scenarios.hits_in_place(spark, sf_dir).table
+
+
+@query
+def erase_in_place_files(spark, sf_dir):
+    """How many files there were, were rewritten, and were removed because nothing was left."""
+    done = scenarios.hits_in_place(spark, sf_dir).files
+    return spark.createDataFrame([tuple(done[k] for k in ("files", "rewritten", "removed"))], "files long, rewritten long, removed long")
+
+
+@query
+def match_whole_address(spark, sf_dir):
+    """Addresses in notes, only where they are no part of a longer one."""
+    found = matching.match_counts(scenarios.notes(spark, sf_dir), scenarios.NOTE_RULES, _subjects(spark, sf_dir), whole_address=True)
+    return found
+
+
+@query
+def match_part_of_address(spark, sf_dir):
+    """The same by plain containment: also inside longer addresses."""
+    return matching.match_counts(scenarios.notes(spark, sf_dir), scenarios.NOTE_RULES, _subjects(spark, sf_dir))
+
+
+@query
+def erase_whole_address(spark, sf_dir):
+    """Rows of notes that an erasure by whole addresses drops or redacts."""
+    flagged = matching.flag_rows(scenarios.notes(spark, sf_dir), scenarios.NOTE_RULES, _subjects(spark, sf_dir), whole_address=True)
+    return flagged.where(F.col(matching.MODE) > 0).select("note_id", F.col(matching.MODE).alias("erase_mode"))
+
+
 def _run(spark, sf_dir, dry_run=False) -> erasure.RunResult:
     tables, reg = scenarios.erasure_tables(spark, sf_dir), testdata.registry(spark)
     queue = scenarios.request_queue(spark, sf_dir)

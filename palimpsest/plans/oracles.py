@@ -137,6 +137,8 @@ CTES: dict[str, str] = {
         || '&lastName=' || last_name || '&email=' || email || '&pnr=AB' || (id % 99)::VARCHAR
         || '","metrics":{{"revenue":' || (id % 950)::VARCHAR || '}}}}' AS hit_payload,
         (id % 999)::INTEGER AS revenue_usd FROM person""",
+    "notes": """SELECT id AS note_id, 'ticket ' || id::VARCHAR || ': mail from <' || CASE WHEN id % 3 = 0 THEN 'x' ELSE '' END || email
+        || CASE id % 5 WHEN 0 THEN '.org>' WHEN 1 THEN '. Done>' ELSE '>' END AS note FROM person""",
     "employee_crew": """SELECT id AS employee_id, first_name, last_name, email, c_nationkey AS base,
         c_mktsegment AS crew_role FROM person""",
     "raw": f"""SELECT 'E' || {lpad('event_id', 16)} AS event_id, 'U' || {lpad('user_id', 12)} AS user_id,
@@ -248,7 +250,7 @@ DEPENDS: dict[str, tuple[str, ...]] = {
     "subj": ("queue",),
     **{t: ("person",) for t in (
         "customer_profile", "contact_email_only", "booking", "loyalty_split", "app_hits_json", "employee_crew",
-        "lreq", "mapped")},
+        "lreq", "mapped", "notes")},
     "resolved": ("lreq", "raw"),
     "modes": ("resolved",),
     "modes_first": ("lreq", "raw"),
@@ -381,6 +383,21 @@ def findings_sql(source: dict[str, str], target: str) -> str:
     )
 
 
+#: No character of an address before it, none after it (a dot counts if the address goes on behind it).
+_WHOLE = (
+    "regexp_matches(t.note, '(^|[^A-Za-z0-9._%+-])' || regexp_escape(s.email) || '($|[^A-Za-z0-9.-]|\\.($|[^A-Za-z0-9]))')"
+)
+_IN_NOTE = "CASE WHEN s.email IS NOT NULL THEN {} ELSE contains(t.note, s.first) AND contains(t.note, s.last) END"
+
+
+def note_counts(test: str) -> str:
+    condition = _IN_NOTE.format(test)
+    asked = "s.email IS NOT NULL OR s.full_name IS NOT NULL"
+    return with_ctes(
+        f"SELECT s.request_id, (SELECT count(*) FROM notes t WHERE {condition}) AS rows_matched FROM subj s WHERE {asked}", "subj", "notes"
+    )
+
+
 def _erased_ctes() -> str:
     return ", ".join(f"x_{t} AS ({erased_sql(t)})" for t in COLUMNS)
 
@@ -643,6 +660,18 @@ def all_oracles() -> dict[str, str]:
         "queue_complete_by_id": with_ctes(
             "SELECT * REPLACE (CASE WHEN request_type = 'DELETE' THEN 'COMPLETE' ELSE status END AS status) FROM queue",
             "queue"),
+        "match_whole_address": note_counts(_WHOLE),
+        "match_part_of_address": note_counts("contains(t.note, s.email)"),
+        "erase_whole_address": with_ctes(
+            "SELECT t.note_id, max(CASE WHEN s.request_type = 'DELETE' THEN 2 ELSE 1 END) AS erase_mode "
+            f"FROM notes t JOIN subj s ON {_IN_NOTE.format(_WHOLE)} GROUP BY 1", "subj", "notes"),
+        "erase_in_place_files": with_ctes(
+            f"""SELECT count(*) AS files, count(*) FILTER (WHERE hit AND NOT gone) AS rewritten, count(*) FILTER (WHERE gone) AS removed
+            FROM (SELECT floor(p.c_acctbal / 100) AS bucket, bool_or(coalesce(m.mode, 0) > 0) AS hit, bool_and(coalesce(m.mode, 0) = 2) AS gone
+              FROM person p LEFT JOIN (
+                SELECT t.hit_id, max(CASE WHEN s.request_type = 'DELETE' THEN 2 ELSE 1 END) AS mode
+                FROM app_hits_json t JOIN subj s ON {EMAIL_FIRST['app_hits_json'][1]} GROUP BY 1) m ON m.hit_id = p.id
+              GROUP BY 1)""", "subj", "app_hits_json"),
         "no_trace_scan_before": with_ctes(
             findings_sql({t: t for t in COLUMNS}, "'crm.people'"), "subj", *COLUMNS),
         "no_trace_scan_after": findings_after(),
@@ -726,6 +755,7 @@ def all_oracles() -> dict[str, str]:
     for table, name in (("customer_profile", "erase_customer_profile"), ("contact_email_only", "erase_contact"),
                         ("booking", "erase_booking"), ("loyalty_split", "erase_loyalty"), ("app_hits_json", "erase_hits")):
         out[name] = with_ctes(erased_sql(table), "subj", table)
+    out["erase_hits_in_place"] = out["erase_hits"]
     out["erase_profile_all_match"] = with_ctes(
         erased_sql("customer_profile", ALL_MATCH), "subj", "customer_profile")
     out["erase_hits_all_match"] = with_ctes(erased_sql("app_hits_json", ALL_MATCH), "subj", "app_hits_json")

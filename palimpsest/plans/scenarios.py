@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from palimpsest.functions.masking import DEFAULT_POLICIES
 from palimpsest.operators import erasure, matching, validation
 from palimpsest.operators.policy_views import apply_policies, materialize_masked
-from palimpsest.operators.registry import rules_by_table
+from palimpsest.operators.registry import TableRules, rules_by_table
 from palimpsest.plans import testdata
 from palimpsest.session import scratch_dir, scratch_epoch, written
 from palimpsest.sources import landing, paths
-from palimpsest.sources.rewrite import replace_table
+from palimpsest.sources.rewrite import erase_files, replace_table
 from palimpsest.streaming.medallion import Erasure, Lakehouse
 
 _built: dict[tuple, object] = {}
@@ -67,6 +67,39 @@ def rules(spark: SparkSession, scope: str = "customer"):
     return once(spark, f"rules-{scope}", "", lambda: rules_by_table(testdata.registry(spark), scope))
 
 
+def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "notes", lambda: testdata.notes(spark, sf_dir))
+
+
+NOTE_RULES = TableRules("notes", payloads=("note",), masked=("note",), columns=("note",))
+
+
+@dataclass(frozen=True)
+class InPlace:
+    """A table of many files, erased in place."""
+
+    table: DataFrame
+    files: dict[str, int]
+
+
+def hits_in_place(spark: SparkSession, sf_dir: str) -> InPlace:
+    """The payload table in one file per range of balances, erased file by file."""
+
+    def build() -> InPlace:
+        path = scratch_dir(spark, "hits-in-place")
+        people = testdata.person(spark, sf_dir)
+        rows = testdata.tables_of(people)["app_hits_json"].join(
+            people.select(F.col("id").alias("hit_id"), F.floor(F.col("c_acctbal") / 100).alias("bucket")), "hit_id"
+        )
+        rows.repartition(16, "bucket").write.partitionBy("bucket").parquet(path)
+        subjects = matching.subjects_of(request_queue(spark, sf_dir).where("status = 'PENDING'"))
+        done = erase_files(spark, path, rules(spark)["app_hits_json"], subjects)
+        after = spark.read.option("recursiveFileLookup", "true").parquet(path)
+        return InPlace(after, done)
+
+    return once(spark, "hits-in-place", sf_dir, build)
+
+
 # --- masked tables ------------------------------------------------------------------
 
 

@@ -22,9 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.functions.masking import ERASED_TOKEN, PROFILE_ERASURE_POLICY, mask_expr
-from palimpsest.operators.erasure import erase_layer
+from palimpsest.operators import matching
+from palimpsest.operators.erasure import apply_erasure, erase_layer
 from palimpsest.operators.matching import DELETE_CODE, MODE, OBFUSCATE_CODE
-from palimpsest.session import broadcast_if_small, scratch_dir
+from palimpsest.operators.registry import TableRules
+from palimpsest.operators.row_address import ROW, marked
+from palimpsest.session import broadcast_if_small, scratch_dir, written
 from palimpsest.sources import paths
 
 FILES_PER_WAVE = 5000
@@ -190,6 +193,36 @@ def erase_layer_files(
     )
 
 
+# --- any parquet table, by row address ------------------------------------------------
+
+
+def erase_files(
+    spark: SparkSession,
+    path: str,
+    rules: TableRules,
+    subjects: matching.Subjects,
+    token: str = ERASED_TOKEN,
+    rule: str = matching.EMAIL_FIRST,
+    **options,
+) -> dict[str, int]:
+    """Erase requests from a parquet table in place; files without a matched row stay as they are.
+
+    One scan finds the matched rows by file and place in it; only their files are read
+    again.  Counts of files: ``files`` of the table, ``rewritten``, ``removed`` (nothing left).
+    """
+    schema = spark.read.option("recursiveFileLookup", "true").parquet(path).schema
+    table = _layer_rows(spark, schema, path)
+    modes = written(matching.find(table, rules, subjects, (rule,), **options).modes(rule), "modes")
+
+    def change(rows: DataFrame) -> DataFrame:
+        placed = rows.select("*", F.col("_metadata.row_index").alias(ROW))
+        flagged = marked(placed, modes).withColumn(MODE, F.coalesce(MODE, F.lit(0)))
+        return apply_erasure(flagged, rules, token).drop(ROW)
+
+    done = rewrite_files(spark, modes.select(_FILE).distinct(), lambda where: _layer_rows(spark, schema, where), change, "parquet")
+    return {"files": len(table.inputFiles()), **done}
+
+
 # --- whole tables -----------------------------------------------------------------------
 
 
