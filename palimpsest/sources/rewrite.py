@@ -14,13 +14,14 @@ overwritten or deleted.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palimpsest.functions.json_spans import redact_lines
 from palimpsest.functions.masking import ERASED_TOKEN, PROFILE_ERASURE_POLICY, mask_expr
 from palimpsest.operators import matching
 from palimpsest.operators.erasure import apply_erasure, erase_layer
@@ -29,25 +30,13 @@ from palimpsest.operators.registry import TableRules
 from palimpsest.operators.row_address import ROW, marked
 from palimpsest.session import broadcast_if_small, scratch_dir, written
 from palimpsest.sources import paths
+from palimpsest.sources.file_index import FILES_PER_WAVE, FileIndex, waves
 
-FILES_PER_WAVE = 5000
 RENAME_THREADS = 16
 _FILE = "_file"
 _SLOT = "_slot"
 
 
-def _waves(frame: DataFrame, size: int) -> Iterator[list[str]]:
-    """Paths of the affected files, a bounded list at a time."""
-    wave: list[str] = []
-    for row in frame.toLocalIterator():
-        wave.append(row[0])
-        if len(wave) == size:
-            yield wave
-            wave = []
-    if wave:
-        yield wave
-
-
 def _slot_of(path: str) -> str:
     return hashlib.sha1(path.encode("utf-8")).hexdigest()
 
@@ -93,7 +82,7 @@ def rewrite_files(
     deleted.  A run that dies half way can simply be run again.
     """
     done = {"rewritten": 0, "removed": 0}
-    for wave in _waves(files, wave_size):
+    for wave in waves(files, wave_size):
         staging = scratch_dir(spark, "staging")
         rows = read([unquote(uri) for uri in wave]).withColumn(_FILE, F.col("_metadata.file_path"))
         changed = change(rows).withColumn(_SLOT, F.sha1(_FILE)).drop(_FILE)
@@ -109,10 +98,11 @@ def rewrite_files(
 
 
 def redact_json_line(line, token: str = ERASED_TOKEN):
-    """One JSON record as text, redacted: unknown fields and their order are kept.
+    """One JSON record as text, redacted and written anew: unknown fields and their order are kept.
 
     ``email`` and ``full_name`` become the token where present; ``profile_json``
-    is masked as text when it is a string and left alone otherwise.
+    is masked as text when it is a string and left alone otherwise.  For records
+    whose text ``json_spans`` cannot walk.
     """
     mark = F.lit(token).cast("variant")
 
@@ -130,16 +120,37 @@ def redact_json_line(line, token: str = ERASED_TOKEN):
 
 
 def _lines(spark: SparkSession, where: str | list[str]) -> DataFrame:
-    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
+    # a line ends at its line feed: what else stands before it belongs to the line
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").option("lineSep", "\n")
     return reader.text(where)
 
 
-def landing_files(spark: SparkSession, landing: str, modes: DataFrame) -> DataFrame:
-    """The source files that hold a line of the users in ``modes``; lines that are not JSON are an error."""
+def _filled():
+    return F.col("value").rlike(r"\S")
+
+
+def _unreadable():
+    return _filled() & F.try_parse_json("value").isNull()
+
+
+def landing_index(spark: SparkSession, root: str, landing: str) -> FileIndex:
+    """The index of the source files by user; it counts lines that are no JSON."""
+    keys = {"user_id": F.get_json_object("value", "$.user_id")}
+    return FileIndex(spark, root, landing, "*.json", lambda where: _lines(spark, where), keys, _unreadable())
+
+
+def landing_files(
+    spark: SparkSession, landing: str, modes: DataFrame, lines: DataFrame | None = None, broken: DataFrame | None = None
+) -> DataFrame:
+    """The source files that hold a line of the users in ``modes``; lines that are not JSON are an error.
+
+    ``lines`` and ``broken`` come from an index: the lines of the files that may hold a
+    user, and the files with lines that are not JSON.  Without them every file is read.
+    """
     # a line whose owner cannot be read could hold anybody: nothing is rewritten until it is mended
-    lines = _lines(spark, landing)
-    broken = lines.where(F.trim("value") != "").where(F.try_parse_json("value").isNull())
-    where = [r[0] for r in broken.select("_metadata.file_path").distinct().limit(5).collect()]
+    lines = _lines(spark, landing) if lines is None else lines
+    broken = lines.where(_unreadable()).select("_metadata.file_path").distinct() if broken is None else broken
+    where = [r[0] for r in broken.limit(5).collect()]
     if where:
         raise ValueError(f"landing lines that are not JSON, so that their owner is unknown, in {where} and perhaps more files")
     user = F.get_json_object("value", "$.user_id").alias("user_id")
@@ -147,22 +158,31 @@ def landing_files(spark: SparkSession, landing: str, modes: DataFrame) -> DataFr
 
 
 def scrub_landing(
-    spark: SparkSession, landing: str, modes: DataFrame, token: str = ERASED_TOKEN
+    spark: SparkSession,
+    landing: str,
+    modes: DataFrame,
+    token: str = ERASED_TOKEN,
+    lines: DataFrame | None = None,
+    broken: DataFrame | None = None,
 ) -> dict[str, int]:
     """Erase users from the source files themselves, so that a full rebuild cannot bring them back.
 
-    Lines of other users pass through as they are, byte for byte.
+    Lines of other users pass through as they are, byte for byte; redacted lines differ in
+    nothing but the redacted values.  ``lines``, ``broken``: as for ``landing_files``.
     """
-    files = landing_files(spark, landing, modes)
+    files = landing_files(spark, landing, modes, lines, broken)
 
     def change(rows: DataFrame) -> DataFrame:
         side = broadcast_if_small(modes.select("user_id", MODE))
-        flagged = rows.where(F.trim("value") != "").withColumn(
+        flagged = rows.where(_filled()).withColumn(
             "user_id", F.get_json_object("value", "$.user_id")
         ).join(side, "user_id", "left")
         kept = flagged.where(F.coalesce(MODE, F.lit(0)) != DELETE_CODE)
-        text = F.when(F.col(MODE) == OBFUSCATE_CODE, redact_json_line(F.col("value"), token))
-        return kept.select(F.coalesce(text, F.col("value")).alias("value"), _FILE)
+        # lines of others are null here: they pass through without being looked at
+        mine = F.when(F.col(MODE) == OBFUSCATE_CODE, F.col("value"))
+        spans = redact_lines(mine, ("email", "full_name"), "profile_json", PROFILE_ERASURE_POLICY["keys"], token)
+        again = F.when(mine.isNotNull(), redact_json_line(F.col("value"), token))
+        return kept.withColumn("_new", spans).select(F.coalesce("_new", again, "value").alias("value"), _FILE)
 
     return rewrite_files(spark, files, lambda where: _lines(spark, where), change, "text")
 
@@ -175,18 +195,24 @@ def _layer_rows(spark: SparkSession, schema, where: str | list[str]) -> DataFram
     return reader.option("recursiveFileLookup", "true").parquet(*([where] if isinstance(where, str) else where))
 
 
-def layer_files(spark: SparkSession, layer: str, schema, modes: DataFrame) -> DataFrame:
-    """The files of a parquet layer that hold a row of the users in ``modes``."""
-    return affected_files(_layer_rows(spark, schema, layer), modes, "user_id")
+def layer_index(spark: SparkSession, root: str, layer: str, schema) -> FileIndex:
+    """The index of a layer's files by user and by address."""
+    keys = {"user_id": F.col("user_id"), "email": F.lower("email")}
+    return FileIndex(spark, root, layer, "*.parquet", lambda where: _layer_rows(spark, schema, where), keys)
+
+
+def layer_files(spark: SparkSession, layer: str, schema, modes: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """The files of a parquet layer that hold a row of the users in ``modes``; ``rows``: of the files that may."""
+    return affected_files(_layer_rows(spark, schema, layer) if rows is None else rows, modes, "user_id")
 
 
 def erase_layer_files(
-    spark: SparkSession, layer: str, schema, modes: DataFrame, token: str = ERASED_TOKEN
+    spark: SparkSession, layer: str, schema, modes: DataFrame, token: str = ERASED_TOKEN, rows: DataFrame | None = None
 ) -> dict[str, int]:
     """Erase users from a parquet layer in place, file by file."""
     return rewrite_files(
         spark,
-        layer_files(spark, layer, schema, modes),
+        layer_files(spark, layer, schema, modes, rows),
         lambda where: _layer_rows(spark, schema, where),
         lambda df: erase_layer(df, modes, token),
         "parquet",

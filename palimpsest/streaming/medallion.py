@@ -20,6 +20,7 @@ from palimpsest.functions.masking import ERASED_TOKEN
 from palimpsest.operators import erasure, matching, validation
 from palimpsest.session import written
 from palimpsest.sources import landing, paths, rewrite
+from palimpsest.sources.file_index import FileIndex
 
 RAW_SCHEMA = StructType(
     [
@@ -27,6 +28,8 @@ RAW_SCHEMA = StructType(
         for name in landing.LANDING_COLUMNS
     ]
 )
+#: Batches of latest rows, or folds of one level, that are folded when a run has made so many.
+FOLD_AT = 8
 SILVER_SCHEMA = StructType([*RAW_SCHEMA.fields[:-1], StructField("_silver_ts", TimestampType())])
 
 
@@ -109,7 +112,11 @@ def _run(stream: DataFrame, layer: str, checkpoint: str) -> None:
 
 @dataclass(frozen=True)
 class Lakehouse:
-    """Folders of one medallion.  ``latest_only`` keeps one current row per user in silver."""
+    """Folders of one medallion.
+
+    ``latest_only`` keeps one current row per user in silver.  ``files_per_batch`` bounds
+    the micro-batches of every hop: a first load of many files runs as many batches.
+    """
 
     spark: SparkSession
     landing: str
@@ -130,13 +137,15 @@ class Lakehouse:
     # --- streams -------------------------------------------------------------------------
 
     def _read_layer_stream(self, name: str) -> DataFrame:
-        return (
+        reader = (
             self.spark.readStream.schema(RAW_SCHEMA)
             .option("maxFileAge", landing.SEEN_FOR)
             .option("recursiveFileLookup", "true")
             .option("pathGlobFilter", "*.parquet")
-            .parquet(self._layer(name))
         )
+        if self.files_per_batch:
+            reader = reader.option("maxFilesPerTrigger", self.files_per_batch)
+        return reader.parquet(self._layer(name))
 
     def ingest_raw(self) -> None:
         stream = landing.stream_landing(self.spark, self.landing, files_per_batch=self.files_per_batch)
@@ -148,7 +157,7 @@ class Lakehouse:
 
     def ingest_silver(self) -> None:
         """Append variant: validated events.  Latest-only variant: each batch reduced to its newest row
-        per user and appended; ``silver()`` merges the batches, ``compact_silver()`` folds them."""
+        per user and appended; ``silver()`` merges what there is, ``compact_silver()`` folds it."""
         paths.make_dirs(self.spark, self._layer("bronze"))
         feed = self._read_layer_stream("bronze")
         if not self.latest_only:
@@ -168,15 +177,16 @@ class Lakehouse:
         return rewrite.replace_table(gold(self.silver()), self._layer("gold"))
 
     def run(self) -> None:
-        """Incremental update: every hop takes what is new, gold is recomputed."""
+        """Incremental update: every hop takes what is new, silver's many batches are folded, gold is recomputed."""
         self.ingest_raw()
         self.ingest_bronze()
         self.ingest_silver()
+        self.compact_silver(FOLD_AT)
         self.refresh_gold()
 
     def full_refresh(self) -> None:
         """Forget every layer and checkpoint, and read all source files again."""
-        for name in ("raw", "bronze", "silver", "gold", "_checkpoints"):
+        for name in ("raw", "bronze", "silver", "gold", "_checkpoints", "_staging", "_index"):
             paths.delete(self.spark, self._layer(name))
         self.run()
 
@@ -213,29 +223,79 @@ class Lakehouse:
     def files(self) -> DataFrame:
         return landing.read_landing(self.spark, self.landing)
 
-    def compact_silver(self) -> None:
-        """Fold the batches of the latest-only silver into one (between runs).
-
-        The folded rows take the place of the newest batch, so the stream's next
-        batch number is still free.
+    def _folds(self) -> dict[int, list[str]]:
+        """The folders of silver by level: batches are 0, what folds level n is n + 1."""
+        levels: dict[int, list[str]] = {}
+        for path in paths.children(self.spark, self._layer("silver")):
+            kind, _, number = paths.name_of(path).partition("=")
+            if kind in ("batch_id", "fold_id"):
+                levels.setdefault(int(number.split("-")[0]) if kind == "fold_id" else 0, []).append(path)
+        return levels
+
+    def compact_silver(self, fan_in: int = 2) -> int:
+        """Fold the latest-only silver where a level has ``fan_in`` folders or more; how many folds.
+
+        Folders of one level become one of the next, so each row is rewritten once per
+        level, and a read meets fewer than ``fan_in`` folders of each.  A fold is written
+        outside the layer and appears in it by one rename; only then do its sources go.
+        At any moment in between rows are there once or twice, which is the same to a
+        table of latest rows, and what a run that died left outside is thrown away.
         """
-        layer = self._layer("silver")
-        batches = [p for p in paths.children(self.spark, layer) if paths.name_of(p).startswith("batch_id=")]
-        if not self.latest_only or len(batches) < 2:
-            return
-        newest = max(batches, key=lambda p: int(paths.name_of(p).split("=")[1]))
-        rewrite.replace_table(latest_per_user(self._table("silver", RAW_SCHEMA)), newest)
-        for batch in batches:
-            if batch != newest:
-                paths.delete(self.spark, batch)
+        if not self.latest_only:
+            return 0
+        staging = paths.below(self.root, "_staging", "silver")
+        paths.delete(self.spark, staging)
+        done, level = 0, 0
+        while folders := self._folds().get(level):
+            if len(folders) >= fan_in:
+                newest = max(int(paths.name_of(p).replace("-", "=").split("=")[-1]) for p in folders)
+                name = f"fold_id={level + 1}-{newest}"
+                fold = paths.below(staging, name)
+                rows = self.spark.read.schema(RAW_SCHEMA).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+                latest_per_user(rows.parquet(*folders)).write.parquet(fold)
+                paths.move(self.spark, fold, paths.below(self._layer("silver"), name))
+                for folder in folders:
+                    paths.delete(self.spark, folder)
+                done += 1
+            level += 1
+        return done
 
     # --- erasure --------------------------------------------------------------------------------
 
+    def index(self, name: str) -> FileIndex:
+        """Which files of a layer, or of the landing zone, may hold a user (layers: or an address)."""
+        root = paths.below(self.root, "_index", name)
+        if name == "landing":
+            return rewrite.landing_index(self.spark, root, self.landing)
+        schema = self.silver_schema if name == "silver" else RAW_SCHEMA
+        paths.make_dirs(self.spark, self._layer(name))
+        return rewrite.layer_index(self.spark, root, self._layer(name), schema)
+
+    def refresh_index(self) -> dict[str, int]:
+        """Read the files that came since the last time, once; how many per layer."""
+        return {name: self.index(name).refresh() for name in INDEXED}
+
+    def _held(self, users: DataFrame) -> "Held":
+        """The files that may hold one of the users."""
+        files = {name: written(self.index(name).candidates("user_id", users.select("user_id")), f"held-{name}") for name in INDEXED}
+        return Held(files, {name: self.index(name).rows(df) for name, df in files.items()})
+
+    def _held_layers(self, held: "Held") -> dict[str, DataFrame]:
+        silver = held.rows["silver"]
+        return {
+            "raw": held.rows["raw"],
+            "bronze": held.rows["bronze"],
+            "silver": latest_per_user(silver) if self.latest_only else silver,
+            "gold": self.gold(),
+        }
+
     def _resolve(self, requests: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Requests asked for, the users they name, and the mode of each user, all written down."""
         pending = requests.where(F.col("status") == "PENDING")
         asked = written(pending.select("request_id"), "asked")
-        resolved = written(matching.resolve_subject_keys(self.raw(), pending), "resolved")
+        self.refresh_index()
+        raw, mails = self.index("raw"), pending.select(F.lower(F.trim("subject_email")))
+        resolved = written(matching.resolve_subject_keys(raw.rows(raw.candidates("email", mails)), pending), "resolved")
         return asked, resolved, written(matching.user_modes(resolved), "modes")
 
     def plan(self, requests: DataFrame) -> DataFrame:
@@ -244,12 +304,14 @@ class Lakehouse:
         ``files`` is null for gold, which is recomputed and not rewritten.
         """
         _, _, modes = self._resolve(requests)
+        held = self._held(modes)
         stored = (("raw", RAW_SCHEMA), ("bronze", RAW_SCHEMA), ("silver", self.silver_schema))
-        found = {name: rewrite.layer_files(self.spark, self._layer(name), schema, modes) for name, schema in stored}
-        found["landing"] = rewrite.landing_files(self.spark, self.landing, modes)
+        found = {name: rewrite.layer_files(self.spark, self._layer(name), schema, modes, held.rows[name]) for name, schema in stored}
+        found["landing"] = rewrite.landing_files(self.spark, self.landing, modes, held.rows["landing"], self.index("landing").broken_files())
         named = [df.select(F.lit(name).alias("layer")) for name, df in found.items()]
         files = reduce(DataFrame.unionAll, named).groupBy("layer").agg(F.count(F.lit(1)).alias("files"))
-        rows = erasure.layer_match_counts({**self.all_layers(), "landing": self.files()}, modes)
+        lines = held.rows["landing"].select(F.get_json_object("value", "$.user_id").alias("user_id"))
+        rows = erasure.layer_match_counts({**self._held_layers(held), "landing": lines}, modes)
         none = F.when(F.col("layer") != "gold", F.lit(0).cast("long"))
         return rows.join(files, "layer", "left").select("layer", "rows", F.coalesce("files", none).alias("files"))
 
@@ -259,19 +321,36 @@ class Lakehouse:
         The keys are resolved from raw, so raw comes last: a run that dies on
         the way resolves the same subjects again and simply repeats the rest.
         The resolved keys are written down, because raw loses them in the end.
-        Gold is recomputed only if something was deleted.
+        Gold is recomputed only if something was deleted.  Only files that may hold a
+        subject are opened; the checks afterwards read everything.
         """
         asked, resolved, modes = self._resolve(requests)
-        before = validation.kept(erasure.layer_match_counts(self.all_layers(), modes))
+        paths.delete(self.spark, paths.below(self.root, "_staging"))  # a fold that never came in holds people too
+        held = self._held(modes)
+        before = validation.kept(erasure.layer_match_counts(self._held_layers(held), modes))
         changed = {}
         if scrub_files:
-            changed["landing"] = rewrite.scrub_landing(self.spark, self.landing, modes, token)
+            broken = self.index("landing").broken_files()
+            changed["landing"] = rewrite.scrub_landing(self.spark, self.landing, modes, token, held.rows["landing"], broken)
         refreshed = erasure.needs_gold_refresh(modes)
         for name, schema in (("silver", self.silver_schema), ("bronze", RAW_SCHEMA), ("raw", RAW_SCHEMA)):
-            changed[name] = rewrite.erase_layer_files(self.spark, self._layer(name), schema, modes, token)
+            changed[name] = rewrite.erase_layer_files(self.spark, self._layer(name), schema, modes, token, held.rows[name])
             if name == "silver" and refreshed:
                 self.refresh_gold()
-        return Erasure(self, asked, resolved, modes, before, changed, refreshed)
+        opened = {name: df.count() for name, df in held.files.items()}
+        return Erasure(self, asked, resolved, modes, before, changed, refreshed, opened)
+
+
+#: What has an index of its files.
+INDEXED = ("landing", "raw", "bronze", "silver")
+
+
+@dataclass(frozen=True)
+class Held:
+    """Files that may hold some users (``_file``), and their rows; by layer."""
+
+    files: dict[str, DataFrame]
+    rows: dict[str, DataFrame]
 
 
 @dataclass(frozen=True)
@@ -285,6 +364,8 @@ class Erasure:
     counts_before: DataFrame
     changed_files: dict[str, dict[str, int]]
     gold_refreshed: bool
+    #: Files that were opened to look for the subjects, per layer and in the landing zone.
+    opened_files: dict[str, int]
 
     def counts_after(self) -> DataFrame:
         return erasure.layer_match_counts(self.house.all_layers(), self.modes)
