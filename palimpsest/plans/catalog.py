@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palimpsest.functions import json_spans
 from palimpsest.functions.masking import (
     DEFAULT_POLICIES,
     ERASED_TOKEN,
     NULLIFY,
     PARTIAL,
+    PROFILE_ERASURE_POLICY,
     REDACT,
     hash_json_field,
     mask_expr,
@@ -650,6 +652,34 @@ def gold_refresh(spark, sf_dir):
     return gold.withColumn("lifetime_revenue", F.round("lifetime_revenue", 2))
 
 
+@query
+def indexed_rows(spark, sf_dir):
+    """Rows of the users to delete, read from the files the index names and from no other."""
+    layer = scenarios.indexed_layer(spark, sf_dir)
+    rows = layer.index.rows(layer.index.candidates("user_id", layer.users))
+    return rows.join(layer.users, "user_id", "left_semi").select("event_id", "user_id")
+
+
+@query
+def indexed_files(spark, sf_dir):
+    """Files of the layer, files that hold a user to delete, and how many of those the index does not name."""
+    layer = scenarios.indexed_layer(spark, sf_dir)
+    rows = layer.index.read([layer.index.folder])
+    holding = rows.select("user_id", F.col("_metadata.file_path").alias("_file")).join(layer.users, "user_id", "left_semi").select("_file").distinct()
+    named = layer.index.candidates("user_id", layer.users).withColumn("named", F.lit(1))
+    held = holding.join(named, "_file", "left").agg(F.count(F.lit(1)).alias("holding"), F.count_if(F.col("named").isNull()).alias("missed"))
+    return layer.index.files().agg(F.count(F.lit(1)).alias("files")).join(held)
+
+
+@query
+def redact_lines_in_place(spark, sf_dir):
+    """Landing lines with the values of two users in three redacted, and nothing else changed."""
+    lines = testdata.event_lines(spark, sf_dir)
+    mine = F.when(F.col("user_id") % 3 > 0, F.col("line"))
+    redacted = json_spans.redact_lines(mine, ("email", "full_name"), "profile_json", PROFILE_ERASURE_POLICY["keys"], ERASED_TOKEN)
+    return lines.withColumn("_new", redacted).select("event_id", F.coalesce("_new", "line").alias("line"))
+
+
 # --- streams -------------------------------------------------------------------------------------------
 
 

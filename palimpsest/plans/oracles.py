@@ -717,6 +717,19 @@ def all_oracles() -> dict[str, str]:
             "(SELECT count(*) FROM queue WHERE status = 'COMPLETE') AS requests_complete", "raw", "queue"),
         "gold_refresh": with_ctes(
             f"SELECT user_id, round(sum(revenue), 2) AS lifetime_revenue, {GOLD} erased GROUP BY user_id", "erased"),
+        "indexed_rows": with_ctes(
+            "SELECT event_id, user_id FROM raw WHERE user_id IN (SELECT user_id FROM resolved WHERE request_type = 'DELETE')",
+            "raw", "resolved"),
+        "indexed_files": with_ctes(
+            """SELECT count(DISTINCT b) AS files, count(DISTINCT b) FILTER (WHERE asked) AS holding, 0 AS missed FROM (
+            SELECT substr(user_id, 2)::BIGINT % 97 AS b, user_id IN (SELECT user_id FROM resolved WHERE request_type = 'DELETE') AS asked
+            FROM raw)""", "raw", "resolved"),
+        "redact_lines_in_place":
+            f"""SELECT event_id, '{{ "event_id" : "E' || event_id::VARCHAR || '",' || chr(9) || '"user_id":"U' || user_id::VARCHAR
+            || '","\\u0065mail":"' || e || '" , "ratio":1.50,"email":"' || e || '","profile_json":"{{\\"contact\\":{{\\"email\\": \\"' || e
+            || '\\",\\"n\\\\u0061me\\":1,\\"name\\":\\"' || n || '\\"}}}}","tag":"\\u00e9\\/"}}' AS line
+            FROM (SELECT event_id, user_id, CASE WHEN user_id % 3 > 0 THEN '{ERASED_TOKEN}' ELSE {_e['email']} END AS e,
+                  CASE WHEN user_id % 3 > 0 THEN '{ERASED_TOKEN}' ELSE {_e['full']} END AS n FROM events)""",
         "stream_raw": with_ctes("SELECT * FROM story", "story"),
         "stream_bronze": with_ctes("SELECT * FROM story", "story"),
         "stream_silver": with_ctes("SELECT * EXCLUDE (_ingest_ts) FROM story", "story"),

@@ -20,8 +20,9 @@ from palimpsest.operators.registry import TableRules, rules_by_table
 from palimpsest.plans import testdata
 from palimpsest.session import scratch_dir, scratch_epoch, written
 from palimpsest.sources import landing, paths
-from palimpsest.sources.rewrite import erase_files, replace_table
-from palimpsest.streaming.medallion import Erasure, Lakehouse
+from palimpsest.sources.file_index import FileIndex
+from palimpsest.sources.rewrite import erase_files, layer_index, replace_table
+from palimpsest.streaming.medallion import RAW_SCHEMA, Erasure, Lakehouse
 
 _built: dict[tuple, object] = {}
 
@@ -175,6 +176,28 @@ def refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return once(spark, "refreshed", sf_dir, build)
 
 
+@dataclass(frozen=True)
+class Indexed:
+    """A layer of one file per group of users, its index, and the users asked for."""
+
+    index: FileIndex
+    users: DataFrame
+
+
+def indexed_layer(spark: SparkSession, sf_dir: str) -> Indexed:
+    def build() -> Indexed:
+        root = scratch_dir(spark, "indexed")
+        events = raw_events(spark, sf_dir).drop("event_type")
+        group = F.pmod(F.substring("user_id", 2, 12).cast("long"), F.lit(97)).alias("bucket")
+        events.select("*", group).repartition("bucket").write.partitionBy("bucket").parquet(paths.below(root, "layer"))
+        index = layer_index(spark, paths.below(root, "index"), paths.below(root, "layer"), RAW_SCHEMA)
+        index.refresh()
+        asked = layer_requests(spark, sf_dir).where("request_type = 'DELETE'")
+        return Indexed(index, written(matching.resolve_subject_keys(raw_events(spark, sf_dir), asked).select("user_id").distinct(), "asked-users"))
+
+    return once(spark, "indexed", sf_dir, build)
+
+
 def purge_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Erase a written table in place, then look for the subjects in the bytes that are left.
 

@@ -28,20 +28,22 @@ from palimpsest.sources import paths
 FILE = "_file"
 BITS_PER_KEY = 12
 PROBES = 7
+LEAST_BYTES = 32
 FILES_PER_WAVE = 5000
 _SCHEMA = "_file string, kind string, stamp timestamp, keys long, broken long, bits binary"
 
 
 def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """The places of each hash among so many bits."""
-    h = hashes.view(np.uint64)
-    step = (h >> np.uint64(32)) | np.uint64(1)
-    return (h[:, None] + np.arange(PROBES, dtype=np.uint64) * step[:, None]) % np.uint64(bits)
+    """The places of each hash among so many bits: independent of each other, for small filters too."""
+    x = hashes.view(np.uint64)[:, None] + np.arange(1, PROBES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))) % np.uint64(bits)
 
 
 def bloom(hashes: np.ndarray) -> bytes:
     """A filter of the hashes, a whole number of bytes."""
-    size = max(1, -(-len(hashes) * BITS_PER_KEY // 8))
+    size = max(LEAST_BYTES, -(-len(hashes) * BITS_PER_KEY // 8))
     on = np.zeros(size * 8, np.uint8)
     on[_places(hashes, size * 8).ravel().astype(np.int64)] = 1
     return np.packbits(on, bitorder="little").tobytes()

@@ -130,7 +130,8 @@ def _filled():
 
 
 def _unreadable():
-    return _filled() & F.try_parse_json("value").isNull()
+    # a repeated key is no reason to stop: a variant would not take it
+    return _filled() & F.get_json_object("value", "$").isNull()
 
 
 def landing_index(spark: SparkSession, root: str, landing: str) -> FileIndex:
