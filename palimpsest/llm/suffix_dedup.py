@@ -33,7 +33,8 @@ LENGTH = 400
 GRAM = 64
 UNIT = 16
 _SECOND = _BYTE[::-1].copy()
-_AT = (1 << 24) - 1
+#: Low bits of a gram's hash that give way to its offset, which is below two spans.
+_AT = (1 << 10) - 1
 
 
 class Names:
@@ -53,23 +54,27 @@ class Names:
 
 
 def anchors(names: Names, n: int) -> np.ndarray:
-    """The anchor of the window at each position (windows over a text's edge included: not used)."""
+    """The anchor of the window at each position (windows over a text's edge included: not used).
+
+    Of equal grams the last one counts, by its offset from the block the window starts
+    in: the choice depends on the window's bytes alone, however long the text is.
+    """
     span = LENGTH - GRAM + 1
     at = np.arange(max(0, n - GRAM + 1))
-    grams = names.of(at, at + GRAM, np.zeros(1, np.int64)).view(np.uint64)
-    key = (grams & ~np.uint64(_AT)) | np.uint64(_AT) - (at.astype(np.uint64) & np.uint64(_AT))
-    # smallest key of `span` in a row: two running minima per block
-    blocks = -(-len(key) // span)
+    grams = names.of(at, at + GRAM, np.zeros(1, np.int64)).view(np.uint64) & ~np.uint64(_AT)
+    # smallest key of `span` in a row: a running minimum to the block's end and one from the next block's start
+    blocks = -(-len(grams) // span)
     padded = np.full(blocks * span, np.iinfo(np.uint64).max, np.uint64)
-    padded[: len(key)] = key
+    padded[: len(grams)] = grams
     grid = padded.reshape(blocks, span)
-    ahead = np.minimum.accumulate(grid, axis=1).ravel()
-    behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
+    offset = np.arange(span, dtype=np.uint64)
+    ahead = np.minimum.accumulate(grid | (np.uint64(_AT - span) - offset), axis=1).ravel()
+    behind = np.minimum.accumulate((grid | (np.uint64(_AT) - offset))[:, ::-1], axis=1)[:, ::-1].ravel()
     windows = max(0, n - LENGTH + 1)
-    low = np.minimum(behind[:windows], ahead[span - 1 : span - 1 + windows])
     start = np.arange(windows)
-    offset = (np.uint64(_AT) - (low & np.uint64(_AT))).astype(np.int64)
-    return start + ((offset - start) & _AT)
+    low = np.minimum(behind[:windows], ahead[span - 1 : span - 1 + windows])
+    low = np.where(start % span == 0, behind[:windows], low)  # a whole block: nothing of the next one
+    return start - start % span + (np.uint64(_AT) - (low & np.uint64(_AT))).astype(np.int64)
 
 
 def first_cells(rows: DataFrame) -> DataFrame:
@@ -177,7 +182,8 @@ def repeats(rows: DataFrame) -> DataFrame:
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_bytes, runs (removed [start, end) bytes), kept (the bytes left).
 
-    Null texts count as empty; texts under 400 bytes have nothing to remove.  Rows that
+    Null texts count as empty; texts under 400 bytes have nothing to remove.  A text of
+    any length is one slice of its task, which holds some 15 numbers per byte of it.  Rows that
     repeat are copies of each other and lose every byte, if they have 400.  A cut can
     split a character: kept is binary.  Other columns are not read.
     """
