@@ -7,6 +7,10 @@ partition.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -68,12 +72,31 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         row = last
 
 
+def lean(run: Callable) -> Callable:
+    """The same function of batches, giving back at its end what it took.
+
+    A worker goes on to the next stage's tasks; memory that its allocators keep would
+    count against an executor beside what those tasks need.
+    """
+
+    def lean_run(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # not every C library can
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return lean_run
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             yield from fn(batch)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 # ---------------------------------------------------------------- hashing
@@ -240,10 +263,40 @@ def small_side(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- bounded training
 
 
-def trained(sample: DataFrame, train: Callable[[list[bytes], list[int]], tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+def thinned(keys: DataFrame, order: str, wanted: int, spare: float) -> DataFrame | None:
+    """Keys whose hash `order` is among the smallest, some spare * wanted of them; None if there are no more.
+
+    A cutoff from the keys' number leaves as many at any size, so that a bounded sample
+    is no sort of every task's best rows in one task.
+    """
+    count = keys.count()
+    if count <= spare * wanted:
+        return None
+    return keys.filter(F.col(order) < F.lit(int(spare * wanted / count * 2.0**64) - (1 << 63)))
+
+
+def sampled(keys: DataFrame, rows_of: Callable[[DataFrame], DataFrame], wanted: dict[int, int]) -> pa.Table:
+    """(_text, y): of each class the rows with the smallest `_o`, at most as many as wanted, on the driver.
+
+    keys: (doc_id, y, _o); rows_of joins them with what makes a row, and may drop some: if
+    too few of a thinned class are left, more of it is taken.
+    """
+    found = []
+    for y, n in wanted.items():
+        own = keys.filter(F.col("y") == y)
+        for spare in (4.0, 64.0, math.inf):
+            thin = thinned(own, "_o", n, spare)
+            rows = rows_of(own if thin is None else thin).orderBy("_o", "_text").limit(n)
+            got = rows.select("_text", F.col("y").cast("long").alias("y")).toArrow()
+            if thin is None or len(got) == n:
+                break
+        found.append(got)
+    return pa.concat_tables(found)
+
+
+def trained(rows: pa.Table, train: Callable[[list[bytes], list[int]], tuple[np.ndarray, ...]]) -> list[np.ndarray]:
     """What train makes of a bounded sample (_text, y), on the driver."""
-    rows = sample.select("_text", F.col("y").cast("long").alias("y")).toArrow()
-    texts, labels = [t.as_py().encode() for t in rows.column(0)], rows.column(1).to_pylist()
+    texts, labels = [t.as_py().encode() for t in rows.column("_text")], rows.column("y").to_pylist()
     del rows
     made = [np.atleast_1d(np.asarray(x, np.float64)) for x in train(texts, labels)]
     del texts

@@ -14,6 +14,7 @@ compared; only the others meet all members, in blocks of bounded size.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import blobs, components, longs, table
+from palimpsest.llm.common import blobs, components, longs, table, thinned
 from palimpsest.session import written
 
 COSINE = 0.9
@@ -29,7 +30,10 @@ TREES = 10
 LEAF = 256
 #: Share of a node's vectors on either side of its middle that go both ways.
 SPILL = 0.04
-#: Trees are fitted on at most so many vectors, to at most so many levels; deeper levels use shared directions.
+#: Where SPILL of normal values end, in deviations from the middle.
+BAND = 0.1004
+#: Trees are fitted on at most so many vectors, to at most so many levels; deeper levels split by
+#: shared directions around each learned leaf's centre, with the same overlap by its spread.
 SAMPLE = 40_000
 LEARNED_LEVELS = 11
 BLOCK = 1024
@@ -47,6 +51,7 @@ class Tree:
         self.planes = rng.normal(size=(nodes, dim)).astype(np.float32)
         self.low, self.high = np.zeros(nodes, np.float32), np.zeros(nodes, np.float32)
         self.centres = np.zeros((nodes + 1, dim), np.float32)
+        self.spread = np.zeros(nodes + 1, np.float32)
         self.more = rng.normal(size=(max(0, levels - self.levels), dim)).astype(np.float32)
         parts = {0: np.arange(len(x))}
         for node in range(nodes):
@@ -67,6 +72,9 @@ class Tree:
                     parts[child] = rows
                 elif len(rows):
                     self.centres[child - nodes] = x[rows].mean(axis=0)
+                    self.spread[child - nodes] = np.sqrt(((x[rows] - self.centres[child - nodes]) ** 2).mean())
+        # a leaf of one vector or none says nothing about its spread
+        self.spread[self.spread == 0] = self.spread[self.spread > 0].mean() if (self.spread > 0).any() else 0
 
     def leaves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, leaf) of every vector, once or more."""
@@ -79,10 +87,19 @@ class Tree:
         at -= (1 << self.levels) - 1
         leaf = at
         for plane in self.more:
-            leaf = 2 * leaf + ((x[rows] - self.centres[at]) @ plane > 0)
+            along = (x[rows] - self.centres[at]) @ plane
+            band = BAND * self.spread[at] * np.linalg.norm(plane)
+            left, right = along <= band, along > -band
+            rows, at = np.concatenate([rows[left], rows[right]]), np.concatenate([at[left], at[right]])
+            leaf = np.concatenate([2 * leaf[left], 2 * leaf[right] + 1])
         return rows, leaf
 
 
+def trees_for(levels: int, trees: int = TREES) -> int:
+    """More trees as they get deeper: each level may part a pair, and what one tree parts another holds."""
+    return trees + max(0, levels - LEARNED_LEVELS)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(v.as_buffer().to_pybytes() for v in column), np.float64).reshape(len(column), -1)
 
@@ -129,11 +146,13 @@ def _counted(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def forest(vectors: DataFrame, count: int, trees: int, leaf: int) -> list[Tree]:
-    sample = vectors.orderBy(F.xxhash64("cid", F.lit(5))).limit(SAMPLE).select("vec").toArrow().column("vec").combine_chunks()
+    named = vectors.withColumn("_o", F.xxhash64("cid", F.lit(5)))
+    few = thinned(named, "_o", SAMPLE, 1.2)
+    sample = (named if few is None else few).orderBy("_o").limit(SAMPLE).select("vec").toArrow().column("vec").combine_chunks()
     x = _matrix(sample)
     x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
     levels = max(0, math.ceil(math.log2(max(1, count) / leaf)))
-    return [Tree(x, levels, np.random.default_rng(100 + k)) for k in range(trees)]
+    return [Tree(x, levels, np.random.default_rng(100 + k)) for k in range(trees_for(levels, trees))]
 
 
 def near_duplicates(
@@ -141,21 +160,35 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per input row: vec_id, n_links, component_id, kept.
 
-    Vectors that are null, zero, of another length than most (the smallest of equally
-    common lengths counts), or hold null or non-finite components link with nothing.
-    Copies and repeated rows link with each other.  component_id is the smallest id in
-    the component that is not null; kept tells whether that is the row's own.
+    Vectors that are null, zero, or hold null or non-finite components link with nothing;
+    vectors of different lengths have no cosine: each length has a forest of its own
+    (lengths are taken to be few; usually there is one).  Copies and repeated rows link
+    with each other.  component_id is the smallest id in the component that is not null;
+    kept tells whether that is the row's own.
     """
-    spark = vectors.sparkSession
     given = vectors.select(F.col(id_col).alias("_id"), F.col(vec_col).cast("array<double>").alias("v"))
     fine = F.coalesce(F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists("v", lambda c: c != 0), F.lit(False))
-    given = given.withColumn("ok", fine)
-    common = given.filter("ok").groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    dim = common["n"] if common else 0
-    given = given.withColumn("ok", F.col("ok") & (F.size("v") == dim))
-    given = given.select("_id", F.when(F.col("ok"), F.xxhash64("v")).alias("cid"), F.when(F.col("ok"), F.col("v")).alias("v"))
-    if not dim:
+    # the length is part of the name: names of different lengths never meet
+    given = given.select("_id", F.when(fine, F.xxhash64(F.size("v"), "v")).alias("cid"), F.when(fine, F.col("v")).alias("v"))
+    lengths = sorted(row["n"] for row in given.filter("cid IS NOT NULL").groupBy(F.size("v").alias("n")).count().collect())
+    if not lengths:
         return given.select(F.col("_id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("_id").alias("component_id"), F.lit(True).alias("kept"))
+    parts = [_linked(given.filter(F.size("v") == n), trees, leaf) for n in lengths]
+    copies, links = (reduce(DataFrame.unionAll, [part[k] for part in parts]) for k in (0, 1))
+    light = given.select("_id", "cid").join(copies, "cid", "left").join(links, "cid", "left")
+    light = light.withColumn("component", F.coalesce("component", "cid"))
+    tops = light.filter("component IS NOT NULL").groupBy("component").agg(F.min("_id").alias("top"))
+    return light.join(tops, "component", "left").select(
+        F.col("_id").alias("vec_id"),
+        F.coalesce(F.coalesce("links", F.lit(0)) + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("top", "_id").alias("component_id"),
+        F.coalesce(F.col("_id") == F.col("top"), F.lit(True)).alias("kept"),
+    )
+
+
+def _linked(given: DataFrame, trees: int, leaf: int) -> tuple[DataFrame, DataFrame]:
+    """Of vectors of one length: (cid, copies) of the classes, (cid, component, links) of those that link with others."""
+    spark = given.sparkSession
 
     def packed(batches):
         for batch in batches:
@@ -186,16 +219,7 @@ def near_duplicates(
     edges = leaves.groupBy("tree", "leaf").applyInPandas(_compared, "u long, v long")
     grouped = components(edges, "vector-components")
     members = written(classes.join(grouped, classes["cid"] == grouped["node"]).select("cid", "copies", "vec", "component"), "vector-members")
-    links = _links(members)
-    light = given.select("_id", "cid").join(classes.select("cid", "copies"), "cid", "left").join(links, "cid", "left")
-    light = light.withColumn("component", F.coalesce("component", "cid"))
-    tops = light.filter("component IS NOT NULL").groupBy("component").agg(F.min("_id").alias("top"))
-    return light.join(tops, "component", "left").select(
-        F.col("_id").alias("vec_id"),
-        F.coalesce(F.coalesce("links", F.lit(0)) + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("top", "_id").alias("component_id"),
-        F.coalesce(F.col("_id") == F.col("top"), F.lit(True)).alias("kept"),
-    )
+    return classes.select("cid", "copies"), _links(members)
 
 
 def _links(members: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import blobs, components, keyed, longs, mix, shingles, slices, small_side, span_hashes, table, word_spans
+from palimpsest.llm.common import blobs, components, keyed, lean, longs, mix, shingles, slices, small_side, span_hashes, table, word_spans
 from palimpsest.session import written
 
 WIDTH = 5
@@ -84,7 +84,7 @@ def counters(rows: DataFrame) -> np.ndarray:
 
     source = rows.select("_text")
     tasks = source.rdd.getNumPartitions()
-    frame = source.mapInArrow(count, "segment long, at binary, n binary").withColumn("task", F.spark_partition_id().cast("long"))
+    frame = source.mapInArrow(lean(count), "segment long, at binary, n binary").withColumn("task", F.spark_partition_id().cast("long"))
     while tasks > 1:
         tasks = -(-tasks // FAN_IN)
         frame = frame.withColumn("task", F.floor(F.col("task") / FAN_IN)).groupBy("segment", "task")
@@ -125,7 +125,7 @@ def prefixes(rows: DataFrame, common: np.ndarray) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([longs(cls), longs(sizes), longs(plain), lists], ["cls", "n", "plain", "tokens"])
 
-    got = rows.select("_text").mapInArrow(run, "cls long, n long, plain long, tokens array<long>")
+    got = rows.select("_text").mapInArrow(lean(run), "cls long, n long, plain long, tokens array<long>")
     return got.select("cls", F.expr(f"n * {PLAIN} + plain").alias("np"), F.posexplode("tokens").alias("pos", "token"))
 
 
@@ -152,7 +152,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 total.append(len(x) + len(y) - same[-1])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), longs(same), longs(total)], ["a", "b", "same", "total"])
 
-    return sides.mapInArrow(run, "a long, b long, same long, total long")
+    return sides.mapInArrow(lean(run), "a long, b long, same long, total long")
 
 
 def links(rows: DataFrame, light: DataFrame) -> DataFrame:
@@ -196,7 +196,7 @@ def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 got = list(sets_of(data, offsets))
                 yield pa.RecordBatch.from_arrays([longs([class_of(u) for u in got]), blobs([u.tobytes() for u in got])], ["cls", "tokens"])
 
-    return texts.mapInArrow(run, "cls long, tokens binary").dropDuplicates(["cls"])
+    return texts.mapInArrow(lean(run), "cls long, tokens binary").dropDuplicates(["cls"])
 
 
 def classes(rows: DataFrame) -> DataFrame:
@@ -212,7 +212,7 @@ def classes(rows: DataFrame) -> DataFrame:
                     cls.append(class_of(u) if len(u) else None)
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], longs(n), pa.array(cls, pa.int64())], ["_id", "_k1", "_k2", "n", "cls"])
 
-    return rows.mapInArrow(run, f"_id {kind}, _k1 long, _k2 long, n long, cls long")
+    return rows.mapInArrow(lean(run), f"_id {kind}, _k1 long, _k2 long, n long, cls long")
 
 
 def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -15,8 +15,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import STEP, map_arrow, mix, slices, small_side, span_hashes, table, trained, word_spans
+from palimpsest.llm.common import STEP, map_arrow, mix, slices, sampled, small_side, span_hashes, table, trained, word_spans
 
+from palimpsest.session import written
 
 BUCKETS = 1 << 18
 #: At most so many labelled rows of each grade, none longer than so many bytes, are learned from.
@@ -110,10 +111,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
     named = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").filter(fold != 2)
     named = named.groupBy("doc_id").agg(F.max(grade_of(F.col("quality"), F.coalesce("toxic", F.lit(0)))).alias("y"))
-    rows = docs.select("doc_id", F.col("text").alias("_text")).filter(F.octet_length("_text") <= SAMPLE_BYTES)
-    rows = rows.join(small_side(named), "doc_id").select("y", "_text", F.xxhash64("doc_id", F.lit(23)).alias("_o"))
-    parts = [rows.filter(F.col("y") == k).orderBy("_o", "_text").limit(SAMPLE_PER_GRADE) for k in (0, 1, 2)]
-    weight, cuts = trained(parts[0].unionAll(parts[1]).unionAll(parts[2]), train)
+    named = written(named.withColumn("_o", F.xxhash64("doc_id", F.lit(23))), "quality-labels")
+    texts = docs.select("doc_id", F.col("text").alias("_text")).filter(F.octet_length("_text") <= SAMPLE_BYTES)
+    rows = sampled(named, lambda keys: texts.join(small_side(keys), "doc_id"), dict.fromkeys((0, 1, 2), SAMPLE_PER_GRADE))
+    weight, cuts = trained(rows, train)
     return weight.astype(np.float32), cuts
 
 

@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import LOWERED, NOT_ALNUM, mix, powers, slices, small_side, span_hashes, table, trained, word_spans
+from palimpsest.llm.common import LOWERED, NOT_ALNUM, lean, mix, powers, sampled, slices, small_side, span_hashes, table, trained, word_spans
+from palimpsest.session import written
 
 
 BUCKETS = 1 << 17
@@ -193,14 +194,13 @@ def train(texts: list[bytes], labels: list[int], seed: int = 7) -> tuple[np.ndar
     return (table_ @ (head[1] - head[0])).astype(np.float32), float(bias[1] - bias[0])
 
 
-def learned_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFrame:
+def learned_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> pa.Table:
     """Labelled rows outside the held-out fold: (_text, y), a bounded sample of each class."""
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
     named = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold != 2)).groupBy("doc_id").agg(F.max(label).alias("y"))
-    rows = docs.select("doc_id", F.col("text").alias("_text")).filter(F.octet_length("_text") <= SAMPLE_BYTES)
-    rows = rows.join(small_side(named), "doc_id").select("y", "_text", F.xxhash64("doc_id", F.lit(17)).alias("_o"))
-    classes = [rows.filter(F.col("y") == k).orderBy("_o", "_text").limit(n) for k, n in SAMPLE_ROWS.items()]
-    return classes[0].unionAll(classes[1]).select("_text", "y")
+    named = written(named.withColumn("_o", F.xxhash64("doc_id", F.lit(17))), "toxic-labels")
+    texts = docs.select("doc_id", F.col("text").alias("_text")).filter(F.octet_length("_text") <= SAMPLE_BYTES)
+    return sampled(named, lambda keys: texts.join(small_side(keys), "doc_id"), SAMPLE_ROWS)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
@@ -227,7 +227,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], carry: tuple[str, ..
             got = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(got)], [*batch.schema.names[:-1], "score"])
 
-    return source.mapInArrow(run, out).select(*[F.col(f"_c{k}").alias(c) for k, c in enumerate(carry)], "score")
+    return source.mapInArrow(lean(run), out).select(*[F.col(f"_c{k}").alias(c) for k, c in enumerate(carry)], "score")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
