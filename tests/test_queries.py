@@ -35,11 +35,16 @@ def shaped(rows, columns):
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    """All but the operators that no SQL expresses, which tests/llm compares with brute force."""
+    without = set(entry.queries()) - set(entry.oracle_sql())
+    assert not set(entry.oracle_sql()) - set(entry.queries())
+    assert all(name == "pipeline" or name.startswith("op") for name in without)
 
 
 @pytest.mark.parametrize("name", [n for n in NAMES if n in QUICK or os.environ.get("PALIMPSEST_ALL")])
 def test_query(spark, sf_dir, duck, name):
+    if name not in entry.oracle_sql():
+        pytest.skip("compared with brute force in tests/llm")
     df = entry.queries()[name](spark, sf_dir)
     result = duck.execute(entry.oracle_sql()[name])
     columns = [d[0] for d in result.description]
