@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.functions import json_paths
+from palimpsest.functions import json_leaves
 
 # Patterns valid in Java and RE2 alike.
 DETECTORS: dict[str, str] = {
@@ -19,24 +19,8 @@ DETECTORS: dict[str, str] = {
 
 
 def path_profile(df: DataFrame, column: str, detectors: Mapping[str, str] = DETECTORS) -> DataFrame:
-    """Per leaf path: values, distinct values, and hits of each detector.
-
-    Equal values are counted together first, so a detector runs once per
-    distinct value, and a path that holds most of the data spreads over its values.
-    """
-    counted = (
-        json_paths.with_leaves(df, column)
-        .groupBy("path", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return counted.groupBy("path").agg(
-        F.sum("n").alias("values"),
-        F.count(F.lit(1)).alias("distinct_values"),
-        *[
-            F.coalesce(F.sum(F.when(F.col("value").rlike(rx), F.col("n"))), F.lit(0)).alias(f"{name}_hits")
-            for name, rx in detectors.items()
-        ],
-    )
+    """Per leaf path: values, distinct values, and hits of each detector, in one scan of the documents."""
+    return json_leaves.profile(df, column, detectors)
 
 
 def propose_paths(

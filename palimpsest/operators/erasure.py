@@ -147,6 +147,8 @@ class RunResult:
     verdict: DataFrame
     erased: dict[str, dict[str, DataFrame]] = field(default_factory=dict)
     skipped: dict[str, DataFrame] = field(default_factory=dict)
+    #: ``target, request_id, validation``: what each target was asked for when the run began, written down.
+    manifest: DataFrame | None = None
 
 
 def parse_targets(text: str | None, default: str) -> list[str]:
@@ -188,8 +190,10 @@ def run_targets(
     ``publish(target, table, erased)`` writes an erased table and returns what a
     reader now sees; without it the erased frames are validated as they are.
     """
-    audits, findings, states = [], [], []
+    audits, findings, states, handled = [], [], [], []
     result = RunResult(None, None, None, None)
+    # requests that arrive from here on belong to the next run
+    asked = [] if central_requests is None else [validation.kept(_open_ids(central_requests))]
     central = None if central_requests is None else _open_subjects(central_requests, options.get("case_insensitive", False))
     for target in targets:
         if target.registry is None:
@@ -204,6 +208,7 @@ def run_targets(
         if not rules:
             states.append((target.name, 0, "no_tables_in_scope"))
             continue
+        own = None if central is not None else _open_ids(target.requests)
         subjects = central or _open_subjects(target.requests, options.get("case_insensitive", False))
         matches = find_all(target.tables, rules, subjects, (rule,), **options)
         audits.append(audit(target.name, target.tables, rules, subjects, dry_run, rule, matches))
@@ -216,6 +221,8 @@ def run_targets(
             result.erased[target.name] = current = erased
         findings.append(validation.no_trace_scan(target.name, current, rules, subjects))
         states.append((target.name, len(rules), "processed"))
+        ids = asked[0] if central is not None else validation.kept(own)
+        handled.append(ids.select(F.lit(target.name).alias("target"), "request_id"))
 
     result.audit = _union(audits) if audits else spark.createDataFrame([], AUDIT_SCHEMA)
     result.findings = (
@@ -224,9 +231,29 @@ def run_targets(
     state = inline_table(spark, "target, tables_in_scope, status", states)
     result.summary = summarize(state, result.audit, result.findings, dry_run, verdict_fields)
     result.verdict = verdict(result.summary)
+    ids = _union(handled) if handled else spark.createDataFrame([], "target string, request_id string")
+    result.manifest = ids.join(result.summary.select("target", "validation"), "target")
+    if not dry_run:
+        result.manifest = validation.kept(result.manifest)
     return result
 
 
+def _open_ids(requests: DataFrame) -> DataFrame:
+    return requests.where(F.col("status") == "PENDING").select("request_id").distinct()
+
+
+def close_requests(queue: DataFrame, manifest: DataFrame, target: str | None = None, scrub: bool = False, token: str = ERASED_TOKEN) -> DataFrame:
+    """A queue after a run: requests are COMPLETE whose every target passed its validation.
+
+    ``target`` names the owner of a queue of its own; a central queue closes over all
+    targets.  Requests that are not in the manifest came later and stay open, and so do
+    those of a target that failed or was only tried.  ``scrub`` puts the token for their identifiers.
+    """
+    mine = manifest if target is None else manifest.where(F.col("target") == target)
+    passed = mine.groupBy("request_id").agg(F.bool_and(F.col("validation") == "PASS").alias("ok")).where("ok")
+    return scrub_queue(queue, passed, token) if scrub else complete_requests(queue, passed)
+
+
 def summarize(
     state: DataFrame, audit_rows: DataFrame, findings: DataFrame, dry_run: bool, verdict_fields: Iterable[str]
 ) -> DataFrame:

@@ -7,9 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from palimpsest.functions import json_paths
+from palimpsest.functions import json_leaves
 from palimpsest.functions.masking import ERASED_TOKEN, MASK_TOKEN
 from palimpsest.operators import needles
 from palimpsest.operators.matching import Subjects
@@ -293,23 +292,7 @@ def masking_counts(hits: DataFrame, app_name: str, token: str = MASK_TOKEN) -> D
 def structure_changes(df: DataFrame, original: str, masked: str) -> DataFrame:
     """Per leaf path: documents holding it, documents where masking changed or lost it.
 
-    Both documents sit in the same row, so they are compared in place: no join.
+    Both documents sit in the same row, so they are compared in place: no join, and no
+    common shape of all documents.
     """
-    shape = json_paths.document_schema(df, original)
-    read = F.col if isinstance(shape, StringType) else lambda c: F.from_json(c, shape)
-    both = df.select(read(original).alias("_a"), read(masked).alias("_b"))
-    before = json_paths.leaf_columns(F.col("_a"), shape)
-    after = dict(json_paths.leaf_columns(F.col("_b"), shape))
-    entries = F.array(
-        *[F.struct(F.lit(p).alias("path"), v.alias("a"), after[p].alias("b")) for p, v in before]
-    )
-    leaves = both.select(F.explode(entries).alias("l")).select("l.*")
-    return (
-        leaves.where(F.size("a") > 0)
-        .groupBy("path")
-        .agg(
-            F.count(F.lit(1)).alias("docs"),
-            F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("changed_docs"),
-            F.count_if(F.size("a") != F.size("b")).alias("lost_docs"),
-        )
-    )
+    return json_leaves.differences(df, original, masked)

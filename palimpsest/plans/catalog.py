@@ -199,6 +199,18 @@ def mask_structure_diff(spark, sf_dir):
     return validation.structure_changes(both, "hit_payload", "masked")
 
 
+@query
+def mask_structure_diff_mixed(spark, sf_dir):
+    """The same over documents without a common schema, with a mask of one key."""
+    docs = testdata.mixed_documents(spark, sf_dir)
+    return validation.structure_changes(docs.withColumn("masked", mask_expr("doc", {"keys": ["b"]})), "doc", "masked")
+
+
+@query
+def json_path_profile_mixed(spark, sf_dir):
+    return discovery.path_profile(testdata.mixed_documents(spark, sf_dir), "doc")
+
+
 @query
 def json_path_profile(spark, sf_dir):
     return discovery.path_profile(scenarios.hits(spark, sf_dir), "hit_payload")
@@ -485,6 +497,23 @@ def erase_multi_target_dry_run(spark, sf_dir):
     return _run(spark, sf_dir, dry_run=True).summary
 
 
+@query
+def erase_by_name_summary(spark, sf_dir):
+    """Targets resolved from their names, published, and judged by the addresses that are left."""
+    return scenarios.named_run(spark, sf_dir).result.summary
+
+
+@query
+def erase_by_name_manifest(spark, sf_dir):
+    return scenarios.named_run(spark, sf_dir).result.manifest
+
+
+@query
+def queue_closed_by_manifest(spark, sf_dir):
+    """The central queue afterwards: handled requests complete, those that came meanwhile open."""
+    return scenarios.named_run(spark, sf_dir).queue.select("request_id", "status")
+
+
 @query
 def erase_verdict(spark, sf_dir):
     return _run(spark, sf_dir).verdict

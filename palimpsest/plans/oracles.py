@@ -139,6 +139,12 @@ CTES: dict[str, str] = {
         (id % 999)::INTEGER AS revenue_usd FROM person""",
     "notes": """SELECT id AS note_id, 'ticket ' || id::VARCHAR || ': mail from <' || CASE WHEN id % 3 = 0 THEN 'x' ELSE '' END || email
         || CASE id % 5 WHEN 0 THEN '.org>' WHEN 1 THEN '. Done>' ELSE '>' END AS note FROM person""",
+    "mixed": """SELECT event_id, CASE event_id % 5
+        WHEN 0 THEN '{"a":"t' || event_id::VARCHAR || '","b":"u' || user_id::VARCHAR || '"}'
+        WHEN 1 THEN '{"a":{"b":"u' || user_id::VARCHAR || '","c":[' || event_id::VARCHAR || ',7]}}'
+        WHEN 2 THEN '{"a":[{"b":"x"},{"b":"u' || user_id::VARCHAR || '"},"b"]}'
+        WHEN 3 THEN '{"A":"t","a":true,"k' || user_id::VARCHAR || '":{"b":"v"}}'
+        ELSE '{"a":null,"b":[]}' END AS doc FROM events""",
     "employee_crew": """SELECT id AS employee_id, first_name, last_name, email, c_nationkey AS base,
         c_mktsegment AS crew_role FROM person""",
     "raw": f"""SELECT 'E' || {lpad('event_id', 16)} AS event_id, 'U' || {lpad('user_id', 12)} AS user_id,
@@ -408,7 +414,7 @@ def findings_after() -> str:
     return f"{head}, {_erased_ctes()}\n" + findings_sql(sources, _target_case)
 
 
-def summary_sql(dry: bool) -> str:
+def summary_sql(dry: bool, judged_by: str = "true") -> str:
     verdict = "'dry_run'" if dry else "CASE WHEN coalesce(f.n, 0) > 0 THEN 'FAIL' ELSE 'PASS' END"
     head = with_ctes("", "subj", *COLUMNS).rstrip()
     sources = {t: (t if dry else f"x_{t}") for t in COLUMNS}
@@ -416,7 +422,7 @@ def summary_sql(dry: bool) -> str:
         f"{head}, {_erased_ctes()}, found AS ({findings_sql(sources, _target_case)}), "
         f"matched AS ({match_union(EMAIL_FIRST)}), "
         f"rows_by AS (SELECT {_target_case} AS target, sum(rows_matched)::BIGINT AS n FROM matched GROUP BY 1), "
-        f"found_by AS (SELECT target, sum(rows)::BIGINT AS n FROM found GROUP BY 1), "
+        f"found_by AS (SELECT target, sum(rows)::BIGINT AS n FROM found WHERE {judged_by} GROUP BY 1), "
         f"state AS (SELECT * FROM (VALUES ('crm.people', 2, 'processed'), ('ops.travel', 3, 'processed'), "
         f"('hr.staff', 0, 'no_tables_in_scope'), ('lab.blank', 0, 'skipped_empty_registry'), "
         f"('lab.absent', 0, 'skipped_no_registry')) AS v(target, tables_in_scope, status))\n"
@@ -459,6 +465,19 @@ def profile_sql(col: str, source: str, *ctes: str) -> str:
     return with_ctes(body, *ctes) if ctes else body
 
 
+def diff_sql(both: str) -> str:
+    """Documents j and k of a row (key), leaf lists by path side by side."""
+    def listed(column: str) -> str:
+        return (
+            f"(SELECT s.key, regexp_replace(t.fullkey, '\\[[0-9]+\\]', '[]', 'g') AS path, list(json_extract_string(s.{column}, t.fullkey) ORDER BY t.id) AS v "
+            f"FROM ({both}) s, json_tree(s.{column}) t WHERE t.type NOT IN ('OBJECT', 'ARRAY', 'NULL') GROUP BY ALL)"
+        )
+
+    return f"""SELECT path, count(*) AS docs, count(*) FILTER (WHERE a.v IS DISTINCT FROM b.v) AS changed_docs,
+        count(*) FILTER (WHERE len(a.v) <> coalesce(len(b.v), 0)) AS lost_docs
+        FROM {listed('j')} a LEFT JOIN {listed('k')} b USING (key, path) GROUP BY path"""
+
+
 def bench_oracles() -> dict[str, str]:
     out = {}
     for variant in ("baseline", "dynamic", "materialized"):
@@ -569,12 +588,9 @@ def all_oracles() -> dict[str, str]:
             count(*) FILTER (WHERE {js('hit_payload', '$.appInfo.appName')} = '{td.APP_NAME}') AS appname_preserved
             FROM masked""", "masked"),
         "mask_structure_diff": with_ctes(
-            f"""SELECT path, count(*) AS docs, count(*) FILTER (WHERE a IS DISTINCT FROM b) AS changed_docs,
-            count(*) FILTER (WHERE b IS NULL) AS lost_docs FROM (
-              SELECT regexp_replace(t.fullkey, '\\[[0-9]+\\]', '[]', 'g') AS path,
-                json_extract_string(s.j, t.fullkey) AS a, json_extract_string(s.k, t.fullkey) AS b
-              FROM (SELECT h.hit_payload AS j, m.hit_payload AS k FROM hits h JOIN masked m USING (hit_id)) s,
-                json_tree(s.j) t WHERE t.type NOT IN ('OBJECT', 'ARRAY', 'NULL')) GROUP BY path""", "masked"),
+            diff_sql("SELECT hit_id AS key, h.hit_payload AS j, m.hit_payload AS k FROM hits h JOIN masked m USING (hit_id)"), "masked"),
+        "mask_structure_diff_mixed": with_ctes(diff_sql(f"SELECT event_id AS key, doc AS j, {mask_key('doc', 'b')} AS k FROM mixed"), "mixed"),
+        "json_path_profile_mixed": profile_sql("doc", "mixed", "mixed"),
         "json_path_profile": profile_sql("hit_payload", "hits", "hits"),
         "json_path_profile_events": profile_sql("props", "events"),
         "json_path_proposals": with_ctes(
@@ -649,6 +665,13 @@ def all_oracles() -> dict[str, str]:
         "erase_multi_target_audit": audit_sql(False, _target_case),
         "erase_multi_target_summary": summary_sql(False),
         "erase_multi_target_dry_run": summary_sql(True),
+        "erase_by_name_summary": summary_sql(False, "matched_field = 'email'"),
+        "erase_by_name_manifest":
+            f"SELECT t.target, q.request_id, t.validation FROM ({summary_sql(False, "matched_field = 'email'")}) t, "
+            f"({with_ctes('SELECT request_id FROM queue WHERE status = ' + q('PENDING'), 'queue')}) q WHERE t.status = 'processed'",
+        "queue_closed_by_manifest": with_ctes(
+            "SELECT request_id, 'COMPLETE' AS status FROM queue UNION ALL "
+            "SELECT 'LATE-' || request_id, 'PENDING' FROM queue WHERE status = 'COMPLETE'", "queue"),
         "erase_verdict": "SELECT count(*) FILTER (WHERE status = 'processed') AS processed_targets, "
             "CASE WHEN count(*) FILTER (WHERE validation = 'FAIL') > 0 THEN 'FAIL' ELSE 'PASS' END AS verdict "
             f"FROM ({summary_sql(False)})",

@@ -20,6 +20,7 @@ from palimpsest.operators.registry import TableRules, rules_by_table
 from palimpsest.plans import testdata
 from palimpsest.session import scratch_dir, scratch_epoch, written
 from palimpsest.sources import landing, paths
+from palimpsest.sources.catalog_folders import REGISTRY, REQUESTS, FolderCatalog
 from palimpsest.sources.file_index import FileIndex
 from palimpsest.sources.rewrite import erase_files, layer_index, replace_table
 from palimpsest.streaming.medallion import RAW_SCHEMA, Erasure, Lakehouse
@@ -198,6 +199,47 @@ def indexed_layer(spark: SparkSession, sf_dir: str) -> Indexed:
     return once(spark, "indexed", sf_dir, build)
 
 
+@dataclass(frozen=True)
+class NamedRun:
+    """A run over targets by name, and the central queue closed by its manifest."""
+
+    result: erasure.RunResult
+    queue: DataFrame
+
+
+NAMED_TARGETS = "crm.people, ops.travel,hr.staff\nlab.blank , lab.absent, crm.people"
+HOMES = {
+    "crm.people": ("customer_profile", "contact_email_only"),
+    "ops.travel": ("booking", "loyalty_split", "app_hits_json"),
+    "hr.staff": ("employee_crew",),
+}
+
+
+def named_run(spark: SparkSession, sf_dir: str) -> NamedRun:
+    """Tables, registries and a central queue in folders; erased, published and validated by name."""
+
+    def build() -> NamedRun:
+        catalog = FolderCatalog(spark, scratch_dir(spark, "catalog"))
+        tables, registry = erasure_tables(spark, sf_dir), testdata.registry(spark)
+        for name, own in HOMES.items():
+            for table in own:
+                tables[table].write.parquet(catalog.folder(name, table))
+            registry.where(F.col("table_name").isin(*own)).write.parquet(catalog.folder(name, REGISTRY))
+        registry.limit(0).write.parquet(catalog.folder("lab.blank", REGISTRY))
+        central = catalog.folder("ops.central", REQUESTS)
+        request_queue(spark, sf_dir).write.parquet(central)
+        result = erasure.run_targets(
+            spark, catalog.targets(NAMED_TARGETS, "crm.people"), dry_run=False, central_requests=spark.read.parquet(central),
+            verdict_fields=("email",), publish=catalog.publish,
+        )
+        # requests that come while the run is on, found in the queue when it is closed
+        late = request_queue(spark, sf_dir).where("status = 'COMPLETE'").withColumn("status", F.lit("PENDING"))
+        late.withColumn("request_id", F.concat(F.lit("LATE-"), "request_id")).write.mode("append").parquet(central)
+        return NamedRun(result, written(erasure.close_requests(spark.read.parquet(central), result.manifest), "closed"))
+
+    return once(spark, "named-run", sf_dir, build)
+
+
 def purge_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Erase a written table in place, then look for the subjects in the bytes that are left.
 
