@@ -115,7 +115,7 @@ def _by_payload(rules: TableRules, subjects: DataFrame) -> DataFrame | None:
 
 
 def _by_name(rules: TableRules, subjects: DataFrame) -> DataFrame | None:
-    if rules.payloads or not rules.names:
+    if rules.payloads or not rules.names_suffice:
         return None
     return _without_scalar_email(rules, subjects).where("full is not null")
 
@@ -172,7 +172,7 @@ def _asked(rules: TableRules, subjects: DataFrame, which: tuple[str, ...]) -> li
         if rules.payloads:
             scalars = _joined(values) if values else None
             asked.append(keys(people, ALL_IDENTIFIERS, "payload", F.col("email"), F.col("first"), F.col("last"), scalars))
-        else:
+        elif rules.emails or rules.names_suffice:
             asked.append(keys(people, ALL_IDENTIFIERS, "all", _joined(values)))
     return asked
 
@@ -256,7 +256,7 @@ def find(
         return Matches(rows, columns, None, None, subjects)
     asked = reduce(DataFrame.unionByName, asked)
     kinds = {kind for kind, use in (
-        ("email", EMAIL_FIRST in which and rules.emails), ("names", EMAIL_FIRST in which and rules.names and not rules.payloads),
+        ("email", EMAIL_FIRST in which and rules.emails), ("names", EMAIL_FIRST in which and rules.names_suffice and not rules.payloads),
         ("all", ALL_IDENTIFIERS in which and _scalar_bindings(rules, True)),
     ) if use}
 
@@ -406,7 +406,8 @@ def flag_rows(
 
     columns = df.columns
     if rule == ALL_IDENTIFIERS:
-        if pairs := _scalar_bindings(rules, with_email=True):
+        pairs = _scalar_bindings(rules, with_email=True)
+        if pairs and (rules.emails or rules.names_suffice):
             df = _flag_on(df, pairs, _all_subjects(rules, people), side, new_flag(), case_insensitive)
     else:
         by_email = _by_email(rules, people)

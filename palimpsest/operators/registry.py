@@ -152,6 +152,12 @@ class TableRules:
     masked: tuple[str, ...] = ()  # masked in place
     columns: tuple[str, ...] = field(default=())  # every registered column
 
+    @property
+    def names_suffice(self) -> bool:
+        """Whether the name columns tell a person: a full name, or both parts; one part is shared by too many."""
+        roles = {role for _, role in self.names}
+        return "full_name" in roles or roles >= {"first_name", "last_name"}
+
     @property
     def has_identifiers(self) -> bool:
         return bool(self.emails or self.payloads or self.names)

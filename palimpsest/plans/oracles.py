@@ -6,7 +6,9 @@ windows), not the way the Spark jobs compute them.
 
 from __future__ import annotations
 
-from palimpsest.functions.masking import ERASED_TOKEN, MASK_TOKEN, NAME_URL_PARAMS
+import re
+
+from palimpsest.functions.masking import ERASED_TOKEN, MASK_TOKEN
 from palimpsest.operators.discovery import DETECTORS
 from palimpsest.operators.registry import CLASSIFIER_TYPES
 from palimpsest.plans import testdata as td
@@ -40,43 +42,49 @@ def with_ctes(body: str, *names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in wanted) + "\n" + body
 
 
-# --- masks -----------------------------------------------------------------------------
-
-
-def mask_key(col: str, key: str, strategy: str = "REDACT", token: str = MASK_TOKEN) -> str:
-    if strategy == "NULLIFY":
-        return f"""regexp_replace({col}, '("{key}" *: *)"[^"]*"', '\\1null', 'g')"""
-    if strategy == "PARTIAL":
-        return f"""regexp_replace({col}, '("{key}" *: *")([^"])[^"]*"', '\\1\\2***"', 'g')"""
-    return f"""regexp_replace({col}, '("{key}" *: *)"[^"]*"', '\\1"{token}"', 'g')"""
-
+# --- masked documents, written out with what stands in place of the values ---------------
 
-def mask_url(col: str, params, strategy: str = "REDACT", token: str = MASK_TOKEN) -> str:
-    tail = {"NULLIFY": "", "PARTIAL": "***"}.get(strategy, token)
-    return f"""regexp_replace({col}, '([?&]({"|".join(params)})=)[^&#"]*', '\\1{tail}', 'g')"""
 
+def document(template: str, **values: str) -> str:
+    """SQL text of a document: a literal with SQL expressions in place of <names>."""
+    parts = re.split(r"<(\w+)>", template)
+    return " || ".join(f"({values[x]})" if k % 2 else q(x) for k, x in enumerate(parts) if x)
 
-def mask_patterns(col: str, patterns, replacement: str = MASK_TOKEN) -> str:
-    for pattern in patterns:
-        col = f"regexp_replace({col}, {q(pattern)}, '{replacement}', 'g')"
-    return col
 
-
-def mask_hit(strategy: str = "REDACT", col: str = "hit_payload") -> str:
-    return mask_url(mask_key(col, "name", strategy), NAME_URL_PARAMS, strategy)
+HIT = (
+    '{"appInfo":{"appId":"net.example.app","appName":"' + td.APP_NAME + '","name":<name>,"version":"5.2.0","screenName":"<screen>"},'
+    '"customDimensions":[{"index":6,"value":"<status>"}],"documentLocation":"https://www.example.com/manage-travel?'
+    'firstName=<first>&lastName=<last>&email=<mail>&pnr=P<order>","hitNumber":<number>,"type":"APPVIEW"}'
+)
+USER = '{"contact":{"email":<mail>,"phone":"<phone>"},"loyalty":{"tier":"<tier>","points":<points>}}'
+PROFILE = '{"contact":{"email":"<mail>","name":"<name>"},"loyalty":{"tier":"<tier>","ltv":<ltv>}}'
+APP_HIT = (
+    '{"appInfo":{"appName":"' + td.APP_NAME + '","name":"<name>"},"documentLocation":"https://www.example.com/manage-travel?'
+    'firstName=<first>&lastName=<last>&email=<mail>&pnr=AB<pnr>","metrics":{"revenue":<revenue>}}'
+)
+#: How a text value of a document looks under each strategy, and what is left of a URL parameter.
+SHOWN = {
+    "PLAIN": (lambda v: f"'\"' || {v} || '\"'", lambda v: v),
+    "REDACT": (lambda v: q(f'"{MASK_TOKEN}"'), lambda v: q(MASK_TOKEN)),
+    "NULLIFY": (lambda v: "'null'", lambda v: "''"),
+    "PARTIAL": (lambda v: f"'\"' || left({v}, 1) || '***\"'", lambda v: "'***'"),
+}
 
 
-def mask_user(strategy: str = "REDACT", col: str = "user_payload") -> str:
-    return mask_key(col, "email", strategy)
+PAGE_PARAMS = ("page", "ref", "utm_source")
 
 
-def erase_payload(col: str) -> str:
-    masked = mask_key(col, "name", token=ERASED_TOKEN)
-    return mask_url(masked, ("firstName", "lastName", "email"), token=ERASED_TOKEN)
+def without_params(url: str, names, left: str) -> str:
+    """A URL whose named parameters keep their name only, or their name and what is left."""
+    for name in names:
+        url = f"regexp_replace({url}, '([?&]{name}=)[^&#\"]*', '\\1{left}', 'g')"
+    return url
 
 
-def erase_profile(col: str) -> str:
-    return mask_key(mask_key(col, "email", token=ERASED_TOKEN), "name", token=ERASED_TOKEN)
+def mask_patterns(col: str, patterns, replacement: str = MASK_TOKEN) -> str:
+    for pattern in patterns:
+        col = f"regexp_replace({col}, {q(pattern)}, '{replacement}', 'g')"
+    return col
 
 
 # --- shared CTEs ---------------------------------------------------------------------------
@@ -97,22 +105,44 @@ def _who(key: str) -> dict[str, str]:
 _p, _o, _e = _who("c_custkey"), _who("o_custkey"), _who("user_id")
 _rid = f"'REQ-' || {lpad('id', 12)}"
 
+
+def hits_sql(strategy: str) -> str:
+    text, param = SHOWN[strategy]
+    hit = document(
+        HIT, name=text(_o["full"]), screen=pick(td.SCREENS, "o_orderkey % 4"), status="o_orderstatus", first=param(_o["first"]),
+        last=param(_o["last"]), mail=param(_o["email"]), order="o_orderkey::VARCHAR", number="(o_orderkey % 6 + 1)::VARCHAR",
+    )
+    user = document(
+        USER, mail=text(_o["email"]), phone=_o["phone"], tier=pick(td.TIERS, "o_custkey % 3"), points="(o_orderkey % 100000)::VARCHAR"
+    )
+    return f"SELECT o_orderkey AS hit_id, {hit} AS hit_payload, {user} AS user_payload FROM orders"
+
+
+def profile_of(mail: str, name: str) -> str:
+    return document(PROFILE, mail=mail, name=name, tier=pick(td.TIERS, "user_id % 3"), ltv="(event_id % 1000)::VARCHAR")
+
+
+def app_hit(first: str, last: str, full: str, mail: str) -> str:
+    return document(APP_HIT, name=full, first=first, last=last, mail=mail, pnr="(id % 99)::VARCHAR", revenue="(id % 950)::VARCHAR")
+
+
+def mixed(user: str, x: str, v: str) -> str:
+    """The documents without a common schema, with these values under the key b."""
+    shapes = (
+        '{"a":"t<event>","b":"<user>"}', '{"a":{"b":"<user>","c":[<event>,7]}}', '{"a":[{"b":"<x>"},{"b":"<user>"},"b"]}',
+        '{"A":"t","a":true,"k<id>":{"b":"<v>"}}', '{"a":null,"b":[]}',
+    )
+    values = {"event": "event_id::VARCHAR", "id": "user_id::VARCHAR", "user": user, "x": x, "v": v}
+    return "CASE event_id % 5 " + " ".join(f"WHEN {k} THEN {document(shape, **values)}" for k, shape in enumerate(shapes)) + " END"
+
+
+_gone = q(ERASED_TOKEN)
 CTES: dict[str, str] = {
     "person": f"""SELECT c_custkey AS id, {_p['first']} AS first_name, {_p['last']} AS last_name,
         {_p['full']} AS full_name, {_p['email']} AS email, {_p['phone']} AS phone,
         c_nationkey, c_acctbal, c_mktsegment FROM customer""",
-    "hits": f"""SELECT o_orderkey AS hit_id,
-        '{{"appInfo":{{"appId":"net.example.app","appName":"{td.APP_NAME}","name":"' || {_o['full']}
-        || '","version":"5.2.0","screenName":"' || {pick(td.SCREENS, 'o_orderkey % 4')}
-        || '"}},"customDimensions":[{{"index":6,"value":"' || o_orderstatus
-        || '"}}],"documentLocation":"https://www.example.com/manage-travel?firstName=' || {_o['first']}
-        || '&lastName=' || {_o['last']} || '&email=' || {_o['email']} || '&pnr=P' || o_orderkey::VARCHAR
-        || '","hitNumber":' || (o_orderkey % 6 + 1)::VARCHAR || ',"type":"APPVIEW"}}' AS hit_payload,
-        '{{"contact":{{"email":"' || {_o['email']} || '","phone":"' || {_o['phone']}
-        || '"}},"loyalty":{{"tier":"' || {pick(td.TIERS, 'o_custkey % 3')}
-        || '","points":' || (o_orderkey % 100000)::VARCHAR || '}}}}' AS user_payload
-        FROM orders""",
-    "masked": f"SELECT hit_id, {mask_hit()} AS hit_payload, {mask_user()} AS user_payload FROM hits",
+    **{("hits" if strategy == "PLAIN" else f"hits_{strategy}"): hits_sql(strategy) for strategy in SHOWN},
+    "masked": "SELECT * FROM hits_REDACT",
     "queue": f"""SELECT {_rid} AS request_id,
         CASE WHEN c_mktsegment <> 'BUILDING' THEN first_name ELSE '' END AS first_name,
         CASE WHEN c_mktsegment <> 'BUILDING' THEN last_name ELSE '' END AS last_name,
@@ -132,28 +162,19 @@ CTES: dict[str, str] = {
         'SW' || (id % 900 + 100)::VARCHAR AS flight_no, (id % 700)::INTEGER AS fare_usd FROM person""",
     "loyalty_split": f"""SELECT id AS member_id, first_name AS first_nm, last_name AS last_nm,
         {pick(td.TIERS, 'id % 3')} AS tier, (id % 50000)::INTEGER AS points FROM person""",
-    "app_hits_json": f"""SELECT id AS hit_id, '{{"appInfo":{{"appName":"{td.APP_NAME}","name":"' || full_name
-        || '"}},"documentLocation":"https://www.example.com/manage-travel?firstName=' || first_name
-        || '&lastName=' || last_name || '&email=' || email || '&pnr=AB' || (id % 99)::VARCHAR
-        || '","metrics":{{"revenue":' || (id % 950)::VARCHAR || '}}}}' AS hit_payload,
-        (id % 999)::INTEGER AS revenue_usd FROM person""",
+    "app_hits_json": f"""SELECT id AS hit_id, {app_hit('first_name', 'last_name', 'full_name', 'email')} AS hit_payload,
+        {app_hit(_gone, _gone, _gone, _gone)} AS redacted_payload, (id % 999)::INTEGER AS revenue_usd FROM person""",
     "notes": """SELECT id AS note_id, 'ticket ' || id::VARCHAR || ': mail from <' || CASE WHEN id % 3 = 0 THEN 'x' ELSE '' END || email
         || CASE id % 5 WHEN 0 THEN '.org>' WHEN 1 THEN '. Done>' ELSE '>' END AS note FROM person""",
-    "mixed": """SELECT event_id, CASE event_id % 5
-        WHEN 0 THEN '{"a":"t' || event_id::VARCHAR || '","b":"u' || user_id::VARCHAR || '"}'
-        WHEN 1 THEN '{"a":{"b":"u' || user_id::VARCHAR || '","c":[' || event_id::VARCHAR || ',7]}}'
-        WHEN 2 THEN '{"a":[{"b":"x"},{"b":"u' || user_id::VARCHAR || '"},"b"]}'
-        WHEN 3 THEN '{"A":"t","a":true,"k' || user_id::VARCHAR || '":{"b":"v"}}'
-        ELSE '{"a":null,"b":[]}' END AS doc FROM events""",
+    "mixed": f"""SELECT event_id, {mixed("'u' || user_id::VARCHAR", "'x'", "'v'")} AS doc,
+        {mixed(q(MASK_TOKEN), q(MASK_TOKEN), q(MASK_TOKEN))} AS masked_doc FROM events""",
     "employee_crew": """SELECT id AS employee_id, first_name, last_name, email, c_nationkey AS base,
         c_mktsegment AS crew_role FROM person""",
     "raw": f"""SELECT 'E' || {lpad('event_id', 16)} AS event_id, 'U' || {lpad('user_id', 12)} AS user_id,
-        {_e['email']} AS email, {_e['full']} AS full_name,
-        '{{"contact":{{"email":"' || {_e['email']} || '","name":"' || {_e['full']}
-        || '"}},"loyalty":{{"tier":"' || {pick(td.TIERS, 'user_id % 3')}
-        || '","ltv":' || (event_id % 1000)::VARCHAR || '}}}}' AS profile_json,
+        {_e['email']} AS email, {_e['full']} AS full_name, {profile_of(_e['email'], _e['full'])} AS profile_json,
         value AS revenue, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS event_ts,
         strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS _ingest_ts, event_type FROM events""",
+    "redacted": f"SELECT 'E' || {lpad('event_id', 16)} AS event_id, {profile_of(_gone, _gone)} AS profile FROM events",
     "lreq": f"""SELECT {_rid} AS request_id, upper(email) AS subject_email,
         CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'FURNITURE') THEN 'DELETE' ELSE 'OBFUSCATE' END AS request_type,
         'PENDING' AS status FROM person WHERE c_acctbal < 0""",
@@ -168,15 +189,15 @@ CTES: dict[str, str] = {
     "erased": f"""SELECT r.event_id, r.user_id,
         CASE WHEN mode = 1 THEN '{ERASED_TOKEN}' ELSE r.email END AS email,
         CASE WHEN mode = 1 THEN '{ERASED_TOKEN}' ELSE r.full_name END AS full_name,
-        CASE WHEN mode = 1 THEN {erase_profile('r.profile_json')} ELSE r.profile_json END AS profile_json,
+        CASE WHEN mode = 1 THEN g.profile ELSE r.profile_json END AS profile_json,
         r.revenue, r.event_ts, r._ingest_ts
-        FROM raw r LEFT JOIN modes m USING (user_id) WHERE coalesce(mode, 0) <> 2""",
+        FROM raw r JOIN redacted g USING (event_id) LEFT JOIN modes m USING (user_id) WHERE coalesce(mode, 0) <> 2""",
     "first_erased": f"""SELECT r.event_id, r.user_id,
         CASE WHEN mode = 1 THEN '{ERASED_TOKEN}' ELSE r.email END AS email,
         CASE WHEN mode = 1 THEN '{ERASED_TOKEN}' ELSE r.full_name END AS full_name,
-        CASE WHEN mode = 1 THEN {erase_profile('r.profile_json')} ELSE r.profile_json END AS profile_json,
+        CASE WHEN mode = 1 THEN g.profile ELSE r.profile_json END AS profile_json,
         r.revenue, r.event_ts, r._ingest_ts
-        FROM raw r LEFT JOIN modes_first m USING (user_id)
+        FROM raw r JOIN redacted g USING (event_id) LEFT JOIN modes_first m USING (user_id)
         WHERE coalesce(mode, 0) <> 2 AND r.event_type <> 'error'""",
     "story": """SELECT * FROM first_erased UNION ALL
         SELECT event_id, user_id, email, full_name, profile_json, revenue, event_ts, _ingest_ts
@@ -240,18 +261,17 @@ CTES: dict[str, str] = {
         WHERE event_type NOT IN ('error', 'purchase')
         AND started_at >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 144 HOURS
         AND statement_id NOT IN (SELECT statement_id FROM qlog WHERE statement_id LIKE '%7')""",
-    "best": """SELECT m.scale, m.pattern, m.variant, m.exec_ms, m.total_ms, m.read_rows,
-        round(m.exec_ms - b.exec_ms, 0) AS overhead_ms,
-        round(100.0::DOUBLE * (m.exec_ms - b.exec_ms) / nullif(b.exec_ms, 0), 1) AS overhead_pct,
-        CASE m.scale WHEN '1m' THEN 1 WHEN '10m' THEN 2 WHEN '100m' THEN 3 END AS scale_ord,
-        CASE m.scale WHEN '1m' THEN '1_1m' WHEN '10m' THEN '2_10m' WHEN '100m' THEN '3_100m' END AS scale_sortable
-        FROM tstats m JOIN tstats b ON m.scale = b.scale AND m.pattern = b.pattern AND b.variant = 'baseline'""",
+    "best": """SELECT scale, pattern, variant, exec_ms, total_ms, read_rows, round(exec_ms - base, 0) AS overhead_ms,
+        round(100.0::DOUBLE * (exec_ms - base) / nullif(base, 0), 1) AS overhead_pct, place AS scale_ord,
+        place::VARCHAR || '_' || scale AS scale_sortable
+        FROM (SELECT *, max(exec_ms) FILTER (WHERE variant = 'baseline') OVER (PARTITION BY scale, pattern) AS base,
+              list_position(['1m', '10m', '100m'], scale) AS place FROM tstats) WHERE base IS NOT NULL""",
     "tstats": """SELECT scale, variant, pattern, min(execution_ms) AS exec_ms, min(total_ms) AS total_ms,
         max(read_rows) AS read_rows FROM timings GROUP BY ALL""",
 }
 
 DEPENDS: dict[str, tuple[str, ...]] = {
-    "masked": ("hits",),
+    "masked": ("hits", "hits_REDACT"),
     "queue": ("person",),
     "subj": ("queue",),
     **{t: ("person",) for t in (
@@ -260,8 +280,8 @@ DEPENDS: dict[str, tuple[str, ...]] = {
     "resolved": ("lreq", "raw"),
     "modes": ("resolved",),
     "modes_first": ("lreq", "raw"),
-    "erased": ("raw", "modes"),
-    "first_erased": ("raw", "modes_first"),
+    "erased": ("raw", "redacted", "modes"),
+    "first_erased": ("raw", "redacted", "modes_first"),
     "story": ("first_erased",),
     "story_latest": ("story",),
     "merged": ("ctags", "cmap"),
@@ -359,7 +379,7 @@ def erased_sql(table: str, rule=EMAIL_FIRST) -> str:
         if name in REDACTED[table]:
             return f"CASE WHEN m.mode = 1 THEN '{ERASED_TOKEN}' ELSE t.{name} END AS {name}"
         if name == "hit_payload":
-            return f"CASE WHEN m.mode = 1 THEN {erase_payload('t.hit_payload')} ELSE t.hit_payload END AS {name}"
+            return f"CASE WHEN m.mode = 1 THEN t.redacted_payload ELSE t.hit_payload END AS {name}"
         return f"t.{name}"
 
     return (
@@ -436,9 +456,7 @@ def summary_sql(dry: bool, judged_by: str = "true") -> str:
 
 
 def masked_both(strategy: str) -> str:
-    return with_ctes(
-        f"SELECT hit_id, {mask_hit(strategy)} AS hit_payload, {mask_user(strategy)} AS user_payload FROM hits", "hits"
-    )
+    return with_ctes(f"SELECT * FROM hits_{strategy}", f"hits_{strategy}")
 
 
 def js(col: str, path: str) -> str:
@@ -549,9 +567,9 @@ def all_oracles() -> dict[str, str]:
         "mask_redact": masked_both("REDACT"),
         "mask_nullify": masked_both("NULLIFY"),
         "mask_partial": masked_both("PARTIAL"),
-        "mask_url_params": f"SELECT page_id, {mask_url('url', ('page', 'ref', 'utm_source'))} AS url FROM pages",
+        "mask_url_params": f"SELECT page_id, {without_params('url', PAGE_PARAMS, MASK_TOKEN)} AS url FROM pages",
         "mask_url_params_nullify":
-            f"SELECT page_id, {mask_url('url', ('page', 'ref', 'utm_source'), 'NULLIFY')} AS url FROM pages",
+            f"SELECT page_id, {without_params('url', PAGE_PARAMS, '')} AS url FROM pages",
         "mask_regex_documents": f"SELECT doc_id, {pat1} AS text FROM documents",
         "mask_regex_nullify_conversations":
             f"SELECT conv_id, turn, {mask_patterns('text', DOCUMENT_PATTERNS[:1], '')} AS text FROM conversations",
@@ -589,7 +607,7 @@ def all_oracles() -> dict[str, str]:
             FROM masked""", "masked"),
         "mask_structure_diff": with_ctes(
             diff_sql("SELECT hit_id AS key, h.hit_payload AS j, m.hit_payload AS k FROM hits h JOIN masked m USING (hit_id)"), "masked"),
-        "mask_structure_diff_mixed": with_ctes(diff_sql(f"SELECT event_id AS key, doc AS j, {mask_key('doc', 'b')} AS k FROM mixed"), "mixed"),
+        "mask_structure_diff_mixed": with_ctes(diff_sql("SELECT event_id AS key, doc AS j, masked_doc AS k FROM mixed"), "mixed"),
         "json_path_profile_mixed": profile_sql("doc", "mixed", "mixed"),
         "json_path_profile": profile_sql("hit_payload", "hits", "hits"),
         "json_path_profile_events": profile_sql("props", "events"),
@@ -775,13 +793,11 @@ def all_oracles() -> dict[str, str]:
             "ORDER BY _ingest_ts DESC, event_id DESC) AS rn FROM raw) WHERE rn = 1", "raw"),
         "perf_collect": with_ctes("SELECT * FROM timings", "timings"),
         "perf_summary_median": with_ctes(
-            """SELECT m.scale, m.pattern, m.variant, round(m.p, 0) AS p50_ms, round(m.p - b.p, 0) AS overhead_ms,
-            round(100.0::DOUBLE * (m.p - b.p) / nullif(b.p, 0), 1) AS overhead_pct
-            FROM med m JOIN med b ON m.scale = b.scale AND m.pattern = b.pattern AND b.variant = 'baseline'"""
-            .replace("med m", "(SELECT scale, variant, pattern, quantile_cont(execution_ms, 0.5) AS p FROM timings "
-                     "GROUP BY ALL) m").replace(
-                "med b", "(SELECT scale, variant, pattern, quantile_cont(execution_ms, 0.5) AS p FROM timings "
-                "GROUP BY ALL) b"), "timings"),
+            """SELECT scale, pattern, variant, round(middle, 0) AS p50_ms, round(middle - base, 0) AS overhead_ms,
+            round(100.0::DOUBLE * (middle - base) / nullif(base, 0), 1) AS overhead_pct
+            FROM (SELECT *, max(middle) FILTER (WHERE variant = 'baseline') OVER (PARTITION BY scale, pattern) AS base
+                  FROM (SELECT scale, pattern, variant, quantile_cont(execution_ms, 0.5) AS middle FROM timings GROUP BY ALL))
+            WHERE base IS NOT NULL""", "timings"),
         "perf_summary_best": with_ctes("SELECT * FROM best", "best"),
         "perf_chart_rows": with_ctes("SELECT * FROM best WHERE scale = '100m' AND variant = 'dynamic'", "best"),
         "gen_hits": with_ctes("SELECT * FROM hits", "hits"),

@@ -69,9 +69,11 @@ def matches(rules, rule, row, request, whole_address=False, lower=False):
             if email:
                 return True, any(inside(t, email) for t in docs)
             return True, any(t is not None and first in t and last in t for t in docs)
-        return (True, all(a == b for a, b in pairs)) if rules.names and full else (False, False)
+        return (True, all(a == b for a, b in pairs)) if rules.names_suffice and full else (False, False)
     if (rules.emails or rules.payloads) and not email or (rules.names or rules.payloads) and not full:
         return False, False
+    if not rules.emails and not rules.payloads and not rules.names_suffice:
+        return False, False
     same = all(a == b for a, b in pairs) and all(m == email for m in mails)
     return True, same and all(inside(t, email) and first in t and last in t for t in docs)
 
@@ -80,6 +82,7 @@ TABLES = {
     "payloads": TableRules("t", payloads=("doc", "more"), masked=("doc", "more"), columns=("doc", "more")),
     "payload and email": TableRules("t", emails=("email",), payloads=("doc",), names=(("fn", "first_name"),), columns=("email", "doc")),
     "emails and names": TableRules("t", emails=("email", "email2"), names=(("fn", "first_name"), ("ln", "last_name")), columns=("email",)),
+    "first name alone": TableRules("t", names=(("fn", "first_name"),), columns=("fn",)),
     "full name": TableRules("t", names=(("full", "full_name"),), columns=("full",)),
 }
 
