@@ -1,15 +1,18 @@
 """Personal data in texts: patterns propose, checksums confirm, context decides.
 
 Base kinds (email, ip, card, phone) are taken as soon as their check holds.  Further
-kinds start from a pattern's own score and gain from words standing near the span;
-only those at or above a threshold are reported.  Each text is one row's work: the
+kinds (account numbers, social security numbers, secrets) start from a pattern's own
+score and gain from words standing near the span; only those at or above a threshold are
+reported, so a number or a random-looking run counts where its context says what it is.  Each text is one row's work: the
 patterns are linear in its length, and nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -19,13 +22,13 @@ from pyspark.sql import functions as F
 from palimpsest.llm.common import longs, map_arrow, strings, table
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-MORE_KINDS = ("iban", "ssn")
+MORE_KINDS = ("iban", "ssn", "secret")
 KINDS = BASE_KINDS + MORE_KINDS
 ORDER = {kind: k for k, kind in enumerate(KINDS)}
 THRESHOLD = 0.5
 CONTEXT_CHARS = 48
 #: score of the bare pattern (after its checksum), and words that add CONTEXT_GAIN.
-SCORES = {"iban": 0.7, "ssn": 0.3}
+SCORES = {"iban": 0.7, "ssn": 0.3, "secret": 0.3}
 CONTEXT_GAIN = 0.4
 CONTEXT = {
     "email": ("mail", "contact", "write"),
@@ -34,6 +37,7 @@ CONTEXT = {
     "phone": ("phone", "tel", "call", "mobile"),
     "iban": ("iban", "bank", "account"),
     "ssn": ("ssn", "social security", "social-security"),
+    "secret": ("token", "secret", "password", "passwd", "api key", "api_key", "apikey", "bearer", "credential", "private key"),
 }
 BASE_SCORES = {"email": 0.6, "ip": 0.6, "card": 0.6, "phone": 0.6}
 
@@ -43,7 +47,21 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=[ ]?[A-Z0-9])")
+_IBAN_CHARACTER = re.compile(r"[ ]?([A-Z0-9])")
+# How long an account number of each country is.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21,
+    "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27,
+    "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26,
+    "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27,
+    "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25,
+    "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23,
+    "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
+# a run of name characters from its first one on; what it is made of tells a secret from a word
+_RUN = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,200}+(?![A-Za-z0-9_-])")
+_PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "github_pat_", "xoxb-", "xoxp-", "sk_live_", "sk-", "eyJ")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _NO_DIGIT = re.compile(r"[^0-9]")
 
@@ -63,6 +81,39 @@ def mod97(code: str) -> bool:
     return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Account numbers of their country's length whose checksum holds, whatever stands behind them."""
+    for m in _IBAN.finditer(text):
+        end = m.end()
+        for _ in range(IBAN_LENGTHS.get(m[0][:2], 0) - 4):
+            c = _IBAN_CHARACTER.match(text, end)
+            if c is None:
+                break
+            end = c.end()
+        else:
+            if m[0][:2] in IBAN_LENGTHS and not text[end : end + 1].isalnum() and mod97(text[m.start() : end]):
+                yield m.start(), end
+
+
+def random_looking(run: str) -> bool:
+    """Letters and digits mixed, of many kinds for its length: more than 3 bits a character."""
+    digits = sum(c.isdigit() for c in run)
+    if not 2 <= digits <= len(run) - 2:
+        return False
+    return -sum(n / len(run) * math.log2(n / len(run)) for n in Counter(run).values()) > 3
+
+
+def proposed(text: str) -> Iterator[tuple[int, int, str, float]]:
+    """Spans of the further kinds that pass their check, with the score of the pattern alone."""
+    for a, b in ibans(text):
+        yield a, b, "iban", SCORES["iban"]
+    for m in _SSN.finditer(text):
+        yield m.start(), m.end(), "ssn", SCORES["ssn"]
+    for m in _RUN.finditer(text):
+        if random_looking(m[0]):
+            yield m.start(), m.end(), "secret", SCORES["secret"] + CONTEXT_GAIN * m[0].startswith(_PREFIXES)
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost matches, found from each @: what precedes it must be a run of local characters."""
     last = 0
@@ -105,12 +156,10 @@ def near_words(text: str, start: int, end: int, kind: str) -> bool:
 def all_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str, float]]:
     """Base spans with their scores, and the further kinds that reach THRESHOLD."""
     found = [(a, b, k, BASE_SCORES[k] + CONTEXT_GAIN * near_words(text, a, b, k)) for a, b, k in base]
-    for kind, pattern, check in (("iban", _IBAN, mod97), ("ssn", _SSN, None)):
-        for m in pattern.finditer(text):
-            if check is None or check(m[0]):
-                score = SCORES[kind] + CONTEXT_GAIN * near_words(text, m.start(), m.end(), kind)
-                if score >= THRESHOLD:
-                    found.append((m.start(), m.end(), kind, score))
+    for a, b, kind, score in proposed(text):
+        score += CONTEXT_GAIN * near_words(text, a, b, kind)
+        if score >= THRESHOLD:
+            found.append((a, b, kind, score))
     found.sort(key=lambda s: (s[0], ORDER[s[2]]))
     return found
 
@@ -186,4 +235,6 @@ def redact(docs: DataFrame) -> DataFrame:
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find(table(spark, sf_dir, "documents")).drop("scored")
+    found = find(table(spark, sf_dir, "documents"))
+    scores = F.array_join(F.transform("scored", lambda s: F.format_string("%.1f", s["score"])), ",")
+    return found.select("*", F.size("scored").cast("long").alias("n_spans"), scores.alias("scores")).drop("scored")
