@@ -32,7 +32,8 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.packed(docs)
+    """The corpus: every piece of every text left, with its bytes and its place in a training sequence."""
+    return packing.packed(docs, with_tokens=True)
 
 
 STAGES = [

@@ -59,9 +59,14 @@ def pack(sizes: Sequence[int], lengths: Sequence[int] = LENGTHS) -> tuple[np.nda
     return bins, offsets, final
 
 
-def packed(docs: DataFrame, lengths: Sequence[int] = LENGTHS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def packed(
+    docs: DataFrame, lengths: Sequence[int] = LENGTHS, id_col: str = "doc_id", text_col: str = "text", with_tokens: bool = False
+) -> DataFrame:
     """One row per piece: doc_id, piece, start, n_tokens, shard, bin, bin_offset, bin_length, bin_used.
 
+    ``with_tokens`` adds the piece's own tokens (bytes): the pieces of a bin in the order of
+    bin_offset are its sequence, and their edges its document boundaries.
+
     Every token of every text is in exactly one piece.  Null and empty texts have no
     tokens and no rows.  Rows that repeat are packed each for itself; equal lengths
     are taken by key and piece, so a result does not depend on how rows arrive.
@@ -84,20 +89,26 @@ def packed(docs: DataFrame, lengths: Sequence[int] = LENGTHS, id_col: str = "doc
         used = np.bincount(bins, weights=frame["size"].to_numpy(), minlength=len(final)).astype(np.int64)
         return pd.DataFrame(
             {
-                "doc_id": frame["_id"], "piece": frame["piece"], "start": frame["piece"] * top, "n_tokens": frame["size"],
+                "_k1": frame["_k1"], "_k2": frame["_k2"], "doc_id": frame["_id"], "piece": frame["piece"], "start": frame["piece"] * top, "n_tokens": frame["size"],
                 "shard": frame["shard"], "bin": bins, "bin_offset": offsets, "bin_length": final[bins], "bin_used": used[bins],
             }
         )
 
     kind = rows.schema["_id"].dataType.simpleString()
-    return (
+    placed = (
         pieces.withColumn("shard", F.pmod(F.xxhash64("_k1", "_k2", "piece"), F.lit(shards)))
         .groupBy("shard")
         .applyInPandas(
             fill,
-            f"doc_id {kind}, piece long, start long, n_tokens long, shard long, bin long, bin_offset long, bin_length long, bin_used long",
+            f"_k1 long, _k2 long, doc_id {kind}, piece long, start long, n_tokens long, shard long, bin long, bin_offset long, bin_length long, bin_used long",
         )
     )
+    if not with_tokens:
+        return placed.drop("_k1", "_k2")
+    # rows equal in id and text share their bytes; placements are narrow, so the texts are shuffled once
+    texts = keyed(docs, id_col, text_col).select("_k1", "_k2", "_text").dropDuplicates(["_k1", "_k2"])
+    cut = F.expr("substring(cast(_text AS binary), cast(start + 1 AS int), cast(n_tokens AS int))").alias("tokens")
+    return placed.join(texts, ["_k1", "_k2"]).select(*[c for c in placed.columns if c not in ("_k1", "_k2")], cut)
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
