@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.session import let_workers_import
+
 #: Paths and values that a task counts before it sends them on.
 HELD = 200_000
 
@@ -111,6 +113,7 @@ def profile(df: DataFrame, column: str, detectors: Mapping[str, str]) -> DataFra
                     found.clear()
         yield sent()
 
+    let_workers_import(df.sparkSession)
     counted = df.select(column).mapInArrow(run, "path string, name1 long, name2 long, n long, " + ", ".join(f"{h} long" for h in hits))
     # hits are the value's own: equal values of all tasks are put together before they are counted as one
     each = counted.groupBy("path", "name1", "name2").agg(*[F.sum(c).alias(c) for c in ("n", *hits)])
@@ -145,5 +148,6 @@ def differences(df: DataFrame, original: str, changed: str) -> DataFrame:
                     held.clear()
         yield _batch([(p, *c) for p, c in held.items()], names, kinds)
 
+    let_workers_import(df.sparkSession)
     counted = df.select(original, changed).mapInArrow(run, "path string, docs long, changed_docs long, lost_docs long")
     return counted.groupBy("path").agg(*[F.sum(c).alias(c) for c in names[1:]])

@@ -14,9 +14,11 @@ from collections.abc import Iterable, Sequence
 from json.decoder import JSONDecodeError, scanstring
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from palimpsest.session import let_workers_import
+
 _DECODER = json.JSONDecoder()
 _BLANK = re.compile(r"[ \t\r\n]*")
 _HIGH, _LOW = re.compile(r"\\u[dD][89abAB][0-9a-fA-F]{2}"), re.compile(r"\\u[dD][c-fC-F][0-9a-fA-F]{2}")
@@ -105,6 +107,9 @@ def redact_lines(line: Column, fields: Sequence[str], payload: str, keys: Sequen
         except ValueError:
             return None
 
+    if session := SparkSession.getActiveSession():
+        let_workers_import(session)
+
     @F.pandas_udf("string")
     def run(lines: pd.Series) -> pd.Series:
         return pd.Series([one(text) for text in lines], dtype=object)

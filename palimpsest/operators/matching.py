@@ -284,13 +284,13 @@ def find(
     if rules.payloads:
         sets = _text_needles(rules, subjects, asked, which)
         small = small and all(s.broadcastable for s in sets.values())
-        spaces = {"low": ("address",), "text": ("first", "last")} if case_insensitive else {"text": tuple(sets)}
-        for space, roles in spaces.items():
+        # names are shorter than addresses: they take less of a text along
+        for space, roles in {"mail": ("address",), "name": ("first", "last")}.items():
             cuts = needles.Cuts.of([sets[r] for r in roles])
             if not cuts.marks:
                 continue
             for text in rules.payloads:
-                shown = F.lower(text) if space == "low" else F.col(text)
+                shown = F.lower(text) if space == "mail" and case_insensitive else F.col(text)
                 entries.append(cuts.entries(shown, text=F.lit(text), space=F.lit(space)))
             holds = holds | ((F.col("space") == space) & cuts.holds("context", "_value", "_lead", whole_address))
             for role in roles:

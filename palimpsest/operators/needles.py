@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +38,8 @@ WINDOW_SIZES = (8, 5, 3, 2, 1)
 # Characters up to and including the @, and characters after it.
 BEFORE_AT = (13, 9, 7, 5, 4, 3, 2, 1)
 AFTER_AT = (8, 4, 0)
+# Up to so many anchors texts are asked for them before anything leaves the scan.
+FEW_ANCHORS = 5000
 # A window shared by more needles than this is avoided if the needle has a rarer one.
 _SHARED_BY_FEW = 64
 
@@ -91,6 +94,8 @@ class NeedleSet:
     before: int
     after: int
     broadcastable: bool
+    #: The anchors themselves, where they are few enough to stand in a plan.
+    few: frozenset[str] | None = None
 
     @property
     def cuts(self) -> tuple[tuple[str, int, int], ...]:
@@ -171,9 +176,13 @@ def prepare_roles(patterns: DataFrame, roles: tuple[str, ...]) -> dict[str, Need
             F.array_join(F.sort_array(F.collect_set("_start")), "").alias("starts"),
             F.max("_lead").alias("before"),
             F.max(size - F.col("_lead")).alias("after"),
+            F.count(F.lit(1)).alias("needles"),
         )
         .collect()
     )
+    few = None
+    if sum(k["needles"] for k in kinds) <= FEW_ANCHORS:
+        few = frame.select(ROLE, "anchor").distinct().collect()
     small = sum(k["bytes"] for k in kinds) <= broadcast_limit(patterns.sparkSession)
     frame = frame.drop("_reach", "_size", "_start")
 
@@ -181,7 +190,8 @@ def prepare_roles(patterns: DataFrame, roles: tuple[str, ...]) -> dict[str, Need
         own = [k for k in kinds if k[ROLE] == role]
         marks = sorted(("@" if k["address"] else k["starts"], k["_reach"], k["_size"]) for k in own)
         before, after = (max((k[side] for k in own), default=0) for side in ("before", "after"))
-        return NeedleSet(frame.where(F.col(ROLE) == role).drop(ROLE), tuple(marks), before, after, small)
+        named = None if few is None else frozenset(r["anchor"] for r in few if r[ROLE] == role)
+        return NeedleSet(frame.where(F.col(ROLE) == role).drop(ROLE), tuple(marks), before, after, small, named)
 
     return {role: one(role) for role in roles}
 
@@ -219,6 +229,7 @@ class Cuts:
     marks: tuple[tuple[str, tuple[tuple[int, int], ...]], ...]  # (class of characters, (reach, size) ...)
     before: int
     after: int
+    few: frozenset[str] | None
 
     @classmethod
     def of(cls, sets: Iterable[NeedleSet]) -> "Cuts":
@@ -230,24 +241,34 @@ class Cuts:
                 starts = "@" if address else _class_of("".join(sorted({c for m in own for c in m[0]})))
                 grouped.append((starts, tuple(sorted({(reach, size) for _, reach, size in own}))))
         # one character more than any needle on the left and two on the right tell whether it goes on
-        return cls(tuple(grouped), max((s.before for s in sets), default=0) + 1, max((s.after for s in sets), default=0) + 2)
+        few = None if any(s.few is None for s in sets) else frozenset().union(*(s.few for s in sets))
+        return cls(tuple(grouped), max((s.before for s in sets), default=0) + 1, max((s.after for s in sets), default=0) + 2, few)
 
     def entries(self, document: Column, **tags: Column) -> Column:
         """Array of ``tags, gram, context`` for one text."""
         # everything a needle's first characters can reach back to is in the context, or is the edge
         padded = F.concat(F.lit(_EDGE * (self.before - 1)), F.coalesce(document, F.lit("")), F.lit(_EDGE * self.after))
 
+        def gram(context: Column, reach: int, size: int) -> Column:
+            return F.substring(context, self.before - reach + 1, size)
+
         def cut(shapes: tuple[tuple[int, int], ...]):
-            def entry(context: Column, reach: int, size: int) -> Column:
+            def entry(context: Column, shape: tuple[int, int]) -> Column:
                 named = [value.alias(name) for name, value in tags.items()]
-                gram = F.substring(context, self.before - reach + 1, size).alias("gram")
-                return F.struct(*named, gram, context.alias("context"))
+                return F.struct(*named, gram(context, *shape).alias("gram"), context.alias("context"))
+
+            return lambda context: F.array(*[entry(context, shape) for shape in shapes])
 
-            return lambda context: F.array(*[entry(context, *shape) for shape in shapes])
+        def known(shapes: tuple[tuple[int, int], ...]):
+            """Whether an anchor stands at the cut: most contexts end here."""
+            tests = [(shape, [a for a in self.few if len(a) == shape[1]]) for shape in shapes]
+            return lambda context: reduce(lambda x, y: x | y, [gram(context, *shape).isin(anchors) for shape, anchors in tests if anchors])
 
         found = []
         for starts, shapes in self.marks:
             contexts = F.array_distinct(_windows(padded, starts, self.before, self.before + self.after))
+            if self.few is not None:
+                contexts = F.filter(contexts, known(shapes))
             found.append(F.flatten(F.transform(contexts, cut(shapes))))
         return F.concat(*found)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,15 @@ def get_session(app: str = "palimpsest", master: str | None = None, **conf: obje
     return builder.getOrCreate()
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers find this package, whatever folder they start in."""
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    named = spark.sparkContext.environment
+    known = named.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
+    if home not in known.split(os.pathsep):
+        named["PYTHONPATH"] = os.pathsep.join(filter(None, [home, known]))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.session import broadcast_limit, measured_bytes
+from palimpsest.session import broadcast_limit, let_workers_import, measured_bytes
 from palimpsest.sources import paths
 
 FILE = "_file"
@@ -105,6 +105,7 @@ class FileIndex:
         return count
 
     def _filters(self, wave: list[str]) -> DataFrame:
+        let_workers_import(self.spark)
         rows = self.read([unquote(uri) for uri in wave])
         bad = F.lit(False) if self.broken is None else F.coalesce(self.broken, F.lit(False))
         kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.xxhash64(c).alias("hash"), c.isNotNull().alias("there")) for k, c in self.keys.items()])
@@ -141,6 +142,7 @@ class FileIndex:
         files = self.files().join(mine, [FILE, "stamp"], "left")
         if measured_bytes(asked) > broadcast_limit(self.spark):
             return files.where("bits is null or keys > 0").select(FILE)
+        let_workers_import(self.spark)
         hashes = np.array([row["h"] for row in asked.collect()], np.int64)  # bounded by the broadcast limit
         sent = self.spark.sparkContext.broadcast(hashes)
 
