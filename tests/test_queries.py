@@ -15,7 +15,9 @@ QUICK = {
     "mask_structure_diff", "json_path_profile_events", "registry_seed", "registry_skipped", "intake_upsert",
     "intake_number_requests", "match_email_first", "erase_booking", "erase_hits", "no_trace_scan_before",
     "neighbours_untouched", "erase_layer_raw", "no_trace_matrix", "erase_invariants", "bench_groupby_nonpii_field_first",
-    "perf_collect", "perf_summary_best",
+    "perf_collect", "perf_summary_best", "match_whole_address", "erase_whole_address", "erase_hits_in_place", "erase_in_place_files",
+    "indexed_rows", "indexed_files", "redact_lines_in_place", "mask_structure_diff_mixed", "json_path_profile_mixed",
+    "erase_by_name_summary", "erase_by_name_manifest", "queue_closed_by_manifest", "match_rule_diff",
 }
 NAMES = sorted(entry.queries())
 
