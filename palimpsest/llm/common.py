@@ -72,6 +72,14 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         row = last
 
 
+def give_back() -> None:
+    """Return memory that is no longer used to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def lean(run: Callable) -> Callable:
     """The same function of batches, giving back at its end what it took.
 
@@ -83,10 +91,7 @@ def lean(run: Callable) -> Callable:
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # not every C library can
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return lean_run
 
@@ -298,7 +303,8 @@ def trained(rows: pa.Table, train: Callable[[list[bytes], list[int]], tuple[np.n
     """What train makes of a bounded sample (_text, y), on the driver."""
     texts, labels = [t.as_py().encode() for t in rows.column("_text")], rows.column("y").to_pylist()
     del rows
+    give_back()
     made = [np.atleast_1d(np.asarray(x, np.float64)) for x in train(texts, labels)]
     del texts
-    pa.default_memory_pool().release_unused()
+    give_back()
     return made
