@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from palimpsest.functions import json_spans
+from palimpsest.operators import matching
 from palimpsest.operators.matching import MODE
+from palimpsest.operators.registry import TableRules
 from palimpsest.sources import paths, rewrite
 from palimpsest.sources.file_index import bloom, may_hold
 from palimpsest.streaming import medallion
@@ -170,3 +172,16 @@ def test_many_batches_are_folded_by_the_run(spark, tmp_path, monkeypatch):
         house.run()
         assert all(len(p) < 2 for p in house._folds().values())
     assert len(latest(house)) == 6
+
+
+def test_nothing_left_of_a_table_is_an_empty_table(spark, tmp_path):
+    path = str(tmp_path / "people")
+    people = spark.createDataFrame([(k, f"p{k}@x.org") for k in range(6)], "id long, email string")
+    people.repartition(3).write.parquet(path)
+    asked = people.selectExpr("cast(id as string) as request_id", "'' as first_name", "'' as last_name", "email", "'DELETE' as request_type")
+    rules = TableRules("people", emails=("email",), masked=(), columns=("email",))
+    for files in (3, 0):
+        done = rewrite.erase_files(spark, path, rules, matching.subjects_of(asked), schema=people.schema)
+        assert done == {"files": files, "rewritten": 0, "removed": files}
+        left = rewrite.layer_rows(spark, people.schema, path)
+        assert left.columns == ["id", "email"] and left.isEmpty()
