@@ -12,7 +12,7 @@ from palimpsest.functions import json_spans
 from palimpsest.operators import matching
 from palimpsest.operators.matching import MODE
 from palimpsest.operators.registry import TableRules
-from palimpsest.sources import paths, rewrite
+from palimpsest.sources import landing, paths, rewrite
 from palimpsest.sources.file_index import bloom, may_hold
 from palimpsest.streaming import medallion
 from palimpsest.streaming.medallion import RAW_SCHEMA, Lakehouse
@@ -185,3 +185,19 @@ def test_nothing_left_of_a_table_is_an_empty_table(spark, tmp_path):
         assert done == {"files": files, "rewritten": 0, "removed": files}
         left = rewrite.layer_rows(spark, people.schema, path)
         assert left.columns == ["id", "email"] and left.isEmpty()
+
+
+def test_files_of_a_layer_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "ROWS_PER_FILE", 5)
+    rows = [record(u, 1) for u in range(40)]
+    write(str(tmp_path / "all.json"), rows)
+    zone = str(tmp_path / "landing")
+    landing.write_landing(landing.read_landing(spark, str(tmp_path / "all.json")), zone, files=2)
+    house = Lakehouse(spark, zone, str(tmp_path / "tables"))
+    house.run()
+    for df in (house.files(), *house.base_layers().values()):
+        sizes = [r["count"] for r in df.groupBy("_metadata.file_path").count().collect()]
+        assert sum(sizes) == 40 and max(sizes) <= 5
+    run = house.erase(queue(spark, (email(1), "DELETE"), (email(2), "OBFUSCATE")))
+    assert run.passed() and run.changed_files["landing"]["rewritten"] >= 1
+    assert house.files().count() == 39
