@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from palimpsest.functions.masking import ERASED_TOKEN
 from palimpsest.operators import erasure, matching, registry, validation
 from palimpsest.operators.registry import TableRules
-from palimpsest.plans import testdata
+from palimpsest.plans import scenarios, testdata
 from palimpsest.session import BROADCAST_BYTES_CONF
 from palimpsest.sources.rewrite import replace_table
 
@@ -288,3 +288,10 @@ def test_published_tables_hold_no_old_bytes(spark, tmp_path):
         dry_run=False,
     )
     assert {r["action"] for r in again.audit.collect()} == {"no_match"}
+
+
+def test_stored_tables_are_read_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(scenarios, "ROWS_PER_FILE", 10)
+    table = scenarios.stored(spark, "nowhere", "spread", lambda: spark.range(0, 95, 1, 1).toDF("id"))
+    files = [r["count"] for r in table.groupBy("_metadata.file_path").count().collect()]
+    assert sum(files) == 95 and max(files) == 10
