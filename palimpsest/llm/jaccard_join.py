@@ -137,8 +137,15 @@ def _enough(n1: str, p1: str, n2: str, p2: str):
     )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, same, total): exact intersection and union sizes of the pairs' sets."""
+def _verified(pairs: DataFrame, rows: DataFrame, light: DataFrame) -> DataFrame:
+    """(a, b, same, total): exact intersection and union sizes of the pairs' sets.
+
+    Only sets of classes that stand in a pair are made and dealt.
+    """
+    named = written(pairs.selectExpr("a AS cls").union(pairs.selectExpr("b AS cls")).distinct(), "jaccard-named")
+    wanted = light.join(small_side(named), "cls").groupBy("cls").agg(F.min(F.struct("_k1", "_k2")).alias("k"))
+    wanted = written(wanted.select("cls", "k._k1", "k._k2"), "jaccard-wanted")
+    sets = written(_sets(rows, wanted), "jaccard-sets")
     sides = pairs.join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tb")), "b")
     sides = sides.join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("ta")), "a").select("a", "b", "ta", "tb")
 
@@ -161,15 +168,13 @@ def links(rows: DataFrame, light: DataFrame) -> DataFrame:
     shared = entries.groupBy("token").agg(F.count("*").alias("times")).filter("times > 1").select("token")
     kept = entries.join(shared, "token").groupBy("token", "cls").agg(F.min("np").alias("np"), F.min("pos").alias("pos"))
     kept = written(kept.selectExpr("token", "cls", f"np div {PLAIN} AS n", f"np % {PLAIN} AS plain", "pos"), "jaccard-lists")
-    wanted = kept.select("cls").distinct().join(light, "cls").groupBy("cls").agg(F.min(F.struct("_k1", "_k2")).alias("k"))
-    sets = written(_sets(rows, wanted.select("cls", "k._k1", "k._k2")), "jaccard-sets")
 
     pivots = kept.groupBy("token").agg(F.max(F.struct("plain", "cls", "n", "pos")).alias("p"), F.count("*").alias("sets")).filter("sets > 1")
     pivots = pivots.select("token", F.col("p.cls").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.pos").alias("pp"))
     listed = kept.join(pivots, "token")
     first = listed.filter("cls <> pivot").filter(_enough("n", "pos", "pn", "pp"))
-    first = first.select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct()
-    known = written(_verified(first, sets), "jaccard-pivots")
+    first = written(first.select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct(), "jaccard-first")
+    known = written(_verified(first, rows, light), "jaccard-pivots")
 
     far = known.selectExpr("a AS cls", "b AS pivot", "1 - same / total AS d", f"{DEN} * same >= {NUM} * total AS near")
     marked = listed.join(far, ["cls", "pivot"], "left").selectExpr(
@@ -182,7 +187,7 @@ def links(rows: DataFrame, light: DataFrame) -> DataFrame:
     rest = left.join(right, ["token", "block"]).filter("a <> b AND (near2 OR a < b)").filter(_enough("n1", "p1", "n2", "p2"))
     rest = rest.filter(f"d1 IS NULL OR d2 IS NULL OR abs(d1 - d2) <= 1 - {NUM} / {DEN} + 1e-9").select("a", "b").distinct()
     rest = rest.join(known.select("a", "b"), ["a", "b"], "left_anti").join(known.selectExpr("b AS a", "a AS b"), ["a", "b"], "left_anti")
-    found = known.unionAll(_verified(rest, sets))
+    found = known.unionAll(_verified(written(rest, "jaccard-rest"), rows, light))
     return found.filter(f"{DEN} * same >= {NUM} * total").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
