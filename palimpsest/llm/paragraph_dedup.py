@@ -10,20 +10,26 @@ and with the others, unless a component holds both already or their sketches (pa
 of their shingles' bits, which differ in no more bits than the sets in shingles) rule a
 link out.  Linked ones are clustered, and one occurrence of each cluster stays.
 
-Equal paragraphs are counted into one class before bands are built, so a paragraph that
-stands in a third of all texts is one row there; its occurrences meet its fate in a join
-that broadcasts, or that adaptive execution splits.
+A paragraph leaves its text as a class name, 32 bits per band and its place; sets and
+sketches are made again from the texts for the few classes that share a band with
+another.  Bands are dealt a few at a time, and what was dealt goes before the next ones.
+Equal paragraphs are one class: the smallest and the largest class of a key are
+aggregated before the shuffle, so a paragraph that stands in a third of all texts is one
+row of a task there; its occurrences meet its fate in a join that broadcasts, or that
+adaptive execution splits.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import STEP, blobs, components, keyed, longs, mix, slices, small_side, span_hashes, table, word_spans
-from palimpsest.session import written
+from palimpsest.llm.common import STEP, blobs, components, keyed, lean, longs, mix, slices, small_side, span_hashes, table, word_spans
+from palimpsest.session import dropped, written
 
 WIDTH = 5
 SIMILAR = 0.75
@@ -32,6 +38,8 @@ RECALL = 0.98
 ROWS = 3
 #: Words of 64 bits in a sketch.
 SKETCH = 2
+#: Bands dealt at once.
+WAVE = 2
 #: A word cuts a line if its hash is the smallest of so many words on either side.
 REACH = 9
 #: Shorter pieces are no paragraphs of their own (two cuts are as far apart at least); whole lines are from WIDTH words on.
@@ -47,7 +55,7 @@ BANDS = bands()
 
 
 class Paragraphs:
-    """Paragraphs of a slice: text, byte span, shingle range, class, band keys, distinct shingles and sketch."""
+    """Paragraphs of a slice: text, byte span, shingle range, class and, when asked for, band keys."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         starts, ends, first = word_spans(data, offsets)
@@ -82,36 +90,28 @@ class Paragraphs:
             rolled += words[k : n + k] * STEP[k]
         self.rolled = mix(rolled)
         self.first, self.last = begin, end - WIDTH + 1
+        self.wide = np.append(self.rolled, np.uint64(0))
+        self.piece = piece * STEP[6]
         if not len(begin):
-            self.cls = np.zeros(0, np.int64)
-            self.keys = np.zeros((0, BANDS), np.int64)
-            self.size, self.sketch = np.zeros(0, np.int64), np.zeros((0, SKETCH), np.int64)
+            self.edges, self.cls = np.zeros(0, np.int64), np.zeros(0, np.int64)
             return
-        edges = np.stack([self.first, self.last], axis=1).ravel()
-        edges[-1] = min(edges[-1], len(self.rolled))
-        wide = np.append(self.rolled, np.uint64(0))
-        self.cls = mix(np.add.reduceat(mix(wide + np.uint64(11)), edges)[::2] ^ (piece * STEP[6])).view(np.int64)
+        self.edges = np.stack([self.first, self.last], axis=1).ravel()
+        self.edges[-1] = min(self.edges[-1], len(self.rolled))
+        self.cls = mix(np.add.reduceat(mix(self.wide + np.uint64(11)), self.edges)[::2] ^ self.piece).view(np.int64)
+
+    def keys(self) -> list[np.ndarray]:
+        """32 bits of every paragraph's key, one array per band."""
+        if not len(self.cls):
+            return [np.zeros(0, np.int32)] * BANDS
         keys = []
         for band in range(BANDS):
-            got = np.uint64(band + 1) + piece * STEP[6]
+            got = np.uint64(band + 1) + self.piece
             for row in range(ROWS):
-                salted = mix(wide ^ STEP[10 + band * ROWS + row])
+                salted = mix(self.wide ^ STEP[10 + band * ROWS + row])
                 salted[-1] = np.iinfo(np.uint64).max
-                got = mix(got * STEP[5] + np.minimum.reduceat(salted, edges)[::2])
-            keys.append((np.int64(band) << 32) | (got >> np.uint64(32)).astype(np.int64))
-        self.keys = np.stack(keys, axis=1)
-        count = self.last - self.first
-        at = np.cumsum(count) - count
-        owner = np.repeat(np.arange(len(count)), count)
-        values = self.rolled[np.repeat(self.first - at, count) + np.arange(len(owner))]
-        values = values[np.lexsort((values, owner))]
-        once = np.ones(len(values), bool)
-        once[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
-        self.size = np.add.reduceat(once.astype(np.int64), at)
-        values = mix(values ^ STEP[4])
-        bit = once.astype(np.uint64) << (values & np.uint64(63))
-        word = (values >> np.uint64(6)) % np.uint64(SKETCH)
-        self.sketch = np.stack([np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), at).view(np.int64) for w in range(SKETCH)], axis=1)
+                got = mix(got * STEP[5] + np.minimum.reduceat(salted, self.edges)[::2])
+            keys.append((got >> np.uint64(32)).astype(np.uint32).view(np.int32))
+        return keys
 
     def around(self, k: int) -> tuple[int, int]:
         """The words of the pieces next to the paragraph, and REACH more on either side, in its line.
@@ -130,11 +130,10 @@ class Paragraphs:
 
 KEYS = [f"b{k}" for k in range(BANDS)]
 BITS = [f"s{k}" for k in range(SKETCH)]
-OF_CLASS = [*KEYS, "size", *BITS]
 
 
 def paragraphs(rows: DataFrame) -> DataFrame:
-    """(cls, one key per band, size, sketch, _k1, _k2, place) of every paragraph; place holds its byte span."""
+    """(cls, 32 bits of a key per band, _k1, _k2, place) of every paragraph; place holds its byte span."""
 
     def run(batches):
         for batch in batches:
@@ -142,17 +141,18 @@ def paragraphs(rows: DataFrame) -> DataFrame:
             for row, _, data, offsets in slices(batch, "_text"):
                 p = Paragraphs(data, offsets)
                 d = row + p.doc
-                columns = [p.cls, *p.keys.T, p.size, *p.sketch.T, k1[d], k2[d], (p.start << 32) | p.end]
-                yield pa.RecordBatch.from_arrays([longs(c) for c in columns], ["cls", *OF_CLASS, "_k1", "_k2", "place"])
+                keys = [pa.array(key, pa.int32()) for key in p.keys()]
+                columns = [longs(p.cls), *keys, longs(k1[d]), longs(k2[d]), longs((p.start << 32) | p.end)]
+                yield pa.RecordBatch.from_arrays(columns, ["cls", *KEYS, "_k1", "_k2", "place"])
 
-    schema = ", ".join(f"{name} long" for name in ("cls", *OF_CLASS, "_k1", "_k2", "place"))
-    return rows.select("_k1", "_k2", "_text").mapInArrow(run, schema)
+    schema = ", ".join(["cls long", *[f"{name} int" for name in KEYS], "_k1 long, _k2 long, place long"])
+    return rows.select("_k1", "_k2", "_text").mapInArrow(lean(run), schema)
 
 
 def classes_of(found: DataFrame) -> DataFrame:
-    """(cls, n, at, band keys, size, sketch): each distinct paragraph once, counted, with its smallest place."""
+    """(cls, n, at, band keys): each distinct paragraph once, counted, with its smallest place."""
     at = F.min(F.struct("_k1", "_k2", "place")).alias("at")
-    return found.groupBy("cls").agg(F.count("*").alias("n"), at, *[F.min(name).alias(name) for name in OF_CLASS])
+    return found.groupBy("cls").agg(F.count("*").alias("n"), at, *[F.min(name).alias(name) for name in KEYS])
 
 
 def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -168,14 +168,34 @@ def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 take = [k for k, (d, c) in enumerate(zip(p.doc.tolist(), p.cls.tolist(), strict=True)) if c in asked[d]]
                 yield pa.RecordBatch.from_arrays([longs(p.cls[take]), blobs([p.tokens(k) for k in take])], ["cls", "tokens"])
 
-    return texts.mapInArrow(run, "cls long, tokens binary").dropDuplicates(["cls"])
+    return texts.mapInArrow(lean(run), "cls long, tokens binary").dropDuplicates(["cls"])
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """(u, v, near) of the pairs (cls, other): whether their exact similarity reaches the threshold."""
+def _sets_of(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cls, tokens) of the classes that stand in pairs (cls, other)."""
     named = written(pairs.select("cls").union(pairs.select("other")).distinct(), "paragraph-named")
-    wanted = classes.join(small_side(named), "cls").select("cls", "at._k1", "at._k2")
-    sets = written(_sets(rows, wanted), "paragraph-sets")
+    wanted = classes.select("cls", "at._k1", "at._k2").join(small_side(named), "cls").groupBy("cls").agg(F.min(F.struct("_k1", "_k2")).alias("k"))
+    return written(_sets(rows, wanted.select("cls", "k._k1", "k._k2")), "paragraph-sets")
+
+
+def _sketches(sets: DataFrame) -> DataFrame:
+    """(cls, size, sketch) of sets of shingles."""
+
+    def run(batches):
+        for batch in batches:
+            for row, n, data, offsets in slices(batch, "tokens"):
+                values = mix(data.view(np.uint64) ^ STEP[4])
+                bit = np.uint64(1) << (values & np.uint64(63))
+                word = (values >> np.uint64(6)) % np.uint64(SKETCH)
+                at = offsets[:-1] // 8
+                bits = [longs(np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), at).view(np.int64)) for w in range(SKETCH)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, n), longs(np.diff(offsets) // 8), *bits], ["cls", "size", *BITS])
+
+    return sets.mapInArrow(lean(run), ", ".join(f"{name} long" for name in ("cls", "size", *BITS)))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(u, v, near) of the pairs (cls, other): whether their exact similarity reaches the threshold."""
     sides = pairs.join(sets.select(F.col("cls").alias("other"), F.col("tokens").alias("tb")), "other").join(sets, "cls")
 
     def run(batches):
@@ -188,26 +208,34 @@ def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFram
                 fits.append(same >= SIMILAR * (len(x) + len(y) - same))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fits, pa.bool_())], ["u", "v", "near"])
 
-    return sides.select("cls", "other", "tokens", "tb").mapInArrow(run, "u long, v long, near boolean")
+    return sides.select("cls", "other", "tokens", "tb").mapInArrow(lean(run), "u long, v long, near boolean")
 
 
 def linked(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """(u, v): links between classes that collide in a band, all of them up to pairs of one component.
 
-    Pivots are a written table, so that the join with a band of many classes is one
-    between plain scans, which adaptive execution splits.
+    classes may hold a class more than once.  Pivots are a written table, so that the
+    join with a band of many classes is one between plain scans, which adaptive
+    execution splits.
     """
-    entries = classes.select(F.explode(F.array(*KEYS)).alias("key"), "cls", "size", *BITS)
-    pivots = entries.groupBy("key").agg(F.min("cls").alias("pivot"), F.max("cls").alias("other"), F.count("*").alias("times"))
-    pivots = written(pivots.filter("pivot < other").select("key", "pivot", "times"), "paragraph-pivots")
-    members = written(entries.join(small_side(pivots), "key").filter("cls <> pivot"), "paragraph-members")
+    waves = []
+    for first in range(0, BANDS, WAVE):
+        keys = [F.expr(f"shiftleft({band}L, 32) | ({KEYS[band]} & 4294967295L)") for band in range(first, min(first + WAVE, BANDS))]
+        entries = classes.select(F.explode(F.array(*keys)).alias("key"), "cls")
+        pivots = entries.groupBy("key").agg(F.min("cls").alias("pivot"), F.max("cls").alias("other"))
+        pivots = written(pivots.filter("pivot < other").select("key", "pivot"), "paragraph-pivots")
+        met = entries.join(small_side(pivots), "key").filter("cls <> pivot")
+        waves.append(written(met.groupBy("key", "cls").agg(F.min("pivot").alias("pivot")), "paragraph-met"))
+    members = reduce(DataFrame.unionAll, waves)
     pairs = written(members.select("cls", F.col("pivot").alias("other")).distinct(), "paragraph-pairs")
-    known = written(_verified(pairs, rows, classes), "paragraph-known")
+    sets = _sets_of(pairs, rows, classes)
+    known = written(_verified(pairs, sets), "paragraph-known")
     near = known.filter("near").select("u", "v")
     joined = written(components(near, "paragraph-first"), "paragraph-joined")
 
-    rest = members.filter("times > 2").join(known.selectExpr("u AS cls", "v AS pivot", "near"), ["cls", "pivot"])
-    rest = rest.join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    crowded = written(members.groupBy("key").agg(F.count("*").alias("others")).filter("others > 1").select("key"), "paragraph-crowded")
+    rest = members.join(small_side(crowded), "key").join(known.selectExpr("u AS cls", "v AS pivot", "near"), ["cls", "pivot"])
+    rest = rest.join(_sketches(sets), "cls").join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     rest = written(rest.select("key", "cls", "near", "component", "size", *BITS), "paragraph-rest")
     far = rest.filter("NOT near").select("key", *[F.col(name).alias(f"x_{name}") for name in ("cls", "component", "size", *BITS)])
     differ = " + ".join(f"bit_count({name} ^ x_{name})" for name in BITS)
@@ -216,19 +244,22 @@ def linked(rows: DataFrame, classes: DataFrame) -> DataFrame:
         f" AND ({differ}) <= {(1 - SIMILAR) / (1 + SIMILAR) + 1e-9} * (size + x_size)"
     )
     again = written(again.select(F.greatest("cls", "x_cls").alias("cls"), F.least("cls", "x_cls").alias("other")).distinct(), "paragraph-again")
-    return near.unionAll(_verified(again, rows, classes).filter("near").select("u", "v"))
+    return near.unionAll(_verified(again, _sets_of(again, rows, classes)).filter("near").select("u", "v"))
 
 
 def spans_to_remove(rows: DataFrame) -> DataFrame:
     """(_k1, _k2, spans): byte spans of the paragraphs that repeat one that stays."""
     found = written(paragraphs(rows), "paragraph-places")
-    classes = written(classes_of(found), "paragraph-classes")
-    grouped = components(linked(rows, classes), "paragraph-components").withColumnRenamed("node", "cls")
-    members = classes.select("cls", "n", "at").join(grouped, "cls", "left").filter("n > 1 or component is not null")
-    members = written(members.select("cls", F.coalesce("component", "cls").alias("component"), "at"), "paragraph-members")
-    kept = written(members.groupBy("component").agg(F.min("at").alias("one")), "paragraph-kept")
-    fates = written(members.join(small_side(kept), "component").select("cls", "one"), "paragraph-fates")
-    gone = found.select("cls", "_k1", "_k2", "place").join(small_side(fates), "cls").filter(F.struct("_k1", "_k2", "place") != F.col("one"))
+    links = linked(rows, found.select("cls", *KEYS, F.struct("_k1", "_k2", "place").alias("at")))
+    grouped = written(components(links, "paragraph-components").withColumnRenamed("node", "cls"), "paragraph-grouped")
+    keys, found = found, written(found.select("cls", "_k1", "_k2", "place"), "paragraph-narrow")
+    dropped(keys)
+    again = found.groupBy("cls").agg(F.count("*").alias("n")).filter("n > 1").select("cls")
+    fates = again.join(grouped, "cls", "full").select("cls", F.coalesce("component", "cls").alias("component"))
+    fates = written(fates, "paragraph-fates")
+    places = written(found.join(small_side(fates), "cls").drop("cls"), "paragraph-members")
+    kept = written(places.groupBy("component").agg(F.min(F.struct("_k1", "_k2", "place")).alias("one")), "paragraph-kept")
+    gone = places.join(small_side(kept), "component").filter(F.struct("_k1", "_k2", "place") != F.col("one"))
     gone = written(gone.select("_k1", "_k2", "place", "one").distinct(), "paragraph-gone")
     spans = gone.select("_k1", "_k2", F.shiftright("place", 32).alias("start"), F.expr("place & 4294967295").alias("end"))
     spans = spans.unionAll(_wider(rows, gone))
@@ -245,7 +276,9 @@ def _around(rows: DataFrame, asked: DataFrame, all_of: bool) -> DataFrame:
     a side on which another asked place goes on is left out.
     """
     asked = written(asked.groupBy("_k1", "_k2").agg(F.collect_set("place").alias("places")), "paragraph-asked")
-    texts = rows.join(small_side(asked), ["_k1", "_k2"]).select("_k1", "_k2", "_text", "places")
+    # most texts are asked for, and dealt by key at any size, so that what travels grows as the texts do
+    asked = small_side(asked) if all_of else asked.hint("merge")
+    texts = rows.join(asked, ["_k1", "_k2"]).select("_k1", "_k2", "_text", "places")
 
     def run(batches):
         for batch in batches:
@@ -273,7 +306,7 @@ def _around(rows: DataFrame, asked: DataFrame, all_of: bool) -> DataFrame:
                 names = ["_k1", "_k2", "place", "before", "after", "starts", "ends"]
                 yield pa.RecordBatch.from_arrays([*(longs(c) for c in columns[:3]), *(blobs(c) for c in columns[3:])], names)
 
-    return texts.mapInArrow(run, f"_k1 long, _k2 long, place long, {AROUND}")
+    return texts.mapInArrow(lean(run), f"_k1 long, _k2 long, place long, {AROUND}")
 
 
 def _wider(rows: DataFrame, gone: DataFrame) -> DataFrame:
@@ -316,7 +349,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     rows = keyed(docs, id_col, text_col)
     spans = written(spans_to_remove(rows), "paragraph-spans")
-    joined = rows.join(small_side(spans), ["_k1", "_k2"], "left")
+    joined = rows.join(spans.hint("merge"), ["_k1", "_k2"], "left")
     joined = joined.select("_id", "_text", F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends"))
     kind = rows.schema["_id"].dataType.simpleString()
 
