@@ -14,6 +14,9 @@ filtering, exactly.
   it are in its component already, so pairs among them are skipped; the rest of a pair
   is compared only if the two distances to the pivot allow it (the Jaccard distance is
   a metric).
+* A pair's sets are made and dealt only if its sketches allow a link: parities of the
+  shingles' bits, which differ in no more bits than the sets in shingles.  They bound
+  the distance of the other pairs from below.
 
 No list is collected: pivots are aggregated before the shuffle, and the joins on a
 shingle split a common one's rows.
@@ -27,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import blobs, components, keyed, lean, longs, mix, shingles, slices, small_side, span_hashes, table, word_spans
-from palimpsest.session import written
+from palimpsest.llm.common import STEP, blobs, components, keyed, lean, longs, mix, shingles, slices, small_side, span_hashes, table, word_spans
+from palimpsest.session import dropped, written
 
 WIDTH = 5
 #: Link when DEN * intersection >= NUM * union.
@@ -38,6 +41,9 @@ SEGMENT = 1 << 16
 FAN_IN = 64
 #: Above every 1000 * log2(counter + 1), whose counters end at 2^32.
 PLAIN = 1 << 16
+#: Words of 64 bits in a sketch.
+SKETCH = 16
+BITS = [f"s{k}" for k in range(SKETCH)]
 
 
 def sets_of(data: np.ndarray, offsets: np.ndarray):
@@ -137,29 +143,42 @@ def _enough(n1: str, p1: str, n2: str, p2: str):
     )
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, light: DataFrame) -> DataFrame:
-    """(a, b, same, total): exact intersection and union sizes of the pairs' sets.
+def _compared(pairs: DataFrame, rows: DataFrame, light: DataFrame) -> DataFrame:
+    """(a, b, near, low, high): whether the pairs' sets link, by exact sizes, and bounds of their distance.
 
-    Only sets of classes that stand in a pair are made and dealt.
+    Only sets of classes that stand in a pair whose sketches allow a link are made and dealt.
     """
     named = written(pairs.selectExpr("a AS cls").union(pairs.selectExpr("b AS cls")).distinct(), "jaccard-named")
-    wanted = light.join(small_side(named), "cls").groupBy("cls").agg(F.min(F.struct("_k1", "_k2")).alias("k"))
-    wanted = written(wanted.select("cls", "k._k1", "k._k2"), "jaccard-wanted")
-    sets = written(_sets(rows, wanted), "jaccard-sets")
-    sides = pairs.join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tb")), "b")
+    wanted = light.join(small_side(named), "cls").groupBy("cls")
+    wanted = wanted.agg(F.min(F.struct("_k1", "_k2", "n", *BITS)).alias("k"), (F.count("*") == 1).alias("single"))
+    wanted = written(wanted.select("cls", "k.*", "single"), "jaccard-wanted")
+    sides = [wanted.select(F.col("cls").alias(c), *[F.col(name).alias(f"{c}_{name}") for name in ("n", *BITS)]) for c in "ab"]
+    rated = pairs.join(sides[0], "a").join(sides[1], "b").selectExpr(
+        "a", "b", "a_n + b_n AS n", " + ".join(f"bit_count(a_{name} ^ b_{name})" for name in BITS) + " AS differ"
+    )
+    rated = written(rated, "jaccard-rated")
+    close = f"{NUM + DEN} * differ <= {DEN - NUM} * n"
+    alike = rated.filter(close).select("a", "b")
+    asked = written(alike.selectExpr("a AS cls").union(alike.selectExpr("b AS cls")).distinct(), "jaccard-asked")
+    sets = _sets(rows, wanted.join(small_side(asked), "cls").select("cls", "_k1", "_k2", "single"))
+    sides = alike.join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tb")), "b")
     sides = sides.join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("ta")), "a").select("a", "b", "ta", "tb")
 
     def run(batches):
         for batch in batches:
-            same, total = [], []
+            near, apart = [], []
             for ta, tb in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = np.frombuffer(ta.as_buffer(), np.uint64), np.frombuffer(tb.as_buffer(), np.uint64)
                 at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-                same.append(int((x[at] == y).sum()))
-                total.append(len(x) + len(y) - same[-1])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), longs(same), longs(total)], ["a", "b", "same", "total"])
+                same = int((x[at] == y).sum())
+                total = len(x) + len(y) - same
+                near.append(DEN * same >= NUM * total)
+                apart.append(1 - same / total)
+            apart = pa.array(apart, pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near, pa.bool_()), apart, apart], ["a", "b", "near", "low", "high"])
 
-    return sides.mapInArrow(lean(run), "a long, b long, same long, total long")
+    found = sides.mapInArrow(lean(run), "a long, b long, near boolean, low double, high double")
+    return found.unionAll(rated.filter(f"NOT ({close})").selectExpr("a", "b", "false", "2 * differ / (n + differ)", "1D"))
 
 
 def links(rows: DataFrame, light: DataFrame) -> DataFrame:
@@ -171,53 +190,71 @@ def links(rows: DataFrame, light: DataFrame) -> DataFrame:
 
     pivots = kept.groupBy("token").agg(F.max(F.struct("plain", "cls", "n", "pos")).alias("p"), F.count("*").alias("sets")).filter("sets > 1")
     pivots = pivots.select("token", F.col("p.cls").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.pos").alias("pp"))
-    listed = kept.join(pivots, "token")
+    listed = written(kept.join(pivots, "token"), "jaccard-listed")
+    dropped(kept)
     first = listed.filter("cls <> pivot").filter(_enough("n", "pos", "pn", "pp"))
     first = written(first.select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct(), "jaccard-first")
-    known = written(_verified(first, rows, light), "jaccard-pivots")
+    known = written(_compared(first, rows, light), "jaccard-pivots")
 
-    far = known.selectExpr("a AS cls", "b AS pivot", "1 - same / total AS d", f"{DEN} * same >= {NUM} * total AS near")
-    marked = listed.join(far, ["cls", "pivot"], "left").selectExpr(
-        "token", "cls", "n", "pos", "CASE WHEN cls = pivot THEN 0D ELSE d END AS d", "cls = pivot OR coalesce(near, false) AS near",
+    far = known.withColumnsRenamed({"a": "cls", "b": "pivot"})
+    marked = listed.join(small_side(far), ["cls", "pivot"], "left").selectExpr(
+        "token", "cls", "n", "pos", "cls = pivot OR coalesce(near, false) AS near",
+        "CASE WHEN cls = pivot THEN 0D ELSE coalesce(low, 0D) END AS low", "CASE WHEN cls = pivot THEN 0D ELSE coalesce(high, 1D) END AS high",
         f"cast(floor(ln(n) / ln({DEN} / {NUM})) AS long) AS block",
     )
     marked = written(marked, "jaccard-marked")
-    left = marked.filter("NOT near").selectExpr("token", "cls AS a", "n AS n1", "pos AS p1", "d AS d1", "explode(sequence(block - 1, block + 1)) AS block")
-    right = marked.selectExpr("token", "cls AS b", "n AS n2", "pos AS p2", "d AS d2", "near AS near2", "block")
-    rest = left.join(right, ["token", "block"]).filter("a <> b AND (near2 OR a < b)").filter(_enough("n1", "p1", "n2", "p2"))
-    rest = rest.filter(f"d1 IS NULL OR d2 IS NULL OR abs(d1 - d2) <= 1 - {NUM} / {DEN} + 1e-9").select("a", "b").distinct()
+    dropped(listed)
+    left = marked.filter("NOT near").selectExpr("token", "cls AS a", "n AS n1", "pos AS p1", "low AS l1", "high AS h1", "explode(sequence(block - 1, block + 1)) AS block")
+    right = marked.selectExpr("token", "cls AS b", "n AS n2", "pos AS p2", "low AS l2", "high AS h2", "near AS near2", "block")
+    # lists are dealt by key at any size, so that what travels grows as they do
+    rest = left.join(right.hint("merge"), ["token", "block"]).filter("a <> b AND (near2 OR a < b)").filter(_enough("n1", "p1", "n2", "p2"))
+    rest = rest.filter(f"greatest(l1 - h2, l2 - h1) <= 1 - {NUM} / {DEN} + 1e-9").select("a", "b").distinct()
     rest = rest.join(known.select("a", "b"), ["a", "b"], "left_anti").join(known.selectExpr("b AS a", "a AS b"), ["a", "b"], "left_anti")
-    found = known.unionAll(_verified(written(rest, "jaccard-rest"), rows, light))
-    return found.filter(f"{DEN} * same >= {NUM} * total").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    found = known.unionAll(_compared(written(rest, "jaccard-rest"), rows, light))
+    return found.filter("near").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, tokens): the sorted shingles of one text of each wanted class."""
-    texts = rows.join(small_side(wanted), ["_k1", "_k2"]).select("_text")
+    """(cls, tokens): the sorted shingles of one text of each wanted class (cls, _k1, _k2, single).
+
+    A text that is single in its class stands in one row; only the others may come twice.
+    """
+    texts = rows.join(small_side(wanted.select("_k1", "_k2", "single")), ["_k1", "_k2"]).select("_text", "single")
 
     def run(batches):
         for batch in batches:
-            for _, _, data, offsets in slices(batch, "_text"):
+            for row, n, data, offsets in slices(batch, "_text"):
                 got = list(sets_of(data, offsets))
-                yield pa.RecordBatch.from_arrays([longs([class_of(u) for u in got]), blobs([u.tobytes() for u in got])], ["cls", "tokens"])
+                columns = [longs([class_of(u) for u in got]), blobs([u.tobytes() for u in got]), batch.column(1).slice(row, n)]
+                yield pa.RecordBatch.from_arrays(columns, ["cls", "tokens", "single"])
 
-    return texts.mapInArrow(lean(run), "cls long, tokens binary").dropDuplicates(["cls"])
+    made = written(texts.mapInArrow(lean(run), "cls long, tokens binary, single boolean"), "jaccard-sets")
+    once = written(made.filter("NOT single").select("cls", "tokens").dropDuplicates(["cls"]), "jaccard-once")
+    return made.filter("single").select("cls", "tokens").unionAll(once)
+
+
+def _sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """SKETCH words a set: bit k is the parity of its shingles whose hash is k modulo all bits."""
+    at = np.repeat(np.arange(len(sets)) * 64 * SKETCH, [len(u) for u in sets])
+    at += (mix(np.concatenate([*sets, np.zeros(0, np.uint64)]) ^ STEP[4]) % np.uint64(64 * SKETCH)).astype(np.int64)
+    odd = np.bincount(at, minlength=len(sets) * 64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).reshape(-1, SKETCH)
 
 
 def classes(rows: DataFrame) -> DataFrame:
-    """(_id, _k1, _k2, n, cls) of every row; cls is null where the set is empty."""
+    """(_id, _k1, _k2, n, cls, words of the sketch) of every row; cls is null where the set is empty."""
     kind = rows.schema["_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            n, cls = [], []
-            for _, _, data, offsets in slices(batch, "_text"):
-                for u in sets_of(data, offsets):
-                    n.append(len(u))
-                    cls.append(class_of(u) if len(u) else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], longs(n), pa.array(cls, pa.int64())], ["_id", "_k1", "_k2", "n", "cls"])
+            for row, rows_here, data, offsets in slices(batch, "_text"):
+                sets = list(sets_of(data, offsets))
+                cls = pa.array([class_of(u) if len(u) else None for u in sets], pa.int64())
+                own = [column.slice(row, rows_here) for column in batch.columns[:3]]
+                columns = [*own, longs([len(u) for u in sets]), cls, *map(longs, _sketches(sets).T)]
+                yield pa.RecordBatch.from_arrays(columns, ["_id", "_k1", "_k2", "n", "cls", *BITS])
 
-    return rows.mapInArrow(lean(run), f"_id {kind}, _k1 long, _k2 long, n long, cls long")
+    return rows.mapInArrow(lean(run), f"_id {kind}, _k1 long, _k2 long, n long, cls long, {', '.join(f'{name} long' for name in BITS)}")
 
 
 def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -231,8 +268,8 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     rows = keyed(docs, id_col, text_col)
     light = written(classes(rows), "jaccard-classes")
-    joined = components(links(rows, light.filter("cls IS NOT NULL").select("cls", "_k1", "_k2")), "jaccard-components")
-    whole = light.join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    joined = components(links(rows, light.filter("cls IS NOT NULL").drop("_id")), "jaccard-components")
+    whole = light.drop(*BITS).join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_k1", "_k2")
     tops = whole.filter("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("top"))
     whole = whole.join(tops, "component", "left")
