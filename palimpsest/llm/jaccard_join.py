@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import STEP, blobs, components, keyed, lean, longs, mix, shingles, slices, small_side, span_hashes, table, word_spans
+from palimpsest.llm.common import blobs, components, keyed, lean, longs, mix, parities, shingles, slices, small_side, span_hashes, table, word_spans
 from palimpsest.session import dropped, written
 
 WIDTH = 5
@@ -234,11 +234,7 @@ def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """SKETCH words a set: bit k is the parity of its shingles whose hash is k modulo all bits."""
-    at = np.repeat(np.arange(len(sets)) * 64 * SKETCH, [len(u) for u in sets])
-    at += (mix(np.concatenate([*sets, np.zeros(0, np.uint64)]) ^ STEP[4]) % np.uint64(64 * SKETCH)).astype(np.int64)
-    odd = np.bincount(at, minlength=len(sets) * 64 * SKETCH) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).reshape(-1, SKETCH)
+    return parities(np.concatenate(sets), np.array([len(u) for u in sets]), SKETCH)
 
 
 def classes(rows: DataFrame) -> DataFrame:

@@ -8,7 +8,10 @@ All that collide are compared by the exact Jaccard similarity of their word shin
 first each with the band's pivot; then those that did not link with it among themselves
 and with the others, unless a component holds both already or their sketches (parities
 of their shingles' bits, which differ in no more bits than the sets in shingles) rule a
-link out.  Linked ones are clustered, and one occurrence of each cluster stays.
+link out.  In a crowded band, what its largest component does not hold meets a few of
+that component first, round by round, so a crowd of near copies is one component before
+all that is left is compared.  Linked ones are clustered, and one occurrence of each
+cluster stays.
 
 A paragraph leaves its text as a class name, 32 bits per band and its place; sets and
 sketches are made again from the texts for the few classes that share a band with
@@ -22,13 +25,14 @@ adaptive execution splits.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import STEP, blobs, components, keyed, lean, longs, mix, slices, small_side, span_hashes, table, word_spans
+from palimpsest.llm.common import STEP, blobs, components, keyed, lean, longs, mix, parities, slices, small_side, span_hashes, table, word_spans
 from palimpsest.session import dropped, written
 
 WIDTH = 5
@@ -37,7 +41,9 @@ RECALL = 0.98
 #: Of one row, a key would be a single shingle, which in a common phrase holds many unrelated paragraphs.
 ROWS = 3
 #: Words of 64 bits in a sketch.
-SKETCH = 2
+SKETCH = 8
+#: So many members of a band outside its largest component are a crowd; it meets about so many of that component a round.
+CROWD, PIVOTS = 32, 16
 #: Bands dealt at once.
 WAVE = 2
 #: A word cuts a line if its hash is the smallest of so many words on either side.
@@ -184,12 +190,9 @@ def _sketches(sets: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for row, n, data, offsets in slices(batch, "tokens"):
-                values = mix(data.view(np.uint64) ^ STEP[4])
-                bit = np.uint64(1) << (values & np.uint64(63))
-                word = (values >> np.uint64(6)) % np.uint64(SKETCH)
-                at = offsets[:-1] // 8
-                bits = [longs(np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), at).view(np.int64)) for w in range(SKETCH)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, n), longs(np.diff(offsets) // 8), *bits], ["cls", "size", *BITS])
+                sizes = np.diff(offsets) // 8
+                bits = map(longs, parities(data.view(np.uint64), sizes, SKETCH).T)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, n), longs(sizes), *bits], ["cls", "size", *BITS])
 
     return sets.mapInArrow(lean(run), ", ".join(f"{name} long" for name in ("cls", "size", *BITS)))
 
@@ -211,6 +214,61 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return sides.select("cls", "other", "tokens", "tb").mapInArrow(lean(run), "u long, v long, near boolean")
 
 
+def _few(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The sets of the classes that stand in pairs (cls, other)."""
+    named = written(pairs.select("cls").union(pairs.select("other")).distinct(), "paragraph-named")
+    return written(sets.join(small_side(named), "cls"), "paragraph-few")
+
+
+OTHER = ["cls", "component", "size", *BITS]
+
+
+def _others(members: DataFrame) -> DataFrame:
+    return members.select("key", *[F.col(name).alias(f"x_{name}") for name in OTHER])
+
+
+def _may_link() -> str:
+    """Between members of different components: sizes and sketches allow a link."""
+    differ = " + ".join(f"bit_count({name} ^ x_{name})" for name in BITS)
+    return (
+        f"component <> x_component AND least(size, x_size) >= {SIMILAR} * greatest(size, x_size)"
+        f" AND ({differ}) <= {(1 - SIMILAR) / (1 + SIMILAR) + 1e-9} * (size + x_size)"
+    )
+
+
+def _drawn_in(rest: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """rest with the components that links in crowded bands make, and those links (u, v).
+
+    A crowd goes on meeting others of the largest component as long as a tenth of it
+    links; what it leaves is compared with the whole band by the caller.
+    """
+    found = None
+    for turn in count():
+        parts = rest.groupBy("key", "component").agg(F.count("*").alias("n"))
+        tops = parts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"))
+        tops = tops.filter(f"top.n > 1 AND all - top.n > {CROWD}").selectExpr("key", "top.component AS top", "top.n AS n")
+        tops = written(tops, "paragraph-tops")
+        if tops.isEmpty():
+            return rest, found
+        crowded = rest.join(small_side(tops), "key")
+        pivots = crowded.filter(f"component = top AND pmod(xxhash64(cls, {turn}), {1 << 20}) * n < {PIVOTS << 20}")
+        pivots = written(_others(pivots), "paragraph-drawn")
+        outside = crowded.filter("component <> top")
+        pairs = outside.join(small_side(pivots), "key").filter(_may_link())
+        pairs = pairs.select("cls", F.col("x_cls").alias("other"), "component", "x_component").distinct()
+        pairs = written(pairs, "paragraph-tried")
+        hits = _verified(pairs.select("cls", "other"), _few(sets, pairs)).filter("near")
+        hits = written(hits.selectExpr("u AS cls", "v AS other"), "paragraph-hits")
+        links = hits.selectExpr("cls AS u", "other AS v")
+        found = links if found is None else found.unionAll(links)
+        edges = pairs.join(hits, ["cls", "other"]).selectExpr("component AS u", "x_component AS v")
+        moved = written(components(edges, "paragraph-moves").selectExpr("node AS component", "component AS top"), "paragraph-moved")
+        rest = rest.join(small_side(moved), "component", "left").withColumn("component", F.coalesce("top", "component"))
+        rest = written(rest.drop("top"), "paragraph-rest")
+        if 10 * hits.select("cls").distinct().count() < outside.select("cls").distinct().count():
+            return rest, found
+
+
 def linked(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """(u, v): links between classes that collide in a band, all of them up to pairs of one component.
 
@@ -237,14 +295,11 @@ def linked(rows: DataFrame, classes: DataFrame) -> DataFrame:
     rest = members.join(small_side(crowded), "key").join(known.selectExpr("u AS cls", "v AS pivot", "near"), ["cls", "pivot"])
     rest = rest.join(_sketches(sets), "cls").join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     rest = written(rest.select("key", "cls", "near", "component", "size", *BITS), "paragraph-rest")
-    far = rest.filter("NOT near").select("key", *[F.col(name).alias(f"x_{name}") for name in ("cls", "component", "size", *BITS)])
-    differ = " + ".join(f"bit_count({name} ^ x_{name})" for name in BITS)
-    again = far.join(rest, "key").filter(
-        f"component <> x_component AND (near OR cls < x_cls) AND least(size, x_size) >= {SIMILAR} * greatest(size, x_size)"
-        f" AND ({differ}) <= {(1 - SIMILAR) / (1 + SIMILAR) + 1e-9} * (size + x_size)"
-    )
+    rest, drawn = _drawn_in(rest, sets)
+    again = _others(rest.filter("NOT near")).join(rest, "key").filter(f"(near OR cls < x_cls) AND {_may_link()}")
     again = written(again.select(F.greatest("cls", "x_cls").alias("cls"), F.least("cls", "x_cls").alias("other")).distinct(), "paragraph-again")
-    return near.unionAll(_verified(again, _sets_of(again, rows, classes)).filter("near").select("u", "v"))
+    near = near if drawn is None else near.unionAll(drawn)
+    return near.unionAll(_verified(again, _few(sets, again)).filter("near").select("u", "v"))
 
 
 def spans_to_remove(rows: DataFrame) -> DataFrame:
