@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import _BYTE, SPACES, longs, mix, slices, small_side, span_hashes, table, word_spans
+from palimpsest.llm.common import _BYTE, SPACES, lean, longs, mix, slices, small_side, span_hashes, table, word_spans
 from palimpsest.session import DROP_SHUFFLES_CONF, scratch_dir, written
 
 END_ID = 1
@@ -39,8 +39,10 @@ SHARD_BYTES = 32 * 1024 * 1024
 PART_KEYS = 20_000
 #: Bytes of text whose equal words are put together at once.
 ENCODED_BYTES = 2_000_000
+#: Bytes of text that are split and hashed at once.
+NAMED_BYTES = 250_000
 MAGIC = b"ids+foot"
-#: Words, and parts of words, kept with their ids in a task, and the longest one kept.
+#: Words, and parts of words, kept with their ids in a worker, and the longest one kept.
 KNOWN_PIECES = 1 << 18
 LONGEST_KNOWN = 64
 #: Displacements tried at once.
@@ -94,28 +96,47 @@ def _byte_letters() -> dict[int, int]:
 
 
 class Known:
-    """Made once per key; of bounded size: as many as `most` new ones, and those of the round before."""
-
-    def __init__(self, make, most: int = KNOWN_PIECES):
-        self.make, self.most, self.new, self.old = make, most, {}, {}
-
-    def __getitem__(self, key: bytes) -> bytes:
-        found = self.new.get(key)
-        if found is None:
-            found = self.old.get(key)
-            if found is None:
-                found = self.make(key)
-            if len(key) <= LONGEST_KNOWN:
-                if len(self.new) >= self.most:
-                    self.old, self.new = self.new, {}
-                self.new[key] = found
-        return found
-
-    def all(self, keys: list[bytes]) -> list[bytes]:
-        found = list(map(self.new.get, keys))
-        for k in [k for k, ids in enumerate(found) if ids is None]:
-            found[k] = self[keys[k]]
-        return found
+    """Ids of parts by two hashes of their bytes; of bounded size: as many as `most` new ones, and those of the round before.
+
+    Columns in the order of the first hash, some 30 bytes a part, and looked up for a whole
+    slice at once: a dictionary of as many parts takes a worker hundreds of MB.
+    """
+
+    def __init__(self, kind: str, most: int = KNOWN_PIECES):
+        none = np.zeros(0, np.uint64)
+        self.most, self.empty = most, (none, none, np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, kind))
+        self.new = self.old = self.empty
+
+    def find(self, name: np.ndarray, other: np.ndarray, make, fit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, and where each part's start in them and how many they are); make gives those of the numbered parts.
+
+        Parts that fit are kept; their first hashes ascend, all different.
+        """
+        first, size = np.zeros(len(name), np.int64), np.full(len(name), -1, np.int64)
+        base, known = 0, []
+        for names, others, at, n, flat in (self.new, self.old):
+            if len(names):
+                place = np.minimum(np.searchsorted(names, name), len(names) - 1)
+                hit = (size < 0) & (names[place] == name) & (others[place] == other)
+                first[hit], size[hit] = at[place[hit]] + base, n[place[hit]]
+            known.append(size >= 0)
+            base += len(flat)
+        missing = np.flatnonzero(size < 0)
+        made = make(missing)
+        size[missing] = np.fromiter(map(len, made), np.int64, len(made)) // self.empty[4].itemsize
+        first[missing] = base + np.cumsum(size[missing]) - size[missing]
+        ids = np.concatenate([self.new[4], self.old[4], np.frombuffer(b"".join(made), self.empty[4].dtype)])
+        added = np.flatnonzero(fit & ~known[0])[: self.most]
+        if len(self.new[0]) + len(added) > self.most:
+            self.old, self.new = self.new, self.empty
+        names, others, at, n, flat = self.new
+        count = size[added]
+        start = np.cumsum(count) - count
+        own = ids[np.repeat(first[added] - start, count) + np.arange(count.sum())]
+        place = np.searchsorted(names, name[added])
+        columns = ((names, name[added]), (others, other[added]), (at, start + len(flat)), (n, count))
+        self.new = (*(np.insert(have, place, more) for have, more in columns), np.concatenate([flat, own]))
+        return ids, first, size
 
 
 class Encoder:
@@ -138,7 +159,7 @@ class Encoder:
         self.by_word = words_apart(spec)
         self.special = [t["content"].encode() for t in spec.get("added_tokens", [])]
         self.letters = _byte_letters()
-        self.parts, self.words = Known(self._part), Known(self._encoded)
+        self.known = Known(f"<u{self.width}")
 
     def _encoded(self, text: bytes) -> bytes:
         return np.asarray(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, f"<u{self.width}").tobytes()
@@ -159,26 +180,24 @@ class Encoder:
         return self._by_parts(data, offsets)
 
     def _by_parts(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
-        shown, begin, end, odd = split(data, offsets)
+        shown, begin, end, odd, name, other = named(data, offsets)
         if not len(begin):
             return [b""] * (len(offsets) - 1)
-        name = span_hashes(shown, begin, end, _BYTE) ^ odd.astype(np.uint64)
-        other = span_hashes(shown, begin, end, _BYTE[::-1])
         _, first, which = np.unique(name, return_index=True, return_inverse=True)
+        fit = (end - begin)[first] <= LONGEST_KNOWN
         if (other != other[first][which]).any():  # two parts of one name: no part is put together with another
             first = which = np.arange(len(begin))
-        text, apart = shown.tobytes(), odd[first]
-        pieces = [text[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist(), strict=True)]
-        if apart.any():
-            ids = [(self.words if o else self.parts)[piece] for piece, o in zip(pieces, apart.tolist(), strict=True)]
-        else:
-            ids = self.parts.all(pieces)
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width
-        flat = np.frombuffer(b"".join(ids), f"<u{self.width}")
+            fit = np.zeros(len(begin), bool)
+        text = shown.tobytes()
+
+        def made(missing: np.ndarray) -> list[bytes]:
+            at = first[missing]
+            return [(self._encoded if o else self._part)(text[a:b]) for a, b, o in zip(begin[at].tolist(), end[at].tolist(), odd[at].tolist(), strict=True)]
+
+        flat, place, size = self.known.find(name[first], other[first], made, fit)
         per = size[which]
         stop = np.cumsum(per)
-        at = np.repeat((np.cumsum(size) - size)[which] - (stop - per), per) + np.arange(stop[-1])
-        taken = flat[at]
+        taken = flat[np.repeat(place[which] - (stop - per), per) + np.arange(stop[-1])]
         edges = np.append(0, stop)[np.searchsorted(begin, offsets)].tolist()
         return [taken[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
@@ -211,6 +230,19 @@ def split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return shown, begin, end, odd[word] if len(begin) else np.zeros(0, bool)
 
 
+def named(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """split's columns and two hashes of each part; made of some texts at a time, for it takes many numbers for each byte."""
+    found, row = [], 0
+    while row < len(offsets) - 1:
+        base = offsets[row]
+        last = max(row + 1, int(np.searchsorted(offsets, base + NAMED_BYTES, side="right")) - 1)
+        shown, begin, end, odd = split(data[base : offsets[last]], offsets[row : last + 1] - base)
+        name = span_hashes(shown, begin, end, _BYTE) ^ odd.astype(np.uint64)
+        found.append((shown, begin + base, end + base, odd, name, span_hashes(shown, begin, end, _BYTE[::-1])))
+        row = last
+    return tuple(np.concatenate(column) for column in zip(*found, strict=True))
+
+
 def id_width(vocabulary: int) -> int:
     return 2 if max(vocabulary, END_ID + 1) <= 1 << 16 else 4
 
@@ -257,7 +289,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str, text_c
             yield pa.RecordBatch.from_arrays([pa.array([footer + struct.pack("<Q", len(footer)) + MAGIC], pa.binary())], ["value"])
 
     spark = docs.sparkSession
-    out = dealt.select("_id", "_text").mapInArrow(encoded, "value binary").select(F.col("value").cast("string").alias("value"))
+    out = dealt.select("_id", "_text").mapInArrow(lean(encoded), "value binary").select(F.col("value").cast("string").alias("value"))
     before = spark.conf.get(DROP_SHUFFLES_CONF)
     spark.conf.set(DROP_SHUFFLES_CONF, "true")
     try:
@@ -487,7 +519,7 @@ def write(
                 columns = [longs(np.full(rows, shard)), longs(np.arange(rows)), footer.column(0), longs(run), longs(at[:-1]), footer.column(1), longs(crc)]
                 yield pa.RecordBatch.from_arrays(columns, ["shard", "row", "id", "run", "at", "n", "crc"])
 
-    found = _contents(spark, f"{root}/shards").mapInArrow(listed, f"shard long, row long, id {kind}, run long, at long, n long, crc long")
+    found = _contents(spark, f"{root}/shards").mapInArrow(lean(listed), f"shard long, row long, id {kind}, run long, at long, n long, crc long")
     found = written(found, "token-documents")
     store = Store(spark, root, width, max(1, math.ceil(found.count() / part_keys)), found, written(_shards(found), "token-shards"))
     keyed = store.keys().select(*_hashes(key_text(F.col("_id"), F.col("copy"))), "shard", "at", "n").withColumn("part", F.pmod("h1", F.lit(store.parts)))
